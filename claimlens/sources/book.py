@@ -1,0 +1,328 @@
+"""The claims book derived from the order, customer, supplier and event tables.
+
+The relational columns are SQL expressions that mean the same in Spark and in an ANSI SQL engine;
+``BOOK`` holds them as text so that a check can state the same table elsewhere. The JSON claim
+detail is built in Spark only.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from claimlens import schemas
+from claimlens.functions.sizing import number_group_parts
+from claimlens.sources.tables import Book
+
+_CPT_BY = (
+    "case {0} when 0 then '99213' when 1 then '99214' when 2 then '93000' when 3 then '80053' "
+    "when 4 then '71046' when 5 then '36415' when 6 then '97110' else 'J1817' end"
+)
+_DX_BY = (
+    "case {0} when 0 then 'E11.9' when 1 then 'I10' when 2 then 'J45.909' when 3 then 'M54.50' "
+    "when 4 then 'N18.3' when 5 then 'E78.5' else 'Z00.00' end"
+)
+_CLAIM_ID = "concat('C', lpad(cast({0} as string), 9, '0'))"
+_MEMBER_ID = "concat('M', lpad(cast({0} as string), 7, '0'))"
+_PROVIDER_ID = "concat('P', lpad(cast({0} as string), 6, '0'))"
+
+# table -> (the table or CTE it selects from, {column: expression})
+BOOK: dict[str, tuple[str, dict[str, str]]] = {
+    "claim_base": (
+        "orders",
+        {
+            "k": "o_orderkey",
+            "custkey": "o_custkey",
+            "p": "cast(round(o_totalprice * 100) as bigint)",
+            "received_date": "substr(cast(o_orderdate as string), 1, 10)",
+            "service_date": "substr(cast(o_orderdate - interval 30 days as string), 1, 10)",
+            "status": "case when (o_orderkey * 7919) % 100 < 63 then 'Paid' "
+            "when (o_orderkey * 7919) % 100 < 76 then 'Denied' "
+            "when (o_orderkey * 7919) % 100 < 92 then 'Pending' else 'Partially Paid' end",
+            "place_of_service": "case o_orderpriority when '1-URGENT' then '23' when '2-HIGH' then '21' "
+            "when '3-MEDIUM' then '22' when '4-NOT SPECIFIED' then '11' else '02' end",
+        },
+    ),
+    "claim_amounts": (
+        "claim_base",
+        {
+            "k": "k",
+            "custkey": "custkey",
+            "p": "p",
+            "received_date": "received_date",
+            "service_date": "service_date",
+            "status": "status",
+            "place_of_service": "place_of_service",
+            "billed_amount": "cast(p % 500000 + 4000 as double) / 100",
+            "allowed_amount": "case status "
+            "when 'Paid' then floor(cast((p % 500000 + 4000) * (55 + p % 36) as double) / 100) / 100 "
+            "when 'Partially Paid' then floor(cast((p % 500000 + 4000) * (30 + p % 31) as double) / 100) / 100 "
+            "else cast(0 as double) end",
+            "ci": "case when status in ('Denied', 'Partially Paid') then p % 8 end",
+        },
+    ),
+    "claim_provider": (
+        "lineitem group by l_orderkey",
+        {"k": "l_orderkey", "sk": "min(l_suppkey)", "n_lines": "count(*)"},
+    ),
+    "members": (
+        "customer",
+        {
+            "member_id": _MEMBER_ID.format("c_custkey"),
+            "subscriber_id": "concat('S', lpad(cast(c_custkey - c_custkey % 2 as string), 7, '0'))",
+            "member_name": "c_name",
+            "member_ssn": "concat(cast(100 + c_custkey % 900 as string), '-', "
+            "cast(10 + (c_custkey * 7) % 90 as string), '-', cast(1000 + (c_custkey * 7919) % 9000 as string))",
+            "member_dob": "concat(cast(1944 + c_custkey % 63 as string), '-', "
+            "lpad(cast(1 + c_custkey % 12 as string), 2, '0'), '-', lpad(cast(1 + c_custkey % 28 as string), 2, '0'))",
+            "plan_type": "case c_mktsegment when 'AUTOMOBILE' then 'HMO' when 'BUILDING' then 'PPO' "
+            "when 'FURNITURE' then 'EPO' when 'HOUSEHOLD' then 'Medicare Advantage' else 'Medicaid' end",
+            "state": "case c_nationkey % 5 when 0 then 'MI' when 1 then 'OH' when 2 then 'IN' "
+            "when 3 then 'IL' else 'WI' end",
+        },
+    ),
+    "providers": (
+        "supplier",
+        {
+            "provider_id": _PROVIDER_ID.format("s_suppkey"),
+            "npi": "cast(1000000000 + s_suppkey as string)",
+            "provider_name": "s_name",
+            "specialty": "case s_nationkey % 7 when 0 then 'Internal Medicine' when 1 then 'Cardiology' "
+            "when 2 then 'Endocrinology' when 3 then 'Orthopedics' when 4 then 'Primary Care' "
+            "when 5 then 'Radiology' else 'Nephrology' end",
+            "in_network": "s_suppkey % 20 >= 3",
+        },
+    ),
+    "claims": (
+        "claim_amounts left join claim_provider using (k)",
+        {
+            "claim_id": _CLAIM_ID.format("k"),
+            "member_id": _MEMBER_ID.format("custkey"),
+            "provider_id": _PROVIDER_ID.format("coalesce(sk, 0)"),
+            "claim_type": "case when k % 2 = 0 then '837P Professional' else '837I Institutional' end",
+            "status": "status",
+            "billed_amount": "billed_amount",
+            "allowed_amount": "allowed_amount",
+            "paid_amount": "case status when 'Paid' then allowed_amount "
+            "when 'Partially Paid' then floor(allowed_amount * 70) / 100 else cast(0 as double) end",
+            "denial_carc": "case ci when 0 then '197' when 1 then '50' when 2 then '96' when 3 then '16' "
+            "when 4 then '18' when 5 then '45' when 6 then '27' when 7 then '29' end",
+            "denial_reason": "case ci when 0 then 'Precertification / authorization absent' "
+            "when 1 then 'Not medically necessary' when 2 then 'Non-covered charge' "
+            "when 3 then 'Claim lacks information' when 4 then 'Duplicate claim / service' "
+            "when 5 then 'Charge exceeds fee schedule' when 6 then 'Expenses after coverage terminated' "
+            "when 7 then 'Time limit for filing expired' end",
+            "place_of_service": "place_of_service",
+            "pos_desc": "case place_of_service when '23' then 'Emergency Room' when '21' then 'Inpatient Hospital' "
+            "when '22' then 'Outpatient Hospital' when '11' then 'Office' else 'Telehealth' end",
+            "primary_cpt": _CPT_BY.format("(p * 13) % 8"),
+            "primary_dx": _DX_BY.format("p % 7"),
+            "service_date": "service_date",
+            "received_date": "received_date",
+            "requires_manual_review": "case when (status in ('Denied', 'Partially Paid') and (p * 31) % 97 < 44) "
+            "or (billed_amount > 3000 and (p * 17) % 89 < 27) then 1 else 0 end",
+        },
+    ),
+    "disposition_events": (
+        "claim_base where status <> 'Pending'",
+        {
+            "event_id": "concat('E', lpad(cast(k as string), 9, '0'))",
+            "claim_id": _CLAIM_ID.format("k"),
+            "disposition": "status",
+            "disposition_ts": "concat(received_date, 'T', lpad(cast(k % 24 as string), 2, '0'), ':', "
+            "lpad(cast((k * 7) % 60 as string), 2, '0'), ':00')",
+            "downstream_action_fired": "(k * 131) % 1009 < 605",
+            "action_type": "case when (k * 131) % 1009 < 605 then case k % 3 when 0 then 'member_notice' "
+            "when 1 then 'appeal_route' else 'payment_integrity_review' end end",
+        },
+    ),
+    "disposition_updates": (
+        "events",
+        {
+            "event_id": "concat('U', lpad(cast(event_id as string), 9, '0'))",
+            "claim_id": _CLAIM_ID.format("user_id"),
+            "disposition": "case event_type when 'error' then 'Denied' when 'signup' then 'Partially Paid' "
+            "else 'Paid' end",
+            "disposition_ts": "ts",
+            "downstream_action_fired": "event_id % 10 < 6",
+        },
+    ),
+    "prior_authorizations": (
+        "claim_base join claim_provider using (k) where k % 3 = 0",
+        {
+            "pa_id": "concat('PA', lpad(cast(k as string), 8, '0'))",
+            "member_id": _MEMBER_ID.format("custkey"),
+            "provider_id": _PROVIDER_ID.format("sk"),
+            "cpt": _CPT_BY.format("p % 8"),
+            "status": "case p % 3 when 0 then 'Approved' when 1 then 'Denied' else 'Pending' end",
+            "requested_date": "service_date",
+        },
+    ),
+    "eligibility": (
+        "members",
+        {
+            "member_id": "member_id",
+            "plan_type": "plan_type",
+            "effective_date": "concat(cast(1994 + cast(right(member_id, 7) as int) % 2 as string), '-01-01')",
+            "term_date": "case when cast(right(member_id, 7) as int) % 10 = 3 then '2001-06-30' end",
+            "active": "cast(right(member_id, 7) as int) % 10 <> 7",
+        },
+    ),
+    "claim_review_priority": (
+        "claim_base",
+        {"claim_id": _CLAIM_ID.format("k"), "manual_review_score": "cast((p * 37) % 1000 as double) / 1000"},
+    ),
+}
+
+
+def columns(df: DataFrame, name: str) -> DataFrame:
+    """Apply one table's expressions."""
+    return df.selectExpr(*[f"{expr} as {column}" for column, expr in BOOK[name][1].items()])
+
+
+def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# ---- the JSON detail --------------------------------------------------------------------------
+
+
+def _pick(values: list[str], index: str) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.expr(index) + 1).cast("int"))
+
+
+def _choice(options: list[list[str]], index: str) -> Column:
+    """One of several short string lists."""
+    lists = [F.array(*[F.lit(v) for v in o]).cast("array<string>") for o in options]
+    return F.element_at(F.array(*lists), (F.expr(index) + 1).cast("int"))
+
+
+def _line_item() -> Column:
+    cpt = _pick(list(schemas.CPT), "l_partkey % 8")
+    return F.struct(
+        F.col("l_linenumber").cast("int").alias("line"),
+        cpt.alias("cpt"),
+        _pick(list(schemas.CPT.values()), "l_partkey % 8").alias("cpt_desc"),
+        F.expr("cast(1 + l_suppkey % 3 as int)").alias("units"),
+        F.col("l_extendedprice").alias("charge"),
+        _choice([[], ["25"], ["59", "LT"], ["GT"]], "l_partkey % 4").alias("modifiers"),
+        F.array(_pick(schemas.ICD10, "l_partkey % 7")).alias("dx_pointers"),
+        _pick(schemas.REVENUE_CODES, "l_suppkey % 4").alias("rev_code"),
+    )
+
+
+def _documents(spark: SparkSession, sf_dir: str, max_lines: int) -> tuple[DataFrame, bool]:
+    """(k, part, sk, line_items): the lines of each order, in documents of at most about ``max_lines``.
+
+    While no order is over-long the lines are grouped by k alone, so the join to the claims needs no
+    second shuffle and the lowest supplier comes out of the same aggregate.
+    """
+    lines, split = number_group_parts(raw(spark, sf_dir, "lineitem"), "l_orderkey", max_lines)
+    items = lines.select(F.col("l_orderkey").alias("k"), "part", "l_suppkey", _line_item().alias("item"))
+    made = [F.min("l_suppkey").alias("sk"), F.sort_array(F.collect_list("item")).alias("line_items")]
+    if split:
+        return items.groupBy("k", "part").agg(*made), True
+    return items.groupBy("k").agg(*made), False
+
+
+def _adjudication() -> Column:
+    return F.struct(
+        F.expr("p % 100 >= 85").alias("coordination_of_benefits"),
+        _pick([schemas.NO_PAYER, "Medicare", "Commercial"], "p % 3").alias("cob_payer"),
+        F.expr("(p % 5001) / 100").alias("copay"),
+        F.expr("(p % 31) / 100").alias("coinsurance"),
+        F.expr("(p % 20001) / 100").alias("deductible_applied"),
+        _choice([[], ["NCCI-PTP"], ["MUE", "frequency"], ["age-gender"]], "p % 4").alias("edits_triggered"),
+    )
+
+
+def _document_json(adjudication: Column) -> Column:
+    return F.to_json(
+        F.struct(
+            F.lit("837").alias("edi_source"),
+            F.expr("concat('CH', cast(100 + p % 900 as string))").alias("clearinghouse_id"),
+            F.coalesce("line_items", F.array().cast(f"array<{schemas.LINE_ITEM}>")).alias("line_items"),
+            adjudication.alias("adjudication"),
+        )
+    )
+
+
+def claims_with_detail(
+    spark: SparkSession, sf_dir: str, max_lines: int = schemas.MAX_DOCUMENT_LINES
+) -> tuple[DataFrame, DataFrame | None]:
+    """Claims with their JSON detail, and the continuation documents when a claim needs several.
+
+    A claim of more lines than one document may hold keeps its adjudication and first lines in
+    ``claim_detail``; the rest follow in rows of (claim_id, part, claim_detail).
+    """
+    documents, split = _documents(spark, sf_dir, max_lines)
+    base = _amounts(spark, sf_dir)
+    if split:
+        first = documents.where("part = 0").select("k", "line_items")
+        joined = base.join(_claim_provider(spark, sf_dir), "k", "left").join(first, "k", "left")
+    else:
+        joined = base.join(documents, "k", "left")
+    claims = joined.selectExpr(
+        *[f"{expr} as {column}" for column, expr in BOOK["claims"][1].items()], "p", "line_items"
+    ).withColumn("claim_detail", _document_json(_adjudication()))
+    claims = claims.select([f.name for f in schemas.CLAIMS.fields])
+    if not split:
+        return claims, None
+    more = (
+        documents.where("part > 0")
+        .join(base.select("k", "p"), "k")
+        .select(
+            F.expr(_CLAIM_ID.format("k")).alias("claim_id"),
+            "part",
+            _document_json(F.lit(None).cast(schemas.ADJUDICATION)).alias("claim_detail"),
+        )
+    )
+    return claims, more
+
+
+# ---- the tables -------------------------------------------------------------------------------
+
+
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return columns(raw(spark, sf_dir, "orders"), "claim_base")
+
+
+def _amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return columns(_base(spark, sf_dir), "claim_amounts")
+
+
+def _claim_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = raw(spark, sf_dir, "lineitem")
+    return lines.groupBy(F.col("l_orderkey").alias("k")).agg(F.min("l_suppkey").alias("sk"))
+
+
+def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = _amounts(spark, sf_dir).join(_claim_provider(spark, sf_dir), "k", "left")
+    return columns(joined, "claims")
+
+
+def _prior_authorizations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _base(spark, sf_dir).where("k % 3 = 0")
+    return columns(base.join(_claim_provider(spark, sf_dir), "k"), "prior_authorizations")
+
+
+def derived_book(spark: SparkSession, sf_dir: str) -> Book:
+    """Every table of the book over ``sf_dir``. ``claims`` here has no JSON detail; ``claims_with_detail`` adds it."""
+    members = lambda: columns(raw(spark, sf_dir, "customer"), "members")
+    return Book(
+        {
+            "members": members,
+            "providers": lambda: columns(raw(spark, sf_dir, "supplier"), "providers"),
+            "claims": lambda: _claims(spark, sf_dir),
+            "disposition_events": lambda: disposition_events(raw(spark, sf_dir, "orders")),
+            "disposition_updates": lambda: columns(raw(spark, sf_dir, "events"), "disposition_updates"),
+            "prior_authorizations": lambda: _prior_authorizations(spark, sf_dir),
+            "eligibility": lambda: columns(members(), "eligibility"),
+            "claim_review_priority": lambda: columns(_base(spark, sf_dir), "claim_review_priority"),
+        }
+    )
+
+
+def disposition_events(orders: DataFrame) -> DataFrame:
+    """Row-local over orders, so it serves a batch and a streaming read alike."""
+    return columns(columns(orders, "claim_base").where("status <> 'Pending'"), "disposition_events")

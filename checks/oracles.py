@@ -169,7 +169,7 @@ oracle(
 )
 oracle(
     "mean_score_by_status",
-    """select status, round(avg(manual_review_score), 6) as mean_score
+    """select status, round(avg(manual_review_score), 9) as mean_score
     from claim_review_priority p join claims c on p.claim_id = c.claim_id group by status""",
 )
 oracle(

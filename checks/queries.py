@@ -16,7 +16,7 @@ from claimlens.sources.tables import Book, count_inventory, load, write
 from claimlens.streaming import dispositions
 
 SEARCH_TEXT = "denied medically necessary"
-DOCUMENT_TEXT = "data model"
+DOCUMENT_TEXT = "tion ther"
 QUERIES: dict = {}
 
 
@@ -192,8 +192,7 @@ def metric_dispositions(spark, sf_dir):
 @query
 def mean_score_by_status(spark, sf_dir):
     tables = book.derived_book(spark, sf_dir)
-    joined = tables["claim_review_priority"].join(tables["claims"].select("claim_id", "status"), "claim_id")
-    return joined.groupBy("status").agg(F.round(F.avg("manual_review_score"), 6).alias("mean_score"))
+    return metrics.mean_score_by_status(tables["claim_review_priority"], tables["claims"])
 
 
 @query
@@ -429,10 +428,14 @@ def _replies(spark, sf_dir) -> DataFrame:
 
 @query
 def reply_validation(spark, sf_dir):
-    good, bad = replies.validate_replies(_replies(spark, sf_dir))
-    good = good.select("claim_id", "triage_score", "triage_action", F.lit("good").alias("verdict"))
-    none = [F.lit(None).cast("double").alias("triage_score"), F.lit(None).cast("string").alias("triage_action")]
-    return good.union(bad.select("claim_id", *none, F.col("reason").alias("verdict")))
+    judged = replies.judge_replies(_replies(spark, sf_dir))
+    good = F.col("reason").isNull()
+    return judged.select(
+        "claim_id",
+        F.when(good, F.col("triage_score")).alias("triage_score"),
+        F.when(good, F.col("triage_action")).alias("triage_action"),
+        F.coalesce("reason", F.lit("good")).alias("verdict"),
+    )
 
 
 # ---- retrieval --------------------------------------------------------------------------------
@@ -443,12 +446,20 @@ def _narratives(spark, sf_dir, limit=None) -> DataFrame:
     return retrieval.narratives(tables["claims"], tables["providers"], limit)
 
 
+def _stored(spark, notes: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a written table: a search reads its notes more than once."""
+    path = new_dir(spark, purpose)
+    write(notes, path)
+    return spark.read.parquet(path)
+
+
 def _notes(spark, sf_dir) -> DataFrame:
-    """Narratives of the claims that have a vector, with it."""
+    """Narratives of the claims that have a vector, with it and their words."""
     vectors = book.raw(spark, sf_dir, "embeddings").select(
         F.expr("concat('C', lpad(cast(vec_id as string), 9, '0'))").alias("claim_id"), "embedding"
     )
-    return _narratives(spark, sf_dir).join(vectors, "claim_id")
+    notes = _narratives(spark, sf_dir).join(vectors, "claim_id")
+    return _stored(spark, retrieval.with_tokens(notes), "notes")
 
 
 def _asked(spark, sf_dir):
@@ -482,7 +493,8 @@ def vector_top30(spark, sf_dir):
 
 @query
 def keyword_top30(spark, sf_dir):
-    found = retrieval.keyword_top(_narratives(spark, sf_dir), SEARCH_TEXT)
+    notes = _stored(spark, retrieval.with_tokens(_narratives(spark, sf_dir)), "notes")
+    found = retrieval.keyword_top(notes, SEARCH_TEXT)
     return found.select("claim_id", "score", "rk")
 
 
@@ -501,18 +513,14 @@ def hybrid_search(spark, sf_dir):
 
 @query
 def narrative_vectors(spark, sf_dir):
-    folder = new_dir(spark, "narratives")
-    write(_narratives(spark, sf_dir), f"{folder}/told.parquet")
-    vectors = retrieval.narrative_vectors(spark.read.parquet(f"{folder}/told.parquet"))
+    vectors = retrieval.narrative_vectors(_stored(spark, _narratives(spark, sf_dir), "narratives"))
     return vectors.select("claim_id", F.size("embedding").alias("dim"), F.round(norm(F.col("embedding")), 4).alias("length"))
 
 
 @query
 def ann_top30(spark, sf_dir):
     model, indexed = retrieval.near_index(_notes(spark, sf_dir))
-    folder = new_dir(spark, "index")
-    write(indexed, folder)
-    near = retrieval.ann_top(model, spark.read.parquet(folder), _asked(spark, sf_dir))
+    near = retrieval.ann_top(model, _stored(spark, indexed, "index"), _asked(spark, sf_dir))
     return near.select("claim_id", "distance", "rk")
 
 
@@ -527,9 +535,7 @@ def features(spark, sf_dir):
 
 @query
 def review_priority(spark, sf_dir):
-    folder = new_dir(spark, "features")
-    write(features(spark, sf_dir), folder)
-    rows = spark.read.parquet(folder)
+    rows = _stored(spark, features(spark, sf_dir), "features")
     model, _ = scoring.train_review_model(rows)
     return scoring.score_claims(model, rows)
 

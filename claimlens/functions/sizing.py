@@ -1,4 +1,4 @@
-"""Size-checked broadcasts and the splitting of over-large groups."""
+"""Size-checked broadcasts, the splitting of over-large groups, and columns worked out once."""
 
 from __future__ import annotations
 
@@ -48,3 +48,13 @@ def number_group_parts(
         )
     dealt = F.least(F.floor(F.col("_draw") * F.col("_parts")).cast("int"), F.col("_parts") - 1)
     return numbered.withColumn(part, F.coalesce(dealt, F.lit(0))).drop("_draw", "_parts"), True
+
+
+def evaluated_once(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a costly column behind a one-element explode.
+
+    Filters and projections on the column would otherwise be merged into its expression and work it
+    out again for each mention.
+    """
+    others = [c for c in df.columns if c != column]
+    return df.select(*others, F.explode(F.array(F.col(column))).alias(column))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens import schemas
+from claimlens.functions.sizing import evaluated_once
 
 
 def unfenced(reply: str) -> Column:
@@ -15,30 +18,38 @@ def unfenced(reply: str) -> Column:
     return F.when(text.startswith("```"), inside).otherwise(text)
 
 
-def validate_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split replies (claim_id, reply) into good ones, typed, and quarantined ones with the reason.
+def judge_replies(replies: DataFrame) -> DataFrame:
+    """Replies (claim_id, reply) with their typed parts and the reason a reply is refused, null for a good one.
 
     A good reply is a JSON object with all four keys, an allowed action and a score from 0 to 1.
     """
-    parsed = replies.withColumn("_text", unfenced("reply")).withColumn(
-        "_r", F.from_json("_text", schemas.TRIAGE_REPLY)
-    )
-    keys = F.json_object_keys("_text")
-    needed = [F.lit(key) for key in schemas.REPLY_KEYS]
-    score = F.col("_r.triage_score").try_cast("double")
-    action = F.col("_r.next_action")
+    # One parse gives keys and values: the object as a map of texts, null for anything else.
+    parsed = replies.withColumn("_m", F.from_json(unfenced("reply"), "map<string,string>"))
+    m = F.col("_m")
+    missing = [~F.map_contains_key(m, key) for key in schemas.REPLY_KEYS]
+    score = m["triage_score"].try_cast("double")
     reason = (
-        F.when(keys.isNull(), "not json")
-        .when(F.size(F.array_except(F.array(*needed), keys)) > 0, "missing key")
-        .when(F.coalesce(~action.isin(schemas.NEXT_ACTIONS), F.lit(True)), "unknown action")
+        F.when(m.isNull(), "not json")
+        .when(reduce(Column.__or__, missing), "missing key")
+        .when(F.coalesce(~m["next_action"].isin(schemas.NEXT_ACTIONS), F.lit(True)), "unknown action")
         .when(F.coalesce(~score.between(0.0, 1.0), F.lit(True)), "score out of range")
     )
-    judged = parsed.withColumn("reason", reason)
-    good = judged.where(F.col("reason").isNull()).select(
+    return evaluated_once(parsed, "_m").select(
         "claim_id",
+        "reply",
         score.alias("triage_score"),
-        F.col("_r.risk_tier").alias("risk_tier"),
-        action.alias("triage_action"),
-        F.col("_r.rationale").alias("rationale"),
+        m["risk_tier"].alias("risk_tier"),
+        m["next_action"].alias("triage_action"),
+        m["rationale"].alias("rationale"),
+        reason.alias("reason"),
     )
+
+
+def validate_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split replies into good ones, typed, and quarantined ones with the reason.
+
+    Each of the two is a pass over the replies; ``judge_replies`` is both in one.
+    """
+    judged = judge_replies(replies)
+    good = judged.where(F.col("reason").isNull()).drop("reply", "reason")
     return good, judged.where(F.col("reason").isNotNull()).select("claim_id", "reply", "reason")

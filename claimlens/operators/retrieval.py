@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from claimlens.functions import text
 from claimlens.functions.nested import cob_payer
 from claimlens.functions.scores import reciprocal
-from claimlens.functions.vectors import cosine_distance, norm
+from claimlens.functions.sizing import evaluated_once
+from claimlens.functions.vectors import distances_to
 from claimlens.operators.serving import top_claims
 
 
@@ -56,43 +57,55 @@ def _ranked(best: DataFrame, *order) -> DataFrame:
 def vector_top(notes: DataFrame, query: Column, n: int = 30, key: str = "claim_id") -> DataFrame:
     """The n nearest rows by cosine distance, ranked. ``query`` is a literal array or a scalar subquery.
 
-    Every task keeps its own n best, and only those are merged.
+    Every task keeps its own n best rows, and only those are merged. Rows without a distance sort
+    last and are dropped after the limit: a filter before it would compute every distance twice.
     """
-    near = notes.withColumn("distance", cosine_distance(F.col("embedding"), query)).where("distance is not null")
-    return _ranked(near.orderBy("distance", key).limit(n), "distance", key)
+    near = notes.withColumn("distance", distances_to(F.col("embedding"), query))
+    best = near.orderBy(F.asc_nulls_last("distance"), key).limit(n).where("distance is not null")
+    return _ranked(best, "distance", key)
 
 
 def keyword_top(notes: DataFrame, query: str, n: int = 30, key: str = "claim_id", column: str = "narrative") -> DataFrame:
     """The n best rows that hold every word of the query, by BM25, ranked.
 
     Counting the query's words is row-local, so no word list is ever shuffled: one aggregate gives
-    the corpus figures as a single row, and the scored rows meet in a top-n.
+    the corpus figures as a single row, and the scored rows meet in a top-n. Only rows that can hold
+    every word are split a second time for their score.
     """
     terms = text.query_terms(query)
     kept = [c for c in notes.columns if c != "tokens"]
     if not terms:
         return notes.select(*kept, F.lit(0.0).alias("score"), F.lit(0).alias("rk")).limit(0)
-    worded = notes if "tokens" in notes.columns else with_tokens(notes, column)
-    counted = worded.select(
-        *kept,
-        F.size("tokens").alias("_len"),
-        *[text.term_count(F.col("tokens"), t).alias(f"_tf{i}") for i, t in enumerate(terms)],
+    stored = "tokens" in notes.columns
+    words = F.col("tokens") if stored else text.tokens(F.col(column))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        counts = F.transform(F.array(*[F.lit(t) for t in terms]), lambda t: F.size(F.filter("_w", lambda w: w == t)))
+        split = evaluated_once(rows.select(*kept, words.alias("_w")), "_w")
+        return split.select(*kept, F.size("_w").alias("_len"), counts.alias("_tf"))
+
+    figures = (
+        counted(notes)
+        .agg(
+            F.struct(
+                F.count(F.lit(1)).alias("docs"),
+                F.avg("_len").alias("mean"),
+                F.array(*[F.count_if(F.col("_tf")[i] > 0) for i in range(len(terms))]).alias("df"),
+            ).alias("f")
+        )
+        .scalar()
     )
-    figures = counted.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("docs"),
-            F.avg("_len").alias("mean"),
-            *[F.count(F.when(F.col(f"_tf{i}") > 0, 1)).alias(f"df{i}") for i in range(len(terms))],
-        ).alias("f")
-    ).scalar()
-    every_term = reduce(Column.__and__, [F.col(f"_tf{i}") > 0 for i in range(len(terms))])
-    found = counted.where(every_term).withColumn("_f", figures)
+    possible = [F.array_contains("tokens", t) if stored else F.lower(F.col(column)).contains(t) for t in terms]
+    found = counted(notes.where(reduce(Column.__and__, possible))).withColumn("_f", figures)
     parts = [
-        text.bm25_term(F.col(f"_tf{i}"), F.col(f"_f.df{i}"), F.col("_f.docs"), F.col("_len"), F.col("_f.mean"))
+        text.bm25_term(F.col("_tf")[i], F.col("_f.df")[i], F.col("_f.docs"), F.col("_len"), F.col("_f.mean"))
         for i in range(len(terms))
     ]
-    scored = found.select(*kept, F.round(reduce(Column.__add__, parts), 6).alias("score"))
-    return _ranked(scored.orderBy(F.desc("score"), key).limit(n), F.desc("score"), key)
+    every_term = F.array_min("_tf") > 0
+    score = F.when(every_term, F.round(reduce(Column.__add__, parts), 6)).alias("score")
+    # A row that lacks a word has no score, sorts last, and is dropped after the limit.
+    best = found.select(*kept, score).orderBy(F.desc_nulls_last("score"), key).limit(n).where("score is not null")
+    return _ranked(best, F.desc("score"), key)
 
 
 def hybrid_search(
@@ -118,10 +131,9 @@ def hybrid_search(
 
 
 def _with_unit(notes: DataFrame) -> DataFrame:
-    """``notes`` with its embedding as a unit vector; a zero vector points nowhere and is left out."""
-    unit = F.transform(F.col("embedding"), lambda x: x.cast("double") / F.col("_length"))
-    sized = notes.withColumn("_length", norm(F.col("embedding"))).where(F.col("_length") > 0)
-    return sized.withColumn("unit", array_to_vector(unit)).drop("_length")
+    """``notes`` with its embedding as a vector of length 1."""
+    vectors = notes.where("embedding is not null").withColumn("_raw", array_to_vector("embedding"))
+    return Normalizer(inputCol="_raw", outputCol="unit").transform(vectors).drop("_raw")
 
 
 def near_index(

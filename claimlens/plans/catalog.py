@@ -17,13 +17,14 @@ from claimlens.sources.tables import load, table_path, write
 class BuiltTable:
     comment: str
     build: Callable[[Mapping[str, DataFrame]], DataFrame]
+    needs_detail: bool = False
 
 
 BUILT: dict[str, BuiltTable] = {
     "claims_silver": BuiltTable(
-        "Claims with the JSON detail parsed into typed columns.", lambda t: silver.claims_silver(t["claims"])
+        "Claims with the JSON detail parsed into typed columns.", lambda t: silver.claims_silver(t["claims"]), True
     ),
-    "claim_lines": BuiltTable("One row per claim line.", lambda t: silver.claim_lines(t["claims"])),
+    "claim_lines": BuiltTable("One row per claim line.", lambda t: silver.claim_lines(t["claims"]), True),
     "open_dispositions_without_action": BuiltTable(
         "Dispositions that never fired a follow-up action.", lambda t: silver.open_dispositions(t["disposition_events"])
     ),
@@ -48,13 +49,17 @@ def materialize(spark: SparkSession, directory: str, name: str, tables: Mapping[
 
 def register(spark: SparkSession, tables: Mapping[str, DataFrame], groups: Collection[str] = ()) -> list[str]:
     """Temporary views of the book and of every built table, and the mask functions. ``members`` is
-    what a reader of ``groups`` may see."""
+    what a reader of ``groups`` may see. Without a detail column on claims the tables built from it
+    are left out."""
     for name in tables:
         df = tables[name]
         view = governance.members_for(df, groups) if name == "members" else df
         governance.describe(view, name).createOrReplaceTempView(name)
     made = list(tables)
+    detailed = "claim_detail" in tables["claims"].columns
     for name, table in BUILT.items():
+        if table.needs_detail and not detailed:
+            continue
         table.build(tables).createOrReplaceTempView(name)
         made.append(name)
     register_masks(spark)

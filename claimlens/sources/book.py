@@ -259,9 +259,10 @@ def claims_with_detail(
     base = _amounts(spark, sf_dir)
     if split:
         first = documents.where("part = 0").select("k", "line_items")
-        joined = base.join(_claim_provider(spark, sf_dir), "k", "left").join(first, "k", "left")
+        joined = base.join(_claim_provider(spark, sf_dir), "k", "left").join(first.hint("merge"), "k", "left")
     else:
-        joined = base.join(documents, "k", "left")
+        # Documents grow with the claims, so both sides meet on k; they are never worth a broadcast.
+        joined = base.join(documents.hint("merge"), "k", "left")
     claims = joined.selectExpr(
         *[f"{expr} as {column}" for column, expr in BOOK["claims"][1].items()], "p", "line_items"
     ).withColumn("claim_detail", _document_json(_adjudication()))

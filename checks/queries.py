@@ -84,7 +84,7 @@ def written_claims(spark, sf_dir):
     """The claims written as a table and read back with the declared schema."""
     claims, _ = book.claims_with_detail(spark, sf_dir)
     folder = new_dir(spark, "book")
-    write(claims, f"{folder}/claims.parquet")
+    write(claims, f"{folder}/claims.parquet", skip_empty=False)
     stored = load(spark, folder, "claims")
     return stored.select(
         *[c for c in stored.columns if c != "claim_detail"],
@@ -240,24 +240,19 @@ def cob_claims(spark, sf_dir):
 
 @query
 def hybrid_rows(spark, sf_dir):
-    claims, more = book.claims_with_detail(spark, sf_dir)
-    rows = silver.hybrid_rows(claims)
-    if more is None:
-        return rows
-    counts = silver.claims_silver(claims, more).select("claim_id", "line_count")
-    return rows.drop("line_count").join(counts, "claim_id").select(rows.columns)
+    return silver.hybrid_rows(*book.claims_with_detail(spark, sf_dir))
 
 
 @query
 def hybrid_denied_top(spark, sf_dir):
-    claims, _ = book.claims_with_detail(spark, sf_dir)
-    return silver.denied_for_review(claims)
+    claims, more = book.claims_with_detail(spark, sf_dir)
+    return silver.denied_for_review(claims, continuation=more)
 
 
 @query
 def member_cob_claims(spark, sf_dir):
-    claims, _ = book.claims_with_detail(spark, sf_dir)
-    return silver.member_cob_claims(claims, "M0000007")
+    claims, more = book.claims_with_detail(spark, sf_dir)
+    return silver.member_cob_claims(claims, "M0000007", more)
 
 
 # ---- governance -------------------------------------------------------------------------------
@@ -449,7 +444,7 @@ def _narratives(spark, sf_dir, limit=None) -> DataFrame:
 def _stored(spark, notes: DataFrame, purpose: str) -> DataFrame:
     """The frame as a written table: a search reads its notes more than once."""
     path = new_dir(spark, purpose)
-    write(notes, path)
+    write(notes, path, skip_empty=False)
     return spark.read.parquet(path)
 
 

@@ -24,6 +24,8 @@ def join_declared(
     """Join two tables on their declared key. ``left`` may be (name, frame) to go on from an earlier join.
 
     Columns of the right table that the left already has are prefixed with the right table's name.
+    A left join from the one side to the many side is made of its matched and its unmatched rows: an
+    outer join cannot split the many side when one key holds much of it, an inner join can.
     """
     name, frame = (left, tables[left]) if isinstance(left, str) else left
     key = declared_key(name, right)
@@ -34,16 +36,19 @@ def join_declared(
         mine, theirs = key.parent_column, key.column
     clash = {c: f"{right}_{c}" for c in other.columns if c in frame.columns and c != theirs}
     other = other.withColumnsRenamed(clash)
-    if mine == theirs:
-        return frame.join(other, mine, how)
-    return frame.join(other, frame[mine] == other[theirs], how)
+    if mine != theirs:
+        other = other.withColumnRenamed(theirs, mine)
+    if how == "left" and key.parent == name:
+        alone = frame.join(other.select(mine).distinct(), mine, "left_anti")
+        return frame.join(other, mine).unionByName(alone, allowMissingColumns=True)
+    return frame.join(other, mine, how)
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Key values of ``child`` that ``parent`` lacks, with their row counts; a null key counts as one.
 
-    The child is counted per key before the join, so a key that holds much of the table reaches the
-    join as one row.
+    Both sides are reduced to one row per key before the join, so a key that holds much of a table
+    reaches it as one row.
     """
     keys = child.groupBy(F.col(column).alias(parent_column)).agg(F.count(F.lit(1)).alias("rows"))
-    return keys.join(parent.select(parent_column), parent_column, "left_anti")
+    return keys.join(parent.select(parent_column).distinct(), parent_column, "left_anti")

@@ -103,7 +103,7 @@ def claim_dossier(claim_ids: DataFrame, claims: DataFrame, priority: DataFrame)
         "paid_amount",
         "primary_cpt",
         "primary_dx",
-    ).join(claim_ids.select("claim_id"), "claim_id", "left_semi")
+    ).join(claim_ids.select("claim_id").distinct(), "claim_id", "left_semi")
     score = F.round("manual_review_score", 3).alias("review_score")
     return facts.join(priority, "claim_id", "left").select(*facts.columns, score)
 

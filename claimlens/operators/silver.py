@@ -30,15 +30,17 @@ def claims_silver(claims: DataFrame, continuation: DataFrame | None = None) -> D
         d.adjudication.edits_triggered.alias("edits_triggered"),
         d.adjudication.coordination_of_benefits.alias("has_cob"),
     )
-    if continuation is None:
-        return silver
-    more = continuation.groupBy("claim_id").agg(F.sum(F.json_array_length(_line_text())).cast("int").alias("_more"))
-    total = F.col("line_count") + F.coalesce("_more", F.lit(0))
-    return silver.join(more, "claim_id", "left").withColumn("line_count", total).drop("_more").select(silver.columns)
+    return _count_continued(silver, continuation)
 
 
-def _line_text():
-    return F.get_json_object("claim_detail", "$.line_items")
+def _count_continued(counted: DataFrame, continuation: DataFrame | None) -> DataFrame:
+    """Add the lines of the continuation documents to line_count."""
+    if continuation is None:
+        return counted
+    lines = F.json_array_length(F.get_json_object("claim_detail", "$.line_items"))
+    more = continuation.groupBy("claim_id").agg(F.sum(lines).cast("int").alias("_more"))
+    total = F.col("line_count") + F.coalesce("_more", F.lit(0))
+    return counted.join(more, "claim_id", "left").withColumn("line_count", total).select(counted.columns)
 
 
 def claim_lines(claims: DataFrame, continuation: DataFrame | None = None, keep_empty: bool = False) -> DataFrame:
@@ -71,11 +73,11 @@ def cob_claims(claims: DataFrame) -> DataFrame:
     return detail_matches(claims, _COB, _COB_DETAIL)
 
 
-def hybrid_rows(claims: DataFrame) -> DataFrame:
-    """Relational columns next to nested ones: the other payer and the number of lines of the document."""
+def hybrid_rows(claims: DataFrame, continuation: DataFrame | None = None) -> DataFrame:
+    """Relational columns next to nested ones: the other payer and the number of lines."""
     schema = "struct<adjudication:struct<cob_payer:string>, line_items:array<struct<line:int>>>"
     d = F.col("_d")
-    return claims.withColumn("_d", parse_detail(schema=schema)).select(
+    rows = claims.withColumn("_d", parse_detail(schema=schema)).select(
         "claim_id",
         "member_id",
         "status",
@@ -84,18 +86,19 @@ def hybrid_rows(claims: DataFrame) -> DataFrame:
         d.adjudication.cob_payer.alias("cob_payer"),
         F.size(d.line_items).alias("line_count"),
     )
+    return _count_continued(rows, continuation)
 
 
-def denied_for_review(claims: DataFrame, limit: int = 5) -> DataFrame:
+def denied_for_review(claims: DataFrame, limit: int = 5, continuation: DataFrame | None = None) -> DataFrame:
     """The dearest denied claims that need a review, with their nested fields.
 
     The rows are chosen on the plain columns first, so only ``limit`` details are parsed.
     """
     wanted = (F.col("status") == "Denied") & (F.col("requires_manual_review").cast("int") == 1)
     top = claims.where(wanted).orderBy(F.desc("billed_amount"), "claim_id").limit(limit)
-    return hybrid_rows(top).orderBy(F.desc("billed_amount"), "claim_id")
+    return hybrid_rows(top, continuation).orderBy(F.desc("billed_amount"), "claim_id")
 
 
-def member_cob_claims(claims: DataFrame, member_id: str) -> DataFrame:
+def member_cob_claims(claims: DataFrame, member_id: str, continuation: DataFrame | None = None) -> DataFrame:
     """One member's claims with coordination of benefits."""
-    return hybrid_rows(cob_claims(claims.where(F.col("member_id") == member_id)))
+    return hybrid_rows(cob_claims(claims.where(F.col("member_id") == member_id)), continuation)

@@ -33,12 +33,13 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.TABLES[name].fields])
 
 
-def write(df: DataFrame, path: str) -> bool:
+def write(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
     """Replace the table at ``path``, schema included. An empty input is skipped and False returned.
 
-    ``df`` must not read from ``path``.
+    Asking whether it is empty runs ``df`` up to its first row, which for a shuffled frame is most of
+    the work; a caller who knows it is not says so. ``df`` must not read from ``path``.
     """
-    if df.isEmpty():
+    if skip_empty and df.isEmpty():
         return False
     df.write.mode("overwrite").parquet(path)
     return True

@@ -458,8 +458,8 @@ def _notes(spark, sf_dir) -> DataFrame:
 
 
 def _asked(spark, sf_dir):
-    """The query vector, read inside the plan."""
-    return book.raw(spark, sf_dir, "embeddings").where("vec_id = 0").select("embedding").scalar()
+    """The query vector: one row."""
+    return book.raw(spark, sf_dir, "embeddings").where("vec_id = 0").first().embedding
 
 
 @query

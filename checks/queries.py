@@ -514,8 +514,9 @@ def narrative_vectors(spark, sf_dir):
 
 @query
 def ann_top30(spark, sf_dir):
-    model, indexed = retrieval.near_index(_notes(spark, sf_dir))
-    near = retrieval.ann_top(model, _stored(spark, indexed, "index"), _asked(spark, sf_dir))
+    path = new_dir(spark, "index")
+    centers = retrieval.near_index(_notes(spark, sf_dir), path)
+    near = retrieval.ann_top(spark.read.parquet(path), centers, _asked(spark, sf_dir))
     return near.select("claim_id", "distance", "rk")
 
 
@@ -528,11 +529,31 @@ def features(spark, sf_dir):
     return scoring.review_features(claims)
 
 
+_SCORED: dict[tuple[str, str], str] = {}
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    """The score table of the trained model, written once per session and data folder."""
+    made = (spark.sparkContext.applicationId, sf_dir)
+    if made not in _SCORED:
+        rows = _stored(spark, features(spark, sf_dir), "features")
+        model, _ = scoring.train_review_model(rows)
+        path = new_dir(spark, "claim_review_priority")
+        write(scoring.score_claims(model, rows), path, skip_empty=False)
+        _SCORED[made] = path
+    return spark.read.schema(schemas.CLAIM_REVIEW_PRIORITY).parquet(_SCORED[made])
+
+
 @query
 def review_priority(spark, sf_dir):
-    rows = _stored(spark, features(spark, sf_dir), "features")
-    model, _ = scoring.train_review_model(rows)
-    return scoring.score_claims(model, rows)
+    return _scored(spark, sf_dir)
+
+
+@query
+def review_score_checks(spark, sf_dir):
+    """The score rules on the trained model's table: one score per claim, in range, no orphan, and
+    denied claims above paid ones."""
+    return quality.priority_rules(_scored(spark, sf_dir), book.derived_book(spark, sf_dir)["claims"])
 
 
 # ---- streaming --------------------------------------------------------------------------------
@@ -582,14 +603,16 @@ def stream_gap(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
-    tables, _ = detailed(spark, sf_dir)
+    """Every check over the claims as a stored table, as they would be run after a load."""
+    claims, _ = book.claims_with_detail(spark, sf_dir)
+    made = book.derived_book(spark, sf_dir)
+    tables = {**{n: made[n] for n in ("members", "providers", "disposition_events")}, "claims": _stored(spark, claims, "book")}
     rows = lambda name: book.raw(spark, sf_dir, name).agg(F.count(F.lit(1))).scalar()
-    state = serving.current_state(tables["claims"], tables["disposition_events"])
     return quality.quality_report(
         tables,
         expected_claims=rows("orders"),
         expected_members=rows("customer"),
         masked_members=governance.members_for(tables["members"]),
-        priority=tables["claim_review_priority"],
-        state=state,
+        priority=made["claim_review_priority"],
+        state=serving.current_state(tables["claims"], tables["disposition_events"]),
     )

@@ -5,13 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import (
-    IDF,
-    BucketedRandomProjectionLSH,
-    BucketedRandomProjectionLSHModel,
-    HashingTF,
-    Normalizer,
-)
+import numpy as np
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -131,37 +127,35 @@ def hybrid_search(
     )
 
 
-def _with_unit(notes: DataFrame) -> DataFrame:
-    """``notes`` with its embedding as a vector of length 1."""
-    vectors = notes.where("embedding is not null").withColumn("_raw", array_to_vector("embedding"))
-    return Normalizer(inputCol="_raw", outputCol="unit").transform(vectors).drop("_raw")
+def near_index(notes: DataFrame, path: str, cells: int = 32, seed: int = 42, key: str = "claim_id") -> list[list[float]]:
+    """Lay the notes out under ``path`` by the cell their vector falls in; returns the cells' centers.
 
-
-def near_index(
-    notes: DataFrame, tables: int = 12, bucket: float = 1.0, seed: int = 42
-) -> tuple[BucketedRandomProjectionLSHModel, DataFrame]:
-    """A hash index for near search: the model, and the notes with unit vectors and their buckets.
-
-    Write the notes out once and search the written table many times.
+    The centers are fitted and the rows assigned on the executors. The table is written once,
+    partitioned by cell; ordering by cell and key lets a cell with much of the table go to many tasks.
+    Rows without a direction can never be near anything and are left out.
     """
-    ready = _with_unit(notes)
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="unit", outputCol="buckets", bucketLength=bucket, numHashTables=tables, seed=seed
-    )
-    model = lsh.fit(ready)
-    return model, model.transform(ready)
+    pointed = notes.where(F.exists("embedding", lambda x: x != 0)).withColumn("_v", array_to_vector("embedding"))
+    model = KMeans(featuresCol="_v", predictionCol="cell", k=cells, seed=seed, distanceMeasure="cosine").fit(pointed)
+    placed = model.transform(pointed).drop("_v")
+    placed.repartitionByRange("cell", key).write.mode("overwrite").partitionBy("cell").parquet(path)
+    return [[float(x) for x in center] for center in model.clusterCenters()]
 
 
 def ann_top(
-    model: BucketedRandomProjectionLSHModel, indexed: DataFrame, query: Sequence[float], n: int = 30, key: str = "claim_id"
+    indexed: DataFrame,
+    centers: Sequence[Sequence[float]],
+    query: Sequence[float],
+    n: int = 30,
+    probes: int = 8,
+    key: str = "claim_id",
 ) -> DataFrame:
-    """About the n nearest rows: exact distances over the rows that share a bucket with the query.
+    """About the n nearest rows: exact distances over the cells whose centers are nearest to the query.
 
-    May give fewer than n rows. On unit vectors Euclidean and cosine order agree.
+    Only those cells' files are read. May give fewer than n rows when the cells hold fewer.
     """
-    literal = F.array(*[F.lit(float(x)) for x in query])
-    asked = model.transform(_with_unit(indexed.sparkSession.range(1).select(literal.alias("embedding"))))
-    bucket = [vector_to_array(F.col("buckets")[i])[0] for i in range(model.getNumHashTables())]
-    shared = [mine == value for mine, value in zip(bucket, asked.select(*bucket).first())]
-    candidates = indexed.where(reduce(Column.__or__, shared)).drop("unit", "buckets")
-    return vector_top(candidates, query, n, key)
+    points = np.asarray(centers, dtype=np.float64)
+    asked = np.asarray(query, dtype=np.float64)
+    lengths = np.linalg.norm(points, axis=1)
+    cosine = np.divide(points @ asked, lengths, out=np.full(len(points), -np.inf), where=lengths > 0)
+    nearest = np.argsort(-cosine, kind="stable")[:probes]
+    return vector_top(indexed.where(F.col("cell").isin([int(c) for c in nearest])).drop("cell"), query, n, key)

@@ -8,7 +8,6 @@ import pytest
 from conftest import claim, frame, rows
 from pyspark.sql import functions as F
 
-from checks.queries import _stored
 from claimlens.functions import text
 from claimlens.functions.vectors import cosine_distance, format_vector, parse_vector
 from claimlens.operators import retrieval
@@ -116,19 +115,36 @@ def test_hybrid_is_reciprocal_rank_fusion(notes, vectors):
     assert all(r.narrative is not None for r in got)
 
 
-def test_near_search_finds_most_of_the_nearest(spark, sf_dir):
+def test_near_search_finds_the_nearest_in_few_cells(spark, tmp_path):
+    """Forty tight groups: a few cells must hold nearly all of a row's neighbours."""
+    chance = random.Random(8)
+    middles = [[chance.gauss(0, 1) for _ in range(16)] for _ in range(40)]
+    made = [(f"N{g:02d}-{i:02d}", [x + chance.gauss(0, 0.15) for x in m]) for g, m in enumerate(middles) for i in range(50)]
+    made.append(("Z", [0.0] * 16))
+    notes = spark.createDataFrame(made, "claim_id string, embedding array<float>")
+    path = str(tmp_path / "index")
+    centers = retrieval.near_index(notes, path)
+    stored = spark.read.parquet(path)
+    assert len(centers) == 32 and stored.count() == 2000
+    found = 0
+    for g in (0, 13, 27, 39):
+        query = made[g * 50][1]
+        exact = {r.claim_id for r in retrieval.vector_top(notes, query).collect()}
+        near = retrieval.ann_top(stored, centers, query, probes=4)
+        assert "PartitionFilters: [cell" in near._jdf.queryExecution().toString()
+        got = near.collect()
+        assert got[0].claim_id == made[g * 50][0]
+        found += len(exact & {r.claim_id for r in got})
+    assert found / 120 >= 0.95
+
+
+def test_near_search_over_every_cell_is_exact(spark, sf_dir, tmp_path):
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").cast("string").alias("claim_id"), "embedding")
-    model, indexed = retrieval.near_index(vectors)
-    stored = _stored(spark, indexed, "index")
-    found = total = 0
-    for vec in ["0", "17", "101"]:
-        asked = vectors.where(F.col("claim_id") == vec).first().embedding
-        exact = {r.claim_id for r in retrieval.vector_top(vectors, asked).collect()}
-        near = retrieval.ann_top(model, stored, asked).collect()
-        assert near[0].claim_id == vec
-        found += len(exact & {r.claim_id for r in near})
-        total += len(exact)
-    assert found / total >= 0.9
+    query = vectors.where("claim_id = '17'").first().embedding
+    path = str(tmp_path / "index")
+    centers = retrieval.near_index(vectors, path, cells=8)
+    exact = [r.claim_id for r in retrieval.vector_top(vectors, query).collect()]
+    assert [r.claim_id for r in retrieval.ann_top(spark.read.parquet(path), centers, query, probes=8).collect()] == exact
 
 
 def test_narrative_vectors(spark):

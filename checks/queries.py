@@ -344,10 +344,11 @@ def _plain(state: DataFrame) -> DataFrame:
 
 @query
 def current_state(spark, sf_dir):
-    tables, _ = detailed(spark, sf_dir)
+    tables, more = detailed(spark, sf_dir)
     state = serving.current_state(tables["claims"], tables["disposition_events"])
-    lines = F.json_array_length(F.get_json_object("claim_detail", "$.line_items")).alias("line_count")
-    return _plain(state.select(*[c for c in state.columns if c not in ("updated_at", "claim_detail")], lines))
+    lines = silver.hybrid_rows(state, more).select("claim_id", "line_count")
+    shown = state.select([c for c in state.columns if c not in ("updated_at", "claim_detail")])
+    return _plain(shown.join(lines, "claim_id"))
 
 
 @query

@@ -46,47 +46,45 @@ def bm25_term(tf: Column, df: Column, n_docs: Column, length: Column, mean_lengt
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_length))
 
 
+# fixed values: the wording of a narrative
+FACTS = "%s claim for %s, CPT %s, diagnosis %s, billed $%s, provider %s (%s)."
+DENIED = " Claim was DENIED: %s. Member is likely to appeal."
+PARTIALLY_PAID = " Claim PARTIALLY PAID with adjustment: %s."
+PENDING = " Claim is PENDING adjudication."
+PAID = " Claim was paid."
+BENEFITS = " Coordination of benefits with %s."
+
+
 def _or(column: str, default: str) -> Column:
     """The text, or ``default`` where it is null or empty."""
     return F.coalesce(F.nullif(F.col(column), F.lit("")), F.lit(default))
 
 
+def _said(value: Column) -> Column:
+    """The text, or "None" where there is none."""
+    return F.coalesce(value, F.lit("None"))
+
+
 def narrative() -> Column:
     """The claim told in a few sentences. Needs the claim columns, the provider's name and specialty, and cob_payer."""
-    said = lambda column: F.coalesce(F.col(column), F.lit("None"))
-    billed = F.when(F.col("billed_amount").isNotNull(), F.format_string("%.2f", F.col("billed_amount"))).otherwise("None")
-    base = F.concat(
-        said("claim_type"),
-        F.lit(" claim for "),
+    billed = F.when(F.col("billed_amount").isNotNull(), F.format_string("%.2f", F.col("billed_amount")))
+    facts = F.format_string(
+        FACTS,
+        _said(F.col("claim_type")),
         _or("pos_desc", "unspecified setting"),
-        F.lit(", CPT "),
-        said("primary_cpt"),
-        F.lit(", diagnosis "),
-        said("primary_dx"),
-        F.lit(", billed $"),
-        billed,
-        F.lit(", provider "),
+        _said(F.col("primary_cpt")),
+        _said(F.col("primary_dx")),
+        _said(billed),
         _or("provider_name", "unknown"),
-        F.lit(" ("),
         _or("specialty", "unspecified"),
-        F.lit(")."),
     )
-    status = F.col("status")
+    status, reason = F.col("status"), _said(F.col("denial_reason"))
     outcome = (
-        F.when(
-            status == "Denied",
-            F.concat(F.lit(" Claim was DENIED: "), said("denial_reason"), F.lit(". Member is likely to appeal.")),
-        )
-        .when(
-            status == "Partially Paid",
-            F.concat(F.lit(" Claim PARTIALLY PAID with adjustment: "), said("denial_reason"), F.lit(".")),
-        )
-        .when(status == "Pending", F.lit(" Claim is PENDING adjudication."))
-        .otherwise(F.lit(" Claim was paid."))
+        F.when(status == "Denied", F.format_string(DENIED, reason))
+        .when(status == "Partially Paid", F.format_string(PARTIALLY_PAID, reason))
+        .when(status == "Pending", F.lit(PENDING))
+        .otherwise(F.lit(PAID))
     )
-    payer = F.col("cob_payer")
-    benefits = F.when(
-        payer.isNotNull() & (payer != "") & (payer != schemas.NO_PAYER),
-        F.concat(F.lit(" Coordination of benefits with "), payer, F.lit(".")),
-    ).otherwise(F.lit(""))
-    return F.concat(base, outcome, benefits)
+    payer = F.nullif(F.nullif(F.col("cob_payer"), F.lit("")), F.lit(schemas.NO_PAYER))
+    benefits = F.when(payer.isNotNull(), F.format_string(BENEFITS, payer)).otherwise(F.lit(""))
+    return F.concat(facts, outcome, benefits)

@@ -127,15 +127,19 @@ def hybrid_search(
     )
 
 
-def near_index(notes: DataFrame, path: str, cells: int = 32, seed: int = 42, key: str = "claim_id") -> list[list[float]]:
+def near_index(
+    notes: DataFrame, path: str, cells: int = 32, fit_share: float = 1.0, seed: int = 42, key: str = "claim_id"
+) -> list[list[float]]:
     """Lay the notes out under ``path`` by the cell their vector falls in; returns the cells' centers.
 
-    The centers are fitted and the rows assigned on the executors. The table is written once,
-    partitioned by cell; ordering by cell and key lets a cell with much of the table go to many tasks.
-    Rows without a direction can never be near anything and are left out.
+    The centers are fitted and the rows assigned on the executors. A very large table may have its
+    centers fitted on a share of the rows; every row is placed all the same. The table is written
+    once, partitioned by cell; ordering by cell and key lets a cell with much of the table go to
+    many tasks. Rows without a direction can never be near anything and are left out.
     """
     pointed = notes.where(F.exists("embedding", lambda x: x != 0)).withColumn("_v", array_to_vector("embedding"))
-    model = KMeans(featuresCol="_v", predictionCol="cell", k=cells, seed=seed, distanceMeasure="cosine").fit(pointed)
+    means = KMeans(featuresCol="_v", predictionCol="cell", k=cells, seed=seed, distanceMeasure="cosine")
+    model = means.fit(pointed if fit_share >= 1 else pointed.sample(fit_share, seed))
     placed = model.transform(pointed).drop("_v")
     placed.repartitionByRange("cell", key).write.mode("overwrite").partitionBy("cell").parquet(path)
     return [[float(x) for x in center] for center in model.clusterCenters()]

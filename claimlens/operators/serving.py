@@ -47,8 +47,11 @@ def current_state(claims: DataFrame, events: DataFrame, limit: int | None = 500,
 
 
 def insert_if_absent(state: DataFrame, new: DataFrame, key: str = "claim_id") -> DataFrame:
-    """``state`` plus the rows of ``new`` whose key it lacks; rows already there stay as they are."""
-    missing = new.join(state.select(key), key, "left_anti").dropDuplicates([key])
+    """``state`` plus the rows of ``new`` whose key it lacks; rows already there stay as they are.
+
+    Repeats in ``new`` are dropped first, before anything is shuffled by the key.
+    """
+    missing = new.dropDuplicates([key]).join(state.select(key), key, "left_anti")
     return state.unionByName(missing.select(state.columns))
 
 

@@ -442,20 +442,41 @@ def _narratives(spark, sf_dir, limit=None) -> DataFrame:
     return retrieval.narratives(tables["claims"], tables["providers"], limit)
 
 
-def _stored(spark, notes: DataFrame, purpose: str) -> DataFrame:
-    """The frame as a written table: a search reads its notes more than once."""
+def _stored(spark, df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a written table, for readers that pass over it more than once."""
     path = new_dir(spark, purpose)
-    write(notes, path, skip_empty=False)
+    write(df, path, skip_empty=False)
     return spark.read.parquet(path)
 
 
+_KEPT: dict[tuple[str, str, str], str] = {}
+
+
+def _kept(spark, sf_dir, name, make) -> DataFrame:
+    """A table of the search and scoring side, written once per session and data folder and then read."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _KEPT:
+        path = new_dir(spark, name)
+        write(make(), path, skip_empty=False)
+        _KEPT[key] = path
+    return spark.read.parquet(_KEPT[key])
+
+
+def _all_notes(spark, sf_dir) -> DataFrame:
+    """The narrative of every claim with its words."""
+    return _kept(spark, sf_dir, "notes", lambda: retrieval.with_tokens(_narratives(spark, sf_dir)))
+
+
 def _notes(spark, sf_dir) -> DataFrame:
-    """Narratives of the claims that have a vector, with it and their words."""
-    vectors = book.raw(spark, sf_dir, "embeddings").select(
-        F.expr("concat('C', lpad(cast(vec_id as string), 9, '0'))").alias("claim_id"), "embedding"
-    )
-    notes = _narratives(spark, sf_dir).join(vectors, "claim_id")
-    return _stored(spark, retrieval.with_tokens(notes), "notes")
+    """The notes of the claims that have a vector, with it."""
+
+    def make() -> DataFrame:
+        vectors = book.raw(spark, sf_dir, "embeddings").select(
+            F.expr("concat('C', lpad(cast(vec_id as string), 9, '0'))").alias("claim_id"), "embedding"
+        )
+        return _all_notes(spark, sf_dir).join(vectors, "claim_id")
+
+    return _kept(spark, sf_dir, "vector_notes", make)
 
 
 def _asked(spark, sf_dir):
@@ -489,8 +510,7 @@ def vector_top30(spark, sf_dir):
 
 @query
 def keyword_top30(spark, sf_dir):
-    notes = _stored(spark, retrieval.with_tokens(_narratives(spark, sf_dir)), "notes")
-    found = retrieval.keyword_top(notes, SEARCH_TEXT)
+    found = retrieval.keyword_top(_all_notes(spark, sf_dir), SEARCH_TEXT)
     return found.select("claim_id", "score", "rk")
 
 
@@ -509,7 +529,7 @@ def hybrid_search(spark, sf_dir):
 
 @query
 def narrative_vectors(spark, sf_dir):
-    vectors = retrieval.narrative_vectors(_stored(spark, _narratives(spark, sf_dir), "narratives"))
+    vectors = retrieval.narrative_vectors(_all_notes(spark, sf_dir))
     return vectors.select("claim_id", F.size("embedding").alias("dim"), F.round(norm(F.col("embedding")), 4).alias("length"))
 
 
@@ -530,19 +550,15 @@ def features(spark, sf_dir):
     return scoring.review_features(claims)
 
 
-_SCORED: dict[tuple[str, str], str] = {}
-
-
 def _scored(spark, sf_dir) -> DataFrame:
-    """The score table of the trained model, written once per session and data folder."""
-    made = (spark.sparkContext.applicationId, sf_dir)
-    if made not in _SCORED:
+    """The score table of the trained model."""
+
+    def make() -> DataFrame:
         rows = _stored(spark, features(spark, sf_dir), "features")
         model, _ = scoring.train_review_model(rows)
-        path = new_dir(spark, "claim_review_priority")
-        write(scoring.score_claims(model, rows), path, skip_empty=False)
-        _SCORED[made] = path
-    return spark.read.schema(schemas.CLAIM_REVIEW_PRIORITY).parquet(_SCORED[made])
+        return scoring.score_claims(model, rows)
+
+    return _kept(spark, sf_dir, "claim_review_priority", make)
 
 
 @query

@@ -33,7 +33,7 @@ def narratives(claims: DataFrame, providers: DataFrame, limit: int | None = 500)
 
 def narrative_vectors(notes: DataFrame, dim: int = 64) -> DataFrame:
     """``notes`` with an embedding column: hashed term counts, weighted by rarity, scaled to length 1."""
-    words = notes.withColumn("_tokens", text.tokens(F.col("narrative")))
+    words = notes.withColumn("_tokens", F.col("tokens") if "tokens" in notes.columns else text.tokens(F.col("narrative")))
     counted = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dim).transform(words)
     weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counted).transform(counted)
     scaled = Normalizer(inputCol="_idf", outputCol="_unit").transform(weighted)

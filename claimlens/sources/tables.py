@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,14 +33,20 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.TABLES[name].fields])
 
 
-def write(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
+def write(df: DataFrame, path: str, skip_empty: bool = True, cluster_by: Sequence[str] = ()) -> bool:
     """Replace the table at ``path``, schema included. An empty input is skipped and False returned.
 
+    ``cluster_by`` lays the rows out in ranges of those columns, so that a lookup on the first of them
+    skips the other files and row groups by their statistics. End it with the key: the ranges can then
+    cut through a value that many rows share.
+
     Asking whether it is empty runs ``df`` up to its first row, which for a shuffled frame is most of
     the work; a caller who knows it is not says so. ``df`` must not read from ``path``.
     """
     if skip_empty and df.isEmpty():
         return False
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     df.write.mode("overwrite").parquet(path)
     return True
 

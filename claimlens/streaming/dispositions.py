@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from claimlens import schemas
@@ -28,10 +28,15 @@ def disposition_stream(spark: SparkSession, directory: str, files_per_batch: int
     return file_stream(spark, directory, schemas.DISPOSITION_EVENTS, files_per_batch=files_per_batch)
 
 
-def keep_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream to a Parquet table; the file sink's log makes each row land once. Runs through what is there."""
+def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+    """Keep running at an interval, or, without one, run through what is there and end."""
+    return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+
+
+def keep_table(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Append a stream to a Parquet table; the file sink's log makes each row land once."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start(path)
+    return _triggered(writer, every).start(path)
 
 
 def open_feed(stream: DataFrame) -> DataFrame:
@@ -39,7 +44,7 @@ def open_feed(stream: DataFrame) -> DataFrame:
     return open_dispositions(stream)
 
 
-def keep_state(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def keep_state(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Keep the newest disposition per claim.
 
     A batch writes its own newest disposition per claim under its batch number, so the work of a
@@ -51,7 +56,7 @@ def keep_state(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         latest_dispositions(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     writer = stream.writeStream.foreachBatch(changes).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    return _triggered(writer, every).start()
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
@@ -72,14 +77,14 @@ def gap_stream(stream: DataFrame) -> DataFrame:
     return action_gap(stream)
 
 
-def keep_gap(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def keep_gap(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Write the gap metric after each batch under its batch number; the highest number is current."""
 
     def whole(batch: DataFrame, number: int) -> None:
         batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     writer = gap_stream(stream).writeStream.outputMode("complete").foreachBatch(whole)
-    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _triggered(writer.option("checkpointLocation", checkpoint), every).start()
 
 
 def read_gap(spark: SparkSession, path: str) -> DataFrame:

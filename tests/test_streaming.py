@@ -70,3 +70,19 @@ def test_gap_follows_the_stream(spark, updates, tmp_path):
         dispositions.keep_gap(dispositions.disposition_stream(spark, folder), path, log).awaitTermination()
         want = rows(action_gap(spark.read.parquet(folder)), "disposition")
         assert rows(dispositions.read_gap(spark, path), "disposition") == want
+
+
+def test_state_kept_at_an_interval(spark, updates, tmp_path):
+    folder, path = str(tmp_path / "in"), str(tmp_path / "state")
+    land(updates, folder, 0)
+    running = dispositions.keep_state(
+        dispositions.disposition_stream(spark, folder), path, str(tmp_path / "log"), every="1 second"
+    )
+    try:
+        running.processAllAvailable()
+        land(updates, folder, 1)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    want = rows(latest_dispositions(spark.read.parquet(folder)), "claim_id")
+    assert rows(dispositions.read_state(spark, path), "claim_id") == want

@@ -20,6 +20,24 @@ def test_write_replaces_schema_and_skips_empty(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
+def test_clustered_write_keeps_a_value_in_few_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows_ = spark.range(4000).select(
+        F.when(F.col("id") % 3 == 0, "M0").otherwise(F.concat(F.lit("M"), F.col("id") % 400)).alias("member_id"),
+        F.col("id").alias("claim_id"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write(rows_, path, cluster_by=["member_id", "claim_id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    placed = spark.read.parquet(path).select("member_id", F.input_file_name().alias("file")).distinct()
+    files = dict(rows(placed.groupBy("member_id").count()))
+    assert files["M0"] >= 2  # the member with a third of the rows is cut
+    assert sum(n > 1 for m, n in files.items() if m != "M0") <= 4
+    assert spark.read.parquet(path).count() == 4000
+
+
 def test_typed_load_of_records(spark, tmp_path):
     source = tmp_path / "claims.json"
     source.write_text('{"claim_id":"C1","billed_amount":12.5,"requires_manual_review":1}\n{"claim_id":"C2"}\n')

@@ -407,7 +407,8 @@ def _replies(spark, sf_dir) -> DataFrame:
     """One model reply per claim: good, fenced, unknown action, bad score, or not JSON, by claim number."""
     number = "cast(substr(claim_id, 2) as bigint)"
     priority = book.derived_book(spark, sf_dir)["claim_review_priority"]
-    action = f"case when {number} % 5 = 2 then 'escalate' else element_at(array('member_notice', 'appeal_route', 'none'), cast({number} % 3 + 1 as int)) end"  # noqa: E501
+    allowed = f"element_at(array('member_notice', 'appeal_route', 'none'), cast({number} % 3 + 1 as int))"
+    action = f"case when {number} % 5 = 2 then 'escalate' else {allowed} end"
     score = f"case when {number} % 5 = 3 then 1.7D else manual_review_score end"
     parts = priority.selectExpr(
         "claim_id",

@@ -36,10 +36,6 @@ def query_terms(query: str) -> list[str]:
     return [w for w in dict.fromkeys(words) if w not in set(STOP_WORDS)]
 
 
-def term_count(words: Column, term: str) -> Column:
-    return F.size(F.filter(words, lambda w: w == term))
-
-
 def bm25_term(tf: Column, df: Column, n_docs: Column, length: Column, mean_length: Column) -> Column:
     """One term's share of a document's BM25 score."""
     idf = F.log(1 + (n_docs - df + 0.5) / (df + 0.5))

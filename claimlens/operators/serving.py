@@ -57,8 +57,9 @@ def insert_if_absent(state: DataFrame, new: DataFrame, key: str = "claim_id") ->
 
 def latest_dispositions(events: DataFrame) -> DataFrame:
     """Each claim's newest disposition: the larger (disposition_ts, event_id) wins, so the answer does not
-    depend on arrival order or on repeats. Partially aggregated before the shuffle."""
-    at = F.col("disposition_ts").cast("timestamp")
+    depend on arrival order or on repeats. An unreadable time counts as the earliest. Partially
+    aggregated before the shuffle."""
+    at = F.col("disposition_ts").try_cast("timestamp")
     row = F.struct(
         F.col("disposition").alias("status"), at.alias("last_disposition_ts"), F.col("event_id").alias("last_event_id")
     )
@@ -74,9 +75,8 @@ def upsert_latest(state: DataFrame, events: DataFrame) -> DataFrame:
     both = state.join(newest, "claim_id", "full_outer")
     tracked = "last_event_id" in state.columns
     old = F.struct(F.col("last_disposition_ts"), F.col("last_event_id") if tracked else F.lit(None).cast("string"))
-    newer = F.col("_ts").isNotNull() & (
-        F.col("last_disposition_ts").isNull() | (F.struct(F.col("_ts"), F.col("_event")) > old)
-    )
+    # A missing time or event sorts first, so a claim without a disposition takes any.
+    newer = F.col("_event").isNotNull() & (F.struct(F.col("_ts"), F.col("_event")) > old)
     replaced = {"status": "_status", "last_disposition_ts": "_ts", "last_event_id": "_event"}
     return both.select(
         [

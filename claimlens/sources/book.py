@@ -187,52 +187,54 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---- the JSON detail --------------------------------------------------------------------------
 
 
-def _pick(values: list[str], index: str) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.expr(index) + 1).cast("int"))
+def _pick(values: list[str], index: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
-def _choice(options: list[list[str]], index: str) -> Column:
+def _choice(options: list[list[str]], index: Column) -> Column:
     """One of several short string lists."""
     lists = [F.array(*[F.lit(v) for v in o]).cast("array<string>") for o in options]
-    return F.element_at(F.array(*lists), (F.expr(index) + 1).cast("int"))
+    return F.element_at(F.array(*lists), (index + 1).cast("int"))
 
 
-def _line_item() -> Column:
-    cpt = _pick(list(schemas.CPT), "l_partkey % 8")
+def _line_item(line: Column) -> Column:
+    part, supplier = line["l_partkey"], line["l_suppkey"]
     return F.struct(
-        F.col("l_linenumber").cast("int").alias("line"),
-        cpt.alias("cpt"),
-        _pick(list(schemas.CPT.values()), "l_partkey % 8").alias("cpt_desc"),
-        F.expr("cast(1 + l_suppkey % 3 as int)").alias("units"),
-        F.col("l_extendedprice").alias("charge"),
-        _choice([[], ["25"], ["59", "LT"], ["GT"]], "l_partkey % 4").alias("modifiers"),
-        F.array(_pick(schemas.ICD10, "l_partkey % 7")).alias("dx_pointers"),
-        _pick(schemas.REVENUE_CODES, "l_suppkey % 4").alias("rev_code"),
+        line["l_linenumber"].cast("int").alias("line"),
+        _pick(list(schemas.CPT), part % 8).alias("cpt"),
+        _pick(list(schemas.CPT.values()), part % 8).alias("cpt_desc"),
+        (supplier % 3 + 1).cast("int").alias("units"),
+        line["l_extendedprice"].alias("charge"),
+        _choice([[], ["25"], ["59", "LT"], ["GT"]], part % 4).alias("modifiers"),
+        F.array(_pick(schemas.ICD10, part % 7)).alias("dx_pointers"),
+        _pick(schemas.REVENUE_CODES, supplier % 4).alias("rev_code"),
     )
 
 
 def _documents(spark: SparkSession, sf_dir: str, max_lines: int) -> tuple[DataFrame, bool]:
     """(k, part, sk, line_items): the lines of each order, in documents of at most about ``max_lines``.
 
-    While no order is over-long the lines are grouped by k alone, so the join to the claims needs no
-    second shuffle and the lowest supplier comes out of the same aggregate.
+    The shuffle carries the four numbers of a line; its texts are written out after it. While no
+    order is over-long the lines are grouped by k alone, so the join to the claims needs no second
+    shuffle and the lowest supplier comes out of the same aggregate.
     """
     lines, split = number_group_parts(raw(spark, sf_dir, "lineitem"), "l_orderkey", max_lines)
-    items = lines.select(F.col("l_orderkey").alias("k"), "part", "l_suppkey", _line_item().alias("item"))
-    made = [F.min("l_suppkey").alias("sk"), F.sort_array(F.collect_list("item")).alias("line_items")]
-    if split:
-        return items.groupBy("k", "part").agg(*made), True
-    return items.groupBy("k").agg(*made), False
+    numbers = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    keyed = lines.select(F.col("l_orderkey").alias("k"), "part", "l_suppkey", numbers.alias("line"))
+    grouped = keyed.groupBy("k", "part") if split else keyed.groupBy("k")
+    collected = grouped.agg(F.min("l_suppkey").alias("sk"), F.collect_list("line").alias("lines"))
+    items = F.transform(F.sort_array("lines"), _line_item)
+    return collected.withColumn("line_items", items).drop("lines"), split
 
 
 def _adjudication() -> Column:
     return F.struct(
         F.expr("p % 100 >= 85").alias("coordination_of_benefits"),
-        _pick([schemas.NO_PAYER, "Medicare", "Commercial"], "p % 3").alias("cob_payer"),
+        _pick([schemas.NO_PAYER, "Medicare", "Commercial"], F.col("p") % 3).alias("cob_payer"),
         F.expr("(p % 5001) / 100").alias("copay"),
         F.expr("(p % 31) / 100").alias("coinsurance"),
         F.expr("(p % 20001) / 100").alias("deductible_applied"),
-        _choice([[], ["NCCI-PTP"], ["MUE", "frequency"], ["age-gender"]], "p % 4").alias("edits_triggered"),
+        _choice([[], ["NCCI-PTP"], ["MUE", "frequency"], ["age-gender"]], F.col("p") % 4).alias("edits_triggered"),
     )
 
 

@@ -24,7 +24,8 @@ def test_good_book_passes(spark, sf_dir):
 
 @pytest.fixture(scope="module")
 def bad(spark):
-    members = [{"member_id": f"M{i}", "member_ssn": "123-45-6789", "member_name": "A", "member_dob": "1970-01-01"} for i in range(1, 4)]
+    person = {"member_ssn": "123-45-6789", "member_name": "A", "member_dob": "1970-01-01"}
+    members = [{"member_id": f"M{i}", **person} for i in range(1, 4)]
     members += [{"member_id": "M4"}, {"member_id": "M5", "member_ssn": "678", "member_name": "", "member_dob": "1"}]
     claims = [
         claim(1),

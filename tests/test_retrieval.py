@@ -139,7 +139,8 @@ def test_near_search_finds_the_nearest_in_few_cells(spark, tmp_path):
 
 
 def test_near_search_over_every_cell_is_exact(spark, sf_dir, tmp_path):
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").cast("string").alias("claim_id"), "embedding")
+    raw = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = raw.select(F.col("vec_id").cast("string").alias("claim_id"), "embedding")
     query = vectors.where("claim_id = '17'").first().embedding
     path = str(tmp_path / "index")
     centers = retrieval.near_index(vectors, path, cells=8)
@@ -167,10 +168,14 @@ def test_narrative_sentences(spark):
     made = [
         claim(1, provider_id="P1", billed_amount=1234.5),
         claim(2, status="Denied", denial_reason="Non-covered charge", pos_desc="", claim_detail=None),
-        claim(3, status="Partially Paid", denial_reason=None, provider_id="P2", claim_detail='{"adjudication":{"cob_payer":"None"}}'),
+        claim(3, status="Partially Paid", provider_id="P2", claim_detail='{"adjudication":{"cob_payer":"None"}}'),
         claim(4, status="Pending", pos_desc=None, provider_id="P9"),
     ]
-    providers = frame(spark, "providers", [{"provider_id": "P1", "provider_name": "Dr. A", "specialty": "Radiology"}, {"provider_id": "P2", "provider_name": ""}])
+    known = [
+        {"provider_id": "P1", "provider_name": "Dr. A", "specialty": "Radiology"},
+        {"provider_id": "P2", "provider_name": ""},
+    ]
+    providers = frame(spark, "providers", known)
     told = dict(rows(retrieval.narratives(frame(spark, "claims", made), providers, None)))
     assert told["C1"] == (
         "837P Professional claim for Office, CPT 99213, diagnosis I10, billed $1234.50, provider Dr. A (Radiology)."

@@ -72,6 +72,8 @@ def test_upsert_takes_only_newer_events(spark, claims, events):
             event(9, "C2", "2024-02-01T00:00:00", "Partially Paid"),  # same time: larger event id wins
             event(10, "C3", "2024-02-01T00:00:00", "Denied"),  # no disposition so far
             event(11, "C99", "2024-02-01T00:00:00", "Paid"),  # not in state
+            event(12, "C1", "soon", "Denied"),  # no readable time: never newer than a known one
+            event(13, "C98", "soon", "Denied"),  # but better than nothing
         ],
     )
     after = serving.upsert_latest(state, later)
@@ -81,6 +83,7 @@ def test_upsert_takes_only_newer_events(spark, claims, events):
         ("C2", "Partially Paid", "M1"),
         ("C3", "Denied", "M1"),
         ("C4", "Partially Paid", "M1"),
+        ("C98", "Denied", None),
         ("C99", "Paid", None),
     ]
     again = serving.upsert_latest(after, later)
@@ -96,7 +99,8 @@ def test_latest_does_not_depend_on_order_or_repeats(spark):
 
 def test_write_back(spark, claims, events):
     state = serving.current_state(claims, events).withColumn("triage_action", F.lit("old"))
-    scores = spark.createDataFrame([("C1", 0.12345, "none"), ("C2", None, None)], "claim_id string, triage_score double, triage_action string")
+    columns = "claim_id string, triage_score double, triage_action string"
+    scores = spark.createDataFrame([("C1", 0.12345, "none"), ("C2", None, None)], columns)
     got = serving.write_back(state, scores).select("claim_id", "triage_score", "triage_action")
     assert rows(got, "claim_id") == [
         ("C1", Decimal("0.1235"), "none"),

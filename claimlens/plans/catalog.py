@@ -12,6 +12,8 @@ from claimlens.operators import governance, silver
 from claimlens.plans import metrics
 from claimlens.sources.tables import load, table_path, write
 
+CONTINUATION = "claim_documents"  # further documents of claims too long for one, where there are any
+
 
 @dataclass(frozen=True)
 class BuiltTable:
@@ -22,9 +24,15 @@ class BuiltTable:
 
 BUILT: dict[str, BuiltTable] = {
     "claims_silver": BuiltTable(
-        "Claims with the JSON detail parsed into typed columns.", lambda t: silver.claims_silver(t["claims"]), True
+        "Claims with the JSON detail parsed into typed columns.",
+        lambda t: silver.claims_silver(t["claims"], t.get(CONTINUATION)),
+        needs_detail=True,
+    ),
+    "claim_lines": BuiltTable(
+        "One row per claim line.",
+        lambda t: silver.claim_lines(t["claims"], t.get(CONTINUATION)),
+        needs_detail=True,
     ),
-    "claim_lines": BuiltTable("One row per claim line.", lambda t: silver.claim_lines(t["claims"]), True),
     "open_dispositions_without_action": BuiltTable(
         "Dispositions that never fired a follow-up action.", lambda t: silver.open_dispositions(t["disposition_events"])
     ),

@@ -144,6 +144,14 @@ def test_materialize_and_register(spark, sf_dir, tmp_path):
     assert "comment" in meta["billed_amount"]
 
 
+def test_built_tables_count_continued_documents(spark, sf_dir, tmp_path):
+    short, more = book.claims_with_detail(spark, sf_dir, max_lines=4)
+    built = catalog.materialize(spark, str(tmp_path), "claims_silver", {"claims": short, catalog.CONTINUATION: more})
+    lines = catalog.materialize(spark, str(tmp_path), "claim_lines", {"claims": short, catalog.CONTINUATION: more})
+    assert more.columns == schemas.CLAIM_DOCUMENTS.names
+    assert built.agg(F.sum("line_count")).first()[0] == lines.count() == book.raw(spark, sf_dir, "lineitem").count()
+
+
 def test_materialize_skips_empty(spark, tmp_path):
     empty = {"disposition_events": frame(spark, "disposition_events", [])}
     assert catalog.materialize(spark, str(tmp_path), "open_dispositions_without_action", empty) is None

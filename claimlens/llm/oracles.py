@@ -5,19 +5,19 @@ with docs as (
   select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
 ),
 windows as (
-  select doc_id, at, array_to_string(ws[at : at + 19], ' ') as words
-  from (select doc_id, ws, unnest(range(1, len(ws) - 18)) as at from docs where len(ws) >= 20)
+  select doc_id, p, array_to_string(ws[p : p + 19], ' ') as words
+  from (select doc_id, ws, unnest(range(1, len(ws) - 18)) as p from docs where len(ws) >= 20)
 ),
 later as (
-  select doc_id, at from (
-    select doc_id, at, row_number() over (partition by words order by doc_id, at) as n from windows
+  select doc_id, p from (
+    select doc_id, p, row_number() over (partition by words order by doc_id, p) as n from windows
   ) where n > 1
 ),
-gone as (select distinct doc_id, unnest(range(at, at + 20)) as at from later),
-words as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as at from docs),
+gone as (select distinct doc_id, unnest(range(p, p + 20)) as p from later),
+words as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as p from docs),
 kept as (
-  select w.doc_id, count(g.at) as n_removed, string_agg(w.word, ' ' order by w.at) filter (where g.at is null) as text
-  from words w left join gone g on w.doc_id = g.doc_id and w.at = g.at group by w.doc_id
+  select w.doc_id, count(g.p) as n_removed, string_agg(w.word, ' ' order by w.p) filter (where g.p is null) as text
+  from words w left join gone g on w.doc_id = g.doc_id and w.p = g.p group by w.doc_id
 )
 select d.doc_id, cast(len(d.ws) as bigint) as n_words, cast(coalesce(k.n_removed, 0) as bigint) as n_removed,
        sha256(coalesce(k.text, '')) as kept_sha256

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import mixing, simhash, substring
+from claimlens.llm import decontaminate, mixing, neighbours, pii, simhash, substring, warc
 from claimlens.llm.common import table
 
 
@@ -20,6 +20,25 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, folder = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return warc.archived(spark, manifest, folder).withColumnRenamed("record_id", "page_id")
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.annotated(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -27,5 +46,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
+    "op6_decontamination": op6_decontamination,
+    "op7_warc": op7_warc,
+    "op8_neighbours": op8_neighbours,
+    "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
 }

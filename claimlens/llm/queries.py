@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, mixing, neighbours, pii, simhash, substring, warc
-from claimlens.llm.common import table
+from claimlens.llm import decontaminate, language, mixing, neighbours, pii, quality, simhash, substring, toxicity, warc
+from claimlens.llm.common import fold, table
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,24 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 5) == 0
+    scored = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 3) == 1
+    scored = toxicity.toxic_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 4) == 2
+    told = language.languages(table(spark, sf_dir, "documents"), ~held_out)
+    return told.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,6 +64,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
+    "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
+    "op5_language": op5_language,
     "op6_decontamination": op6_decontamination,
     "op7_warc": op7_warc,
     "op8_neighbours": op8_neighbours,

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import id_and_text, written
+from claimlens.llm.common import row_numbers, written
 from claimlens.llm.components import components
 
 SHINGLE = 3
@@ -42,15 +42,25 @@ def fingerprint(text: bytes | None) -> int:
     return int.from_bytes(bits.tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, bits) of every row; null and empty texts have the fingerprint 0."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(row, doc_id, bits, kept) of every row, written once; null and empty texts have the fingerprint 0.
+
+    ``row`` tells rows apart; ``kept`` holds the columns ``keep``.
+    """
+    kept = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("int")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), kept.alias("kept"))
 
     def run(batches):
+        numbers = row_numbers()
         for batch in batches:
             bits = [fingerprint(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int64())], names=["doc_id", "bits"])
+            row = pa.array([next(numbers) for _ in bits], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [row, batch.column(0), pa.array(bits, pa.int64()), batch.column(2)], names=["row", "doc_id", "bits", "kept"]
+            )
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, bits long")
+    kind = rows.schema["kept"].dataType.simpleString()
+    return written(rows.mapInArrow(run, f"row long, doc_id long, bits long, kept {kind}"), "fingerprints")
 
 
 def _signed(x: int) -> int:
@@ -189,6 +199,17 @@ def _forest(found: list) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
+def classes(marked: DataFrame) -> DataFrame:
+    """(bits, component_id, row) of each distinct fingerprint: the smallest id of its component, and the row to keep of it."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+    nodes = written(marked.groupBy("bits").agg(first.alias("first")), "fingerprint-nodes")
+    found = components(fingerprint_links(nodes)).select(F.col("node").alias("bits"), "root")
+    rooted = nodes.join(found, "bits", "left").select("bits", "first", F.coalesce("root", "bits").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    joined = rooted.join(least, "root").select("bits", F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("row"))
+    return written(joined, "fingerprint-classes")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, bits, component_id) of every row of ``docs``.
 
@@ -197,10 +218,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     node, so thousands of copies cost one row. Rows without an id keep their row; their component counts the ids of
     the others, and is null if there is none. Repeated rows are all returned. An empty table gives no rows.
     """
-    marked = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    nodes = written(marked.groupBy("bits").agg(F.min("doc_id").alias("first")), "fingerprint-nodes")
-    found = components(fingerprint_links(nodes)).select(F.col("node").alias("bits"), "root")
-    rooted = nodes.join(found, "bits", "left").select("bits", "first", F.coalesce("root", "bits").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = written(rooted.join(least, "root").select("bits", "component_id"), "fingerprint-classes")
-    return marked.join(classes, "bits", "left").select("doc_id", "bits", "component_id")
+    marked = fingerprints(docs, id_col, text_col)
+    return marked.select("doc_id", "bits").join(classes(marked).drop("row"), "bits", "left").select("doc_id", "bits", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of each component: the one of the smallest id, ids before none."""
+    marked = fingerprints(docs, id_col, text_col, docs.columns)
+    return marked.join(classes(marked).select("row").distinct(), "row", "left_semi").select("kept.*")

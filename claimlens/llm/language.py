@@ -117,7 +117,7 @@ class Network:
         draw = np.random.default_rng(1)
         one, two = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
         step = 0
-        steps = max(epochs * -(-len(rows) // BATCH), 60)  # few rows are seen more often
+        steps = max(epochs * -(-len(rows) // BATCH), 240)  # few rows are seen more often
         while step < steps:
             order = draw.permutation(len(rows))
             for k in range(0, len(order), BATCH):

@@ -11,17 +11,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens import schemas
-from claimlens.functions.sizing import number_group_parts
 from claimlens.sources.tables import Book
 
-_CPT_BY = (
-    "case {0} when 0 then '99213' when 1 then '99214' when 2 then '93000' when 3 then '80053' "
-    "when 4 then '71046' when 5 then '36415' when 6 then '97110' else 'J1817' end"
-)
-_DX_BY = (
-    "case {0} when 0 then 'E11.9' when 1 then 'I10' when 2 then 'J45.909' when 3 then 'M54.50' "
-    "when 4 then 'N18.3' when 5 then 'E78.5' else 'Z00.00' end"
-)
+
+def _case(values: list[str]) -> str:
+    """A CASE over {0} that gives the values in order, the last for everything else."""
+    arms = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values[:-1]))
+    return f"case {{0}} {arms} else '{values[-1]}' end"
+
+
+_CPT_BY = _case(list(schemas.CPT))
+_DX_BY = _case(schemas.ICD10)
 _CLAIM_ID = "concat('C', lpad(cast({0} as string), 9, '0'))"
 _MEMBER_ID = "concat('M', lpad(cast({0} as string), 7, '0'))"
 _PROVIDER_ID = "concat('P', lpad(cast({0} as string), 6, '0'))"
@@ -87,9 +87,7 @@ BOOK: dict[str, tuple[str, dict[str, str]]] = {
             "provider_id": _PROVIDER_ID.format("s_suppkey"),
             "npi": "cast(1000000000 + s_suppkey as string)",
             "provider_name": "s_name",
-            "specialty": "case s_nationkey % 7 when 0 then 'Internal Medicine' when 1 then 'Cardiology' "
-            "when 2 then 'Endocrinology' when 3 then 'Orthopedics' when 4 then 'Primary Care' "
-            "when 5 then 'Radiology' else 'Nephrology' end",
+            "specialty": _case(schemas.SPECIALTIES).format("s_nationkey % 7"),
             "in_network": "s_suppkey % 20 >= 3",
         },
     ),
@@ -105,16 +103,12 @@ BOOK: dict[str, tuple[str, dict[str, str]]] = {
             "allowed_amount": "allowed_amount",
             "paid_amount": "case status when 'Paid' then allowed_amount "
             "when 'Partially Paid' then floor(allowed_amount * 70) / 100 else cast(0 as double) end",
-            "denial_carc": "case ci when 0 then '197' when 1 then '50' when 2 then '96' when 3 then '16' "
-            "when 4 then '18' when 5 then '45' when 6 then '27' when 7 then '29' end",
-            "denial_reason": "case ci when 0 then 'Precertification / authorization absent' "
-            "when 1 then 'Not medically necessary' when 2 then 'Non-covered charge' "
-            "when 3 then 'Claim lacks information' when 4 then 'Duplicate claim / service' "
-            "when 5 then 'Charge exceeds fee schedule' when 6 then 'Expenses after coverage terminated' "
-            "when 7 then 'Time limit for filing expired' end",
+            "denial_carc": f"case when ci is not null then {_case(list(schemas.DENIAL_REASONS)).format('ci')} end",
+            "denial_reason": f"case when ci is not null then {_case(list(schemas.DENIAL_REASONS.values())).format('ci')} end",
             "place_of_service": "place_of_service",
-            "pos_desc": "case place_of_service when '23' then 'Emergency Room' when '21' then 'Inpatient Hospital' "
-            "when '22' then 'Outpatient Hospital' when '11' then 'Office' else 'Telehealth' end",
+            "pos_desc": "case place_of_service "
+            + " ".join(f"when '{code}' then '{words}'" for code, words in schemas.PLACES_OF_SERVICE.items())
+            + " end",
             "primary_cpt": _CPT_BY.format("(p * 13) % 8"),
             "primary_dx": _DX_BY.format("p % 7"),
             "service_date": "service_date",
@@ -211,20 +205,28 @@ def _line_item(line: Column) -> Column:
     )
 
 
-def _documents(spark: SparkSession, sf_dir: str, max_lines: int) -> tuple[DataFrame, bool]:
-    """(k, part, sk, line_items): the lines of each order, in documents of at most about ``max_lines``.
+def _line_documents(spark: SparkSession, sf_dir: str, max_lines: int) -> DataFrame:
+    """(k, part, line_items): the lines of each order, in documents of about ``max_lines`` at most.
 
-    The shuffle carries the four numbers of a line; its texts are written out after it. While no
-    order is over-long the lines are grouped by k alone, so the join to the claims needs no second
-    shuffle and the lowest supplier comes out of the same aggregate.
+    The shuffle carries the four numbers of a line; its texts are written out after it. An order of more lines is dealt
+    into parts by what a line says and, among equal lines, by its number, so the parts do not depend on how the table is
+    read. The parts of an order are found with one count, aggregated before its shuffle.
     """
-    lines, split = number_group_parts(raw(spark, sf_dir, "lineitem"), "l_orderkey", max_lines)
-    numbers = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    keyed = lines.select(F.col("l_orderkey").alias("k"), "part", "l_suppkey", numbers.alias("line"))
-    grouped = keyed.groupBy("k", "part") if split else keyed.groupBy("k")
-    collected = grouped.agg(F.min("l_suppkey").alias("sk"), F.collect_list("line").alias("lines"))
-    items = F.transform(F.sort_array("lines"), _line_item)
-    return collected.withColumn("line_items", items).drop("lines"), split
+    numbers = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    lines = raw(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), *numbers)
+    n_parts = F.ceil(F.col("n") / F.lit(max(max_lines // 2, 1))).cast("int").alias("parts")
+    long = lines.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_lines).select("k", n_parts)
+    whole = lines.join(long, "k", "left_anti").select("k", F.lit(0).alias("part"), *numbers)
+    equal = lines.join(long, "k").groupBy("k", "parts", *numbers).agg(F.count(F.lit(1)).alias("copies"))
+    each = equal.select("k", "parts", *numbers, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    part = F.pmod(F.xxhash64(*numbers, "copy"), F.col("parts").cast("long")).cast("int").alias("part")
+
+    def documents(dealt: DataFrame, *keys: str) -> DataFrame:
+        collected = dealt.groupBy(*keys).agg(F.collect_list(F.struct(*numbers)).alias("lines"))
+        at = F.col("part") if "part" in keys else F.lit(0)
+        return collected.select("k", at.alias("part"), F.transform(F.sort_array("lines"), _line_item).alias("line_items"))
+
+    return documents(whole, "k").union(documents(each.select("k", part, *numbers), "k", "part"))
 
 
 def _adjudication() -> Column:
@@ -250,27 +252,23 @@ def _document_json(adjudication: Column) -> Column:
 
 
 def claims_with_detail(
-    spark: SparkSession, sf_dir: str, max_lines: int = schemas.MAX_DOCUMENT_LINES
-) -> tuple[DataFrame, DataFrame | None]:
-    """Claims with their JSON detail, and the continuation documents when a claim needs several.
+    spark: SparkSession, sf_dir: str, folder: str, max_lines: int = schemas.MAX_DOCUMENT_LINES
+) -> tuple[DataFrame, DataFrame]:
+    """Claims with their JSON detail, and the further documents (claim_id, part, claim_detail) of long claims.
 
-    A claim of more lines than one document may hold keeps its adjudication and first lines in
-    ``claim_detail``; the rest follow in rows of (claim_id, part, claim_detail).
+    A claim's adjudication and part 0 of its lines are its ``claim_detail``. The line documents are written below ``folder``
+    once, and both tables are made from what was written.
     """
-    documents, split = _documents(spark, sf_dir, max_lines)
+    path = f"{folder}/line_documents"
+    _line_documents(spark, sf_dir, max_lines).write.mode("overwrite").parquet(path)
+    documents = spark.read.parquet(path)
     base = _amounts(spark, sf_dir)
-    if split:
-        first = documents.where("part = 0").select("k", "line_items")
-        joined = base.join(_claim_provider(spark, sf_dir), "k", "left").join(first.hint("merge"), "k", "left")
-    else:
-        # Documents grow with the claims, so both sides meet on k; they are never worth a broadcast.
-        joined = base.join(documents.hint("merge"), "k", "left")
+    first = documents.where("part = 0").select("k", "line_items")
+    # Documents grow with the claims: they are never worth a broadcast.
+    joined = base.join(_claim_provider(spark, sf_dir), "k", "left").join(first.hint("merge"), "k", "left")
     claims = joined.selectExpr(
         *[f"{expr} as {column}" for column, expr in BOOK["claims"][1].items()], "p", "line_items"
     ).withColumn("claim_detail", _document_json(_adjudication()))
-    claims = claims.select([f.name for f in schemas.CLAIMS.fields])
-    if not split:
-        return claims, None
     more = (
         documents.where("part > 0")
         .join(base.select("k", "p"), "k")
@@ -280,7 +278,7 @@ def claims_with_detail(
             _document_json(F.lit(None).cast(schemas.ADJUDICATION)).alias("claim_detail"),
         )
     )
-    return claims, more
+    return claims.select([f.name for f in schemas.CLAIMS.fields]), more
 
 
 # ---- the tables -------------------------------------------------------------------------------

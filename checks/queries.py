@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens import schemas
+from checks import book
 from claimlens.functions.nested import detail_has_source, detail_parses
 from claimlens.functions.vectors import format_vector, norm, parse_vector
 from claimlens.operators import governance, joins, quality, replies, retrieval, scoring, serving, silver
 from claimlens.plans import catalog, metrics
 from claimlens.session import configure, new_dir
-from claimlens.sources import book
-from claimlens.sources.tables import Book, count_inventory, load, write
+from claimlens.sources.tables import Book, count_inventory, load, stored_book, write, write_keyed
 from claimlens.streaming import dispositions
 
 SEARCH_TEXT = "denied medically necessary"
-DOCUMENT_TEXT = "tion ther"
+DOCUMENT_TEXT = "und"
+CODE_TEXTS = ["CPT 99213", "E11.9", "99214 pending"]
+ACCENTED_TEXT = "für"
+AUC_FLOOR = 0.6
 QUERIES: dict = {}
 
 
@@ -29,15 +35,50 @@ def query(make):
     return run
 
 
-def detailed(spark: SparkSession, sf_dir: str) -> tuple[Book, DataFrame | None]:
-    """The derived book with the JSON detail on claims, and the continuation documents."""
-    claims, more = book.claims_with_detail(spark, sf_dir)
-    tables = book.derived_book(spark, sf_dir)
-    return Book({**{n: (lambda n=n: tables[n]) for n in tables}, "claims": lambda: claims}), more
+_KEPT: dict[tuple, str] = {}
+
+
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """When the raw tables were last written and how long they are: kept tables go by it."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir)
+    return tuple(files.agg(F.max("modificationTime").cast("string"), F.sum("length"), F.count(F.lit(1))).first())
+
+
+def _kept(spark, sf_dir, name, make) -> str:
+    """The folder of something written by ``make(folder)``, once per session and state of the raw tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, _version(spark, sf_dir), name)
+    if key not in _KEPT:
+        folder = new_dir(spark, name)
+        make(folder)
+        _KEPT[key] = folder
+    return _KEPT[key]
+
+
+def write_book(spark: SparkSession, sf_dir: str, folder: str, max_lines: int = schemas.MAX_DOCUMENT_LINES) -> None:
+    """The whole book as stored tables; claims are laid out by member."""
+    claims, more = book.claims_with_detail(spark, sf_dir, folder, max_lines)
+    made = book.derived_book(spark, sf_dir)
+    for name in schemas.BOOK_TABLES:
+        if name == "claims":
+            write(claims, f"{folder}/claims.parquet", skip_empty=False, cluster_by=["member_id", "claim_id"])
+        elif name == "claim_documents":
+            write(more, f"{folder}/claim_documents.parquet", skip_empty=False)
+        else:
+            write(made[name], f"{folder}/{name}.parquet", skip_empty=False)
+
+
+def stored(spark: SparkSession, sf_dir: str) -> Book:
+    """The stored book: what the queries on the claim detail read."""
+    return stored_book(spark, _kept(spark, sf_dir, "book", lambda folder: write_book(spark, sf_dir, folder)))
+
+
+def documents(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    tables = stored(spark, sf_dir)
+    return tables["claims"], tables["claim_documents"]
 
 
 def book_tables(tables) -> dict[str, DataFrame]:
-    return {name: tables[name] for name in schemas.BOOK_TABLES}
+    return {name: tables[name] for name in schemas.BOOK_TABLES if name in tables}
 
 
 # ---- sources and sinks ------------------------------------------------------------------------
@@ -45,8 +86,7 @@ def book_tables(tables) -> dict[str, DataFrame]:
 
 @query
 def table_counts(spark, sf_dir):
-    tables = book.derived_book(spark, sf_dir)
-    return count_inventory(book_tables(tables))
+    return count_inventory(book_tables(book.derived_book(spark, sf_dir)))
 
 
 @query
@@ -81,15 +121,28 @@ def eligibility_table(spark, sf_dir):
 
 @query
 def written_claims(spark, sf_dir):
-    """The claims written as a table and read back with the declared schema."""
-    claims, _ = book.claims_with_detail(spark, sf_dir)
-    folder = new_dir(spark, "book")
-    write(claims, f"{folder}/claims.parquet", skip_empty=False)
-    stored = load(spark, folder, "claims")
-    return stored.select(
-        *[c for c in stored.columns if c != "claim_detail"],
+    """The claims written as a table with its key held, and read back with the declared schema, lines of all documents counted."""
+    claims, more = documents(spark, sf_dir)
+    folder = new_dir(spark, "claims")
+    write_keyed(claims, f"{folder}/claims.parquet", "claim_id", skip_empty=False)
+    back = silver.claims_silver(load(spark, folder, "claims"), more)
+    return back.select(
+        *[c for c in claims.columns if c != "claim_detail"],
         detail_has_source().alias("has_source"),
         detail_parses().alias("parses"),
+        "line_count",
+    )
+
+
+@query
+def stored_line_counts(spark, sf_dir):
+    """Lines per claim out of the stored documents, with every field of a line in a checksum."""
+    lines = silver.claim_lines(*documents(spark, sf_dir))
+    return lines.groupBy("claim_id").agg(
+        F.count(F.lit(1)).alias("line_count"),
+        F.sum("line").alias("line_numbers"),
+        F.round(F.sum(F.col("charge").cast("decimal(18,2)")).cast("double"), 2).alias("charges"),
+        F.sum("units").alias("units"),
     )
 
 
@@ -210,8 +263,7 @@ def sql_exposure(spark, sf_dir):
 
 @query
 def claims_silver(spark, sf_dir):
-    claims, more = book.claims_with_detail(spark, sf_dir)
-    parsed = silver.claims_silver(claims, more)
+    parsed = silver.claims_silver(*documents(spark, sf_dir))
     return parsed.select(
         "claim_id", "status", "billed_amount", "line_count", "copay",
         F.array_join("edits_triggered", "|").alias("edits"), "has_cob",
@@ -220,8 +272,7 @@ def claims_silver(spark, sf_dir):
 
 @query
 def claim_lines(spark, sf_dir):
-    claims, more = book.claims_with_detail(spark, sf_dir)
-    lines = silver.claim_lines(claims, more)
+    lines = silver.claim_lines(*documents(spark, sf_dir))
     return lines.withColumns(
         {"modifiers": F.array_join("modifiers", "|"), "dx_pointers": F.array_join("dx_pointers", "|")}
     )
@@ -234,24 +285,22 @@ def open_dispositions(spark, sf_dir):
 
 @query
 def cob_claims(spark, sf_dir):
-    claims, _ = book.claims_with_detail(spark, sf_dir)
-    return silver.cob_claims(claims).select("claim_id", "member_id", "status")
+    return silver.cob_claims(stored(spark, sf_dir)["claims"]).select("claim_id", "member_id", "status")
 
 
 @query
 def hybrid_rows(spark, sf_dir):
-    return silver.hybrid_rows(*book.claims_with_detail(spark, sf_dir))
+    return silver.hybrid_rows(*documents(spark, sf_dir))
 
 
 @query
 def hybrid_denied_top(spark, sf_dir):
-    claims, more = book.claims_with_detail(spark, sf_dir)
-    return silver.denied_for_review(claims, continuation=more)
+    return silver.denied_for_review(*documents(spark, sf_dir))
 
 
 @query
 def member_cob_claims(spark, sf_dir):
-    claims, more = book.claims_with_detail(spark, sf_dir)
+    claims, more = documents(spark, sf_dir)
     return silver.member_cob_claims(claims, "M0000007", more)
 
 
@@ -274,7 +323,7 @@ def masked_members_sql(spark, sf_dir):
     catalog.register(spark, book.derived_book(spark, sf_dir), {schemas.PHI_READERS})
     return spark.sql(
         "SELECT member_id, mask_ssn(member_ssn) AS member_ssn, mask_name(member_name) AS member_name, "
-        "mask_dob(member_dob) AS member_dob FROM members"
+        "mask_dob(member_dob) AS member_dob FROM members_phi"
     )
 
 
@@ -324,10 +373,15 @@ def events_with_claims(spark, sf_dir):
 
 
 def _state(spark, sf_dir, limit=500) -> DataFrame:
-    """Current state over the claims without their detail text."""
-    tables = book.derived_book(spark, sf_dir)
-    claims = tables["claims"].withColumn("claim_detail", F.lit(None).cast("string"))
-    return serving.current_state(claims, tables["disposition_events"], limit, F.lit("1999-01-01").cast("timestamp"))
+    """Current state of the claims, with their documents."""
+    tables = stored(spark, sf_dir)
+    at = F.lit("1999-01-01").cast("timestamp")
+    return serving.current_state(tables["claims"], tables["disposition_events"], limit, at)
+
+
+def _detail_shown():
+    """What of the JSON half of a state row is compared: the payer, null where there is no document."""
+    return F.get_json_object("claim_detail", "$.adjudication.cob_payer").alias("cob_payer")
 
 
 def _plain(state: DataFrame) -> DataFrame:
@@ -344,9 +398,9 @@ def _plain(state: DataFrame) -> DataFrame:
 
 @query
 def current_state(spark, sf_dir):
-    tables, more = detailed(spark, sf_dir)
+    tables = stored(spark, sf_dir)
     state = serving.current_state(tables["claims"], tables["disposition_events"])
-    lines = silver.hybrid_rows(state, more).select("claim_id", "line_count")
+    lines = silver.hybrid_rows(state, silver.documents_of(state, tables["claim_documents"])).select("claim_id", "line_count")
     shown = state.select([c for c in state.columns if c not in ("updated_at", "claim_detail")])
     return _plain(shown.join(lines, "claim_id"))
 
@@ -354,7 +408,8 @@ def current_state(spark, sf_dir):
 @query
 def current_state_all(spark, sf_dir):
     state = _state(spark, sf_dir, None)
-    return _plain(state).select("claim_id", "status", "billed_amount", "requires_manual_review", "last_disposition_ts")
+    shown = ["claim_id", "status", "billed_amount", "requires_manual_review", "last_disposition_ts", "last_event_id"]
+    return _plain(state).select(*shown, _detail_shown())
 
 
 @query
@@ -362,14 +417,18 @@ def insert_if_absent(spark, sf_dir):
     """500 claims already there, marked; all claims offered."""
     there = _state(spark, sf_dir).withColumn("triage_action", F.lit("kept"))
     state = serving.insert_if_absent(there, _state(spark, sf_dir, None))
-    return _plain(state).select("claim_id", "status", "billed_amount", "triage_action", "last_disposition_ts")
+    return _plain(state).select("claim_id", "status", "billed_amount", "triage_action", "last_disposition_ts", _detail_shown())
 
 
 @query
 def latest_state(spark, sf_dir):
     tables = book.derived_book(spark, sf_dir)
     state = serving.upsert_latest(_state(spark, sf_dir, None), tables["disposition_updates"])
-    return _plain(state).select("claim_id", "member_id", "status", "last_disposition_ts")
+    return _shown_state(state)
+
+
+def _shown_state(state: DataFrame) -> DataFrame:
+    return _plain(state).select("claim_id", "member_id", "status", "last_disposition_ts", "last_event_id", _detail_shown())
 
 
 @query
@@ -385,16 +444,15 @@ def score_writeback(spark, sf_dir):
     good, _ = replies.validate_replies(_replies(spark, sf_dir))
     state = serving.write_back(_state(spark, sf_dir, None), scores)
     state = serving.write_back(state, good.select("claim_id", "triage_action"))
-    return _plain(state).select("claim_id", "status", "triage_score", "triage_action")
+    return _plain(state).select("claim_id", "status", "triage_score", "triage_action", _detail_shown())
 
 
 @query
 def claim_dossier(spark, sf_dir):
-    """Dossiers of every claim that has a disposition update; every other score is missing."""
+    """Dossiers of every claim that has a disposition update."""
     tables = book.derived_book(spark, sf_dir)
     named = tables["disposition_updates"].select("claim_id").distinct()
-    scored = tables["claim_review_priority"].where("manual_review_score >= 0.5")
-    return serving.claim_dossier(named, tables["claims"], scored)
+    return serving.claim_dossier(named, tables["claims"], tables["claim_review_priority"])
 
 
 @query
@@ -439,45 +497,44 @@ def reply_validation(spark, sf_dir):
 
 
 def _narratives(spark, sf_dir, limit=None) -> DataFrame:
-    tables, _ = detailed(spark, sf_dir)
+    tables = stored(spark, sf_dir)
     return retrieval.narratives(tables["claims"], tables["providers"], limit)
 
 
-def _stored(spark, df: DataFrame, purpose: str) -> DataFrame:
-    """The frame as a written table, for readers that pass over it more than once."""
-    path = new_dir(spark, purpose)
-    write(df, path, skip_empty=False)
-    return spark.read.parquet(path)
+def _notes_folder(spark, sf_dir) -> str:
+    """The search tables of all claims: claim_notes, its words, and the weights its vectors are made with."""
 
+    def make(folder):
+        told = f"{folder}/told"
+        write(retrieval.with_tokens(_narratives(spark, sf_dir)), told, skip_empty=False)
+        rows = spark.read.parquet(told)
+        weights = retrieval.vector_weights(rows)
+        write(spark.createDataFrame([(weights,)], "weights array<double>"), f"{folder}/weights")
+        write_keyed(retrieval.claim_notes(rows, weights), f"{folder}/claim_notes.parquet", "claim_id", skip_empty=False)
+        retrieval.write_words(rows, folder)
 
-_KEPT: dict[tuple[str, str, str], str] = {}
+    return _kept(spark, sf_dir, "notes", make)
 
 
-def _kept(spark, sf_dir, name, make) -> DataFrame:
-    """A table of the search and scoring side, written once per session and data folder and then read."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _KEPT:
-        path = new_dir(spark, name)
-        write(make(), path, skip_empty=False)
-        _KEPT[key] = path
-    return spark.read.parquet(_KEPT[key])
+def _all_notes(spark, sf_dir) -> DataFrame:
+    return load(spark, _notes_folder(spark, sf_dir), "claim_notes")
 
 
-def _all_notes(spark, sf_dir) -> DataFrame:
-    """The narrative of every claim with its words."""
-    return _kept(spark, sf_dir, "notes", lambda: retrieval.with_tokens(_narratives(spark, sf_dir)))
+def _weights(spark, sf_dir) -> list[float]:
+    return list(spark.read.parquet(f"{_notes_folder(spark, sf_dir)}/weights").first()["weights"])
 
 
 def _notes(spark, sf_dir) -> DataFrame:
-    """The notes of the claims that have a vector, with it."""
+    """The claims that have a vector in the given table, with it."""
+    vectors = book.raw(spark, sf_dir, "embeddings").select(
+        F.expr("concat('C', lpad(cast(vec_id as string), 9, '0'))").alias("claim_id"), "embedding"
+    )
+    return _all_notes(spark, sf_dir).drop("embedding").join(vectors, "claim_id")
 
-    def make() -> DataFrame:
-        vectors = book.raw(spark, sf_dir, "embeddings").select(
-            F.expr("concat('C', lpad(cast(vec_id as string), 9, '0'))").alias("claim_id"), "embedding"
-        )
-        return _all_notes(spark, sf_dir).join(vectors, "claim_id")
 
-    return _kept(spark, sf_dir, "vector_notes", make)
+def _document_words(spark, sf_dir) -> str:
+    texts = book.raw(spark, sf_dir, "documents").select("doc_id", "text")
+    return _kept(spark, sf_dir, "document_words", lambda folder: retrieval.write_words(texts, folder, "doc_id", "text"))
 
 
 def _asked(spark, sf_dir):
@@ -511,55 +568,96 @@ def vector_top30(spark, sf_dir):
 
 @query
 def keyword_top30(spark, sf_dir):
+    return retrieval.words_top(spark, _notes_folder(spark, sf_dir), SEARCH_TEXT)
+
+
+@query
+def keyword_scan_top30(spark, sf_dir):
+    """The same question to notes that have no table of words."""
     found = retrieval.keyword_top(_all_notes(spark, sf_dir), SEARCH_TEXT)
     return found.select("claim_id", "score", "rk")
 
 
+@query
+def keyword_codes(spark, sf_dir):
+    """Questions with procedure and diagnosis codes."""
+    folder = _notes_folder(spark, sf_dir)
+    found = [retrieval.words_top(spark, folder, q, 10).select(F.lit(q).alias("question"), "claim_id", "score", "rk") for q in CODE_TEXTS]
+    return reduce(DataFrame.union, found)
+
+
 @query
 def keyword_documents(spark, sf_dir):
     """Keyword search over whole documents."""
-    documents = book.raw(spark, sf_dir, "documents").select("doc_id", "text")
-    found = retrieval.keyword_top(documents, DOCUMENT_TEXT, key="doc_id", column="text")
-    return found.select("doc_id", "score", "rk")
+    return retrieval.words_top(spark, _document_words(spark, sf_dir), DOCUMENT_TEXT, key="doc_id")
+
+
+@query
+def keyword_accents(spark, sf_dir):
+    return retrieval.words_top(spark, _document_words(spark, sf_dir), ACCENTED_TEXT, key="doc_id")
 
 
 @query
 def hybrid_search(spark, sf_dir):
-    return retrieval.hybrid_search(_notes(spark, sf_dir), _asked(spark, sf_dir), SEARCH_TEXT)
+    """A question in words over all notes: its vector in the notes' space, and its words."""
+    vector = retrieval.embed_query(SEARCH_TEXT, _weights(spark, sf_dir))
+    return retrieval.hybrid_search(_all_notes(spark, sf_dir), _notes_folder(spark, sf_dir), vector, SEARCH_TEXT)
 
 
 @query
 def narrative_vectors(spark, sf_dir):
-    vectors = retrieval.narrative_vectors(_all_notes(spark, sf_dir))
-    return vectors.select("claim_id", F.size("embedding").alias("dim"), F.round(norm(F.col("embedding")), 4).alias("length"))
+    notes = _all_notes(spark, sf_dir)
+    largest = F.round(F.array_max("embedding").cast("double"), 5).alias("largest")
+    return notes.select("claim_id", F.size("embedding").alias("dim"), F.round(norm(F.col("embedding")), 4).alias("length"), largest)
+
+
+def _index(spark, sf_dir) -> str:
+    return _kept(spark, sf_dir, "index", lambda folder: retrieval.near_index(_notes(spark, sf_dir), folder))
 
 
 @query
 def ann_top30(spark, sf_dir):
-    path = new_dir(spark, "index")
-    centers = retrieval.near_index(_notes(spark, sf_dir), path)
-    near = retrieval.ann_top(spark.read.parquet(path), centers, _asked(spark, sf_dir))
+    near = retrieval.ann_top(spark, _index(spark, sf_dir), _asked(spark, sf_dir))
     return near.select("claim_id", "distance", "rk")
 
 
+@query
+def ann_checks(spark, sf_dir):
+    """The near search against the exact one: rows found, rows with their exact distance, and the share of the true nearest found."""
+    near = retrieval.ann_top(spark, _index(spark, sf_dir), _asked(spark, sf_dir)).select("claim_id", "distance")
+    exact = retrieval.vector_top(_notes(spark, sf_dir), _asked(spark, sf_dir)).select("claim_id", "distance")
+    every = retrieval.vector_top(_notes(spark, sf_dir), _asked(spark, sf_dir), 1_000_000).select("claim_id", F.col("distance").alias("true"))
+    found = near.agg(F.count(F.lit(1)).alias("rows_found"))
+    right = near.join(every, "claim_id").agg(F.count_if(F.col("distance") == F.col("true")).alias("exact_distances"))
+    hits = near.join(exact, "claim_id", "left_semi").agg((F.count(F.lit(1)) / F.lit(30) >= 0.9).alias("good_recall"))
+    return found.crossJoin(right).crossJoin(hits)  # three single rows
+
+
 # ---- scoring ----------------------------------------------------------------------------------
 
 
 @query
 def features(spark, sf_dir):
-    claims, _ = book.claims_with_detail(spark, sf_dir)
-    return scoring.review_features(claims)
+    return scoring.review_features(stored(spark, sf_dir)["claims"])
 
 
-def _scored(spark, sf_dir) -> DataFrame:
-    """The score table of the trained model."""
+def _score_folder(spark, sf_dir) -> str:
+    """The trained model, its AUC on claims held out, and the score table."""
 
-    def make() -> DataFrame:
-        rows = _stored(spark, features(spark, sf_dir), "features")
-        model, _ = scoring.train_review_model(rows)
-        return scoring.score_claims(model, rows)
+    def make(folder):
+        write(features(spark, sf_dir), f"{folder}/features", skip_empty=False)
+        rows = spark.read.parquet(f"{folder}/features")
+        model, auc = scoring.train_review_model(rows)
+        model.write().overwrite().save(f"{folder}/model")
+        write(spark.createDataFrame([(auc,)], "auc double"), f"{folder}/auc")
+        scores = scoring.score_claims(PipelineModel.load(f"{folder}/model"), rows)
+        write(scores, f"{folder}/claim_review_priority.parquet", skip_empty=False)
 
-    return _kept(spark, sf_dir, "claim_review_priority", make)
+    return _kept(spark, sf_dir, "scores", make)
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    return load(spark, _score_folder(spark, sf_dir), "claim_review_priority")
 
 
 @query
@@ -569,22 +667,42 @@ def review_priority(spark, sf_dir):
 
 @query
 def review_score_checks(spark, sf_dir):
-    """The score rules on the trained model's table: one score per claim, in range, no orphan, and
-    denied claims above paid ones."""
-    return quality.priority_rules(_scored(spark, sf_dir), book.derived_book(spark, sf_dir)["claims"])
+    """The score rules on the trained model's table, and whether its AUC on claims held out is at least 0.6."""
+    rules = quality.priority_rules(_scored(spark, sf_dir), stored(spark, sf_dir)["claims"])
+    auc = spark.read.parquet(f"{_score_folder(spark, sf_dir)}/auc")
+    return rules.union(auc.select(F.lit("AUC").alias("check_id"), (F.col("auc") < AUC_FLOOR).cast("bigint").alias("violations")))
+
+
+@query
+def trained_triage_checks(spark, sf_dir):
+    """The queue and the write-back on the trained scores: rows, order, and scores that fit their column."""
+    tables = stored(spark, sf_dir)
+    queue = serving.triage_queue(_scored(spark, sf_dir), tables["claims"])
+    scores = _scored(spark, sf_dir).select("claim_id", F.col("manual_review_score").alias("triage_score"))
+    state = serving.write_back(_state(spark, sf_dir, None), scores)
+    return queue.agg(F.count(F.lit(1)).alias("queued"), F.count_if(F.col("status") == "Paid").alias("paid_queued")).crossJoin(
+        state.agg(F.count(F.lit(1)).alias("rows"), F.count("triage_score").alias("scored"))
+    )
 
 
 # ---- streaming --------------------------------------------------------------------------------
 
 
+def _raw_stream(spark, sf_dir, name) -> DataFrame:
+    """A raw table as a stream of its files, whether it is one file or a folder of many."""
+    table = book.raw(spark, sf_dir, name)
+    parts = table.inputFiles()
+    if any(p.rstrip("/").endswith(f"/{name}.parquet") for p in parts):
+        return dispositions.file_stream(spark, sf_dir, table.schema, f"{name}.parquet")
+    return dispositions.file_stream(spark, f"{sf_dir}/{name}.parquet", table.schema)
+
+
 def _order_stream(spark, sf_dir) -> DataFrame:
-    schema = book.raw(spark, sf_dir, "orders").schema
-    return book.disposition_events(dispositions.file_stream(spark, sf_dir, schema, "orders.parquet"))
+    return book.disposition_events(_raw_stream(spark, sf_dir, "orders"))
 
 
 def _update_stream(spark, sf_dir) -> DataFrame:
-    schema = book.raw(spark, sf_dir, "events").schema
-    return book.columns(dispositions.file_stream(spark, sf_dir, schema, "events.parquet"), "disposition_updates")
+    return book.columns(_raw_stream(spark, sf_dir, "events"), "disposition_updates")
 
 
 @query
@@ -606,7 +724,17 @@ def stream_open(spark, sf_dir):
 def stream_state(spark, sf_dir):
     folder = new_dir(spark, "state")
     dispositions.keep_state(_update_stream(spark, sf_dir), f"{folder}/table", f"{folder}/log").awaitTermination()
-    return _plain(dispositions.read_state(spark, f"{folder}/table"))
+    return _shown_state(dispositions.read_state(spark, f"{folder}/table", _state(spark, sf_dir, None)))
+
+
+@query
+def stream_changes(spark, sf_dir):
+    """The same stream folded while it is under way: the newest disposition of each claim."""
+    folder = new_dir(spark, "changes")
+    stream = _update_stream(spark, sf_dir)
+    dispositions.keep_state(stream, f"{folder}/table", f"{folder}/log").awaitTermination()
+    dispositions.compact_state(spark, f"{folder}/table")
+    return _plain(dispositions.read_changes(spark, f"{folder}/table"))
 
 
 @query
@@ -621,16 +749,18 @@ def stream_gap(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
-    """Every check over the claims as a stored table, as they would be run after a load."""
-    claims, _ = book.claims_with_detail(spark, sf_dir)
-    made = book.derived_book(spark, sf_dir)
-    tables = {**{n: made[n] for n in ("members", "providers", "disposition_events")}, "claims": _stored(spark, claims, "book")}
+    """Every check over the stored claims, as they would be run after a load."""
+    tables = stored(spark, sf_dir)
+    folder = new_dir(spark, "report")
+    state = serving.current_state(tables["claims"], tables["disposition_events"])
+    write(state, f"{folder}/claim_status.parquet", skip_empty=False)
     rows = lambda name: book.raw(spark, sf_dir, name).agg(F.count(F.lit(1))).scalar()
     return quality.quality_report(
         tables,
         expected_claims=rows("orders"),
         expected_members=rows("customer"),
         masked_members=governance.members_for(tables["members"]),
-        priority=made["claim_review_priority"],
-        state=serving.current_state(tables["claims"], tables["disposition_events"]),
+        priority=_scored(spark, sf_dir),
+        state=load(spark, folder, "claim_status"),
+        stored_gap=catalog.materialize(spark, folder, "disposition_action_gap", tables),
     )

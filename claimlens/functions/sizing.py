@@ -1,4 +1,4 @@
-"""Size-checked broadcasts, the splitting of over-large groups, and columns worked out once."""
+"""The bound for broadcasts, and columns worked out once."""
 
 from __future__ import annotations
 
@@ -8,48 +8,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counts at most ``max_rows`` + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def number_group_parts(
-    df: DataFrame, key: str, max_rows: int, part: str = "part", broadcast_rows: int = BROADCAST_ROWS
-) -> tuple[DataFrame, bool]:
-    """Give every row a part number so that no (key, part) group gets much over half of ``max_rows``.
-
-    Keys with at most ``max_rows`` rows stay whole in part 0. Returns the frame and whether any key
-    was split. The row counts per key are partially aggregated before their shuffle, so a hot key
-    costs nothing extra there; the wide rows themselves are not shuffled when the list of hot keys
-    has a checked size, and are joined on a salted key when it has not.
-    """
-    hot = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > max_rows)
-        .select(key, F.ceil(F.col("_rows") / F.lit(max(max_rows // 2, 1))).cast("int").alias("_parts"))
-    )
-    # One bounded look decides the plan: nothing hot, a broadcastable list, or a long one.
-    seen = hot.limit(broadcast_rows + 1).count()
-    if seen == 0:
-        return df.withColumn(part, F.lit(0)), False
-    # rand is fixed per scan partition and row, and is drawn before any shuffle, so a re-run task
-    # deals its rows to the same parts.
-    drawn = df.withColumn("_draw", F.rand(7))
-    if seen <= broadcast_rows:
-        numbered = drawn.join(F.broadcast(hot), key, "left")
-    else:
-        salts = 64
-        spread = hot.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        numbered = (
-            drawn.withColumn("_salt", F.floor(F.col("_draw") * 1_000_003 % salts).cast("int"))
-            .join(spread, [key, "_salt"], "left")
-            .drop("_salt")
-        )
-    dealt = F.least(F.floor(F.col("_draw") * F.col("_parts")).cast("int"), F.col("_parts") - 1)
-    return numbered.withColumn(part, F.coalesce(dealt, F.lit(0))).drop("_draw", "_parts"), True
-
-
 def evaluated_once(df: DataFrame, column: str) -> DataFrame:
     """``df`` with a costly column behind a one-element explode.
 

@@ -25,15 +25,20 @@ B = 0.75
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case runs of a-z that are not stop words. No stemming."""
-    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
+    """Lower-case runs of letters and digits of any script, dots inside them kept (E11.9), stop words left out. No stemming."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*"), F.lit(0))
     return F.filter(words, lambda w: ~w.isin(STOP_WORDS))
 
 
+def words(query: str) -> list[str]:
+    """The words of a query by the same rule, in order."""
+    found = re.findall(r"[^\W_]+(?:\.[^\W_]+)*", query.lower())
+    return [w for w in found if w not in set(STOP_WORDS)]
+
+
 def query_terms(query: str) -> list[str]:
-    """The distinct words of a query, stop words dropped, in order."""
-    words = re.findall("[a-z]+", query.lower())
-    return [w for w in dict.fromkeys(words) if w not in set(STOP_WORDS)]
+    """The distinct words of a query."""
+    return list(dict.fromkeys(words(query)))
 
 
 def bm25_term(tf: Column, df: Column, n_docs: Column, length: Column, mean_length: Column) -> Column:

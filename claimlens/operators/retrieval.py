@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from claimlens import schemas
 from claimlens.functions import text
 from claimlens.functions.nested import cob_payer
 from claimlens.functions.scores import reciprocal
 from claimlens.functions.sizing import evaluated_once
 from claimlens.functions.vectors import distances_to
 from claimlens.operators.serving import top_claims
+from claimlens.sources.tables import write
 
 
 def narratives(claims: DataFrame, providers: DataFrame, limit: int | None = 500) -> DataFrame:
@@ -31,14 +35,57 @@ def narratives(claims: DataFrame, providers: DataFrame, limit: int | None = 500)
     return facts.join(named, "provider_id", "left").select("claim_id", text.narrative().alias("narrative"))
 
 
-def narrative_vectors(notes: DataFrame, dim: int = 64) -> DataFrame:
-    """``notes`` with an embedding column: hashed term counts, weighted by rarity, scaled to length 1."""
-    words = notes.withColumn("_tokens", F.col("tokens") if "tokens" in notes.columns else text.tokens(F.col("narrative")))
-    counted = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dim).transform(words)
-    weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counted).transform(counted)
-    scaled = Normalizer(inputCol="_idf", outputCol="_unit").transform(weighted)
-    vector = vector_to_array("_unit", "float32").alias("embedding")
-    return scaled.select(*notes.columns, vector)
+def _bucket(word: str, dim: int) -> int:
+    return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
+
+
+def _weighted(words: list[str], weights: np.ndarray, cache: dict) -> np.ndarray:
+    """Counts by hashed word, weighed by rarity, at length 1; all zeros without a word of weight."""
+    counts = np.zeros(len(weights))
+    for word in words:
+        if word not in cache:
+            cache[word] = _bucket(word, len(weights))
+        counts[cache[word]] += 1
+    vector = counts * weights
+    length = np.sqrt((vector * vector).sum())
+    return (vector / length if length else vector).astype(np.float32)
+
+
+def _words(notes: DataFrame) -> Column:
+    return F.col("tokens") if "tokens" in notes.columns else text.tokens(F.col("narrative"))
+
+
+def vector_weights(notes: DataFrame, dim: int = 64) -> list[float]:
+    """What ``narrative_vectors`` and ``embed_query`` need: the rarity of each of ``dim`` hashed words over all notes.
+
+    One number a place, so it can be kept next to the stored notes and asked again at any time.
+    """
+    place = lambda w: F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(dim))
+    places = notes.select(F.explode(F.array_distinct(F.transform(_words(notes), place))).alias("place"))
+    counts = {r["place"]: r["n"] for r in places.groupBy("place").agg(F.count(F.lit(1)).alias("n")).collect()}  # dim rows
+    total = notes.count()
+    return [math.log((total + 1) / (counts.get(i, 0) + 1)) for i in range(dim)]
+
+
+def narrative_vectors(notes: DataFrame, weights: Sequence[float]) -> DataFrame:
+    """``notes`` with an embedding column: hashed word counts times ``weights``, scaled to length 1."""
+    rarity = np.asarray(weights)
+
+    def vectors(batch: pd.Series) -> pd.Series:
+        cache: dict[str, int] = {}
+        return batch.map(lambda words: _weighted([] if words is None else list(words), rarity, cache))
+
+    return notes.withColumn("embedding", F.pandas_udf(vectors, "array<float>")(_words(notes)))
+
+
+def embed_query(query: str, weights: Sequence[float]) -> list[float]:
+    """A question as a vector in the notes' own space."""
+    return [float(x) for x in _weighted(text.words(query), np.asarray(weights), {})]
+
+
+def claim_notes(notes: DataFrame, weights: Sequence[float]) -> DataFrame:
+    """The search table: claim_id, narrative, embedding and tokens; ``insert_if_absent`` adds later claims to it."""
+    return narrative_vectors(with_tokens(notes), weights).select([f.name for f in schemas.CLAIM_NOTES.fields])
 
 
 def with_tokens(notes: DataFrame, column: str = "narrative") -> DataFrame:
@@ -105,61 +152,132 @@ def keyword_top(notes: DataFrame, query: str, n: int = 30, key: str = "claim_id"
     return _ranked(best, F.desc("score"), key)
 
 
+def write_words(notes: DataFrame, path: str, key: str = "claim_id", column: str = "narrative") -> None:
+    """The words of the notes as a table below ``path``: a row a word and note, laid out by word, and the corpus figures.
+
+    A question reads the row groups of its own words only. The key at the end of the order lets a word of many notes go
+    to many files.
+    """
+    words = F.col("tokens") if "tokens" in notes.columns else text.tokens(F.col(column))
+    lists = evaluated_once(notes.select(key, words.alias("_w")), "_w")
+    each = lists.select(key, F.size("_w").alias("length"), F.explode("_w").alias("term"))
+    counted = each.groupBy("term", key).agg(F.count(F.lit(1)).cast("int").alias("times"), F.first("length").alias("length"))
+    write(counted, f"{path}/words", skip_empty=False, cluster_by=["term", key])
+    figures = lists.agg(F.count(F.lit(1)).alias("docs"), F.avg(F.size("_w")).alias("mean"))
+    write(figures, f"{path}/figures", skip_empty=False)
+
+
+def words_top(spark: SparkSession, path: str, query: str, n: int = 30, key: str = "claim_id") -> DataFrame:
+    """(key, score, rk): the n best notes that hold every word of the query, by BM25, from the table of words."""
+    terms = text.query_terms(query)
+    words = spark.read.parquet(f"{path}/words")
+    if not terms:
+        return words.select(key, F.lit(0.0).alias("score"), F.lit(0).alias("rk")).limit(0)
+    rows = words.where(F.col("term").isin(terms))
+    figures = spark.read.parquet(f"{path}/figures").first()
+    df = {r["term"]: r["n"] for r in rows.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a term
+    known = F.create_map(*[F.lit(x) for t in terms for x in (t, df.get(t, 0))])
+    part = text.bm25_term(F.col("times"), known[F.col("term")], F.lit(figures["docs"]), F.col("length"), F.lit(figures["mean"]))
+    scored = rows.groupBy(key).agg(F.count(F.lit(1)).alias("held"), F.round(F.sum(part), 6).alias("score"))
+    best = scored.where(F.col("held") == len(terms)).orderBy(F.desc("score"), key).limit(n).select(key, "score")
+    return _ranked(best, F.desc("score"), key)
+
+
 def hybrid_search(
-    notes: DataFrame, vector: Sequence[float], query: str, n: int = 10, candidates: int = 30, key: str = "claim_id"
+    notes: DataFrame, words_path: str, vector: Sequence[float], query: str, n: int = 10, candidates: int = 30, key: str = "claim_id"
 ) -> DataFrame:
-    """The n best rows of the vector list and the keyword list, fused by reciprocal rank.
+    """The n best rows of the vector list and the keyword list, fused by reciprocal rank, each list over all notes.
 
-    The lists carry the narrative along, so the notes are not read again for the answer.
+    Texts are looked up for the n answers only.
     """
-    near = vector_top(notes, vector, candidates, key).select(
-        key, F.col("narrative").alias("_near"), F.col("rk").alias("_rv")
-    )
-    worded = keyword_top(notes, query, candidates, key).select(
-        key, F.col("narrative").alias("_worded"), F.col("rk").alias("_rk")
-    )
+    near = vector_top(notes, vector, candidates, key).select(key, F.col("rk").alias("_rv"))
+    worded = words_top(notes.sparkSession, words_path, query, candidates, key).select(key, F.col("rk").alias("_rk"))
     score = F.round(reciprocal(F.col("_rv")) + reciprocal(F.col("_rk")), 5)
-    return (
-        near.join(worded, key, "full_outer")
-        .select(key, F.coalesce("_near", "_worded").alias("narrative"), score.alias("rrf_score"))
-        .orderBy(F.desc("rrf_score"), key)
-        .limit(n)
-    )
+    best = near.join(worded, key, "full_outer").select(key, score.alias("rrf_score")).orderBy(F.desc("rrf_score"), key).limit(n)
+    told = notes.select(key, "narrative").join(F.broadcast(best), key)
+    return told.select(key, "narrative", "rrf_score").orderBy(F.desc("rrf_score"), key)
 
 
 def near_index(
-    notes: DataFrame, path: str, cells: int = 32, fit_share: float = 1.0, seed: int = 42, key: str = "claim_id"
-) -> list[list[float]]:
-    """Lay the notes out under ``path`` by the cell their vector falls in; returns the cells' centers.
-
-    The centers are fitted and the rows assigned on the executors. A very large table may have its
-    centers fitted on a share of the rows; every row is placed all the same. The table is written
-    once, partitioned by cell; ordering by cell and key lets a cell with much of the table go to
-    many tasks. Rows without a direction can never be near anything and are left out.
+    notes: DataFrame,
+    path: str,
+    rows_per_cell: int = 2000,
+    recall: float = 0.97,
+    asked: int = 64,
+    n: int = 30,
+    fit_rows: int = 100_000,
+    seed: int = 42,
+    key: str = "claim_id",
+) -> None:
+    """Lay the notes out below ``path`` by the cell their vector falls in, with the cells' centers.
+
+    The number of cells follows the number of rows. Centers are fitted on about ``fit_rows`` rows at most (the stated
+    bound of a sample); every row is placed. How many cells a question must read is measured, not assumed: for ``asked``
+    stored vectors the true ``n`` nearest of all rows are found, and the cells are counted, nearest first, that hold
+    the share ``recall`` of them. Rows without a direction are near nothing and are left out.
     """
     pointed = notes.where(F.exists("embedding", lambda x: x != 0)).withColumn("_v", array_to_vector("embedding"))
+    rows = pointed.count()
+    if not rows:
+        raise ValueError("no vector to index")
+    cells = max(1, min(rows, max(8, -(-rows // rows_per_cell))))
+    sample = pointed if rows <= fit_rows else pointed.sample(fit_rows / rows, seed)
     means = KMeans(featuresCol="_v", predictionCol="cell", k=cells, seed=seed, distanceMeasure="cosine")
-    model = means.fit(pointed if fit_share >= 1 else pointed.sample(fit_share, seed))
+    model = means.fit(sample.cache())
+    sample.unpersist()
     placed = model.transform(pointed).drop("_v")
-    placed.repartitionByRange("cell", key).write.mode("overwrite").partitionBy("cell").parquet(path)
-    return [[float(x) for x in center] for center in model.clusterCenters()]
+    placed.repartitionByRange("cell", key).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/rows")
+    centers = [[float(x) for x in center] for center in model.clusterCenters()]
+    indexed = notes.sparkSession.read.parquet(f"{path}/rows")
+    counts = {r["cell"]: r["n"] for r in indexed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    questions = indexed.orderBy(F.xxhash64(key), key).limit(asked).select("embedding").collect()
+    probes = _probes_for(indexed, np.array(centers), np.array([q["embedding"] for q in questions], np.float64), n, recall, key)
+    table = [(i, c, counts.get(i, 0), probes) for i, c in enumerate(centers)]
+    write(notes.sparkSession.createDataFrame(table, "cell int, center array<double>, n long, probes int"), f"{path}/centers")
 
 
-def ann_top(
-    indexed: DataFrame,
-    centers: Sequence[Sequence[float]],
-    query: Sequence[float],
-    n: int = 30,
-    probes: int = 8,
-    key: str = "claim_id",
-) -> DataFrame:
-    """About the n nearest rows: exact distances over the cells whose centers are nearest to the query.
+def _cell_order(centers: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The cells by the angle of their center to each question, nearest first."""
+    lengths = np.linalg.norm(centers, axis=1)
+    cosine = np.divide(asked @ centers.T, lengths, out=np.full((len(asked), len(centers)), -np.inf), where=lengths > 0)
+    return np.argsort(-cosine, axis=1, kind="stable")
+
+
+def _probes_for(indexed: DataFrame, centers: np.ndarray, asked: np.ndarray, n: int, recall: float, key: str) -> int:
+    """How many cells hold the share ``recall`` of the true nearest of the questions, on average."""
+    unit = asked / np.linalg.norm(asked, axis=1, keepdims=True)
+
+    def best(batches):
+        held = None
+        for batch in batches:
+            rows = np.stack(batch["embedding"].to_numpy()).astype(np.float64)
+            cosine = (rows / np.linalg.norm(rows, axis=1, keepdims=True)) @ unit.T
+            new = pd.concat(
+                [pd.DataFrame({"q": q, "cell": batch["cell"], "cosine": cosine[:, q]}).nlargest(n, "cosine") for q in range(len(unit))]
+            )
+            held = new if held is None else pd.concat([held, new]).sort_values("cosine", ascending=False).groupby("q").head(n)
+        if held is not None:
+            yield held
+
+    found = indexed.select("cell", "embedding").mapInPandas(best, "q long, cell long, cosine double").toPandas()  # n rows a question and task
+    found = found.sort_values("cosine", ascending=False).groupby("q").head(n)
+    place = np.argsort(_cell_order(centers, asked), axis=1)  # place[q, cell]: how manieth the cell is read
+    needed = np.sort(place[found["q"].to_numpy(int), found["cell"].to_numpy(int)])
+    return int(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]) + 1
+
+
+def ann_top(spark: SparkSession, path: str, query: Sequence[float], n: int = 30, key: str = "claim_id") -> DataFrame:
+    """About the n nearest rows: exact distances over the cells nearest to the query; n rows whenever there are as many.
 
-    Only those cells' files are read. May give fewer than n rows when the cells hold fewer.
+    Reads the cells the index was measured to need, and more while they hold fewer than n rows.
     """
-    points = np.asarray(centers, dtype=np.float64)
-    asked = np.asarray(query, dtype=np.float64)
-    lengths = np.linalg.norm(points, axis=1)
-    cosine = np.divide(points @ asked, lengths, out=np.full(len(points), -np.inf), where=lengths > 0)
-    nearest = np.argsort(-cosine, kind="stable")[:probes]
-    return vector_top(indexed.where(F.col("cell").isin([int(c) for c in nearest])).drop("cell"), query, n, key)
+    cells = spark.read.parquet(f"{path}/centers").orderBy("cell").collect()  # one row a cell
+    order = _cell_order(np.array([c["center"] for c in cells]), np.asarray([query], dtype=np.float64))[0]
+    taken, held = [], 0
+    for cell in order.tolist():
+        if len(taken) >= cells[0]["probes"] and held >= n:
+            break
+        taken.append(cell)
+        held += cells[cell]["n"]
+    indexed = spark.read.parquet(f"{path}/rows").where(F.col("cell").isin(taken)).drop("cell")
+    return vector_top(indexed, query, n, key)

@@ -20,9 +20,8 @@ def _small(df: DataFrame, limit: int | None) -> DataFrame:
 
 
 def last_dispositions(events: DataFrame) -> DataFrame:
-    """The time of each claim's last disposition. Cast before the max, so it stays a hash aggregate."""
-    ts = F.col("disposition_ts").try_cast("timestamp")
-    return events.groupBy("claim_id").agg(F.max(ts).alias("last_disposition_ts"))
+    """The time and event of each claim's last disposition."""
+    return latest_dispositions(events).drop("status")
 
 
 def current_state(claims: DataFrame, events: DataFrame, limit: int | None = 500, updated_at: Column | None = None) -> DataFrame:
@@ -49,10 +48,11 @@ def current_state(claims: DataFrame, events: DataFrame, limit: int | None = 500,
 def insert_if_absent(state: DataFrame, new: DataFrame, key: str = "claim_id") -> DataFrame:
     """``state`` plus the rows of ``new`` whose key it lacks; rows already there stay as they are.
 
-    Repeats in ``new`` are dropped first, before anything is shuffled by the key.
+    Of repeats in ``new`` the row that is smallest, column by column in the order of ``state``, is inserted.
     """
-    missing = new.dropDuplicates([key]).join(state.select(key), key, "left_anti")
-    return state.unionByName(missing.select(state.columns))
+    missing = new.join(state.select(key), key, "left_anti")
+    one = missing.groupBy(key).agg(F.min(F.struct(*[c for c in state.columns if c != key])).alias("_row"))
+    return state.unionByName(one.select(key, "_row.*"))
 
 
 def latest_dispositions(events: DataFrame) -> DataFrame:
@@ -68,13 +68,15 @@ def latest_dispositions(events: DataFrame) -> DataFrame:
 
 
 def upsert_latest(state: DataFrame, events: DataFrame) -> DataFrame:
-    """``state`` with newer dispositions applied; a claim it lacks is added with what the event tells."""
+    """``state`` with newer dispositions applied; a claim it lacks is added with what the event tells.
+
+    Newer is the larger (last_disposition_ts, last_event_id), in one call or over many.
+    """
     newest = latest_dispositions(events).withColumnsRenamed(
         {"status": "_status", "last_disposition_ts": "_ts", "last_event_id": "_event"}
     )
     both = state.join(newest, "claim_id", "full_outer")
-    tracked = "last_event_id" in state.columns
-    old = F.struct(F.col("last_disposition_ts"), F.col("last_event_id") if tracked else F.lit(None).cast("string"))
+    old = F.struct("last_disposition_ts", "last_event_id")
     # A missing time or event sorts first, so a claim without a disposition takes any.
     newer = F.col("_event").isNotNull() & (F.struct(F.col("_ts"), F.col("_event")) > old)
     replaced = {"status": "_status", "last_disposition_ts": "_ts", "last_event_id": "_event"}
@@ -88,10 +90,12 @@ def upsert_latest(state: DataFrame, events: DataFrame) -> DataFrame:
 
 def write_back(state: DataFrame, scores: DataFrame) -> DataFrame:
     """``state`` with triage_score and triage_action from ``scores`` (claim_id and either or both columns);
-    rows without a new value keep theirs. ``scores`` has one row per claim."""
+    rows without a new value keep theirs. Of several scores for a claim the highest counts, with its action; values
+    that do not fit their column count as missing."""
     given = [c for c in ("triage_score", "triage_action") if c in scores.columns]
     types = {f.name: f.dataType for f in schemas.CLAIM_STATUS.fields}
-    new = scores.select("claim_id", *[F.col(c).cast(types[c]).alias(f"_{c}") for c in given])
+    fitting = scores.select("claim_id", F.struct(*[F.col(c).try_cast(types[c]).alias(f"_{c}") for c in given]).alias("_given"))
+    new = fitting.groupBy("claim_id").agg(F.max("_given").alias("_given")).select("claim_id", "_given.*")
     joined = state.join(new, "claim_id", "left")
     return joined.select([F.coalesce(f"_{c}", c).alias(c) if c in given else F.col(c) for c in state.columns])
 
@@ -108,7 +112,8 @@ def claim_dossier(claim_ids: DataFrame, claims: DataFrame, priority: DataFrame)
         "primary_dx",
     ).join(claim_ids.select("claim_id").distinct(), "claim_id", "left_semi")
     score = F.round("manual_review_score", 3).alias("review_score")
-    return facts.join(priority, "claim_id", "left").select(*facts.columns, score)
+    asked = priority.join(claim_ids.select("claim_id").distinct(), "claim_id", "left_semi")
+    return facts.join(asked, "claim_id", "left").select(*facts.columns, score)
 
 
 def triage_queue(priority: DataFrame, claims: DataFrame, limit: int = 25) -> DataFrame:

@@ -16,10 +16,10 @@ _SILVER_DETAIL = (
 _LINES_ONLY = f"struct<line_items:array<{schemas.LINE_ITEM}>>"
 
 
-def claims_silver(claims: DataFrame, continuation: DataFrame | None = None) -> DataFrame:
+def claims_silver(claims: DataFrame, continuation: DataFrame) -> DataFrame:
     """Claims with line_count, copay, edits_triggered and has_cob parsed out of the detail.
 
-    One parse per row and no shuffle. ``continuation`` holds further documents (claim_id, part,
+    One parse per row. ``continuation`` holds further documents (claim_id, part,
     claim_detail) of claims too long for one; their lines are counted in.
     """
     d = F.col("_d")
@@ -33,17 +33,15 @@ def claims_silver(claims: DataFrame, continuation: DataFrame | None = None) -> D
     return _count_continued(silver, continuation)
 
 
-def _count_continued(counted: DataFrame, continuation: DataFrame | None) -> DataFrame:
+def _count_continued(counted: DataFrame, continuation: DataFrame) -> DataFrame:
     """Add the lines of the continuation documents to line_count."""
-    if continuation is None:
-        return counted
     lines = F.json_array_length(F.get_json_object("claim_detail", "$.line_items"))
     more = continuation.groupBy("claim_id").agg(F.sum(lines).cast("int").alias("_more"))
     total = F.col("line_count") + F.coalesce("_more", F.lit(0))
     return counted.join(more, "claim_id", "left").withColumn("line_count", total).select(counted.columns)
 
 
-def claim_lines(claims: DataFrame, continuation: DataFrame | None = None, keep_empty: bool = False) -> DataFrame:
+def claim_lines(claims: DataFrame, continuation: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per claim line with every field of the line; ``keep_empty`` keeps claims without lines."""
     explode = F.explode_outer if keep_empty else F.explode
 
@@ -52,7 +50,7 @@ def claim_lines(claims: DataFrame, continuation: DataFrame | None = None, keep_e
         return documents.select("claim_id", explode(items).alias("item")).select("claim_id", "item.*")
 
     first = lines(claims, explode)
-    return first if continuation is None else first.union(lines(continuation, F.explode))
+    return first.union(lines(continuation, F.explode))
 
 
 def open_dispositions(events: DataFrame) -> DataFrame:
@@ -73,7 +71,7 @@ def cob_claims(claims: DataFrame) -> DataFrame:
     return detail_matches(claims, _COB, _COB_DETAIL)
 
 
-def hybrid_rows(claims: DataFrame, continuation: DataFrame | None = None) -> DataFrame:
+def hybrid_rows(claims: DataFrame, continuation: DataFrame) -> DataFrame:
     """Relational columns next to nested ones: the other payer and the number of lines."""
     schema = "struct<adjudication:struct<cob_payer:string>, line_items:array<struct<line:int>>>"
     d = F.col("_d")
@@ -89,16 +87,23 @@ def hybrid_rows(claims: DataFrame, continuation: DataFrame | None = None) -> Dat
     return _count_continued(rows, continuation)
 
 
-def denied_for_review(claims: DataFrame, limit: int = 5, continuation: DataFrame | None = None) -> DataFrame:
+def documents_of(claims: DataFrame, continuation: DataFrame) -> DataFrame:
+    """The continuation documents of a few claims, so that no others are parsed."""
+    return continuation.join(claims.select("claim_id"), "claim_id", "left_semi")
+
+
+def denied_for_review(claims: DataFrame, continuation: DataFrame, limit: int = 5) -> DataFrame:
     """The dearest denied claims that need a review, with their nested fields.
 
     The rows are chosen on the plain columns first, so only ``limit`` details are parsed.
     """
     wanted = (F.col("status") == "Denied") & (F.col("requires_manual_review").cast("int") == 1)
     top = claims.where(wanted).orderBy(F.desc("billed_amount"), "claim_id").limit(limit)
-    return hybrid_rows(top, continuation).orderBy(F.desc("billed_amount"), "claim_id")
+    return hybrid_rows(top, documents_of(top, continuation)).orderBy(F.desc("billed_amount"), "claim_id")
 
 
-def member_cob_claims(claims: DataFrame, member_id: str, continuation: DataFrame | None = None) -> DataFrame:
-    """One member's claims with coordination of benefits."""
-    return hybrid_rows(cob_claims(claims.where(F.col("member_id") == member_id)), continuation)
+def member_cob_claims(claims: DataFrame, member_id: str, continuation: DataFrame) -> DataFrame:
+    """One member's claims with coordination of benefits. Over claims written by member only the files and row
+    groups that can hold the member are read."""
+    found = cob_claims(claims.where(F.col("member_id") == member_id))
+    return hybrid_rows(found, documents_of(found, continuation))

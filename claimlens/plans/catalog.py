@@ -7,12 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimlens import schemas
 from claimlens.functions.masks import register_masks
 from claimlens.operators import governance, silver
 from claimlens.plans import metrics
 from claimlens.sources.tables import load, table_path, write
 
-CONTINUATION = "claim_documents"  # further documents of claims too long for one, where there are any
+CONTINUATION = "claim_documents"  # further documents of claims too long for one
+CLEAR_MEMBERS = "members_phi"
 
 
 @dataclass(frozen=True)
@@ -24,17 +26,17 @@ class BuiltTable:
 
 BUILT: dict[str, BuiltTable] = {
     "claims_silver": BuiltTable(
-        "Claims with the JSON detail parsed into typed columns.",
-        lambda t: silver.claims_silver(t["claims"], t.get(CONTINUATION)),
+        "What analysts ask of a claim's document, as plain columns.",
+        lambda t: silver.claims_silver(t["claims"], t[CONTINUATION]),
         needs_detail=True,
     ),
     "claim_lines": BuiltTable(
         "One row per claim line.",
-        lambda t: silver.claim_lines(t["claims"], t.get(CONTINUATION)),
+        lambda t: silver.claim_lines(t["claims"], t[CONTINUATION]),
         needs_detail=True,
     ),
     "open_dispositions_without_action": BuiltTable(
-        "Dispositions that never fired a follow-up action.", lambda t: silver.open_dispositions(t["disposition_events"])
+        "Decisions nobody acted on.", lambda t: silver.open_dispositions(t["disposition_events"])
     ),
     "claims_dollar_exposure": BuiltTable(
         "Claims and dollars by status.", lambda t: metrics.dollar_exposure(t["claims"])
@@ -50,21 +52,30 @@ BUILT: dict[str, BuiltTable] = {
 
 def materialize(spark: SparkSession, directory: str, name: str, tables: Mapping[str, DataFrame]) -> DataFrame | None:
     """Build a named table, replace it under ``directory`` and read it back; None when it came out empty."""
-    if not write(BUILT[name].build(tables), table_path(directory, name)):
+    built = BUILT[name].build(tables)
+    # The comments go into the file's schema, where every later reader finds them.
+    if not write(governance.describe(built, name), table_path(directory, name)):
         return None
     return load(spark, directory, name)
 
 
 def register(spark: SparkSession, tables: Mapping[str, DataFrame], groups: Collection[str] = ()) -> list[str]:
-    """Temporary views of the book and of every built table, and the mask functions. ``members`` is
-    what a reader of ``groups`` may see. Without a detail column on claims the tables built from it
-    are left out."""
+    """Temporary views of the book and of every built table, and the mask functions.
+
+    Views are shared by all readers of a session, so ``members`` is always the masked one. Readers in the PHI group get
+    the clear table as ``members_phi``; for any other ``groups`` that view is removed. Without a detail column on
+    claims the tables built from it are left out.
+    """
     for name in tables:
         df = tables[name]
-        view = governance.members_for(df, groups) if name == "members" else df
+        view = governance.members_for(df) if name == "members" else df
         governance.describe(view, name).createOrReplaceTempView(name)
     made = list(tables)
-    detailed = "claim_detail" in tables["claims"].columns
+    spark.catalog.dropTempView(CLEAR_MEMBERS)
+    if "members" in tables and schemas.PHI_READERS in set(groups):
+        governance.describe(tables["members"], "members").createOrReplaceTempView(CLEAR_MEMBERS)
+        made.append(CLEAR_MEMBERS)
+    detailed = "claim_detail" in tables["claims"].columns and CONTINUATION in tables
     for name, table in BUILT.items():
         if table.needs_detail and not detailed:
             continue

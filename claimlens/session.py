@@ -21,8 +21,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir.
 
-    Only a local-mode session without that setting gets a folder of its own; on a cluster a
-    machine-local folder would be invisible to the other executors, so that is refused.
+    A local-mode session without that setting, where driver and executors are one process, is given a folder of its
+    own; on a cluster such a folder would be invisible to the other executors, so that is refused.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:

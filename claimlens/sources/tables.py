@@ -51,6 +51,22 @@ def write(df: DataFrame, path: str, skip_empty: bool = True, cluster_by: Sequenc
     return True
 
 
+class KeyViolation(ValueError):
+    """A table's key column holds nulls or repeats."""
+
+
+def write_keyed(df: DataFrame, path: str, key: str, skip_empty: bool = True, cluster_by: Sequence[str] = ()) -> bool:
+    """``write`` for a table with a key: refused, and nothing replaced, when a key is null or occurs twice.
+
+    The counts per key are aggregated before their shuffle; ``df`` is read twice, so hand in something stored.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    bad = counts.where(F.col(key).isNull() | (F.col("n") > 1)).limit(1).collect()
+    if bad:
+        raise KeyViolation(f"{key} = {bad[0][key]!r} occurs {bad[0]['n']} times in {path}")
+    return write(df, path, skip_empty, cluster_by)
+
+
 def count_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One (table_name, row_count) row per table."""
     counts = [

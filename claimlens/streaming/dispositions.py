@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from claimlens import schemas
-from claimlens.operators.serving import latest_dispositions
+from claimlens.operators.serving import latest_dispositions, upsert_latest
 from claimlens.operators.silver import open_dispositions
 from claimlens.plans.metrics import action_gap
 
@@ -49,7 +50,7 @@ def keep_state(stream: DataFrame, path: str, checkpoint: str, every: str | None
 
     A batch writes its own newest disposition per claim under its batch number, so the work of a
     batch grows with the batch and not with the state, and a batch run twice replaces its own rows.
-    ``read_state`` merges the batches by the same rule.
+    ``read_changes`` and ``read_state`` merge the batches by the same rule.
     """
 
     def changes(batch: DataFrame, number: int) -> None:
@@ -59,17 +60,54 @@ def keep_state(stream: DataFrame, path: str, checkpoint: str, every: str | None
     return _triggered(writer, every).start()
 
 
-def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """(claim_id, status, last_disposition_ts, last_event_id) over all batches under ``path``."""
-    rows = spark.read.parquet(path).selectExpr(
+def _folded(path: str) -> str:
+    return f"{path.rstrip('/')}-folded"
+
+
+def _last_fold(spark: SparkSession, path: str) -> int | None:
+    """The last batch that is folded."""
+    try:
+        return spark.read.parquet(_folded(path)).agg(F.max("upto")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _changes(spark: SparkSession, path: str) -> DataFrame:
+    """What the last fold and the batches after it hold; batches that are folded are not read."""
+    batches, last = spark.read.parquet(path), _last_fold(spark, path)
+    if last is None:
+        return batches.drop("batch")
+    newer = batches.where(F.col("batch") > last).drop("batch")
+    return spark.read.parquet(f"{_folded(path)}/upto={last}").select(newer.columns).union(newer)
+
+
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """(claim_id, status, last_disposition_ts, last_event_id): the newest disposition of each streamed claim."""
+    rows = _changes(spark, path).selectExpr(
         "claim_id", "status as disposition", "last_disposition_ts as disposition_ts", "last_event_id as event_id"
     )
     return latest_dispositions(rows)
 
 
-def compact_state(spark: SparkSession, path: str, into: str) -> None:
-    """Write the merged state as the single batch of a new folder; point readers there when it is done."""
-    read_state(spark, path).write.mode("errorifexists").parquet(f"{into}/batch=-1")
+def read_state(spark: SparkSession, path: str, state: DataFrame) -> DataFrame:
+    """The serving state as of now: ``state`` from before the stream, with everything streamed since."""
+    rows = _changes(spark, path).selectExpr(
+        "claim_id", "status as disposition", "last_disposition_ts as disposition_ts", "last_event_id as event_id"
+    )
+    return upsert_latest(state, rows)
+
+
+def compact_state(spark: SparkSession, path: str) -> None:
+    """Fold the batches written so far into one, next to them; readers take it from then on.
+
+    The stream goes on writing its batches where it did, and its later batches are read on top of the fold, so nothing
+    is missed whether or not it is running. Batches that are folded may be deleted once no reader is at them.
+    """
+    upto = spark.read.parquet(path).agg(F.max("batch")).first()[0]
+    if _last_fold(spark, path) != upto:
+        read_changes(spark, path).write.mode("overwrite").parquet(f"{_folded(path)}/upto={upto}")
 
 
 def gap_stream(stream: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions import text
 from claimlens.functions.vectors import cosine_distance, format_vector, parse_vector
-from claimlens.operators import retrieval
+from claimlens.operators import retrieval, serving
 
 
 def array(values):
@@ -65,7 +65,7 @@ def test_array_and_arrow_distances_agree(notes, vectors):
 
 
 def brute_bm25(docs, terms):
-    words = {k: [w for w in re.findall("[a-z]+", (t or "").lower()) if w not in text.STOP_WORDS] for k, t in docs.items()}
+    words = {k: [w for w in re.findall(r"[^\W_]+(?:[.][^\W_]+)*", (t or "").lower()) if w not in text.STOP_WORDS] for k, t in docs.items()}
     known = {k: w for k, w in words.items() if docs[k] is not None}
     mean = sum(len(w) for w in known.values()) / len(known)
     score = {}
@@ -104,58 +104,93 @@ def test_word_parts_do_not_match(spark):
     assert [r.claim_id for r in retrieval.keyword_top(notes, "paid").collect()] == ["b"]
 
 
-def test_hybrid_is_reciprocal_rank_fusion(notes, vectors):
+@pytest.mark.parametrize("query", ["denied claim", "The LATE filing", "paid"])
+def test_words_table_gives_the_same_ranks(spark, notes, tmp_path, query):
+    path = str(tmp_path / "words")
+    retrieval.write_words(notes.where("narrative is not null"), path)
+    scanned = retrieval.keyword_top(notes.where("narrative is not null"), query, 20).select("claim_id", "score", "rk")
+    assert rows(retrieval.words_top(spark, path, query, 20), "rk") == rows(scanned, "rk")
+    assert retrieval.words_top(spark, path, "zebra").isEmpty() and retrieval.words_top(spark, path, "the of").isEmpty()
+
+
+def test_codes_and_accents_are_words(spark):
+    told = [("a", "CPT 99213, diagnosis E11.9."), ("b", "CPT 99214, diagnosis E11"), ("c", "für 99213"), ("d", "fur.")]
+    notes = spark.createDataFrame(told, "claim_id string, narrative string")
+    found = lambda q: [r.claim_id for r in retrieval.keyword_top(notes, q).orderBy("claim_id").collect()]
+    assert found("99213") == ["a", "c"] and found("cpt 99213") == ["a"]
+    assert found("e11.9") == ["a"] and found("E11") == ["b"]
+    assert found("FÜR") == ["c"] and found("fur") == ["d"]
+
+
+def test_hybrid_is_reciprocal_rank_fusion(spark, notes, vectors, tmp_path):
+    path = str(tmp_path / "words")
+    retrieval.write_words(notes.where("narrative is not null"), path)
     near = {r.claim_id: r.rk for r in retrieval.vector_top(notes, vectors[3], 30).collect()}
-    worded = {r.claim_id: r.rk for r in retrieval.keyword_top(notes, "denied claim", 30).collect()}
+    worded = {r.claim_id: r.rk for r in retrieval.words_top(spark, path, "denied claim", 30).collect()}
     fused = {k: sum(1 / (60 + d[k]) for d in (near, worded) if k in d) for k in {*near, *worded}}
     order = sorted(fused, key=lambda k: (-round(fused[k], 5), k))[:10]
-    got = retrieval.hybrid_search(notes, vectors[3], "denied claim").collect()
+    got = retrieval.hybrid_search(notes, path, vectors[3], "denied claim").collect()
     assert [r.claim_id for r in got] == order
     assert [r.rrf_score for r in got] == [pytest.approx(fused[k], abs=1e-5) for k in order]
     assert all(r.narrative is not None for r in got)
 
 
-def test_near_search_finds_the_nearest_in_few_cells(spark, tmp_path):
-    """Forty tight groups: a few cells must hold nearly all of a row's neighbours."""
+def test_near_search_reads_few_cells_of_tight_groups(spark, tmp_path):
     chance = random.Random(8)
     middles = [[chance.gauss(0, 1) for _ in range(16)] for _ in range(40)]
     made = [(f"N{g:02d}-{i:02d}", [x + chance.gauss(0, 0.15) for x in m]) for g, m in enumerate(middles) for i in range(50)]
     made.append(("Z", [0.0] * 16))
     notes = spark.createDataFrame(made, "claim_id string, embedding array<float>")
     path = str(tmp_path / "index")
-    centers = retrieval.near_index(notes, path)
-    stored = spark.read.parquet(path)
-    assert len(centers) == 32 and stored.count() == 2000
+    retrieval.near_index(notes, path, rows_per_cell=60)
+    centers = spark.read.parquet(f"{path}/centers")
+    assert centers.count() == 34 and centers.agg(F.sum("n")).first()[0] == 2000
+    assert centers.first().probes < 12
     found = 0
     for g in (0, 13, 27, 39):
         query = made[g * 50][1]
         exact = {r.claim_id for r in retrieval.vector_top(notes, query).collect()}
-        near = retrieval.ann_top(stored, centers, query, probes=4)
-        assert "PartitionFilters: [cell" in near._jdf.queryExecution().toString()
+        near = retrieval.ann_top(spark, path, query)
+        assert re.search(r"PartitionFilters: \[[^]]*cell#", near._jdf.queryExecution().toString())
         got = near.collect()
-        assert got[0].claim_id == made[g * 50][0]
+        assert got[0].claim_id == made[g * 50][0] and len(got) == 30
         found += len(exact & {r.claim_id for r in got})
     assert found / 120 >= 0.95
+    assert retrieval.ann_top(spark, path, made[0][1], n=1500).count() == 1500  # more cells are read until there are enough
 
 
-def test_near_search_over_every_cell_is_exact(spark, sf_dir, tmp_path):
+def test_near_search_on_given_vectors(spark, sf_dir, tmp_path):
     raw = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     vectors = raw.select(F.col("vec_id").cast("string").alias("claim_id"), "embedding")
-    query = vectors.where("claim_id = '17'").first().embedding
     path = str(tmp_path / "index")
-    centers = retrieval.near_index(vectors, path, cells=8)
-    exact = [r.claim_id for r in retrieval.vector_top(vectors, query).collect()]
-    assert [r.claim_id for r in retrieval.ann_top(spark.read.parquet(path), centers, query, probes=8).collect()] == exact
+    retrieval.near_index(vectors, path, rows_per_cell=30)
+    hits = 0
+    for row in vectors.where("cast(claim_id as int) % 25 = 0").collect():
+        exact = {r.claim_id for r in retrieval.vector_top(vectors, row.embedding).collect()}
+        got = {r.claim_id for r in retrieval.ann_top(spark, path, row.embedding).collect()}
+        assert len(got) == 30
+        hits += len(exact & got)
+    assert hits / (30 * 20) >= 0.9
+
+
+def test_vectors_of_another_width_have_no_distance(spark):
+    made = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0]), ("c", None)], "claim_id string, embedding array<float>")
+    assert rows(retrieval.vector_top(made, [2.0, 0.0]).select("claim_id", "distance")) == [("a", 0.0)]
 
 
-def test_narrative_vectors(spark):
+def test_narrative_vectors_and_questions_share_a_space(spark):
     told = spark.createDataFrame([("a", "denied claim"), ("b", "paid claim"), ("c", "")], "claim_id string, narrative string")
-    made = retrieval.narrative_vectors(told, 32)
-    assert dict(made.dtypes)["embedding"] == "array<float>"
+    weights = retrieval.vector_weights(told, 32)
+    made = retrieval.claim_notes(told, weights)
+    assert made.columns == ["claim_id", "narrative", "embedding", "tokens"] and dict(made.dtypes)["embedding"] == "array<float>"
     got = {r.claim_id: r.embedding for r in made.collect()}
     assert all(len(v) == 32 for v in got.values())
     assert sum(x * x for x in got["a"]) == pytest.approx(1, abs=1e-5)
     assert not any(got["c"])
+    asked = retrieval.embed_query("DENIED claim", weights)
+    assert asked == pytest.approx(got["a"]) and retrieval.vector_top(made, asked, 1).first().claim_id == "a"
+    later = serving.insert_if_absent(made, retrieval.claim_notes(told.union(spark.createDataFrame([("d", "paid")], told.schema)), weights))
+    assert later.count() == 4
 
 
 def test_vector_text(spark):

@@ -34,7 +34,7 @@ def test_tiers(spark):
 
 @pytest.fixture(scope="module")
 def trained(spark, sf_dir):
-    features = queries._stored(spark, queries.features(spark, sf_dir), "features")
+    features = queries.features(spark, sf_dir).persist()
     model, auc = scoring.train_review_model(features, rounds=10)
     return features, model, auc
 
@@ -67,3 +67,9 @@ def test_free_text_is_not_a_category(spark, monkeypatch):
     made = frame(spark, "claims", [claim(i, denial_reason=f"reason {i}") for i in range(200)])
     with pytest.raises(ValueError, match="denial_reason"):
         scoring.train_review_model(scoring.review_features(made))
+
+
+def test_fit_rows_are_bounded(spark):
+    ids = spark.range(20000).select(F.concat(F.lit("C"), "id").alias("claim_id"))
+    assert abs(scoring._at_most(ids, 5000).count() - 5000) < 400
+    assert scoring._at_most(ids, 20000).count() == 20000

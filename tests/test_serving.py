@@ -166,3 +166,30 @@ def test_replies(spark):
         "rationale": "late filing",
     }
     assert bad.columns == ["claim_id", "reply", "reason"]
+
+
+def test_state_never_rolls_back_on_equal_times(spark, claims, events):
+    """Two events of one time, in one call, in two, and in the wrong order: the larger event stays."""
+    state = serving.current_state(claims, events)
+    made = {n: frame(spark, "disposition_events", [event(n, "C1", "2024-05-01T00:00:00", s)]) for n, s in ((21, "Paid"), (22, "Denied"))}
+    at_once = serving.upsert_latest(state, made[21].union(made[22]))
+    for first, second in ((21, 22), (22, 21)):
+        twice = serving.upsert_latest(serving.upsert_latest(state, made[first]), made[second])
+        assert rows(twice.where("claim_id = 'C1'").select("status", "last_event_id")) == [("Denied", "E22")]
+        assert twice.exceptAll(at_once).isEmpty()
+    assert rows(at_once.where("claim_id = 'C1'").select("claim_detail"))[0][0] is not None
+
+
+def test_repeated_scores_and_inserts_have_one_winner(spark, claims, events):
+    state = serving.current_state(claims, events)
+    scores = spark.createDataFrame([("C1", 0.2, "none"), ("C1", 0.9, "appeal_route"), ("C2", 7e9, "none")], "claim_id string, triage_score double, triage_action string")
+    after = serving.write_back(state, scores)
+    assert after.count() == state.count()
+    assert rows(after.where("claim_id <= 'C2'").select("claim_id", "triage_score", "triage_action"), "claim_id") == [
+        ("C1", Decimal("0.9000"), "appeal_route"),
+        ("C2", None, "none"),
+    ]
+    new = [claim(9, billed_amount=b) for b in (5.0, 3.0, 4.0)]
+    offered = serving.current_state(frame(spark, "claims", new), events, None, F.lit("2024-01-01").cast("timestamp"))
+    both = serving.insert_if_absent(state, offered.repartition(3))
+    assert rows(both.where("claim_id = 'C9'").select("billed_amount")) == [(Decimal("3.00"),)]

@@ -22,7 +22,7 @@ SETTINGS = {
 QUERIES = """claims_silver claim_lines hybrid_rows cob_claims features current_state current_state_all insert_if_absent
 latest_state latest_updates stream_state claim_dossier orphan_checks update_orphans key_checks constraint_report
 claims_members_providers events_with_claims narratives mean_score_by_status triage_queue score_writeback
-keyword_top30 vector_top30 hybrid_search quality_report""".split()
+keyword_top30 vector_top30 hybrid_search stored_line_counts written_claims stream_changes""".split()
 
 
 @pytest.fixture(scope="module")

@@ -4,9 +4,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from claimlens.operators.serving import latest_dispositions, upsert_latest
+from claimlens.operators.serving import current_state, latest_dispositions, upsert_latest
 from claimlens.plans.metrics import action_gap
-from claimlens.sources import book
+from checks import book
 from claimlens.streaming import dispositions
 
 
@@ -30,13 +30,36 @@ def test_state_with_late_and_repeated_events(spark, updates, tmp_path):
         land(updates, folder, part)
         dispositions.keep_state(dispositions.disposition_stream(spark, folder), path, log).awaitTermination()
     want = rows(latest_dispositions(updates), "claim_id")
-    assert rows(dispositions.read_state(spark, path), "claim_id") == want
-    dispositions.compact_state(spark, path, str(tmp_path / "compact"))
-    assert rows(dispositions.read_state(spark, str(tmp_path / "compact")), "claim_id") == want
-    empty = dispositions.read_state(spark, path).limit(0)
+    assert rows(dispositions.read_changes(spark, path), "claim_id") == want
+    empty = dispositions.read_changes(spark, path).limit(0)
     assert rows(upsert_latest(empty, updates), "claim_id") == want
 
 
+def test_batches_after_a_fold_are_read(spark, updates, tmp_path):
+    folder, path, log = str(tmp_path / "in"), str(tmp_path / "state"), str(tmp_path / "log")
+    for part in (2, 0, 1):
+        land(updates, folder, part)
+        dispositions.keep_state(dispositions.disposition_stream(spark, folder), path, log).awaitTermination()
+        want = rows(latest_dispositions(spark.read.parquet(folder)), "claim_id")
+        assert rows(dispositions.read_changes(spark, path), "claim_id") == want
+        dispositions.compact_state(spark, path)
+        dispositions.compact_state(spark, path)
+        assert rows(dispositions.read_changes(spark, path), "claim_id") == want
+
+
+def test_streamed_state_equals_the_batch_state(spark, sf_dir, updates, tmp_path):
+    made = book.derived_book(spark, sf_dir)
+    claims = made["claims"].withColumn("claim_detail", F.lit("{}"))
+    state = current_state(claims, made["disposition_events"], None, F.lit("2024-01-01").cast("timestamp"))
+    folder, path = str(tmp_path / "in"), str(tmp_path / "state")
+    land(updates, folder, 0)
+    land(updates, folder, 1)
+    dispositions.keep_state(dispositions.disposition_stream(spark, folder), path, str(tmp_path / "log")).awaitTermination()
+    streamed, batch = dispositions.read_state(spark, path, state), upsert_latest(state, spark.read.parquet(folder))
+    assert streamed.columns == batch.columns and "claim_detail" in batch.columns
+    assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
+
+
 def test_state_survives_a_rerun_batch(spark, updates, tmp_path):
     """A batch that ran but was not recorded runs again under its number and replaces its rows."""
     folder, path = str(tmp_path / "in"), str(tmp_path / "state")
@@ -85,4 +108,4 @@ def test_state_kept_at_an_interval(spark, updates, tmp_path):
     finally:
         running.stop()
     want = rows(latest_dispositions(spark.read.parquet(folder)), "claim_id")
-    assert rows(dispositions.read_state(spark, path), "claim_id") == want
+    assert rows(dispositions.read_changes(spark, path), "claim_id") == want

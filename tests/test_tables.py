@@ -5,10 +5,11 @@ from conftest import claim, frame, rows
 from pyspark.sql import functions as F
 
 from claimlens import schemas, session
-from claimlens.functions.sizing import evaluated_once, is_small, number_group_parts
-from claimlens.operators import silver
+from claimlens.functions.sizing import evaluated_once
+from claimlens.operators import governance, silver
 from claimlens.plans import catalog
-from claimlens.sources import book, tables
+from claimlens.sources import tables
+from checks import book, queries
 
 
 def test_write_replaces_schema_and_skips_empty(spark, tmp_path):
@@ -69,48 +70,63 @@ def test_book_tables_have_declared_columns(spark, sf_dir):
     made = book.derived_book(spark, sf_dir)
     for name in ["members", "providers", "disposition_events", "prior_authorizations", "eligibility"]:
         assert [(f.name, f.dataType) for f in made[name].schema] == [(f.name, f.dataType) for f in schemas.TABLES[name]]
-    claims, _ = book.claims_with_detail(spark, sf_dir)
+    claims, _ = book.claims_with_detail(spark, sf_dir, session.new_dir(spark, "book"))
     assert [(f.name, f.dataType) for f in claims.schema] == [(f.name, f.dataType) for f in schemas.CLAIMS]
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_hot_group_is_split_and_whole(spark, broadcast_rows):
-    """One key holds a third of the rows, many of them equal; both ways of joining the hot keys."""
-    hot = spark.range(3000).select(F.lit(1).alias("k"), (F.col("id") % 3).alias("v"))
-    cold = spark.range(6000).select((F.col("id") % 3000 + 2).cast("int").alias("k"), F.col("id").alias("v"))
-    df = hot.union(cold)
-    parted, split = number_group_parts(df, "k", 100, broadcast_rows=broadcast_rows)
-    assert split
-    sizes = parted.groupBy("k", "part").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 100
-    assert sizes.where("k = 1").agg(F.sum("count")).first()[0] == 3000
-    assert sizes.where("k <> 1").agg(F.max("part"), F.sum("count")).first() == (0, 6000)
-    assert parted.select("k", "v").exceptAll(df).isEmpty()
-
-
-def test_no_hot_group_is_left_alone(spark):
-    parted, split = number_group_parts(spark.range(10).withColumn("k", F.col("id") % 2), "k", 5)
-    assert not split and parted.where("part <> 0").isEmpty()
+def same(a, b):
+    return a.count() == b.count() and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
 def test_long_claims_continue_in_further_documents(spark, sf_dir):
     """With a tiny document limit every count and every line must still be there."""
-    whole, none = book.claims_with_detail(spark, sf_dir)
-    short, more = book.claims_with_detail(spark, sf_dir, max_lines=4)
-    assert none is None and more is not None
+    whole, none = book.claims_with_detail(spark, sf_dir, session.new_dir(spark, "whole"))
+    short, more = book.claims_with_detail(spark, sf_dir, session.new_dir(spark, "short"), max_lines=4)
+    assert none.isEmpty() and not more.isEmpty()
     longest = F.max(F.json_array_length(F.get_json_object("claim_detail", "$.line_items")))
     assert short.agg(longest).first()[0] < whole.agg(longest).first()[0]
     columns = ["claim_id", "line_count", "copay", "has_cob", "provider_id"]
-    a, b = silver.claims_silver(whole).select(columns), silver.claims_silver(short, more).select(columns)
-    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-    a, b = silver.claim_lines(whole), silver.claim_lines(short, more)
-    assert a.count() == b.count() and a.exceptAll(b).isEmpty()
-    a, b = silver.hybrid_rows(whole), silver.hybrid_rows(short, more)
-    assert a.exceptAll(b).isEmpty()
-
-
-def test_is_small(spark):
-    assert is_small(spark.range(5), 5) and not is_small(spark.range(6), 5)
+    assert same(silver.claims_silver(whole, none).select(columns), silver.claims_silver(short, more).select(columns))
+    assert same(silver.claim_lines(whole, none), silver.claim_lines(short, more))
+    assert same(silver.hybrid_rows(whole, none), silver.hybrid_rows(short, more))
+
+
+@pytest.fixture(scope="module")
+def hot_order(spark, sf_dir, tmp_path_factory):
+    """Tables in which one order has a third of all lines, many of them equal, in many files."""
+    folder = str(tmp_path_factory.mktemp("hot"))
+    for name in ["orders", "customer", "supplier", "events"]:
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    hot = F.col("l_partkey") % 3 == 0
+    lines = lines.withColumn("l_orderkey", F.when(hot, F.lit(5)).otherwise(F.col("l_orderkey")).cast("bigint"))
+    lines.union(lines.where("l_orderkey = 5").limit(300)).repartition(12).write.parquet(f"{folder}/lineitem.parquet")
+    return folder
+
+
+def test_stored_book_keeps_every_line_of_a_hot_order(spark, hot_order):
+    """Two jobs under two partition counts write the tables; lines, counts and documents are whole and the same."""
+    want = rows(spark.read.parquet(f"{hot_order}/lineitem.parquet").groupBy("l_orderkey").count(), "l_orderkey")
+    for parts, bytes_ in (("3", "64k"), ("7", "128m")):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+        try:
+            folder = session.new_dir(spark, "book")
+            queries.write_book(spark, hot_order, folder, max_lines=50)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        stored = tables.stored_book(spark, folder)
+        number = F.substring("claim_id", 2, 9).cast("bigint").alias("k")
+        for name in ("claims_silver", "claim_lines"):
+            catalog.materialize(spark, folder, name, stored)
+        lines = tables.load(spark, folder, "claim_lines")
+        assert rows(lines.groupBy(number).count(), "k") == want
+        counted = tables.load(spark, folder, "claims_silver").where("line_count > 0").select(number, F.col("line_count").cast("bigint"))
+        assert rows(counted, "k") == want
+        assert stored["claim_documents"].select("claim_id").distinct().count() == 1
+        raw = spark.read.parquet(f"{hot_order}/lineitem.parquet").select("l_linenumber", "l_extendedprice")
+        assert same(lines.select("line", "charge"), raw.toDF("line", "charge"))
 
 
 def test_evaluated_once_keeps_rows(spark):
@@ -139,13 +155,16 @@ def test_materialize_and_register(spark, sf_dir, tmp_path):
     assert "denial_reason_dollars" in names and "claims_silver" not in names
     assert spark.sql("SELECT count(*) FROM members WHERE member_ssn NOT LIKE 'XXX-XX-%'").first()[0] == 0
     catalog.register(spark, made, {schemas.PHI_READERS})
-    assert spark.sql("SELECT count(*) FROM members WHERE member_ssn LIKE 'XXX-XX-%'").first()[0] == 0
+    assert spark.sql("SELECT count(*) FROM members WHERE member_ssn NOT LIKE 'XXX-XX-%'").first()[0] == 0
+    assert spark.sql("SELECT count(*) FROM members_phi WHERE member_ssn LIKE 'XXX-XX-%'").first()[0] == 0
+    catalog.register(spark, made)
+    assert not spark.catalog.tableExists("members_phi")
     meta = {f.name: f.metadata for f in spark.table("claims").schema}
     assert "comment" in meta["billed_amount"]
 
 
 def test_built_tables_count_continued_documents(spark, sf_dir, tmp_path):
-    short, more = book.claims_with_detail(spark, sf_dir, max_lines=4)
+    short, more = book.claims_with_detail(spark, sf_dir, session.new_dir(spark, "book"), max_lines=4)
     built = catalog.materialize(spark, str(tmp_path), "claims_silver", {"claims": short, catalog.CONTINUATION: more})
     lines = catalog.materialize(spark, str(tmp_path), "claim_lines", {"claims": short, catalog.CONTINUATION: more})
     assert more.columns == schemas.CLAIM_DOCUMENTS.names
@@ -155,3 +174,26 @@ def test_built_tables_count_continued_documents(spark, sf_dir, tmp_path):
 def test_materialize_skips_empty(spark, tmp_path):
     empty = {"disposition_events": frame(spark, "disposition_events", [])}
     assert catalog.materialize(spark, str(tmp_path), "open_dispositions_without_action", empty) is None
+
+
+def test_keyed_write_refuses_null_and_repeated_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert tables.write_keyed(spark.range(3), path, "id")
+    for bad in (spark.range(2).union(spark.range(1)), spark.range(1).selectExpr("cast(null as bigint) as id")):
+        with pytest.raises(tables.KeyViolation):
+            tables.write_keyed(bad, path, "id")
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_comments_stay_with_a_written_table(spark, sf_dir, tmp_path):
+    made = book.derived_book(spark, sf_dir)
+    path = tables.table_path(str(tmp_path), "claims")
+    tables.write(governance.describe(made["claims"], "claims"), path)
+    meta = {f.name: f.metadata for f in spark.read.parquet(path).schema}
+    assert "comment" in meta["status"]
+
+
+def test_kept_tables_follow_the_raw_ones(spark, hot_order):
+    before = queries._version(spark, hot_order)
+    spark.range(1).selectExpr("id as o_orderkey").write.mode("append").parquet(f"{hot_order}/extra.parquet")
+    assert queries._version(spark, hot_order) != before

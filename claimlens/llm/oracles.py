@@ -24,4 +24,17 @@ select d.doc_id, cast(len(d.ws) as bigint) as n_words, cast(coalesce(k.n_removed
 from docs d left join kept k on d.doc_id = k.doc_id
 """
 
-ORACLES = {"op1_substring_dedup": SUBSTRING_DEDUP}
+WARC = r"""
+with payloads as (select page_id, encode(coalesce(html, '')) as payload from pages),
+hashed as (select page_id, octet_length(payload) as n, sha1(payload) as hex from payloads),
+firsts as (select *, min(page_id) over (partition by hex) as first from hashed)
+select page_id, cast(n as bigint) as payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 +
+    ((cast(('0x' || substr(hex, cast(1 + 10 * (i // 8) as integer), 10)) as bigint) >> cast(35 - 5 * (i % 8) as bigint)) & 31) as integer), 1)), '')
+    as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from firsts
+"""
+
+ORACLES = {"op1_substring_dedup": SUBSTRING_DEDUP, "op7_warc": WARC}

@@ -9,6 +9,7 @@ import datetime
 import decimal
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -67,6 +68,7 @@ def main() -> int:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="compare-"))  # one machine: all threads see it
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

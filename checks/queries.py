@@ -626,9 +626,10 @@ def ann_checks(spark, sf_dir):
     """The near search against the exact one: rows found, rows with their exact distance, and the share of the true nearest found."""
     near = retrieval.ann_top(spark, _index(spark, sf_dir), _asked(spark, sf_dir)).select("claim_id", "distance")
     exact = retrieval.vector_top(_notes(spark, sf_dir), _asked(spark, sf_dir)).select("claim_id", "distance")
-    every = retrieval.vector_top(_notes(spark, sf_dir), _asked(spark, sf_dir), 1_000_000).select("claim_id", F.col("distance").alias("true"))
+    told = _notes(spark, sf_dir).join(near.select("claim_id"), "claim_id", "left_semi")
+    true = retrieval.vector_top(told, _asked(spark, sf_dir)).select("claim_id", F.col("distance").alias("true"))
     found = near.agg(F.count(F.lit(1)).alias("rows_found"))
-    right = near.join(every, "claim_id").agg(F.count_if(F.col("distance") == F.col("true")).alias("exact_distances"))
+    right = near.join(true, "claim_id").agg(F.count_if(F.col("distance") == F.col("true")).alias("exact_distances"))
     hits = near.join(exact, "claim_id", "left_semi").agg((F.count(F.lit(1)) / F.lit(30) >= 0.9).alias("good_recall"))
     return found.crossJoin(right).crossJoin(hits)  # three single rows
 

@@ -193,6 +193,11 @@ def test_comments_stay_with_a_written_table(spark, sf_dir, tmp_path):
     assert "comment" in meta["status"]
 
 
+def test_streams_read_tables_of_many_files(spark, hot_order):
+    events = book.derived_book(spark, hot_order)["disposition_events"]
+    assert same(queries.stream_bronze(spark, hot_order), events)
+
+
 def test_kept_tables_follow_the_raw_ones(spark, hot_order):
     before = queries._version(spark, hot_order)
     spark.range(1).selectExpr("id as o_orderkey").write.mode("append").parquet(f"{hot_order}/extra.parquet")

@@ -164,7 +164,7 @@ def fingerprint_links(marks: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.coalesce(slices, F.lit(1)) - 1))
     dealt = rows.join(hot, "bucket", "left").select("bucket", "bits", "pivots", own.alias("own"), other.alias("other"))
     dealt = dealt.select(
-        "bucket", (F.least("own", "other") * 1_000_000 + F.greatest("own", "other")).cast("long").alias("part"), "bits", "pivots"
+        "bucket", (F.least("own", "other").cast("long") * (1 << 31) + F.greatest("own", "other")).alias("part"), "bits", "pivots"
     )
 
     def run(batches):

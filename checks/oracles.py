@@ -426,6 +426,11 @@ oracle(
     case when has_cob then 'true' else 'false' end as has_cob, requires_manual_review as label
     from claims c join detail d on c.claim_id = d.claim_id""",
 )
+oracle(
+    "model_inputs",
+    """select claim_id, cast(5 as double) as marked,
+    round((billed_amount - avg(billed_amount) over ()) / stddev_samp(billed_amount) over (), 6) as amount from claims""",
+)
 oracle("stream_bronze", "select * from disposition_events")
 oracle("stream_open", "select * from disposition_events where not downstream_action_fired")
 oracle("stream_state", _LATEST_STATE)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -647,6 +648,15 @@ def features(spark, sf_dir):
     return scoring.review_features(stored(spark, sf_dir)["claims"])
 
 
+@query
+def model_inputs(spark, sf_dir):
+    """What the trees learn from: how many of a claim's categories are marked, and its amount in standard deviations."""
+    rows = features(spark, sf_dir)
+    made = Pipeline(stages=scoring.model_stages(1, 1, 0.1, 42)[:-1]).fit(rows).transform(rows)
+    marked = reduce(lambda a, b: a + b, [F.aggregate(vector_to_array(f"{c}_hot"), F.lit(0.0), lambda t, x: t + x) for c in scoring.CATEGORIES])
+    return made.select("claim_id", marked.alias("marked"), F.round(vector_to_array("amount_scaled")[0], 6).alias("amount"))
+
+
 def _score_folder(spark, sf_dir) -> str:
     """The trained model, its AUC on claims held out, and the score table."""
 

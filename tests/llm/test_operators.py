@@ -593,3 +593,17 @@ def test_empty_tables(spark, none):
     assert mixing.mix(none).count() == 0
     assert pii.annotated(none).count() == 0
     assert pii.redacted(none).count() == 0
+
+
+def test_a_third_of_the_rows_are_copies_from_one_source(spark):
+    base = words(70, 7000)
+    texts = [(k, base if k % 3 == 0 else words(30 + k % 40, 7100 + k), "hot" if k % 3 == 0 else f"s{k % 5}") for k in range(150)]
+    docs = documents(spark, texts).repartition(6)
+    rows = [(k, t) for k, t, _ in texts]
+    assert sorted((tuple(r) for r in substring.remove_repeats(docs).collect()), key=repr) == brute_removal(rows)
+    prints = [brute_fingerprint(t) for _, t in rows]
+    component = brute_components([k for k, _ in rows], prints)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert got == {k: c for (k, _), c in zip(rows, component)}
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == sorted(set(component))
+    check_mix(mixing.mix(docs).collect(), texts)

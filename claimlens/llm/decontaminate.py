@@ -14,7 +14,7 @@ SEED_WORDS = 3
 #: Fewer words than this are no evidence of a leak.
 MIN_ITEM_WORDS = 5
 WORD_CELLS = 1 << 20
-SEED_BITS = 1 << 22
+SEED_BITS = 1 << 24
 #: A seed is rare if chance alone would put it into fewer than one in a thousand documents.
 RARE = 1e-3
 THRESHOLD = 0.5
@@ -32,7 +32,7 @@ def plain_words(text: bytes | None) -> list[bytes]:
 
 def word_keys(words: list[bytes]) -> np.ndarray:
     digest = xxhash.xxh64_digest
-    return np.frombuffer(b"".join([digest(w) for w in words]), ">u8").astype(np.uint64)
+    return np.frombuffer(b"".join([digest(w) for w in words]), "<u8")
 
 
 def seed_keys(keys: np.ndarray) -> np.ndarray:
@@ -44,6 +44,11 @@ def seed_keys(keys: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
+def seed_cells(seeds: np.ndarray, turn: int) -> np.ndarray:
+    """The two cells of each seed in the bitmap; a seed is looked for only where both are set."""
+    return ((seeds >> np.uint64(24 * turn)) & np.uint64(SEED_BITS - 1)).astype(np.int64)
+
+
 def _bits(df: DataFrame, cell: str, size: int) -> np.ndarray:
     """Which of ``size`` cells occur in ``df``, as booleans: at most size / 32 numbers come to the driver."""
     word = F.floor(F.col(cell) / F.lit(32)).cast("int").alias("word")
@@ -66,7 +71,7 @@ def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFra
                 if len(words) >= MIN_ITEM_WORDS and item is not None:
                     out["item_id"].append(item)
                     out["words"].append(b" ".join(words))
-                    out["cells"].append((word_keys(words) % np.uint64(WORD_CELLS)).astype(np.int64))
+                    out["cells"].append((word_keys(words) & np.uint64(WORD_CELLS - 1)).astype(np.int64))
             yield pa.RecordBatch.from_pydict(out, schema=kind)
 
     kind = pa.schema([("item_id", pa.int64()), ("words", pa.binary()), ("cells", pa.list_(pa.int64()))])
@@ -82,14 +87,13 @@ def corpus_counts(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
         flags = np.unpackbits(packed).astype(bool)
         total, words_seen, docs_seen = np.zeros(WORD_CELLS, np.int64), 0, 0
         for batch in batches:
+            met = [np.zeros(0, np.int64)]
             for text in batch.column(1):
-                keys = word_keys(plain_words(text.as_py()))
-                cell = (keys % np.uint64(WORD_CELLS)).astype(np.int64)
+                cell = (word_keys(plain_words(text.as_py())) & np.uint64(WORD_CELLS - 1)).astype(np.int64)
                 words_seen += len(cell)
                 docs_seen += 1
-                total += np.bincount(cell[flags[cell]], minlength=WORD_CELLS) if len(cell) > 1 << 16 else 0
-                if len(cell) <= 1 << 16:
-                    np.add.at(total, cell[flags[cell]], 1)
+                met.append(cell[flags[cell]])
+            total += np.bincount(np.concatenate(met), minlength=WORD_CELLS)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [
@@ -158,7 +162,8 @@ def passages(docs: DataFrame, flags: np.ndarray, reach: int) -> DataFrame:
                 words = plain_words(text.as_py())
                 keys = word_keys(words)
                 found = seed_keys(word_keys(words))
-                hits = np.flatnonzero(wanted[(found % np.uint64(SEED_BITS)).astype(np.int64)])
+                hits = np.flatnonzero(wanted[seed_cells(found, 0)])
+                hits = hits[wanted[seed_cells(found[hits], 1)]]
                 if not len(hits):
                     continue
                 seeds = found[hits]
@@ -230,7 +235,8 @@ def contaminated(
     wanted = _bits(items.select(F.explode("cells").alias("cell")), "cell", WORD_CELLS)
     weighted = written(weighted_items(items, written(corpus_counts(texts, wanted), "word-counts")), "weighted-items")
     seeds = written(rare_seeds(weighted), "seeds")
-    flags = _bits(seeds.select(F.col("seed").bitwiseAND(F.lit(SEED_BITS - 1)).alias("cell")), "cell", SEED_BITS)
+    cells = [F.call_function("shiftrightunsigned", F.col("seed"), F.lit(24 * turn)).bitwiseAND(F.lit(SEED_BITS - 1)) for turn in (0, 1)]
+    flags = _bits(seeds.select(F.explode(F.array(*cells)).alias("cell")), "cell", SEED_BITS)
     reach = int(weighted.agg(F.max(F.size("surprise"))).first()[0] or 0)
     found = written(passages(texts, flags, reach), "passages")
     pairs = found.select("passage", F.explode("seeds").alias("seed")).join(seeds, "seed").select("passage", "item_id").distinct()
@@ -245,7 +251,11 @@ def contaminated(
         for batch in batches:
             out = {name: [] for name in kind.names}
             for doc, item, start, words, item_words, surprise in zip(*(batch.column(k).to_pylist() for k in range(6))):
-                score, a, b = align(word_keys(item_words.split()), np.array(surprise), word_keys(words.split()))
+                item_keys, keys, surprise = word_keys(item_words.split()), word_keys(words.split()), np.array(surprise)
+                # No alignment scores more than the words that both sides have.
+                if surprise[np.isin(item_keys, keys)].sum() < threshold * surprise.sum():
+                    continue
+                score, a, b = align(item_keys, surprise, keys)
                 if score >= threshold:
                     for name, x in zip(kind.names, (doc, item, score, start + a, start + b)):
                         out[name].append(x)

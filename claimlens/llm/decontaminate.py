@@ -262,7 +262,7 @@ def contaminated(
             yield pa.RecordBatch.from_pydict(out, schema=kind)
 
     scored = both.mapInArrow(run, "doc_id long, item_id long, score double, start long, stop long")
-    best = F.max(F.struct("score", (-F.col("start")).alias("s"), "stop"))
+    best = F.max(F.struct(F.round("score", 6).alias("score"), (-F.col("start")).alias("s"), "stop"))
     return scored.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
-        "doc_id", "item_id", F.round("best.score", 6).alias("score"), (-F.col("best.s")).alias("start"), F.col("best.stop").alias("stop")
+        "doc_id", "item_id", F.col("best.score").alias("score"), (-F.col("best.s")).alias("start"), F.col("best.stop").alias("stop")
     )

@@ -24,9 +24,11 @@ def join_declared(
     """Join two tables on their declared key. ``left`` may be (name, frame) to go on from an earlier join.
 
     Columns of the right table that the left already has are prefixed with the right table's name.
-    A left join from the one side to the many side is made of its matched and its unmatched rows: an
-    outer join cannot split the many side when one key holds much of it, an inner join can.
+    Outer joins that keep the rows of the one side are made of their matched and their unmatched rows: an
+    outer join cannot split the many side when one key holds much of it, inner and anti joins can.
     """
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"not a declared join: {how}")
     name, frame = (left, tables[left]) if isinstance(left, str) else left
     key = declared_key(name, right)
     other = tables[right]
@@ -38,10 +40,14 @@ def join_declared(
     other = other.withColumnsRenamed(clash)
     if mine != theirs:
         other = other.withColumnRenamed(theirs, mine)
-    if how == "left" and key.parent == name:
-        alone = frame.join(other.select(mine).distinct(), mine, "left_anti")
-        return frame.join(other, mine).unionByName(alone, allowMissingColumns=True)
-    return frame.join(other, mine, how)
+    if how == "inner" or how == ("left" if key.table == name else "right"):
+        return frame.join(other, mine, how)
+    joined = frame.join(other, mine)
+    if how != "right":
+        joined = joined.unionByName(frame.join(other.select(mine).distinct(), mine, "left_anti"), allowMissingColumns=True)
+    if how != "left":
+        joined = joined.unionByName(other.join(frame.select(mine).distinct(), mine, "left_anti"), allowMissingColumns=True)
+    return joined
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

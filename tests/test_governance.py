@@ -121,6 +121,14 @@ def test_left_join_from_the_one_side_keeps_every_parent(tables):
     assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+@pytest.mark.parametrize("left, right", [("claims", "disposition_events"), ("disposition_events", "claims")])
+def test_outer_joins_equal_plain_ones(tables, left, right, how):
+    joined = joins.join_declared(tables, left, right, how)
+    plain = tables[left].join(tables[right], "claim_id", how).select(joined.columns)
+    assert joined.count() == plain.count() and joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+
+
 def test_orphans_with_a_hot_parent_key(spark):
     child = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
     parent = spark.createDataFrame([("a",)] * 50, "k string")

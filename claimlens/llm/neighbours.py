@@ -14,7 +14,7 @@ SHARD_ROWS = 4096
 QUERY_BLOCK = 256
 DEGREE = 24
 BUILD_BEAM = 48
-SEARCH_BEAM = 64
+SEARCH_BEAM = 100
 ALPHA = 1.2
 TOP = 20
 EVERY = 20
@@ -187,7 +187,8 @@ def index_shards(vectors: DataFrame, top: int = TOP, shard_rows: int = SHARD_ROW
             out["entry"].append(entry)
         return pa.Table.from_pydict(out, schema=names)
 
-    index = dealt.groupBy("shard").applyInArrow(run, "shard long, dim long, x binary, ids binary, cuts binary, graph binary, entry long")
+    # Few rows, much work: as many partitions as shards, whatever their bytes.
+    index = dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(run, "shard long, dim long, x binary, ids binary, cuts binary, graph binary, entry long")
     return written(index, "graph-shards")
 
 
@@ -200,7 +201,10 @@ def search(index: DataFrame, queries: DataFrame, top: int = TOP, beam: int = SEA
     blocks = queries.withColumn("block", F.floor(F.col("vec_id") / F.lit(QUERY_BLOCK * EVERY)))
     n_blocks = F.size("v")
     packed = blocks.groupBy("block", n_blocks.alias("dim")).agg(F.collect_list(F.struct("vec_id", "v")).alias("asked"))
-    met = index.join(packed.select(F.col("dim").alias("d"), "asked"), F.col("dim") == F.col("d"))
+    # Each block is sent to each shard, and met there: the work is dealt out by shard.
+    last = index.agg(F.coalesce(F.max("shard"), F.lit(0))).first()[0]
+    sent = packed.select("dim", "asked", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("shard"))
+    met = index.join(sent.hint("merge"), ["shard", "dim"])
     names = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches):

@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from claimlens.llm.common import id_and_text
 from claimlens.llm.linear import labelled_sample, log_loss

@@ -17,7 +17,6 @@ from claimlens.session import new_dir
 CHUNK_BYTES = 1 << 16
 ARCHIVE_BYTES = 256 << 20
 MIN_REVISIT_BYTES = 0
-EMPTY = hashlib.sha1(b"").hexdigest()
 #: The digits of RFC 4648 base32.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DATE = "2000-01-01T00:00:00Z"

@@ -148,8 +148,14 @@ def training_rows(docs: DataFrame, learnable: Column, id_col: str, text_col: str
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.col(lang_col).alias("lang"))
     texts = texts.where(learnable & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     texts = texts.where((F.octet_length("text") > 0) & (F.octet_length("text") <= MAX_SAMPLE_BYTES))
+    # Of a common language only ids of small hash are ranked: about four times as many as are wanted.
+    drawn = texts.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("draw"))
+    counts = {r["lang"]: r["n"] for r in drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
+    for lang, n in counts.items():
+        if n > 4 * per_language:
+            drawn = drawn.where((F.col("lang") != lang) | (F.col("draw") < int((1 << 40) * 4 * per_language / n)))
     place = F.row_number().over(W.partitionBy("lang").orderBy("draw", "doc_id"))
-    ids = texts.select("doc_id", "lang", F.xxhash64("doc_id").alias("draw")).withColumn("place", place).where(F.col("place") <= per_language)
+    ids = drawn.withColumn("place", place).where(F.col("place") <= per_language)
     ids = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in ids.collect()], "doc_id long, lang string")
     # As many ids as languages times per_language: a broadcast of known size.
     rows = texts.join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()

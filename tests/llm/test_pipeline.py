@@ -161,3 +161,13 @@ def test_the_given_near_copies_all_meet(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = sorted(r.doc_id for r in near.keep_one(docs).collect() if (r.text or "").split())
     assert got == expected
+
+
+def test_leaks_go_by_row_not_by_id(spark, corpus):
+    item = words(30, 1002)
+    rows = [(None, words(20, 1) + " " + item, "leak"), (None, words(40, 2), "clean"), (5, item, "leak"), (5, words(40, 3), "clean")]
+    rows += [(6, words(10, 4) + " " + item + " " + words(10, 5), "leak")] * 2 + [(7, None, "clean"), (7, "", "clean")]
+    docs = spark.createDataFrame([(k, t, "en", s, 1) for k, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_leaks(spark, docs.repartition(3), corpus)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, docs.where("source = 'clean'").collect()))

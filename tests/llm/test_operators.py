@@ -257,6 +257,23 @@ def test_mix_given_documents_over_lanes_and_shards(spark, sf_dir, monkeypatch):
     check_mix(mixing.mix(docs).collect(), [(r.doc_id, r.text, r.source) for r in docs.collect()])
 
 
+def test_mix_shares_of_many_small_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 256)
+    texts = [(k, "lo " * 250, f"a{k % 2}") for k in range(600)]  # two large sources
+    texts += [(1000 + k, words(20, 1000 + k), f"t{k:04d}") for k in range(400)]
+    texts += [(2000 + k, words(n, 2000 + k), f"u{k:04d}") for k, n in enumerate([10, 33, 70] * 20)]
+    docs = documents(spark, texts)
+    taken, sizes, targets, source_of = {}, {}, {}, {k: s for k, _, s in texts}
+    for r in mixing.mix(docs).collect():
+        source = source_of[r.doc_id]
+        taken[source], sizes[source] = taken.get(source, 0) + r.taken, r.source_size
+        targets[source] = r.target
+    stopped = [s for s in targets if targets[s] == 3 * sizes[s]]
+    assert len(stopped) > 400 and all(taken[s] == targets[s] for s in stopped)
+    assert all(abs(taken[s] - targets[s]) <= 0.01 * targets[s] for s in ("a0", "a1"))
+    assert abs(sum(taken.values()) - sum(targets.values())) <= 0.005 * sum(targets.values())
+
+
 def test_permutation_is_one(spark):
     for n in (1, 2, 7, 1000, 999983, 3 * 1000003):
         at = mixing._permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5).cast("long"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, mixing, near, pii, toxicity
+from claimlens.llm import decontaminate, mixing, pii, simhash, toxicity
 from claimlens.llm.common import fold, table, written
 
 
@@ -17,8 +17,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, five-word shingles at similarity 0.8 or more, the document with the smallest id."""
-    return near.keep_one(docs)
+    """Of each group that fingerprints of three-word shingles link at three bits or fewer, the document with the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,4 +37,49 @@ select page_id, cast(n as bigint) as payload_bytes,
 from firsts
 """
 
-ORACLES = {"op1_substring_dedup": SUBSTRING_DEDUP, "op7_warc": WARC}
+AUDIT = r"""
+with docs as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws
+  from documents
+),
+flags as (
+  select part, coalesce(l.quality = 1, false) as good, coalesce(l.toxic = 1, false) as toxic,
+    len(ws) < 200 as a, 100 * len(list_distinct(ws)) < 50 * len(ws) as b,
+    100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) as c, regexp_matches(t, '[#$%&*|]') as d,
+    coalesce(min(d.doc_id) over (partition by t) < d.doc_id, false) as e
+  from docs d left join labels l on d.doc_id = l.doc_id
+),
+tally as (select part, good, toxic, a, b, c, d, e, count(*) as n from flags group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+  select p.x || q.x || r.x || s.x || u.x as filter_order, p.x as p, q.x as q, r.x as r, s.x as s, u.x as u
+  from letters p, letters q, letters r, letters s, letters u
+  where len(list_distinct([p.x, q.x, r.x, s.x, u.x])) = 5
+),
+steps as (
+  select filter_order, step, substr(filter_order, step, 1) as x, substr(filter_order, 1, step - 1) as before
+  from orders, (select unnest([1, 2, 3, 4, 5]) as step)
+),
+met as (
+  select part, filter_order, step, x, n, good, toxic,
+    (x = 'A' and a) or (x = 'B' and b) or (x = 'C' and c) or (x = 'D' and d) or (x = 'E' and e) as fails,
+    (contains(before, 'A') and a) or (contains(before, 'B') and b) or (contains(before, 'C') and c)
+      or (contains(before, 'D') and d) or (contains(before, 'E') and e) as gone,
+    a::int + b::int + c::int + d::int + e::int = 1 as one
+  from tally, steps
+),
+told as (
+  select part, filter_order, step, x,
+    coalesce(sum(n) filter (where not fails and not gone), 0) as kept, coalesce(sum(n) filter (where fails and not gone), 0) as removed,
+    coalesce(sum(n) filter (where fails and gone), 0) as redundant, coalesce(sum(n) filter (where fails and one), 0) as unique_fails,
+    coalesce(sum(n) filter (where fails and not gone and good), 0) as good_lost,
+    coalesce(sum(n) filter (where fails and not gone and toxic), 0) as toxic_lost
+  from met group by all
+)
+select part, filter_order, cast(step as integer) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+  cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, x) as bigint) as shapley
+from told
+"""
+
+ORACLES = {"op1_substring_dedup": SUBSTRING_DEDUP, "op7_warc": WARC, "op13_filters": AUDIT}

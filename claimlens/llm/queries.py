@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontaminate, language, mixing, neighbours, pii, quality, simhash, substring, toxicity, warc
+from claimlens.llm import alignment, audit, decontaminate, language, mixing, neighbours, pii, quality, simhash, substring, tokens, toxicity, warc
 from claimlens.llm.common import fold, table
 
 
@@ -61,6 +61,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_scores(table(spark, sf_dir, "documents"))
+
+
+def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash": op2_simhash,
@@ -72,4 +84,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_pii": op9_pii,
     "op10_mixing": op10_mixing,
+    "op11_tokens": op11_tokens,
+    "op12_alignment": op12_alignment,
+    "op13_filters": op13_filters,
 }

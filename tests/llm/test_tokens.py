@@ -1,0 +1,217 @@
+"""Token counts, alignment of tokenizers and the filter audit against the libraries and brute force."""
+
+import hashlib
+from collections import Counter
+from itertools import permutations
+
+import numpy as np
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from claimlens.llm import alignment, audit, queries, tokens
+
+DOCS = "doc_id long, text string, source string, n_tokens string, pair int, place string, container int, part int, mask string, doc string"
+
+
+def frame(spark, rows, parts=3):
+    return spark.createDataFrame([(k, t, s, "x", 1, "y", 2, 3, "z", "w") for k, t, s in rows], DOCS).repartition(parts)
+
+
+def words(n, seed):
+    draw = np.random.default_rng(seed)
+    return " ".join("".join(draw.choice(["ka", "lo", "mi", "re", "tu", "sha", "ven"], 3)) for _ in range(n))
+
+
+TEXTS = [
+    None, "", " ", "a", "Hello  world, it's 42 o'clock", "tabs\tand\nlines \r\n", "<|endoftext|>", "x<|endoftext|><|endoftext|> y<|endoftex", "<s> </s> <unk> <0x41>",
+    "für 漢字 ① ﬁ \U0001f600\U0001f600", "　  \u0085", "▁ ▁▁", "ab" * 3000, "́́é", words(300, 1), words(300, 1), "   leading and trailing   ",
+    "漢字仮名交じり文" * 40, "\x00\x01 \x7f", "Z" * 5000 + " " + "=" * 700, "  \n\n  \n", words(2000, 2) + " 😀",
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(k, t, "s") for k, t in enumerate(TEXTS)] + [(None, "no id here", None), (3, "a", "s"), (3, "a", "s"), (4, "same id, other text", "s")]
+    return frame(spark, rows), rows
+
+
+def library():
+    return Tokenizer.from_file(tokens.default_vocabulary())
+
+
+def test_counts_are_the_librarys(spark, odd, sf_dir):
+    reader, (docs, rows) = library(), odd
+    given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    for found, pairs in ((tokens.token_counts(docs, limit=10), [r[:2] for r in rows]), (queries.op11_tokens(spark, sf_dir), given)):
+        limit = 10 if pairs is not given else 512
+        expected = []
+        for key, text in pairs:
+            n = len(reader.encode(text or "", add_special_tokens=False).ids)
+            expected.append((key, len((text or "").encode()), n, n > limit))
+        assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
+    assert tokens.token_counts(docs.where("false")).count() == 0
+
+
+def test_counts_of_every_code_point_and_of_random_texts():
+    reader, counter = library(), tokens.Counter(*tokens.read_merges(tokens.default_vocabulary()))
+    signs = [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000]
+    blocks = ["".join(f"a{c}{c}b {c} 1{c}  {c}" for c in signs[k : k + 64]) for k in range(0, len(signs), 64)]
+    draw = np.random.default_rng(3)
+    alphabet = np.array(list("ab 'sS\n\t1é　漢\U0001f600\u0085") + ["<|endoftext|>", "the", " of"])
+    blocks += ["".join(draw.choice(alphabet, draw.integers(0, 60))) for _ in range(3000)]
+    wanted = [len(e.ids) for e in reader.encode_batch(blocks, add_special_tokens=False)]
+    assert [counter.count(b) for b in blocks] == wanted
+
+
+def test_remembered_and_long_pieces_change_nothing(monkeypatch):
+    reader = library()
+    text = " ".join([words(500, 5), "Q" * 3000, words(500, 6)])
+    monkeypatch.setattr(tokens, "REMEMBERED", 7)
+    monkeypatch.setattr(tokens, "LONG_TEXT", 100)
+    counter = tokens.Counter(*tokens.read_merges(tokens.default_vocabulary()))
+    assert counter.count(text) == len(reader.encode(text, add_special_tokens=False).ids)
+
+
+def test_other_vocabularies_are_refused():
+    import public_tokenizers
+
+    with pytest.raises(ValueError):
+        tokens.read_merges(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def brute_alignment(pairs):
+    """Byte by byte, from the libraries' tokens alone."""
+    a, b = library(), sentencepiece.SentencePieceProcessor(model_file=alignment.default_model())
+    a.encode_special_tokens = True
+    signs = {c: bytes([k]) for c, k in tokens.byte_signs().items()}
+    out, links = [], []
+    for key, text in pairs:
+        ids_a, ids_b = a.encode(" " + (text or ""), add_special_tokens=False).ids, b.encode(text or "")
+        bytes_a = [b"".join(signs[c] for c in a.id_to_token(k)) for k in ids_a]
+        bytes_b = [bytes([int(b.id_to_piece(k)[3:5], 16)]) if b.is_byte(k) else b.id_to_piece(k).replace("▁", " ").encode() for k in ids_b]
+        wanted = b" " + (text or "").encode()
+        if not text or b"".join(bytes_a) != wanted or b"".join(bytes_b) != wanted:
+            out.append((key, 0, 0, 0, 0, ""))
+            links.append(Counter())
+            continue
+        groups, i, j, at_a, at_b, own_a, own_b = [], 0, 0, 0, 0, [], []
+        while i < len(ids_a) or j < len(ids_b):
+            if at_a <= at_b:
+                own_a.append(ids_a[i])
+                at_a, i = at_a + len(bytes_a[i]), i + 1
+            else:
+                own_b.append(ids_b[j])
+                at_b, j = at_b + len(bytes_b[j]), j + 1
+            if at_a == at_b:
+                groups.append((own_a, own_b))
+                own_a, own_b = [], []
+        told = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        links.append(Counter((x, y) for xs, ys in groups for x in xs for y in ys))
+        out.append((key, len(ids_a), len(ids_b), len(groups), sum(links[-1].values()), hashlib.sha256(told.encode()).hexdigest()))
+    counts = Counter(p for one in links for p in one)
+    top = {}
+    for (x, _), n in counts.items():
+        top[x] = max(top.get(x, 0), n)
+    rows = []
+    for row, one in zip(out, links):
+        best = sum(n for p, n in one.items() if counts[p] == top[p[0]])
+        rows.append((*row[:5], best, sum(n * counts[p] for p, n in one.items()), row[5]))
+    totals = Counter()
+    for one in links:
+        totals.update(one)
+    return rows, {p: (counts[p], totals[p], counts[p] == top[p[0]]) for p in counts}
+
+
+@pytest.mark.parametrize("places, postings, wide", [(None, None, None), (64, 500, 2)])
+def test_alignment_is_brute_force(spark, odd, sf_dir, monkeypatch, places, postings, wide):
+    docs, rows = odd
+    given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    if places:  # many small containers, whose bitmaps are soon written bit by bit, and groups of few links worked out by counts
+        monkeypatch.setattr(alignment, "PLACES", places)
+        monkeypatch.setattr(alignment, "BITS", places // 8)
+        monkeypatch.setattr(alignment, "POSTINGS", postings)
+        monkeypatch.setattr(alignment, "WIDE_GROUP", wide)
+        monkeypatch.setattr(alignment, "BATCH_BYTES", 3000)
+    for frame_, pairs in ((docs, [r[:2] for r in rows]), (spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(3), given)):
+        expected, counts = brute_alignment(pairs)
+        table = alignment.aligned(frame_)
+        got = alignment.document_scores(table, alignment.pair_counts(table)).collect()
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
+        told = {(r.a, r.b): (r.documents, r.links, r.best) for r in alignment.pair_counts(table).collect()}
+        assert told == counts
+        assert any(n > 1 for _, n, _ in counts.values())
+    assert alignment.alignment_scores(docs.where("false")).count() == 0
+
+
+def test_bitmaps_of_both_forms():
+    draw = np.random.default_rng(4)
+    for n in (0, 1, 5, 511, 512, 513, 4000):
+        places = np.sort(draw.choice(alignment.PLACES, n, replace=False)).astype("<u2")
+        bitmap = alignment.union([places[k : k + 100].tobytes() for k in range(0, n, 100)])
+        assert np.array_equal(alignment.places_of(bitmap), places) and alignment.popcount(bitmap) == n
+        assert len(bitmap) <= alignment.BITS
+    a, b = (np.array(x, "<u2").tobytes() for x in ([1, 5, 9], [5, 7]))
+    assert alignment.held([a, b]) == 4
+
+
+def brute_audit(rows, labels):
+    import re
+
+    good = {k for k, q, _ in labels if q == 1}
+    bad = {k for k, _, t in labels if t == 1}
+    first = {}
+    for key, text, _ in rows:
+        if key is not None:
+            first[text or ""] = min(key, first.get(text or "", key))
+    facts = []
+    for key, text, source in rows:
+        t = text or ""
+        ws = re.findall(r"[^\x20\x09-\x0D]+", t)
+        fails = [len(ws) < 200, 100 * len(set(ws)) < 50 * len(ws), 100 * sum("A" <= c <= "Z" for c in t) > 2 * len(t)]
+        fails += [bool(set("#$%&*|") & set(t)), key is not None and first[t] < key]
+        facts.append((source or "", {x for x, f in zip("ABCDE", fails) if f}, key in good, key in bad))
+    out = []
+    for part in {f[0] for f in facts}:
+        mine, removals = [f for f in facts if f[0] == part], Counter()
+        steps = []
+        for order in map("".join, permutations("ABCDE")):
+            for step, x in enumerate(order, 1):
+                gone = set(order[: step - 1])
+                hit = [f for f in mine if x in f[1] and not f[1] & gone]
+                removals[x] += len(hit)
+                kept = sum(not f[1] & (gone | {x}) for f in mine)
+                redundant = sum(x in f[1] and bool(f[1] & gone) for f in mine)
+                steps.append((part, order, step, kept, len(hit), redundant, sum(f[1] == {x} for f in mine), sum(f[2] for f in hit), sum(f[3] for f in hit)))
+        out += [(*s, removals[s[1][s[2] - 1]]) for s in steps]
+    return out
+
+
+def test_audit_is_brute_force(spark):
+    base = words(220, 9)
+    rows = [(k, base, "hot") for k in range(0, 60, 2)] + [(k, words(150 + 5 * k, k), f"s{k % 3}") for k in range(1, 40, 2)]
+    rows += [(101, "Up " * 230, "hot"), (102, base + " #", "hot"), (103, "A B C $", None), (104, None, None), (105, "", ""), (106, "\t \n", "s1"), (None, base, "s1")]
+    rows += [(None, base, "s1"), (0, base, "hot"), (7, "other text of a known id", "s2"), (107, words(5000, 3) * 3, "s0"), (108, "漢" * 99 + "AB", "s2"), (109, "x *", "s0")]
+    labels = [(k, int(k % 3 == 0), int(k % 7 == 0)) for k in range(0, 110, 2)] + [(2, 1, None), (None, 1, 1), (2, 0, 0), (105, None, 1), (999, 1, 1)]
+    told = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumn("mask", F.lit(3)).repartition(2)
+    docs = frame(spark, rows, 4)
+    got = [tuple(r) for r in audit.audit(docs, told).collect()]
+    assert sorted(got) == sorted(brute_audit(rows, labels))
+    assert {r[0] for r in got} == {"", "hot", "s0", "s1", "s2"} and len(got) == 5 * 600
+    assert audit.audit(docs.where("false"), told).count() == 0
+    bare = [tuple(r) for r in audit.audit(docs, told.where("false")).collect()]
+    assert sorted(bare) == sorted(brute_audit(rows, []))
+
+
+def test_potentials_give_shapley_values(spark):
+    """Three filters with planted counts: the potential's differences are the mean removals over all orders."""
+    counts = [("p", 0, 5, 0, 0), ("p", 1, 4, 1, 0), ("p", 3, 6, 2, 1), ("p", 5, 2, 0, 2), ("p", 7, 9, 4, 3), ("q", 4, 1, 1, 1)]
+    rows = audit.interactions(spark.createDataFrame(counts, "part string, mask int, n long, good long, toxic long"), "XYZ").collect()
+    assert len(rows) == 2 * 18
+    for part in "pq":
+        removed = Counter()
+        for r in (r for r in rows if r.part == part):
+            removed[r.filter_order[r.step - 1]] += r.removed
+        assert all(r.shapley == removed[r.filter_order[r.step - 1]] for r in rows if r.part == part)
+        assert sum(removed.values()) == 6 * sum(n for p, m, n, _, _ in counts if p == part and m)

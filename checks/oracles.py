@@ -218,6 +218,13 @@ oracle(
     "cob_claims",
     "select c.claim_id, member_id, status from claims c join detail d on c.claim_id = d.claim_id where has_cob",
 )
+_CONTAINS = """select c.claim_id, c.member_id, c.status from claims c join claim_base b on c.claim_id = concat('C', lpad(cast(b.k as string), 9, '0'))
+    where p % 4 = 2 and exists (select 1 from lineitem l where l.l_orderkey = b.k and l_partkey % 8 = 1 and l_partkey % 4 = 1)
+    and exists (select 1 from lineitem l where l.l_orderkey = b.k and l_suppkey % 3 = 2)"""
+oracle("contains_lines", _CONTAINS)
+oracle("variant_contains_lines", _CONTAINS)
+for _name in ("claims_silver", "claim_lines"):
+    ORACLES[_name.replace("claims", "variant").replace("claim", "variant")] = ORACLES[_name]
 _HYBRID = """select c.claim_id, member_id, status, denial_reason, billed_amount, cob_payer, line_count
     from claims c join detail d on c.claim_id = d.claim_id"""
 oracle("hybrid_rows", _HYBRID)

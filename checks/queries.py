@@ -13,7 +13,7 @@ from claimlens import schemas
 from checks import book
 from claimlens.functions.nested import detail_has_source, detail_parses
 from claimlens.functions.vectors import format_vector, norm, parse_vector
-from claimlens.operators import governance, joins, quality, replies, retrieval, scoring, serving, silver
+from claimlens.operators import governance, joins, quality, replies, retrieval, scoring, serving, silver, variants
 from claimlens.plans import catalog, metrics
 from claimlens.session import configure, new_dir
 from claimlens.sources.tables import Book, count_inventory, load, stored_book, write, write_keyed
@@ -294,6 +294,45 @@ def cob_claims(spark, sf_dir):
     return silver.cob_claims(stored(spark, sf_dir)["claims"]).select("claim_id", "member_id", "status")
 
 
+LINE_PATTERN = {"line_items": [{"cpt": "99214", "modifiers": ["25"]}, {"units": 3}], "adjudication": {"edits_triggered": ["MUE"]}}
+
+
+@query
+def contains_lines(spark, sf_dir):
+    """Claims with a line of this code and modifier, a line of three units, and this edit."""
+    claims, more = documents(spark, sf_dir)
+    return silver.detail_matches(claims, LINE_PATTERN, more).select("claim_id", "member_id", "status")
+
+
+def _details(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The claims with their details parsed into VARIANT columns when they were written."""
+    folder = _kept(spark, sf_dir, "details", lambda folder: variants.write_details(*documents(spark, sf_dir), folder))
+    return variants.read_details(spark, folder)
+
+
+@query
+def variant_silver(spark, sf_dir):
+    parsed = variants.variant_silver(*_details(spark, sf_dir))
+    return parsed.select(
+        "claim_id", "status", "billed_amount", "line_count", "copay",
+        F.array_join("edits_triggered", "|").alias("edits"), "has_cob",
+    )
+
+
+@query
+def variant_lines(spark, sf_dir):
+    lines = variants.variant_lines(*_details(spark, sf_dir))
+    return lines.withColumns(
+        {"modifiers": F.array_join("modifiers", "|"), "dx_pointers": F.array_join("dx_pointers", "|")}
+    )
+
+
+@query
+def variant_contains_lines(spark, sf_dir):
+    claims, more = _details(spark, sf_dir)
+    return silver.detail_matches(claims, LINE_PATTERN, more).select("claim_id", "member_id", "status")
+
+
 @query
 def hybrid_rows(spark, sf_dir):
     return silver.hybrid_rows(*documents(spark, sf_dir))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens import schemas
-from claimlens.functions.nested import json_contains, parse_detail
+from claimlens.functions.nested import json_contains, parse_detail, variant_contains
+from claimlens.functions.sizing import evaluated_once
 
 # The parse names only the fields it hands on, so the long line texts are skipped, not built.
 _SILVER_DETAIL = (
@@ -62,13 +65,37 @@ _COB = {"adjudication": {"coordination_of_benefits": True}}
 _COB_DETAIL = "struct<adjudication:struct<coordination_of_benefits:boolean>>"
 
 
-def detail_matches(claims: DataFrame, pattern: dict, schema: str = schemas.CLAIM_DETAIL) -> DataFrame:
-    """Claims whose detail contains ``pattern``."""
-    return claims.where(json_contains(parse_detail(schema=schema), pattern))
+def cob_claims(claims: DataFrame) -> DataFrame:
+    return claims.where(json_contains(parse_detail(schema=_COB_DETAIL), _COB, _COB_DETAIL))
+
 
+_LINES = "line_items"
 
-def cob_claims(claims: DataFrame) -> DataFrame:
-    return detail_matches(claims, _COB, _COB_DETAIL)
+
+def detail_matches(claims: DataFrame, pattern: dict, continuation: DataFrame | None = None) -> DataFrame:
+    """Claims whose detail contains ``pattern``, any JSON object.
+
+    Reads the VARIANT column ``detail`` where the claims have one, else the text, parsed once a row. Details that are no JSON contain
+    nothing. With ``continuation`` the lines of a long claim count together, whatever documents they are in: each line that
+    the pattern asks for may be in another document.
+    """
+    lines = pattern.get(_LINES)
+    split = continuation is not None and isinstance(lines, list) and bool(lines)
+    asked = [{_LINES: [line]} for line in lines] if split else []
+    rest = {k: v for k, v in pattern.items() if not (split and k == _LINES)}
+
+    def tested(documents: DataFrame, tests: dict[str, dict]) -> DataFrame:
+        value = F.col("detail") if "detail" in documents.columns else F.try_parse_json("claim_detail")
+        parsed = evaluated_once(documents.withColumn("_v", value), "_v")
+        return parsed.withColumns({name: variant_contains(F.col("_v"), p) for name, p in tests.items()}).drop("_v")
+
+    if not split:
+        return tested(claims, {"_rest": pattern}).where("_rest").drop("_rest")
+    names = [f"_line{k}" for k in range(len(asked))]
+    own = tested(claims, {"_rest": rest, **dict(zip(names, asked))}).where("_rest")
+    more = tested(continuation, dict(zip(names, asked))).groupBy("claim_id").agg(*[F.bool_or(n).alias(f"{n}_more") for n in names])
+    met = own.join(more, "claim_id", "left")
+    return met.where(reduce(Column.__and__, [F.col(n) | F.coalesce(f"{n}_more", F.lit(False)) for n in names])).select(claims.columns)
 
 
 def hybrid_rows(claims: DataFrame, continuation: DataFrame) -> DataFrame:

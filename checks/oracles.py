@@ -503,3 +503,15 @@ oracle(
     "trained_triage_checks",
     "select cast(25 as bigint) as queued, cast(0 as bigint) as paid_queued, count(*) as rows, count(*) as scored from claims",
 )
+
+# ---- the same results by other ways -----------------------------------------------------------
+
+for _name, _same in {
+    "bucketed_latest_state": "latest_state",
+    "bucketed_insert_if_absent": "insert_if_absent",
+    "bucketed_score_writeback": "score_writeback",
+    "bucketed_current_state": "current_state_all",
+    "bucketed_mean_score": "mean_score_by_status",
+    "stream_keyed_state": "stream_state",
+}.items():
+    ORACLES[_name] = ORACLES[_same]

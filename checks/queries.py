@@ -13,9 +13,10 @@ from claimlens import schemas
 from checks import book
 from claimlens.functions.nested import detail_has_source, detail_parses
 from claimlens.functions.vectors import format_vector, norm, parse_vector
-from claimlens.operators import governance, joins, quality, replies, retrieval, scoring, serving, silver, variants
+from claimlens.operators import governance, joins, keyed_state, quality, replies, retrieval, scoring, serving, silver, variants
 from claimlens.plans import catalog, metrics
 from claimlens.session import configure, new_dir
+from claimlens.sources.bucketed import read_bucketed, write_bucketed
 from claimlens.sources.tables import Book, count_inventory, load, stored_book, write, write_keyed
 from claimlens.streaming import dispositions
 
@@ -472,6 +473,72 @@ def latest_state(spark, sf_dir):
     return _shown_state(state)
 
 
+STATE_BUCKETS = 16
+
+
+def _bucketed_state(spark, sf_dir, limit=None) -> str:
+    """A folder of its own with the current state in buckets."""
+    folder = new_dir(spark, "keyed-state")
+    state = _state(spark, sf_dir, limit)
+    keyed_state.create_state(state if limit is None else state.withColumn("triage_action", F.lit("kept")), folder, buckets=STATE_BUCKETS)
+    return folder
+
+
+@query
+def bucketed_latest_state(spark, sf_dir):
+    """The disposition updates applied in four batches, each to the buckets of its own claims."""
+    folder = _bucketed_state(spark, sf_dir)
+    updates = book.derived_book(spark, sf_dir)["disposition_updates"]
+    for part in range(4):
+        batch = updates.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == part)
+        keyed_state.change_state(spark, folder, batch, serving.upsert_latest)
+    return _shown_state(keyed_state.read_state(spark, folder))
+
+
+@query
+def bucketed_insert_if_absent(spark, sf_dir):
+    folder = _bucketed_state(spark, sf_dir, 500)
+    keyed_state.change_state(spark, folder, _state(spark, sf_dir, None), serving.insert_if_absent)
+    state = _plain(keyed_state.read_state(spark, folder))
+    return state.select("claim_id", "status", "billed_amount", "triage_action", "last_disposition_ts", _detail_shown())
+
+
+@query
+def bucketed_score_writeback(spark, sf_dir):
+    folder = _bucketed_state(spark, sf_dir)
+    scores = book.derived_book(spark, sf_dir)["claim_review_priority"].select("claim_id", F.col("manual_review_score").alias("triage_score"))
+    good, _ = replies.validate_replies(_replies(spark, sf_dir))
+    for given in (scores, good.select("claim_id", "triage_action")):
+        keyed_state.change_state(spark, folder, given, serving.write_back)
+    return _plain(keyed_state.read_state(spark, folder)).select("claim_id", "status", "triage_score", "triage_action", _detail_shown())
+
+
+def _bucketed(spark, sf_dir, *names) -> list[DataFrame]:
+    """Tables of the book and the score table, bucketed by claim, once per session and state of the raw tables."""
+    def build(folder):
+        tables, priority = stored(spark, sf_dir), book.derived_book(spark, sf_dir)["claim_review_priority"]
+        for name, table in {"claims": tables["claims"], "disposition_events": tables["disposition_events"], "claim_review_priority": priority}.items():
+            write_bucketed(table, f"{folder}/{name}", "claim_id", STATE_BUCKETS)
+
+    folder = _kept(spark, sf_dir, "bucketed", build)
+    return [read_bucketed(spark, f"{folder}/{name}", "claim_id", STATE_BUCKETS) for name in names]
+
+
+@query
+def bucketed_current_state(spark, sf_dir):
+    """Claims with their last dispositions, grouped and joined without a shuffle."""
+    claims, events = _bucketed(spark, sf_dir, "claims", "disposition_events")
+    state = serving.current_state(claims, events, None, F.lit("1999-01-01").cast("timestamp"))
+    shown = ["claim_id", "status", "billed_amount", "requires_manual_review", "last_disposition_ts", "last_event_id"]
+    return _plain(state).select(*shown, _detail_shown())
+
+
+@query
+def bucketed_mean_score(spark, sf_dir):
+    priority, claims = _bucketed(spark, sf_dir, "claim_review_priority", "claims")
+    return metrics.mean_score_by_status(priority, claims)
+
+
 def _shown_state(state: DataFrame) -> DataFrame:
     return _plain(state).select("claim_id", "member_id", "status", "last_disposition_ts", "last_event_id", _detail_shown())
 
@@ -782,6 +849,14 @@ def stream_state(spark, sf_dir):
     return _shown_state(dispositions.read_state(spark, f"{folder}/table", _state(spark, sf_dir, None)))
 
 
+@query
+def stream_keyed_state(spark, sf_dir):
+    """The stream of updates into a state in buckets."""
+    folder = _bucketed_state(spark, sf_dir)
+    dispositions.keep_keyed_state(_update_stream(spark, sf_dir), folder, f"{folder}-checkpoint").awaitTermination()
+    return _shown_state(keyed_state.read_state(spark, folder))
+
+
 @query
 def stream_changes(spark, sf_dir):
     """The same stream folded while it is under way: the newest disposition of each claim."""

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from claimlens import schemas
+from claimlens.operators.keyed_state import change_state
 from claimlens.operators.serving import latest_dispositions, upsert_latest
 from claimlens.operators.silver import open_dispositions
 from claimlens.plans.metrics import action_gap
@@ -60,6 +61,19 @@ def keep_state(stream: DataFrame, path: str, checkpoint: str, every: str | None
     return _triggered(writer, every).start()
 
 
+def keep_keyed_state(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Keep a state in buckets (``keyed_state.create_state``) current: a batch rewrites the buckets of its own claims.
+
+    Late, repeated and re-run batches change nothing, as the larger (time, event id) wins whenever it comes.
+    """
+
+    def changes(batch: DataFrame, number: int) -> None:
+        change_state(batch.sparkSession, path, batch, upsert_latest)
+
+    writer = stream.writeStream.foreachBatch(changes).option("checkpointLocation", checkpoint)
+    return _triggered(writer, every).start()
+
+
 def _folded(path: str) -> str:
     return f"{path.rstrip('/')}-folded"
 

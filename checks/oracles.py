@@ -513,5 +513,6 @@ for _name, _same in {
     "bucketed_current_state": "current_state_all",
     "bucketed_mean_score": "mean_score_by_status",
     "stream_keyed_state": "stream_state",
+    "tree_top30": "vector_top30",
 }.items():
     ORACLES[_name] = ORACLES[_same]

@@ -13,7 +13,7 @@ from claimlens import schemas
 from checks import book
 from claimlens.functions.nested import detail_has_source, detail_parses
 from claimlens.functions.vectors import format_vector, norm, parse_vector
-from claimlens.operators import governance, joins, keyed_state, quality, replies, retrieval, scoring, serving, silver, variants
+from claimlens.operators import governance, joins, keyed_state, quality, replies, retrieval, scoring, serving, silver, variants, vector_tree
 from claimlens.plans import catalog, metrics
 from claimlens.session import configure, new_dir
 from claimlens.sources.bucketed import read_bucketed, write_bucketed
@@ -746,6 +746,25 @@ def ann_checks(spark, sf_dir):
     return found.crossJoin(right).crossJoin(hits)  # three single rows
 
 
+def _tree(spark, sf_dir) -> str:
+    """A tree over a third of the vectors, the others added in two batches."""
+    def make(folder):
+        rows = _notes(spark, sf_dir).select("claim_id", "embedding")
+        third = F.pmod(F.xxhash64("claim_id"), F.lit(3))
+        vector_tree.build_tree(rows.where(third == 0), folder, rows_per_leaf=25)
+        for k in (1, 2):
+            vector_tree.add_notes(rows.where(third == k), folder, f"third{k}")
+
+    return _kept(spark, sf_dir, "tree", make)
+
+
+@query
+def tree_top30(spark, sf_dir):
+    """The nearest of all notes through the tree, proved complete by its leaves' radii."""
+    near = vector_tree.tree_top(spark, _tree(spark, sf_dir), _asked(spark, sf_dir), exact=True)
+    return near.select("claim_id", "distance", "rk")
+
+
 # ---- scoring ----------------------------------------------------------------------------------
 
 

@@ -80,7 +80,7 @@ def _sampled(rows: DataFrame, share, key: str) -> DataFrame:
 
 def _fit(pointed: DataFrame, rows: int, rows_per_leaf: int, fit_rows: int, branch_rows: int, seed: int, key: str) -> Tree:
     leaves = max(1, min(FAN_OUT * FAN_OUT, rows, math.ceil(rows / rows_per_leaf)))
-    n_branches = math.ceil(math.sqrt(leaves))
+    n_branches = max(2, math.ceil(math.sqrt(leaves)))
     width = math.ceil(leaves / n_branches)
     sample = _sampled(pointed, F.lit(fit_rows / rows), key) if rows > fit_rows else pointed
     model = KMeans(featuresCol="_v", predictionCol="_b", k=n_branches, seed=seed, distanceMeasure="cosine").fit(
@@ -141,7 +141,7 @@ def _add(notes: DataFrame, path: str, tree: Tree, batch: str, key: str) -> None:
 
 
 def build_tree(
-    notes: DataFrame, path: str, rows_per_leaf: int = 2000, recall: float = 0.97, fit_rows: int = 100_000, branch_rows: int = 20_000, seed: int = 42,
+    notes: DataFrame, path: str, rows_per_leaf: int = 2000, recall: float = 0.98, fit_rows: int = 100_000, branch_rows: int = 20_000, seed: int = 42,
     key: str = "claim_id",
 ) -> None:
     """Lay ``notes`` (key, embedding and what else they hold) out below ``path`` by the leaf their vector falls in.
@@ -163,7 +163,7 @@ def build_tree(
 def add_notes(notes: DataFrame, path: str, batch: str, key: str = "claim_id") -> None:
     """Place further notes into the leaves there are, as one named batch; a batch that is added again replaces itself.
 
-    Nothing stored is read or moved: the cost is that of the batch. ``measure`` afterwards, when much has been added.
+    Nothing stored is read or moved: the cost is that of the batch. ``measure`` afterwards, when much has been added: the number of leaves to read was found on what was there.
     """
     _add(notes, path, read_tree(notes.sparkSession, path), batch, key)
 
@@ -172,7 +172,7 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/rows").drop("batch")
 
 
-def measure(spark: SparkSession, path: str, recall: float = 0.97, asked: int = 64, n: int = 30, key: str = "claim_id") -> int:
+def measure(spark: SparkSession, path: str, recall: float = 0.98, asked: int = 64, n: int = 30, key: str = "claim_id") -> int:
     """Find and keep how many leaves hold the share ``recall`` of the true ``n`` nearest of ``asked`` stored vectors, over all rows."""
     tree, stored = read_tree(spark, path), _stored(spark, path)
     numbers, centers = tree.numbers(), tree.centers()

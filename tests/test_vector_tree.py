@@ -52,6 +52,7 @@ def test_tree_before_and_after_additions(spark, clustered, tmp_path):
         if step != "built":
             for _ in range(2):
                 vector_tree.add_notes(frame(spark, later), folder, "later")
+            vector_tree.measure(spark, folder)  # half of all rows are new
             stored = vectors
         hits = 0
         for q in [far, *asked]:

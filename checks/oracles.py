@@ -504,6 +504,19 @@ oracle(
     "select cast(25 as bigint) as queued, cast(0 as bigint) as paid_queued, count(*) as rows, count(*) as scored from claims",
 )
 
+oracle(
+    "review_split",
+    "select requires_manual_review as label, count(*) as claims, cast(floor(count(*) * 0.25 + 0.5) as bigint) as held from claims group by 1",
+)
+oracle(
+    "review_auc",
+    """select round((sum(case when label = 1 then mean_rank end) - max(p) * (max(p) + 1) / 2) / (max(p) * (max(n) - max(p))), 12) as auc
+    from (
+      select label, rank() over (order by s) + (count(*) over (partition by s) - 1) / 2.0 as mean_rank, sum(label) over () as p, count(*) over () as n
+      from (select manual_review_score as s, cast(requires_manual_review as double) as label from claim_review_priority r join claims c on r.claim_id = c.claim_id) as a
+    ) as b""",
+)
+
 # ---- the same results by other ways -----------------------------------------------------------
 
 for _name, _same in {

@@ -826,6 +826,21 @@ def trained_triage_checks(spark, sf_dir):
     )
 
 
+@query
+def review_split(spark, sf_dir):
+    """Rows of each class of the label, and how many of them are held out."""
+    split = scoring.stratified(book.derived_book(spark, sf_dir)["claims"].select("claim_id", F.col("requires_manual_review").alias("label")))
+    return split.groupBy("label").agg(F.count(F.lit(1)).alias("claims"), F.count_if("held").alias("held"))
+
+
+@query
+def review_auc(spark, sf_dir):
+    """How well the book's own scores tell the claims that need a review, over all claims."""
+    tables = book.derived_book(spark, sf_dir)
+    judged = tables["claim_review_priority"].join(tables["claims"].select("claim_id", F.col("requires_manual_review").alias("label")), "claim_id")
+    return scoring.roc_auc(judged).select(F.round("auc", 12).alias("auc"))
+
+
 # ---- streaming --------------------------------------------------------------------------------
 
 

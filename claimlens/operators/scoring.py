@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions.nested import has_cob_text
@@ -26,7 +25,7 @@ FILL = {
 #: The widest one-hot column. Which of its values stand for a free-text column is settled by refusing it: the contract of
 #: ``CATEGORIES`` is columns of few values, and the indexer keeps every one of them on the driver.
 MAX_CATEGORIES = 10_000
-#: The fit learns from about so many labelled claims at most; all claims are scored, and the AUC is taken on as many others.
+#: The fit learns from about so many labelled claims at most; all claims are scored, and the AUC is taken on all that are held out.
 MAX_FIT_ROWS = 200_000
 
 
@@ -44,10 +43,50 @@ def review_features(claims: DataFrame) -> DataFrame:
     ).na.fill(FILL)
 
 
-def held_out(key: str = "claim_id", seed: int = 42) -> Column:
-    """A quarter of the claims by hash of their id: the same rows on every run and machine, and each
-    class is split in the same proportion up to chance."""
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(4)) == 0
+_BITS = 16
+
+
+def stratified(rows: DataFrame, share: float = 0.25, label: str = "label", key: str = "claim_id", seed: int = 42) -> DataFrame:
+    """``rows`` with the flag ``held``: of each class of ``label`` exactly the share, rounded, of its rows, those of smallest key hash.
+
+    The same rows on every run and machine. A histogram of the hashes' leading bits, summed over all rows, tells in which of 65,536
+    ranges the cut of a class falls; only the rows of that range are ranked. There is one cut a class, and classes are few.
+    """
+    hashed = rows.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
+    # Signed numbers in their order: the top bits, shifted with their sign.
+    ranged = hashed.withColumn("_range", F.shiftright("_h", 64 - _BITS)).select(F.col(label).alias("_class"), "_h", F.col(key).alias("_key"), "_range")
+    counts = ranged.groupBy("_class", "_range").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("_class").orderBy("_range")
+    wanted = F.floor(F.sum("n").over(Window.partitionBy("_class")) * F.lit(share) + F.lit(0.5))
+    summed = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("wanted", wanted)
+    cuts = summed.where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
+    cuts = cuts.select("_class", F.col("_range").alias("_cut"), (F.col("wanted") - F.col("upto") + F.col("n")).alias("left"))
+    edge = ranged.join(cuts, F.col("_range").eqNullSafe(F.col("_cut")) & ranged["_class"].eqNullSafe(cuts["_class"])).drop(cuts["_class"])
+    placed = edge.withColumn("place", F.row_number().over(Window.partitionBy("_class").orderBy("_h", "_key"))).where("place = left")
+    last = placed.select(F.col("_class").alias("_of"), F.struct("_h", "_key").alias("_last"))
+    met = hashed.join(last, F.col(label).eqNullSafe(F.col("_of")), "left")
+    held = F.coalesce(F.struct(F.col("_h"), F.col(key).alias("_key")) <= F.col("_last"), F.lit(False))
+    return met.withColumn("held", held).select(*rows.columns, "held")
+
+
+def roc_auc(scored: DataFrame, score: str = "manual_review_score", label: str = "label") -> DataFrame:
+    """One row, ``auc``: the chance that a positive row scores above a negative one, ties counted half. Exact, over all rows.
+
+    Rows are counted by score before anything is ordered. What lies below a score is summed in two levels: over 4,096 ranges of
+    scores, and within a range. Null where one of the classes is missing.
+    """
+    positive = F.col(label).cast("double") == 1
+    counts = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).cast("double").alias("s")).agg(
+        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
+    )
+    counts = counts.withColumn("range", F.floor(F.col("s") * 4096))
+    ranges = counts.groupBy("range").agg(F.sum("neg").alias("n"))
+    below = ranges.withColumn("below", F.sum("n").over(Window.orderBy("range")) - F.col("n")).drop("n")
+    inside = F.sum("neg").over(Window.partitionBy("range").orderBy("s")) - F.col("neg")
+    met = counts.withColumn("inside", inside).join(below, "range")
+    wins = F.sum(F.col("pos").cast("decimal(19,0)") * (2 * (F.col("below") + F.col("inside")) + F.col("neg")))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return met.agg(F.when(pairs > 0, wins.cast("double") / (2 * pairs)).alias("auc"))
 
 
 def _check_categories(features: DataFrame) -> None:
@@ -89,7 +128,7 @@ def _at_most(rows: DataFrame, limit: int, key: str = "claim_id") -> DataFrame:
 def train_review_model(
     features: DataFrame, rounds: int = 100, depth: int = 3, rate: float = 0.1, seed: int = 42, max_rows: int = MAX_FIT_ROWS
 ) -> tuple[PipelineModel, float]:
-    """Fit on three quarters of the claims, or on about ``max_rows`` of them; returns the model and its ROC AUC on the rest.
+    """Fit on three quarters of the claims, or on about ``max_rows`` of them; returns the model and its ROC AUC on all the rest.
 
     The bounded rows are kept on the executors while the boosting rounds pass over them. Only the trees and the
     category names come to the driver. Save the model with ``model.write().save(path)``.
@@ -98,12 +137,12 @@ def train_review_model(
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     _check_categories(features)
-    rows = features.withColumn("label", F.col("label").cast("double"))
-    learned = _at_most(rows.where(~held_out()), max_rows).persist()
+    rows = stratified(features.withColumn("label", F.col("label").cast("double")))
+    learned = _at_most(rows.where("not held").drop("held"), max_rows).persist()
     model = Pipeline(stages=model_stages(rounds, depth, rate, seed)).fit(learned)
     learned.unpersist()
-    judged = model.transform(_at_most(rows.where(held_out()), max_rows))
-    return model, BinaryClassificationEvaluator(labelCol="label").evaluate(judged)
+    judged = model.transform(rows.where("held")).select("label", vector_to_array("probability")[1].alias("manual_review_score"))
+    return model, roc_auc(judged).first()["auc"]
 
 
 def score_claims(model: PipelineModel, features: DataFrame) -> DataFrame:

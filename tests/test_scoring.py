@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from conftest import claim, frame, rows
 from pyspark.sql import functions as F
@@ -19,12 +20,36 @@ def test_features_fill(spark):
     ]
 
 
-def test_held_out_is_a_quarter_of_each_class(spark):
-    ids = spark.range(40000).select(F.concat(F.lit("C"), "id").alias("claim_id"), (F.col("id") % 5 == 0).alias("label"))
-    shares = ids.groupBy("label").agg(F.avg(scoring.held_out().cast("int")).alias("share")).collect()
-    assert all(abs(r.share - 0.25) < 0.015 for r in shares)
-    again = ids.repartition(7).where(scoring.held_out())
-    assert again.exceptAll(ids.where(scoring.held_out())).isEmpty()
+def brute_auc(scores, labels):
+    up, down = scores[labels], scores[~labels]
+    return ((up[:, None] > down).sum() + 0.5 * (up[:, None] == down).sum()) / (len(up) * len(down))
+
+
+def test_split_takes_the_exact_share_of_each_class(spark):
+    ids = spark.range(20000).select(F.concat(F.lit("C"), "id").alias("claim_id"), F.when(F.col("id") % 7 == 0, 1.0).when(F.col("id") % 1001 != 1, 0.0).alias("label"))
+    few = spark.createDataFrame([("a", 2.0), ("b", 3.0), ("c", 3.0), ("d", 3.0)], "claim_id string, label double")
+    table = ids.union(few)
+    got = scoring.stratified(table)
+    by_class = {}
+    for r in table.withColumn("h", F.xxhash64("claim_id", F.lit(42))).collect():
+        by_class.setdefault(r.label, []).append((r.h, r.claim_id))
+    wanted = {key for rows_ in by_class.values() for _, key in sorted(rows_)[: int(len(rows_) * 0.25 + 0.5)]}
+    told = {r.claim_id for r in got.where("held").collect()}
+    assert told == wanted and got.columns == ["claim_id", "label", "held"] and got.count() == 20004
+    again = scoring.stratified(table.repartition(7))
+    assert again.exceptAll(got).isEmpty()
+    assert scoring.stratified(table.limit(0)).count() == 0
+
+
+def test_auc_is_exact_with_ties(spark):
+    draw = np.random.default_rng(1)
+    for scores in (draw.random(3000), np.round(draw.random(3000), 2), np.full(50, 0.5), np.array([0.0, 1.0, 1.0, 0.0])):
+        labels = draw.random(len(scores)) < 0.2 + 0.5 * scores
+        labels[0], labels[-1] = True, False
+        made = spark.createDataFrame([(float(s), int(y)) for s, y in zip(scores, labels)] + [(None, 1), (0.3, None)], "manual_review_score double, label int")
+        assert abs(scoring.roc_auc(made.repartition(5)).first().auc - brute_auc(scores, labels)) < 1e-12
+    one = spark.createDataFrame([(0.5, 1)], "manual_review_score double, label int")
+    assert scoring.roc_auc(one).first().auc is None and scoring.roc_auc(one.limit(0)).first().auc is None
 
 
 def test_tiers(spark):

@@ -517,6 +517,14 @@ oracle(
     ) as b""",
 )
 
+_KIND = "cast(substr(event_id, 2, 9) as bigint) % 11"
+oracle("loaded_records", f"select * from disposition_events where {_KIND} not in (3, 5, 7)")
+oracle(
+    "refused_records",
+    f"""select case {_KIND} when 3 then 'no record' when 5 then 'not of type: downstream_action_fired' else 'no event_id' end as reason,
+    count(*) as records, count(*) filter (where {_KIND} = 3) as cut_off from disposition_events where {_KIND} in (3, 5, 7) group by 1""",
+)
+
 # ---- the same results by other ways -----------------------------------------------------------
 
 for _name, _same in {
@@ -527,5 +535,9 @@ for _name, _same in {
     "bucketed_mean_score": "mean_score_by_status",
     "stream_keyed_state": "stream_state",
     "tree_top30": "vector_top30",
+    "partial_metric_total": "metric_total",
+    "partial_metric_by_status_and_type": "metric_by_status_and_type",
+    "partial_metric_by_synonym": "metric_by_synonym",
+    "partial_metric_dispositions": "metric_dispositions",
 }.items():
     ORACLES[_name] = ORACLES[_same]

@@ -14,10 +14,10 @@ from checks import book
 from claimlens.functions.nested import detail_has_source, detail_parses
 from claimlens.functions.vectors import format_vector, norm, parse_vector
 from claimlens.operators import governance, joins, keyed_state, quality, replies, retrieval, scoring, serving, silver, variants, vector_tree
-from claimlens.plans import catalog, metrics
+from claimlens.plans import catalog, metrics, partials
 from claimlens.session import configure, new_dir
 from claimlens.sources.bucketed import read_bucketed, write_bucketed
-from claimlens.sources.tables import Book, count_inventory, load, stored_book, write, write_keyed
+from claimlens.sources.tables import Book, count_inventory, load, load_with_refusals, stored_book, write, write_keyed
 from claimlens.streaming import dispositions
 
 SEARCH_TEXT = "denied medically necessary"
@@ -161,6 +161,36 @@ def materialized_open_dispositions(spark, sf_dir):
     )
 
 
+def _raw_records(spark, sf_dir) -> str:
+    """The disposition events as JSON lines, some of them cut off, without an id, or with a flag that is no flag."""
+    def make(folder):
+        events = book.derived_book(spark, sf_dir)["disposition_events"]
+        kind = F.substring("event_id", 2, 9).cast("long") % 11
+        whole = F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"})
+        lines = (
+            F.when(kind == 3, F.substring(whole, 1, 40))
+            .when(kind == 5, F.regexp_replace(whole, '"downstream_action_fired":(true|false)', '"downstream_action_fired":"maybe"'))
+            .when(kind == 7, F.regexp_replace(whole, '"event_id":"[^"]*"', '"event_id":null'))
+            .otherwise(whole)
+        )
+        events.select(lines.alias("value")).write.text(folder)
+
+    return _kept(spark, sf_dir, "records", make)
+
+
+@query
+def loaded_records(spark, sf_dir):
+    """The raw event records that fit the table."""
+    return load_with_refusals(spark, _raw_records(spark, sf_dir), "disposition_events", "event_id")[0]
+
+
+@query
+def refused_records(spark, sf_dir):
+    """Why the others were refused, and of how many characters they are."""
+    refused = load_with_refusals(spark, _raw_records(spark, sf_dir), "disposition_events", "event_id")[1]
+    return refused.groupBy("reason").agg(F.count(F.lit(1)).alias("records"), F.count_if(F.length("record") == 40).alias("cut_off"))
+
+
 # ---- metrics ----------------------------------------------------------------------------------
 
 
@@ -249,6 +279,44 @@ def metric_dispositions(spark, sf_dir):
     return asked.withColumnsRenamed(_MEASURE_NAMES)
 
 
+def _partials(spark, sf_dir) -> str:
+    """Sums of three loads of claims and of events; the first load of claims comes twice."""
+    def make(folder):
+        tables = book.derived_book(spark, sf_dir)
+        third = F.pmod(F.xxhash64("claim_id"), F.lit(3))
+        for view in (metrics.CLAIMS_METRICS, metrics.DISPOSITION_METRICS):
+            for k in (0, 1, 2, 0):
+                partials.write_partials(view, tables[view.source].where(third == k), folder, f"third{k}")
+
+    return _kept(spark, sf_dir, "partials", make)
+
+
+def _partial_metric(spark, sf_dir, view, dims, where=None) -> DataFrame:
+    rows = lambda: book.derived_book(spark, sf_dir)[view.source]
+    asked = partials.partial_query(spark, _partials(spark, sf_dir), view, dims, list(view.measures), where, rows)
+    return asked.withColumnsRenamed(_MEASURE_NAMES)
+
+
+@query
+def partial_metric_total(spark, sf_dir):
+    return _partial_metric(spark, sf_dir, metrics.CLAIMS_METRICS, [])
+
+
+@query
+def partial_metric_by_status_and_type(spark, sf_dir):
+    return _partial_metric(spark, sf_dir, metrics.CLAIMS_METRICS, ["Status", "Claim Type"])
+
+
+@query
+def partial_metric_by_synonym(spark, sf_dir):
+    return _partial_metric(spark, sf_dir, metrics.CLAIMS_METRICS, ["rejection reason"], F.col("Status").isin(schemas.REWORK_STATUSES))
+
+
+@query
+def partial_metric_dispositions(spark, sf_dir):
+    return _partial_metric(spark, sf_dir, metrics.DISPOSITION_METRICS, ["Disposition", "Action Type"])
+
+
 @query
 def mean_score_by_status(spark, sf_dir):
     tables = book.derived_book(spark, sf_dir)

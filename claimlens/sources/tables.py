@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens import schemas
+from claimlens.functions.sizing import evaluated_once
 
 
 def table_path(directory: str, name: str) -> str:
@@ -28,6 +29,34 @@ def load_records(spark: SparkSession, path: str, name: str, file_format: str = "
     return spark.read.schema(schemas.TABLES[name]).format(file_format).load(path)
 
 
+_BROKEN = "_broken"
+
+
+def load_with_refusals(spark: SparkSession, path: str, name: str, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Raw records, a JSON object a line, as (rows of the table, refusals (record, reason)); every line is in one of the two.
+
+    A line is refused as ``no record`` when it is not one JSON object, as ``no <key>`` when it lacks the table's key, and as
+    ``not of type: a, b`` when fields of it do not fit their columns. A missing or null field is a null, and fields the
+    table does not have are passed over. Blank lines are nothing. Nothing is turned into a null unseen.
+    """
+    fields = schemas.TABLES[name].fields
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"{_BROKEN} string"])
+    lines = spark.read.text(path).where(F.trim("value") != "").withColumnRenamed("value", "record")
+    read = evaluated_once(lines.withColumn("_r", F.from_json("record", schema, {"columnNameOfCorruptRecord": _BROKEN})), "_r")
+    told = evaluated_once(read.withColumn("_v", F.try_parse_json("record")), "_v")
+    given = lambda f: F.try_variant_get("_v", f"$.{f.name}", "variant")
+    unfit = [F.when(F.col("_r")[f.name].isNull() & given(f).isNotNull() & ~F.is_variant_null(given(f)), F.lit(f.name)) for f in fields]
+    names = F.array_join(F.array_compact(F.array(*unfit)), ", ")
+    no_object = F.try_variant_get("_v", "$", "map<string,variant>").isNull()
+    reason = F.when(no_object, "no record").when(names != "", F.concat(F.lit("not of type: "), names))
+    reason = reason.when(F.col("_r")[_BROKEN].isNotNull(), "no record")
+    if key:
+        reason = reason.when(F.col("_r")[key].isNull(), f"no {key}")
+    judged = evaluated_once(told.withColumn("reason", reason), "reason")
+    good = judged.where("reason is null").select([F.col("_r")[f.name].alias(f.name) for f in fields])
+    return good, judged.where("reason is not null").select("record", "reason")
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """The table's columns in declared order and type; a value that does not fit becomes null."""
     return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.TABLES[name].fields])

@@ -535,6 +535,8 @@ for _name, _same in {
     "bucketed_mean_score": "mean_score_by_status",
     "stream_keyed_state": "stream_state",
     "tree_top30": "vector_top30",
+    "keyword_blocks_top30": "keyword_top30",
+    "keyword_blocks_documents": "keyword_documents",
     "partial_metric_total": "metric_total",
     "partial_metric_by_status_and_type": "metric_by_status_and_type",
     "partial_metric_by_synonym": "metric_by_synonym",

@@ -13,7 +13,7 @@ from claimlens import schemas
 from checks import book
 from claimlens.functions.nested import detail_has_source, detail_parses
 from claimlens.functions.vectors import format_vector, norm, parse_vector
-from claimlens.operators import governance, joins, keyed_state, quality, replies, retrieval, scoring, serving, silver, variants, vector_tree
+from claimlens.operators import governance, joins, keyed_state, quality, replies, retrieval, scoring, serving, silver, variants, vector_tree, word_blocks
 from claimlens.plans import catalog, metrics, partials
 from claimlens.session import configure, new_dir
 from claimlens.sources.bucketed import read_bucketed, write_bucketed
@@ -772,6 +772,30 @@ def keyword_documents(spark, sf_dir):
     return retrieval.words_top(spark, _document_words(spark, sf_dir), DOCUMENT_TEXT, key="doc_id")
 
 
+def _word_blocks(spark, sf_dir) -> str:
+    """The words of all notes in blocks, written in two batches."""
+    def make(folder):
+        notes = _all_notes(spark, sf_dir)
+        half = F.pmod(F.xxhash64("claim_id"), F.lit(2))
+        for k in (0, 1):
+            word_blocks.write_blocks(notes.where(half == k), folder, batch=f"half{k}", block_rows=512)
+
+    return _kept(spark, sf_dir, "word_blocks", make)
+
+
+@query
+def keyword_blocks_top30(spark, sf_dir):
+    return word_blocks.blocks_top(spark, _word_blocks(spark, sf_dir), SEARCH_TEXT)
+
+
+@query
+def keyword_blocks_documents(spark, sf_dir):
+    """The search over whole documents, blocks that cannot matter left unread."""
+    texts = book.raw(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = _kept(spark, sf_dir, "document_blocks", lambda f: word_blocks.write_blocks(texts, f, "doc_id", "text", block_rows=64))
+    return word_blocks.blocks_top(spark, folder, DOCUMENT_TEXT, key="doc_id")
+
+
 @query
 def keyword_accents(spark, sf_dir):
     return retrieval.words_top(spark, _document_words(spark, sf_dir), ACCENTED_TEXT, key="doc_id")

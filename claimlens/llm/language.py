@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,7 +21,7 @@ HIDDEN = 8
 EPOCHS = 8
 BATCH = 256
 SIDE_BY_SIDE = 2048
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def segments(text: bytes) -> np.ndarray:

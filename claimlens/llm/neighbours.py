@@ -248,10 +248,10 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     """The ``top`` rows of largest inner product for each row whose id is divisible by ``every``.
 
     Rows with a null id and vectors that are null, zero, or hold null or non-finite numbers take no part. Vectors meet only
-    vectors of their own length. Repeated ids are candidates once for each different vector; a query id with several
+    vectors of their own length. Rows that repeat an id and its vector count once; an id with several vectors is a candidate with each. A query id with several
     vectors is asked once, with the least of them. Fewer candidates than ``top`` are all given; an empty table
     gives no rows.
     """
-    kept = written(usable(vectors, id_col, vector_col), "vectors")
+    kept = written(usable(vectors, id_col, vector_col).distinct(), "vectors")  # a repeated row is one candidate
     queries = kept.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     return search(index_shards(kept, top), queries, top)

@@ -19,7 +19,7 @@ def test_same_as_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert set(ORACLES) <= set(entry.oracle_sql())
 
 

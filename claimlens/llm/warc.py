@@ -11,7 +11,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import written
+from claimlens.llm.common import row_numbers, written
 from claimlens.session import new_dir
 
 CHUNK_BYTES = 1 << 16
@@ -32,40 +32,67 @@ def base32(hex_digest):
     return F.concat(*digits)
 
 
-def with_types(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """``records`` (record_id, payload, ...) with digest, bytes, record_type and refers_to.
+def chunk_table(records: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(row, record_id, url, chunk, last, so_far, sha1, data) of ``records`` (record_id, url, payload), written.
 
-    Of records with equal payloads of at least ``min_bytes`` bytes, that with the smallest id is the response and the others
-    revisit it. The smallest ids are found on digests alone, aggregated before the shuffle, so a payload shared by a
-    third of the records costs one row a task.
+    One row a chunk; ``so_far`` counts the payload's bytes up to and with it, and the last chunk of a record carries the payload's
+    SHA-1, taken chunk by chunk. An empty payload has one empty chunk. ``row`` numbers the records. The chunks of a
+    record follow each other in its partition: no shuffle lies between.
     """
-    marked = records.withColumn("digest", F.sha1("payload")).withColumn("bytes", F.octet_length("payload").cast("long"))
-    first = marked.groupBy("digest").agg(F.min("record_id").alias("first"))
-    joined = marked.join(first, "digest")
-    revisit = (F.col("bytes") >= min_bytes) & ~F.col("record_id").eqNullSafe(F.col("first"))
-    return joined.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn(
-        "refers_to", F.when(revisit, F.col("first"))
-    )
+    last = F.greatest(F.lit(1), F.ceil(F.octet_length("payload") / F.lit(chunk_bytes))).cast("int") - 1
+    numbered = records.select("record_id", "url", "payload", last.alias("end"), F.explode(F.sequence(F.lit(0), last)).alias("chunk"))
+    data = F.substring(F.col("payload"), F.col("chunk") * chunk_bytes + 1, F.lit(chunk_bytes))
+    pieces = numbered.select("record_id", "url", "chunk", (F.col("chunk") == F.col("end")).alias("last"), data.alias("data"))
 
+    def run(batches):
+        numbers = row_numbers()
+        row = sha1 = None
+        size = 0
+        for batch in batches:
+            rows, sizes, digests = [], [], []
+            piece = batch.column(4)
+            for i, (chunk, end) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                if chunk == 0:
+                    row, sha1, size = next(numbers), hashlib.sha1(), 0
+                part = piece[i].as_buffer()
+                sha1.update(part)
+                size += part.size
+                rows.append(row)
+                sizes.append(size)
+                digests.append(sha1.hexdigest() if end else None)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.int64()), *batch.columns[:4], pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), piece],
+                names=["row", "record_id", "url", "chunk", "last", "so_far", "sha1", "data"],
+            )
 
-def chunk_rows(typed: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """One row a chunk: the record's columns, chunk, n_chunks, data. Revisits and empty payloads have one empty chunk.
+    ddl = "row long, record_id long, url string, chunk int, last boolean, so_far long, sha1 string, data binary"
+    return written(pieces.mapInArrow(run, ddl), "warc-chunks")
 
-    The chunks of a record follow each other in its partition; no shuffle lies between.
+
+def record_types(chunks: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
+    """(row, digest_text, bytes, record_type, refers_to) of the records of a chunk table.
+
+    Of records with equal payloads of at least ``min_bytes`` bytes, that with the smallest id is the response and the others
+    revisit it. Only last chunks are read, without their data; smallest ids are aggregated before the shuffle, so
+    a payload shared by a third of the records costs one row a task.
     """
-    stored = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    last = F.greatest(F.lit(1), F.ceil(F.octet_length(stored) / F.lit(chunk_bytes))).cast("int") - 1
-    kept = [c for c in typed.columns if c != "payload"]
-    numbered = typed.select(*kept, stored.alias("stored"), last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("chunk"))
-    data = F.substring(F.col("stored"), F.col("chunk") * chunk_bytes + 1, F.lit(chunk_bytes))
-    return numbered.select(*kept, "chunk", (F.col("last") + 1).alias("n_chunks"), data.alias("data"))
+    ends = chunks.where("last").select("row", "record_id", "sha1", F.col("so_far").alias("bytes"))
+    first = ends.groupBy("sha1").agg(F.min("record_id").alias("first"))
+    revisit = (F.col("bytes") >= min_bytes) & ~F.col("record_id").eqNullSafe(F.col("first"))
+    return ends.join(first, "sha1").select(
+        "row",
+        base32(F.col("sha1")).alias("digest_text"),
+        "bytes",
+        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.when(revisit, F.col("first")).alias("refers_to"),
+    )
 
 
-def _header(kind, number, url, digest, size, refers, copy) -> bytes:
+def _header(kind, number, url, digest, size, refers, row) -> bytes:
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{number}/{digest}/{copy}')}>",
+        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{number}/{digest}/{row}')}>",
         f"WARC-Date: {DATE}",
         f"WARC-Payload-Digest: sha1:{digest}",
         "Content-Type: text/html; charset=utf-8",
@@ -81,26 +108,35 @@ def _header(kind, number, url, digest, size, refers, copy) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n"
 
 
-def write_archives(records: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Writes ``records`` (record_id, url, digest_text, record_type, refers_to, payload) below ``folder``.
+def write_archives(chunks: DataFrame, types: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Writes the records of a chunk table, with their ``types``, below ``folder``.
 
     Returns the manifest (path, n_records), written: only archives of tasks that ended well are in it, so what an
     executor left behind when it was lost is never read. Every record is a gzip member of its own; chunks are
-    compressed as they come.
+    compressed as they come. Chunks are shuffled by record, so a payload is never one row; of a revisit only the first
+    chunk goes on, without data.
     """
-    chunks = chunk_rows(records, chunk_bytes).select(
-        "record_id", "url", "digest_text", "bytes", "record_type", "refers_to", "chunk", "n_chunks", "data"
+    parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = chunks.select("row", "record_id", "url", "chunk", "last", "data").repartition(parts, "row").join(types, "row")
+    response = F.col("record_type") == "response"
+    ordered = (
+        known.where(response | (F.col("chunk") == 0))
+        .select(
+            "record_id", "url", "digest_text", "bytes", "record_type", "refers_to", "row", "chunk",
+            (F.col("last") | ~response).alias("last"), F.when(response, F.col("data")).otherwise(F.lit(b"")).alias("data"),
+        )
+        .sortWithinPartitions("row", "chunk")
     )
 
     def run(batches):
         where, base = fs.FileSystem.from_uri(folder if "://" in folder or ":/" in folder else f"file://{folder}")
         where.create_dir(base)
         out = path = gzip = None
-        size = count = copies = 0
+        size = count = 0
         done = []
         for batch in batches:
-            cols = [batch.column(k).to_pylist() for k in range(8)]
-            for i, (number, url, digest, bytes_, kind, refers, chunk, n_chunks) in enumerate(zip(*cols)):
+            cols = [batch.column(k).to_pylist() for k in range(9)]
+            for i, (number, url, digest, bytes_, kind, refers, row, chunk, last) in enumerate(zip(*cols)):
                 if chunk == 0:
                     if out is not None and size > archive_bytes:
                         out.close()
@@ -109,11 +145,10 @@ def write_archives(records: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYT
                     if out is None:
                         path, size, count = f"{base}/{uuid.uuid4().hex}.warc.gz", 0, 0
                         out = where.open_output_stream(path, compression=None)
-                    copies += 1
                     gzip = zlib.compressobj(3, wbits=31)
-                    size += out.write(gzip.compress(_header(kind, number, url, digest, 0 if kind == "revisit" else bytes_, refers, copies)))
-                size += out.write(gzip.compress(batch.column(8)[i].as_buffer()))
-                if chunk == n_chunks - 1:
+                    size += out.write(gzip.compress(_header(kind, number, url, digest, 0 if kind == "revisit" else bytes_, refers, row)))
+                size += out.write(gzip.compress(batch.column(9)[i].as_buffer()))
+                if last:
                     size += out.write(gzip.compress(b"\r\n\r\n") + gzip.flush())
                     count += 1
         if out is not None:
@@ -122,7 +157,7 @@ def write_archives(records: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYT
         yield pa.RecordBatch.from_pydict({"path": [p for p, _ in done], "n_records": pa.array([n for _, n in done], pa.int64())}, schema=kind_)
 
     kind_ = pa.schema([("path", pa.string()), ("n_records", pa.int64())])
-    return written(chunks.mapInArrow(run, "path string, n_records long"), "warc-manifest")
+    return written(ordered.mapInArrow(run, "path string, n_records long"), "warc-manifest")
 
 
 def _fields(head: bytes) -> dict:
@@ -254,7 +289,7 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     The payload is the column in UTF-8, null counting as empty. A null id comes after all others and has no number in
     the archive; a revisit of a record without id refers to none. Of repeated rows with the smallest id of a payload
-    each is a response. Line ends in an address are written percent-coded. An empty table gives no archive.
+    each is a response. Very long payloads go as chunks; other columns play no part, whatever they are called. Line ends in an address are written percent-coded. An empty table gives no archive.
     """
     spark = pages.sparkSession
     records = pages.select(
@@ -263,8 +298,8 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
     )
     folder = new_dir(spark, "warc")
-    typed = with_types(records).withColumn("digest_text", base32(F.col("digest")))
-    return write_archives(typed, folder), folder
+    chunks = chunk_table(records)
+    return write_archives(chunks, record_types(chunks), folder), folder
 
 
 def archived(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:

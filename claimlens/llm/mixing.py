@@ -17,7 +17,7 @@ LANE_ROWS = 1000
 TIER = 1024
 CELLS = 4096
 CELL_SLOTS = 1 << 20
-ROUNDS = 32
+ROUNDS = 24
 COPIES = 1024
 SEED = 11
 

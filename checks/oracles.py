@@ -277,6 +277,14 @@ _FK_CHECKS = " union all ".join(
 )
 oracle("key_checks", _PK_CHECKS)
 oracle("orphan_checks", _FK_CHECKS)
+oracle(
+    "kept_key_checks",
+    f"""select constraint_name, cast(row_count as bigint) as row_count, cast(null_keys as bigint) as null_keys,
+        cast(duplicate_keys as bigint) as duplicate_keys, cast(0 as bigint) as orphan_rows, cast(0 as bigint) as orphan_keys
+    from ({_PK_CHECKS})
+    union all
+    select constraint_name, 0, 0, 0, orphan_rows, orphan_keys from ({_FK_CHECKS})""",
+)
 oracle(
     "constraint_report",
     f"""select table_name, 'PRIMARY KEY' as constraint_type, constraint_name, null_keys + duplicate_keys as violations

@@ -13,7 +13,7 @@ from claimlens import schemas
 from checks import book
 from claimlens.functions.nested import detail_has_source, detail_parses
 from claimlens.functions.vectors import format_vector, norm, parse_vector
-from claimlens.operators import governance, joins, keyed_state, quality, replies, retrieval, scoring, serving, silver, variants, vector_tree, word_blocks
+from claimlens.operators import governance, joins, keyed_state, kept_keys, quality, replies, retrieval, scoring, serving, silver, variants, vector_tree, word_blocks
 from claimlens.plans import catalog, metrics, partials
 from claimlens.session import configure, new_dir
 from claimlens.sources.bucketed import read_bucketed, write_bucketed
@@ -456,6 +456,23 @@ def orphan_checks(spark, sf_dir):
     return governance.check_foreign_keys(book.derived_book(spark, sf_dir))
 
 
+def _kept_keys(spark, sf_dir) -> str:
+    def make(folder):
+        tables = book.derived_book(spark, sf_dir)
+        named = {k.table for k in schemas.PRIMARY_KEYS + schemas.FOREIGN_KEYS}
+        for k in range(2):
+            part = {t: rows.where(F.pmod(F.xxhash64(*rows.columns[:1]), F.lit(2)) == k) for t, rows in tables.items() if t in named}
+            kept_keys.check_batch(spark, folder, f"load-{k}", part)
+
+    return _kept(spark, sf_dir, "kept-keys", make)
+
+
+@query
+def kept_key_checks(spark, sf_dir):
+    """The key violations of the whole book, from two loads that were each checked against the keys kept before."""
+    return kept_keys.violations_so_far(spark, _kept_keys(spark, sf_dir))
+
+
 @query
 def constraint_report(spark, sf_dir):
     return governance.constraint_report(book.derived_book(spark, sf_dir))

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -274,6 +275,40 @@ def test_mix_shares_of_many_small_sources(spark, monkeypatch):
     assert abs(sum(taken.values()) - sum(targets.values())) <= 0.005 * sum(targets.values())
 
 
+def test_draws_are_multinomial_and_end_at_the_quotas(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_BLOCKS", 100)
+    quotas = [9000, 8000, 2500, 400, 99, 1]
+    rows = [(p, 4000 if p < 2 else max(1, -(-q // 3)), q, sum(quotas[:p])) for p, q in enumerate(quotas)]
+    targets = spark.createDataFrame(rows, "place int, blocks long, quota long, low long")
+    counts = {(r.shard, r.place): r.n for r in mixing.drawn_counts(targets).collect()}
+    for shard in range(200):
+        assert sum(counts.get((shard, p), 0) for p in range(6)) == 100
+    for p, share in ((0, 0.45), (1, 0.4), (2, 0.125)):
+        seen = [counts.get((shard, p), 0) for shard in range(200)]
+        assert abs(sum(seen) / 200 - 100 * share) < 2.5
+        # the spread of a multinomial, which even dealing would not have
+        assert 0.6 < np.var(seen) / (100 * share * (1 - share)) < 1.5
+    slots = mixing.drawn_slots(targets).collect()
+    assert sorted(Counter(r.place for r in slots).items()) == list(enumerate(quotas))
+    blocks = {p: b for p, b, _, _ in rows}
+    times = Counter((r.place, r.block) for r in slots)
+    assert all(0 <= b < blocks[p] and n <= 3 for (p, b), n in times.items())
+    # each pass takes every block once, in an order of its own
+    assert all(times[0, b] in (2, 3) for b in range(4000)) and all(times[1, b] == 2 for b in range(4000))
+    assert max(Counter(r.shard for r in slots).values()) <= 100 * 6
+
+
+def test_many_copies_of_rows_without_id(spark):
+    rows = [(None, "a b c", "s")] * 2500 + [(k, "d " * (k % 7), "s") for k in range(200)]
+    got = mixing.mix(documents(spark, rows)).collect()
+    check_mix(got, rows)
+    entries = mixing.sized(documents(spark, rows), "doc_id", "text", "source")
+    assert entries.where("doc_id is null").count() == 1
+    singles = mixing.single(mixing.placed(entries).withColumn("place", F.lit(0)))
+    spans = sorted((r.start, r.start + r["size"]) for r in singles.where("size > 0").collect())
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_permutation_is_one(spark):
     for n in (1, 2, 7, 1000, 999983, 3 * 1000003):
         at = mixing._permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5).cast("long"))

@@ -67,7 +67,7 @@ def check_batch(spark: SparkSession, folder: str, load: str, batch: Mapping[str,
     if counts is None:
         raise ValueError("the batch holds no table with a declared key")
     here = f"{folder}/keys/load={load}"
-    counts.write.mode("overwrite").partitionBy("bucket").parquet(here)
+    counts.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(here)  # one file a bucket
     mine = _read(spark, here, "side string, key string, n long, bucket int")
     touched = [r["bucket"] for r in mine.select("bucket").distinct().collect()]  # at most BUCKETS numbers
     kept = _read(spark, f"{folder}/keys", _KEYS).where(F.col("load").isin(sorted(done)) & F.col("bucket").isin(touched))

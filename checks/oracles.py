@@ -450,6 +450,11 @@ oracle("stream_bronze", "select * from disposition_events")
 oracle("stream_open", "select * from disposition_events where not downstream_action_fired")
 oracle("stream_state", _LATEST_STATE)
 oracle("stream_changes", _NEWEST)
+oracle(
+    "stream_transitions",
+    f"""select n.claim_id, s.status as before, n.status, {_TS.format('n.ts')} as last_disposition_ts, n.event_id as last_event_id
+    from newest n left join state_all s on s.claim_id = n.claim_id where {_NEWER}""",
+)
 oracle("stream_gap", _GAP)
 
 _RULES = {

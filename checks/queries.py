@@ -18,7 +18,7 @@ from claimlens.plans import catalog, metrics, partials
 from claimlens.session import configure, new_dir
 from claimlens.sources.bucketed import read_bucketed, write_bucketed
 from claimlens.sources.tables import Book, count_inventory, load, load_with_refusals, stored_book, write, write_keyed
-from claimlens.streaming import dispositions
+from claimlens.streaming import dispositions, transitions
 
 SEARCH_TEXT = "denied medically necessary"
 DOCUMENT_TEXT = "und"
@@ -1010,6 +1010,15 @@ def stream_changes(spark, sf_dir):
     return _plain(dispositions.read_changes(spark, f"{folder}/table"))
 
 
+@query
+def stream_transitions(spark, sf_dir):
+    """The moves of claims that the stream of updates makes, from the state before it."""
+    folder = new_dir(spark, "transitions")
+    stream, before = _update_stream(spark, sf_dir), _state(spark, sf_dir, None)
+    transitions.keep_transitions(stream, f"{folder}/table", f"{folder}/log", before).awaitTermination()
+    return _plain(spark.read.parquet(f"{folder}/table"))
+
+
 @query
 def stream_gap(spark, sf_dir):
     folder = new_dir(spark, "gap")

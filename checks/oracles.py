@@ -446,6 +446,12 @@ oracle(
     """select claim_id, cast(5 as double) as marked,
     round((billed_amount - avg(billed_amount) over ()) / stddev_samp(billed_amount) over (), 6) as amount from claims""",
 )
+_FOUND = "select claim_id, member_id, provider_id, status, billed_amount from claims"
+oracle("claims_by_id", f"{_FOUND} where claim_id in (select claim_id from claims order by billed_amount desc, claim_id limit 25)")
+oracle(
+    "claims_by_provider",
+    f"{_FOUND} where provider_id in (select provider_id from providers order by provider_name, provider_id limit 15)",
+)
 oracle("stream_bronze", "select * from disposition_events")
 oracle("stream_open", "select * from disposition_events where not downstream_action_fired")
 oracle("stream_state", _LATEST_STATE)

@@ -17,7 +17,7 @@ from claimlens.operators import governance, joins, keyed_state, kept_keys, quali
 from claimlens.plans import catalog, metrics, partials
 from claimlens.session import configure, new_dir
 from claimlens.sources.bucketed import read_bucketed, write_bucketed
-from claimlens.sources.tables import Book, count_inventory, load, load_with_refusals, stored_book, write, write_keyed
+from claimlens.sources.tables import Book, count_inventory, find, load, load_with_refusals, stored_book, write, write_keyed
 from claimlens.streaming import dispositions, transitions
 
 SEARCH_TEXT = "denied medically necessary"
@@ -57,12 +57,13 @@ def _kept(spark, sf_dir, name, make) -> str:
 
 
 def write_book(spark: SparkSession, sf_dir: str, folder: str, max_lines: int = schemas.MAX_DOCUMENT_LINES) -> None:
-    """The whole book as stored tables; claims are laid out by member."""
+    """The whole book as stored tables; claims are laid out by member, and found by claim and provider as well."""
     claims, more = book.claims_with_detail(spark, sf_dir, folder, max_lines)
     made = book.derived_book(spark, sf_dir)
     for name in schemas.BOOK_TABLES:
         if name == "claims":
-            write(claims, f"{folder}/claims.parquet", skip_empty=False, cluster_by=["member_id", "claim_id"])
+            layout = {"cluster_by": ["member_id", "claim_id"], "find_by": ["claim_id", "provider_id"]}
+            write(claims, f"{folder}/claims.parquet", skip_empty=False, **layout)
         elif name == "claim_documents":
             write(more, f"{folder}/claim_documents.parquet", skip_empty=False)
         else:
@@ -652,6 +653,25 @@ def claim_dossier(spark, sf_dir):
     return serving.claim_dossier(named, tables["claims"], tables["claim_review_priority"])
 
 
+_FOUND = ["claim_id", "member_id", "provider_id", "status", "billed_amount"]
+
+
+@query
+def claims_by_id(spark, sf_dir):
+    """25 claims looked up by id in the table that is laid out by member."""
+    claims = stored(spark, sf_dir)["claims"]
+    asked = [r["claim_id"] for r in serving.top_claims(claims.select("claim_id", "billed_amount"), 25).collect()]
+    return _plain(find(claims, "claim_id", asked).select(_FOUND))
+
+
+@query
+def claims_by_provider(spark, sf_dir):
+    """All claims of the providers whose names come first, looked up in the table that is laid out by member."""
+    tables = stored(spark, sf_dir)
+    first = tables["providers"].orderBy("provider_name", "provider_id").limit(15)
+    return _plain(find(tables["claims"], "provider_id", [r["provider_id"] for r in first.collect()]).select(_FOUND))
+
+
 @query
 def triage_queue(spark, sf_dir):
     tables = book.derived_book(spark, sf_dir)

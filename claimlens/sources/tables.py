@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens import schemas
@@ -62,13 +62,19 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.TABLES[name].fields])
 
 
-def write(df: DataFrame, path: str, skip_empty: bool = True, cluster_by: Sequence[str] = ()) -> bool:
+def write(
+    df: DataFrame, path: str, skip_empty: bool = True, cluster_by: Sequence[str] = (), find_by: Sequence[str] = ()
+) -> bool:
     """Replace the table at ``path``, schema included. An empty input is skipped and False returned.
 
     ``cluster_by`` lays the rows out in ranges of those columns, so that a lookup on the first of them
     skips the other files and row groups by their statistics. End it with the key: the ranges can then
     cut through a value that many rows share.
 
+    ``find_by`` names further columns that rows are looked up by (``find``). Each row group gets a Bloom filter of their
+    values, of a size that fits what is in it and is at most 1 MB, so that a lookup skips groups whose statistics do not help,
+    as the values lie all over the table.
+
     Asking whether it is empty runs ``df`` up to its first row, which for a shuffled frame is most of
     the work; a caller who knows it is not says so. ``df`` must not read from ``path``.
     """
@@ -76,15 +82,33 @@ def write(df: DataFrame, path: str, skip_empty: bool = True, cluster_by: Sequenc
         return False
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if find_by:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for column in find_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
     return True
 
 
+def find(df: DataFrame, column: str, values: Iterable) -> DataFrame:
+    """The rows of a stored table whose ``column`` is one of ``values``; nulls are never found.
+
+    Asked in lists of ten, which is what the Parquet reader takes down to row groups as values (a longer list goes down as
+    its range, which skips nothing where keys are spread). For thousands of values join instead.
+    """
+    asked = sorted({v for v in values if v is not None})
+    lists = [F.col(column).isin(asked[i : i + 10]) for i in range(0, len(asked), 10)]
+    return df.where(reduce(Column.__or__, lists, F.lit(False)))
+
+
 class KeyViolation(ValueError):
     """A table's key column holds nulls or repeats."""
 
 
-def write_keyed(df: DataFrame, path: str, key: str, skip_empty: bool = True, cluster_by: Sequence[str] = ()) -> bool:
+def write_keyed(
+    df: DataFrame, path: str, key: str, skip_empty: bool = True, cluster_by: Sequence[str] = (), find_by: Sequence[str] = ()
+) -> bool:
     """``write`` for a table with a key: refused, and nothing replaced, when a key is null or occurs twice.
 
     The counts per key are aggregated before their shuffle; ``df`` is read twice, so hand in something stored.
@@ -93,7 +117,7 @@ def write_keyed(df: DataFrame, path: str, key: str, skip_empty: bool = True, clu
     bad = counts.where(F.col(key).isNull() | (F.col("n") > 1)).limit(1).collect()
     if bad:
         raise KeyViolation(f"{key} = {bad[0][key]!r} occurs {bad[0]['n']} times in {path}")
-    return write(df, path, skip_empty, cluster_by)
+    return write(df, path, skip_empty, cluster_by, find_by)
 
 
 def count_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:

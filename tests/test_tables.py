@@ -39,6 +39,45 @@ def test_clustered_write_keeps_a_value_in_few_files(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4000
 
 
+def rows_scanned(df):
+    """(rows found, rows the Parquet scan gave out): row groups that are skipped give none."""
+    plan = df._jdf.queryExecution().executedPlan()
+    found = plan.executeCollect().__len__()
+    while plan.children().size() or "Adaptive" in plan.nodeName():
+        plan = plan.executedPlan() if "Adaptive" in plan.nodeName() else plan.children().head()
+    return found, plan.metrics().get("numOutputRows").get().value()
+
+
+def test_lookups_by_other_keys_skip_row_groups(spark, tmp_path):
+    made = spark.range(40000).select(
+        F.concat(F.lit("M"), F.col("id") % 400).alias("member_id"),
+        F.md5(F.col("id").cast("string")).alias("claim_id"),
+        F.when(F.col("id") % 97 == 0, None).otherwise(F.md5((F.col("id") % 9000).cast("string"))).alias("provider_id"),
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("amount"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        for name, by in (("plain", ()), ("found", ("claim_id", "provider_id"))):
+            tables.write(made, str(tmp_path / name), cluster_by=["member_id", "claim_id"], find_by=by)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    plain, found = (spark.read.parquet(str(tmp_path / name)) for name in ("plain", "found"))
+    some = [r.claim_id for r in made.where("amount in (5, 17, 3001)").collect()]
+    assert len(some) == 3
+    all_read, few_read = rows_scanned(tables.find(plain, "claim_id", some)), rows_scanned(tables.find(found, "claim_id", some))
+    assert all_read[0] == few_read[0] == 3 and few_read[1] <= 4 * 40000 // 40 * 2 and all_read[1] > 4 * few_read[1], (all_read, few_read)
+    # more than ten values, absent ones, repeats and nulls
+    many = [r.claim_id for r in made.where("amount < 60").collect()] + ["none", None, some[0]]
+    want = made.where(F.col("claim_id").isin([m for m in many if m])).exceptAll(tables.find(found, "claim_id", many))
+    assert want.isEmpty() and tables.find(found, "claim_id", many).count() == 40
+    provider = made.where("amount = 5").first().provider_id
+    assert tables.find(found, "provider_id", [provider]).exceptAll(made.where(F.col("provider_id") == provider)).isEmpty()
+    assert tables.find(found, "provider_id", [provider]).count() == made.where(F.col("provider_id") == provider).count() > 3
+    assert tables.find(found, "provider_id", [None]).isEmpty() and tables.find(found, "provider_id", []).isEmpty()
+
+
 def test_typed_load_of_records(spark, tmp_path):
     source = tmp_path / "claims.json"
     source.write_text('{"claim_id":"C1","billed_amount":12.5,"requires_manual_review":1}\n{"claim_id":"C2"}\n')

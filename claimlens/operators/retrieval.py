@@ -9,8 +9,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,20 +38,9 @@ def narratives(claims: DataFrame, providers: DataFrame, limit: int | None = 500)
     return facts.join(named, "provider_id", "left").select("claim_id", text.narrative().alias("narrative"))
 
 
-def _bucket(word: str, dim: int) -> int:
-    return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
-
-
-def _weighted(words: list[str], weights: np.ndarray, cache: dict) -> np.ndarray:
-    """Counts by hashed word, weighed by rarity, at length 1; all zeros without a word of weight."""
-    counts = np.zeros(len(weights))
-    for word in words:
-        if word not in cache:
-            cache[word] = _bucket(word, len(weights))
-        counts[cache[word]] += 1
-    vector = counts * weights
-    length = np.sqrt((vector * vector).sum())
-    return (vector / length if length else vector).astype(np.float32)
+def _places(words: Column, dim: int) -> Column:
+    """The place of each word in a vector of ``dim`` hashed words."""
+    return F.transform(words, lambda w: F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(dim)))
 
 
 def _words(notes: DataFrame) -> Column:
@@ -60,27 +52,34 @@ def vector_weights(notes: DataFrame, dim: int = 64) -> list[float]:
 
     One number a place, so it can be kept next to the stored notes and asked again at any time.
     """
-    place = lambda w: F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(dim))
-    places = notes.select(F.explode(F.array_distinct(F.transform(_words(notes), place))).alias("place"))
+    places = notes.select(F.explode(F.array_distinct(_places(_words(notes), dim))).alias("place"))
     counts = {r["place"]: r["n"] for r in places.groupBy("place").agg(F.count(F.lit(1)).alias("n")).collect()}  # dim rows
     total = notes.count()
     return [math.log((total + 1) / (counts.get(i, 0) + 1)) for i in range(dim)]
 
 
 def narrative_vectors(notes: DataFrame, weights: Sequence[float]) -> DataFrame:
-    """``notes`` with an embedding column: hashed word counts times ``weights``, scaled to length 1."""
-    rarity = np.asarray(weights)
+    """``notes`` with an embedding column: hashed word counts times ``weights``, scaled to length 1; zeros without a word of weight.
 
-    def vectors(batch: pd.Series) -> pd.Series:
-        cache: dict[str, int] = {}
-        return batch.map(lambda words: _weighted([] if words is None else list(words), rarity, cache))
-
-    return notes.withColumn("embedding", F.pandas_udf(vectors, "array<float>")(_words(notes)))
+    Counting, weighing and scaling are Spark ML's own transformers; no row passes through Python.
+    """
+    dim = len(weights)
+    counted = CountVectorizerModel.from_vocabulary([str(k) for k in range(dim)], inputCol="_places", outputCol="_counts")
+    weighed = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="_counts", outputCol="_weighed")
+    scaled = Normalizer(p=2.0, inputCol="_weighed", outputCol="_scaled")
+    places = F.coalesce(_places(_words(notes), dim).cast("array<string>"), F.array().cast("array<string>"))
+    made = PipelineModel([counted, weighed, scaled]).transform(notes.withColumn("_places", places))
+    return made.withColumn("embedding", vector_to_array("_scaled", "float32")).drop("_places", "_counts", "_weighed", "_scaled")
 
 
 def embed_query(query: str, weights: Sequence[float]) -> list[float]:
     """A question as a vector in the notes' own space."""
-    return [float(x) for x in _weighted(text.words(query), np.asarray(weights), {})]
+    vector = np.zeros(len(weights))
+    for word in text.words(query):
+        vector[int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % len(weights)] += 1
+    vector *= np.asarray(weights)
+    length = np.linalg.norm(vector)
+    return [float(x) for x in (vector / length if length else vector).astype(np.float32)]
 
 
 def claim_notes(notes: DataFrame, weights: Sequence[float]) -> DataFrame:

@@ -193,6 +193,18 @@ def test_narrative_vectors_and_questions_share_a_space(spark):
     assert later.count() == 4
 
 
+def test_narrative_vectors_without_python_equal_plain_counts(spark):
+    texts = ["a a b", "b c. c c d", None, "", "the", "für Ünï 99213 e11.9 " * 400]
+    told = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "claim_id string, narrative string")
+    weights = retrieval.vector_weights(told, 16)
+    made = retrieval.narrative_vectors(told, weights)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    for r in made.collect():
+        want = retrieval.embed_query(texts[int(r.claim_id)] or "", weights)
+        assert r.embedding == pytest.approx(want, abs=1e-6)
+
+
 def test_vector_text(spark):
     one = spark.createDataFrame([([1.0, -0.5, 1e-7],)], "v array<float>").withColumn("t", format_vector("v"))
     row = one.withColumn("back", parse_vector("t")).first()

@@ -292,6 +292,50 @@ oracle(
     select table_name, 'FOREIGN KEY' as constraint_type, constraint_name, orphan_rows as violations
     from ({_FK_CHECKS}) as b""",
 )
+# What is said of columns and tables, stated apart from the library: (table, column): (comment, synonyms, data class, personal).
+_SAID = {
+    ("claims", "denial_reason"): (
+        "Why the payer turned the claim down; null for claims it did not.", "adjustment reason, denial, rejection, rejection reason", None, None,
+    ),
+    ("claims", "billed_amount"): ("Dollars the provider asked for.", "charge, submitted amount", None, None),
+    ("claims", "paid_amount"): ("Dollars the payer gave; 0 while nothing has been paid.", "reimbursement", None, None),
+    ("claims", "status"): ("Where the claim stands; one of STATUSES.", None, None, None),
+    ("claims", "requires_manual_review"): (
+        "1 if a person had to look at the claim. The review model learns this.", "claim needing review, high-risk claim", None, None,
+    ),
+    ("disposition_events", "downstream_action_fired"): ("True once any follow-up of the decision was started.", None, None, None),
+    ("members", "member_ssn"): (None, None, "phi", "true"),
+    ("members", "member_name"): (None, None, "phi", "true"),
+    ("members", "member_dob"): (None, None, "phi", "true"),
+}
+
+
+def _said(value: str | None) -> str:
+    return "null" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+oracle(
+    "column_inventory",
+    " union all ".join(
+        f"""select '{t}' as table_name, '{f.name}' as column_name, cast({_said(said[0])} as varchar) as comment,
+        cast({_said(said[1])} as varchar) as synonyms, cast({_said(said[2])} as varchar) as data_class,
+        cast({_said(said[3])} as varchar) as pii, count(*) as row_count, count(*) - count({f.name}) as null_count from {t}"""
+        for t in ["members", "providers", "claims", "disposition_events", "prior_authorizations", "eligibility"]
+        for f in schemas.TABLES[t].fields
+        if f.name != "claim_detail"
+        for said in [_SAID.get((t, f.name), (None, None, None, None))]
+    ),
+)
+oracle(
+    "tagged_tables",
+    """select table_name, comment, tag, value, row_count from (values
+      ('claims', 'The claims book; a claim is one row here, with its document as JSON text.', 'domain', 'claims'),
+      ('claims', 'The claims book; a claim is one row here, with its document as JSON text.', 'certified', 'true'),
+      ('disposition_events', 'What was decided on a claim, when, and if anything was done about it.', 'domain', 'claims_ops')
+    ) as said(table_name, comment, tag, value)
+    join (select 'claims' as t, count(*) as row_count from claims union all select 'disposition_events', count(*) from disposition_events) as n
+    on n.t = said.table_name""",
+)
 oracle(
     "update_orphans",
     """select e.claim_id, count(*) as row_count from disposition_events e

@@ -474,6 +474,19 @@ def kept_key_checks(spark, sf_dir):
     return kept_keys.violations_so_far(spark, _kept_keys(spark, sf_dir))
 
 
+@query
+def column_inventory(spark, sf_dir):
+    """Of the registered views, with whatever comments and tags they still carry."""
+    catalog.register(spark, book.derived_book(spark, sf_dir))
+    views = {name: spark.table(name) for name in schemas.BOOK_TABLES if name != "claim_documents"}
+    return governance.column_inventory(views | {"claims": views["claims"].drop("claim_detail")})
+
+
+@query
+def tagged_tables(spark, sf_dir):
+    return governance.tagged_tables(book.derived_book(spark, sf_dir))
+
+
 @query
 def constraint_report(spark, sf_dir):
     return governance.constraint_report(book.derived_book(spark, sf_dir))

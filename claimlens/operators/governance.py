@@ -92,7 +92,7 @@ def describe(df: DataFrame, name: str) -> DataFrame:
     if name not in schemas.TABLES:
         return df
     meta = {f.name: f.metadata for f in schemas.described(name).fields if f.metadata}
-    return df.select([F.col(c).alias(c, metadata=meta[c]) if c in meta else F.col(c) for c in df.columns])
+    return df.select([F.col(c).alias(c, metadata=meta[c]) if c in meta else F.col(f"`{c}`") for c in df.columns])
 
 
 def column_listing(spark: SparkSession) -> DataFrame:
@@ -126,6 +126,50 @@ def table_listing(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, comment string, tag string, value string")
 
 
+def column_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, comment, synonyms, data_class, pii, row_count, null_count) of every column of ``tables``.
+
+    Comments and tags are read from the columns' own metadata, so a table that lost them shows none; a table without
+    rows counts 0. One aggregate a table, and one row of counts from each task.
+    """
+    words: dict[str, list[str]] = {}
+    for word, columns in schemas.SYNONYMS.items():
+        for column in columns:
+            words.setdefault(column, []).append(word)
+    parts = []
+    for name, df in tables.items():
+        counted = df.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            *[violations(F.col(f"`{f.name}`").isNull()).alias(f"_{k}") for k, f in enumerate(df.schema.fields)],
+        )
+        told = [
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.metadata.get("comment")).cast("string").alias("comment"),
+                F.lit(", ".join(sorted(words.get(f.name, []))) or None).cast("string").alias("synonyms"),
+                F.lit(f.metadata.get("data_class")).cast("string").alias("data_class"),
+                F.lit(f.metadata.get("pii")).cast("string").alias("pii"),
+                "row_count",
+                F.col(f"_{k}").alias("null_count"),
+            )
+            for k, f in enumerate(df.schema.fields)
+        ]
+        parts.append(counted.select(F.lit(name).alias("table_name"), F.explode(F.array(*told)).alias("c")).select("table_name", "c.*"))
+    return _all(parts)
+
+
+def tagged_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, comment, tag, value, row_count) of every tag of those of ``tables`` that have one."""
+    parts = []
+    for name, tags in schemas.TABLE_TAGS.items():
+        if name in tables:
+            told = [F.struct(F.lit(tag).alias("tag"), F.lit(value).alias("value")) for tag, value in tags.items()]
+            counted = tables[name].agg(F.count(F.lit(1)).alias("row_count")).select("row_count", F.explode(F.array(*told)).alias("t"))
+            about = F.lit(schemas.TABLE_COMMENTS.get(name)).cast("string").alias("comment")
+            parts.append(counted.select(F.lit(name).alias("table_name"), about, "t.tag", "t.value", "row_count"))
+    return _all(parts)
+
+
 # ---- personal columns -------------------------------------------------------------------------
 
 

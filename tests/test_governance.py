@@ -101,6 +101,23 @@ def test_listings(spark):
     ]
 
 
+def test_column_inventory_reads_the_metadata_the_tables_carry(spark):
+    schema = "claim_id string, billed_amount double, `a.b` int"
+    made = spark.createDataFrame([("C1", None, None), ("C1", 2.0, None), (None, None, 1)], schema)
+    tables = {"claims": governance.describe(made, "claims"), "members": made.limit(0)}
+    got = {(r.table_name, r.column_name): r for r in governance.column_inventory(tables).collect()}
+    assert len(got) == 6
+    billed = got["claims", "billed_amount"]
+    assert (billed.comment, billed.synonyms, billed.row_count, billed.null_count) == ("Dollars the provider asked for.", "charge, submitted amount", 3, 2)
+    assert got["members", "billed_amount"].comment is None and got["members", "billed_amount"].row_count == 0
+    assert (got["claims", "a.b"].null_count, got["claims", "claim_id"].null_count, got["members", "a.b"].null_count) == (2, 1, 0)
+    ssn = governance.describe(spark.createDataFrame([("1",)], "member_ssn string"), "members")
+    assert governance.column_inventory({"members": ssn}).first().data_class == "phi"
+    assert governance.column_inventory({"members": ssn.withColumn("member_ssn", F.upper("member_ssn"))}).first().pii is None
+    tagged = rows(governance.tagged_tables(tables).select("tag", "value", "row_count"), "tag")
+    assert tagged == [("certified", "true", 3), ("domain", "claims", 3)]
+
+
 def test_declared_join(tables):
     whole = joins.join_declared(tables, ("claims", joins.join_declared(tables, "claims", "members")), "providers")
     assert {"plan_type", "specialty"} <= set(whole.columns)

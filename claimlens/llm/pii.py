@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import pyarrow as pa
@@ -23,7 +24,14 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: What may be an identifier: a run of such signs with four digits or an @.
 _TOKEN = re.compile(r"[A-Za-z0-9@._%+/#-]+")
+#: Or, before that, groups of digits one to three such signs apart, if no run goes on at either end.
+_GROUPS = r"(?<![A-Za-z0-9@._%+/#-])[+(]?[0-9]++(?:[\x20()./-]{1,3}+[0-9]++)+(?![A-Za-z0-9@_%+#]|[./-][A-Za-z0-9])"
+_CANDIDATE = re.compile(rf"({_GROUPS})|{_TOKEN.pattern}")
+#: A phone or card number has so many digits; longer rows of groups are no single number, and each run counts alone.
+GROUP_DIGITS = range(7, 20)
 _LEXEME = re.compile(r"\w+|[^\w\s]")
+#: Longer instances and lexemes are known by their digest.
+NAME_CHARS = 64
 
 
 def _digits(text: str) -> list[int]:
@@ -74,33 +82,67 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def named(text: str) -> str:
+    """``text``, or its digest if it is long: graph rows stay small and no instance is left out."""
+    return text if len(text) <= NAME_CHARS else "sha256 " + hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def _before(text: str, start: int) -> list[str]:
+    """The two lexemes before a place, whole, however far back they begin."""
+    reach = 48
+    while True:
+        left = max(0, start - reach)
+        found = list(_LEXEME.finditer(text, left, start))[-2:]
+        if not left or (len(found) == 2 and found[0].start() > left):
+            return [m.group() for m in found]
+        reach *= 2
+
+
 def contexts(text: str, start: int, end: int) -> list[str]:
     """The lexical patterns of a place: the two lexemes before it, and the lexemes on both sides. Digits count alike."""
-    before = _LEXEME.findall(text[max(0, start - 48) : start])[-2:]
-    after = _LEXEME.search(text, end, end + 48)
-    plain = [re.sub(r"\d", "0", x.lower()) for x in before]
+    plain = [named(re.sub(r"\d", "0", x.lower())) for x in _before(text, start)]
+    after = _LEXEME.search(text, end)
     out = []
     if len(plain) == 2:
         out.append("before " + " ".join(plain))
     if plain and after:
-        out.append(f"around {plain[-1]} {re.sub(r'\d', '0', after.group().lower())}")
+        out.append(f"around {plain[-1]} {named(re.sub(r'\d', '0', after.group().lower()))}")
     return out
 
 
+def _gaps(base: list, size: int):
+    """The stretches of a text that no base span covers."""
+    at = 0
+    for a, b in sorted((a, b) for a, _, b in base):
+        if a > at:
+            yield at, a
+        at = max(at, b)
+    if at < size:
+        yield at, size
+
+
+def _runs(text: str, start: int, stop: int):
+    """(start, end) of what may be an identifier: groups of digits that make up one number, else runs of signs."""
+    for m in _CANDIDATE.finditer(text, start, stop):
+        if not m.group(1):
+            yield m.span()
+        elif sum("0" <= c <= "9" for c in m.group()) in GROUP_DIGITS:
+            open_only = m.group().startswith("(") and ")" not in m.group()
+            yield m.start() + open_only, m.end()
+        else:
+            yield from (t.span() for t in _TOKEN.finditer(text, *m.span()))
+
+
 def occurrences(text: str, base: list) -> list[tuple]:
     """(start, end, kind or None, instance, patterns) of the base spans and of the candidates that touch none of them."""
-    out = [(a, b, kind, text[a:b], contexts(text, a, b)) for a, kind, b in base]
-    covered, k = sorted((a, b) for a, _, b in base), 0
-    for m in _TOKEN.finditer(text) if any(c in text for c in "0123456789@") else ():
-        found = m.group().rstrip(".-/%")
-        a, b = m.start(), m.start() + len(found)
-        if len(found) > 64 or (sum("0" <= c <= "9" for c in found) < 4 and "@" not in found[1:-1]):
-            continue
-        while k < len(covered) and covered[k][1] <= a:
-            k += 1
-        if any(x < b and a < y for x, y in covered[max(0, k - 4) : k + 4]):
-            continue
-        out.append((a, b, None, found, contexts(text, a, b)))
+    out = [(a, b, kind, named(text[a:b]), contexts(text, a, b)) for a, kind, b in base]
+    for left, right in _gaps(base, len(text)) if any(c in text for c in "0123456789@") else ():
+        for a, b in _runs(text, left, right):
+            if (a == left and a > 0) or (b == right and b < len(text)):
+                continue  # the rest of a run that a base span is part of
+            found = text[a:b].rstrip(".-/%")
+            if sum("0" <= c <= "9" for c in found) >= 4 or "@" in found[1:-1]:
+                out.append((a, a + len(found), None, named(found), contexts(text, a, a + len(found))))
     return out
 
 
@@ -164,7 +206,8 @@ def annotated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     """(doc_id, kept, base, spans) of every row of ``docs``; both arrays of (start, kind, stop, by_rule), in order.
 
     ``base`` is what the fixed rules find: emails, addresses, card and phone numbers, leftmost and not overlapping within a
-    kind. ``spans`` adds identifiers that no rule covers but that stand where trusted patterns expect their kind.
+    kind. ``spans`` adds identifiers that no rule covers but that stand where trusted patterns expect their kind: runs of signs with four
+    digits or an @, of any length, and numbers of 7 to 19 digits in groups, such as (603) 555-8791, as a whole.
     Offsets are code points, stops exclusive. Null and empty texts have no spans. Rows without an id, repeated rows
     and rows that share an id are each returned. An empty table gives no rows.
     """

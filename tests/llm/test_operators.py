@@ -549,6 +549,32 @@ def test_trusted_patterns_reach_new_instances(spark):
     assert not rows[11].spans
 
 
+def test_numbers_in_groups_are_found_whole(spark):
+    texts = [f"{words(12, k)} please phone me at +1 603 555 87{k:02} any day" for k in range(60)]
+    unseen = ["(603) 555-8791", "603 555 8791", "603.555.8791", "(06221)4417 0815", "0" + "4711-x" * 20 + "9"]
+    texts += [f"{words(12, 170 + k)} please phone me at {number} any day" for k, number in enumerate(unseen)]
+    texts += [f"please phone me at {' '.join(['1234'] * 30)} any day", "10.0.0.1 please phone me at 603 555 8791 any 10.0.0.2", "phone me at +1 603 555 8791x now"]
+    texts += ["please phone me at " + "1 " * 20000, "x" * 30000 + " " + "y" * 30000 + " 4711 " + "z" * 30000, "603 555 8791 came alone"]
+    rows = {r.doc_id: r for r in pii.annotated(documents(spark, texts)).collect()}
+    for k, number in enumerate(unseen, 60):
+        assert [(s.kind, texts[k][s.start : s.stop]) for s in rows[k].spans] == [(3, number)]
+    assert [texts[65][s.start : s.stop] for s in rows[65].spans] == ["1234"]  # 120 digits are no number: the first run stands there
+    assert [(s.kind, texts[66][s.start : s.stop]) for s in rows[66].spans] == [(1, "10.0.0.1"), (3, "603 555 8791"), (1, "10.0.0.2")]
+    assert not any(s.by_rule is False for k in (67, 68, 69, 70) for s in rows[k].spans)
+    redacted = {r.doc_id: r.text for r in pii.redacted(documents(spark, texts)).collect()}
+    assert all(redacted[k].endswith("please phone me at [PHONE] any day") for k in range(60, 65))
+
+
+def test_patterns_look_as_far_as_their_words_reach():
+    far = "call " + "w" * 500 + " " * 300 + "4711-0815" + " " * 300 + "now"
+    (place,) = pii.occurrences(far, [])
+    start, stop, kind, instance, patterns = place
+    assert (far[start:stop], kind, instance) == ("4711-0815", None, "4711-0815")
+    assert patterns == [f"before call {pii.named('w' * 500)}", f"around {pii.named('w' * 500)} now"] and len(patterns[0]) < 100
+    assert pii.named("9" * 65) != pii.named("9" * 66) and pii.named("9" * 64) == "9" * 64
+    assert pii.contexts("4711", 0, 4) == [] and pii.contexts("a 4711", 2, 6) == []
+
+
 def test_redaction_keeps_columns(spark):
     docs = documents(spark, ["mail a.b@c.de or +1 (603) 555-8791.", None, "nothing", (None, "1.2.3.4", None)])
     out = pii.redacted(docs)

@@ -5,14 +5,17 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import id_and_text, row_numbers, written
 
 SEED_WORDS = 3
-#: Fewer words than this are no evidence of a leak.
-MIN_ITEM_WORDS = 5
+#: Items of fewer words are reported only where all their words stand in a row, and only if they are rare as a whole.
+SHORT_ITEM_WORDS = 5
+#: A stretch of a longer item counts as leaked from the score that ``THRESHOLD`` of so many of its words would have.
+EXCERPT_WORDS = 50
 WORD_CELLS = 1 << 20
 SEED_BITS = 1 << 24
 #: A seed is rare if chance alone would put it into fewer than one in a thousand documents.
@@ -35,11 +38,11 @@ def word_keys(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join([digest(w) for w in words]), "<u8")
 
 
-def seed_keys(keys: np.ndarray) -> np.ndarray:
-    """A key for each ``SEED_WORDS`` consecutive words."""
-    out = np.zeros(max(0, len(keys) - SEED_WORDS + 1), np.uint64)
+def seed_keys(keys: np.ndarray, width: int = SEED_WORDS) -> np.ndarray:
+    """A key for each ``width`` consecutive words."""
+    out = np.full(max(0, len(keys) - width + 1), SEED_WORDS - width, np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(SEED_WORDS if len(out) else 0):
+        for k in range(width if len(out) else 0):
             out = out * np.uint64(0x9E3779B97F4A7C15) + keys[k : k + len(out)]
     return out ^ (out >> np.uint64(32))
 
@@ -49,26 +52,27 @@ def seed_cells(seeds: np.ndarray, turn: int) -> np.ndarray:
     return ((seeds >> np.uint64(24 * turn)) & np.uint64(SEED_BITS - 1)).astype(np.int64)
 
 
-def _bits(df: DataFrame, cell: str, size: int) -> np.ndarray:
-    """Which of ``size`` cells occur in ``df``, as booleans: at most size / 32 numbers come to the driver."""
+def _marks(df: DataFrame, cell: str, size: int, mark: str) -> np.ndarray:
+    """The largest ``mark`` (1 to 63) of each of ``size`` cells, 0 where none: at most size / 32 numbers a mark come to the driver."""
     word = F.floor(F.col(cell) / F.lit(32)).cast("int").alias("word")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col(cell), F.lit(32)).cast("int")).alias("bit")
-    rows = df.select(word, bit).groupBy("word").agg(F.bit_or("bit")).toPandas().to_numpy(np.int64)
-    flags = np.zeros((size // 32, 32), bool)
-    if len(rows):
-        flags[rows[:, 0]] = rows[:, 1][:, None] >> np.arange(32) & 1
-    return flags.ravel()
+    rows = df.select(F.col(mark).cast("int").alias("mark"), word, bit).groupBy("mark", "word").agg(F.bit_or("bit")).toPandas().to_numpy(np.int64)
+    marks = np.zeros((size // 32, 32), np.uint8)
+    for value in np.unique(rows[:, 0]) if len(rows) else ():
+        own = rows[rows[:, 0] == value]
+        marks[own[:, 1]] = np.maximum(marks[own[:, 1]], (own[:, 2][:, None] >> np.arange(32) & 1) * value)
+    return marks.ravel()
 
 
 def benchmark_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(item_id, words, cells) of items of ``MIN_ITEM_WORDS`` words or more; of items with equal words, the smallest id."""
+    """(item_id, words, cells) of items with a word; of items with equal words, the smallest id."""
 
     def run(batches):
         for batch in batches:
             out = {"item_id": [], "words": [], "cells": []}
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = plain_words(text)
-                if len(words) >= MIN_ITEM_WORDS and item is not None:
+                if words and item is not None:
                     out["item_id"].append(item)
                     out["words"].append(b" ".join(words))
                     out["cells"].append((word_keys(words) & np.uint64(WORD_CELLS - 1)).astype(np.int64))
@@ -123,53 +127,70 @@ def weighted_items(items: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def rare_seeds(items: DataFrame) -> DataFrame:
-    """(seed, item_id): an item's rare n-grams, and always the rarer half of its n-grams.
+    """(seed, item_id, width, reach): an item's rare n-grams, and always the rarer half of its n-grams.
 
     Rare: the chance matches to expect in a document of mean length, words taken as independent, are below ``RARE``. The
-    half keeps an item of common words findable.
+    half keeps an item of common words findable. An item of fewer words than a seed is its own seed; short items that are
+    not rare as a whole have none. An item's words stand within two to the power of ``reach`` words of a seed.
     """
 
     def run(batches):
         for batch in batches:
-            out = {"seed": [], "item_id": []}
+            out = {name: [] for name in kind.names}
             for item, words, surprise, per_doc in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 words = words.split()
-                log = np.convolve(np.array(surprise), np.ones(SEED_WORDS), "valid")
-                keys = seed_keys(word_keys(words))
+                width = min(SEED_WORDS, len(words))
+                if len(words) < SHORT_ITEM_WORDS and sum(surprise) < np.log(per_doc / RARE):
+                    continue
+                log = np.convolve(np.array(surprise), np.ones(width), "valid")
+                keys = seed_keys(word_keys(words), width)
                 rare = (log >= np.log(per_doc / RARE)) | (log >= np.median(log))
                 some = np.unique(keys[rare]).view(np.int64)
                 out["seed"].extend(some.tolist())
                 out["item_id"].extend([item] * len(some))
+                out["width"].extend([width] * len(some))
+                out["reach"].extend([max(1, (len(words) - 1).bit_length())] * len(some))
             yield pa.RecordBatch.from_pydict(out, schema=kind)
 
-    kind = pa.schema([("seed", pa.int64()), ("item_id", pa.int64())])
-    return items.mapInArrow(run, "seed long, item_id long")
+    kind = pa.schema([("seed", pa.int64()), ("item_id", pa.int64()), ("width", pa.int32()), ("reach", pa.int32())])
+    return items.mapInArrow(run, "seed long, item_id long, width int, reach int")
 
 
-def passages(docs: DataFrame, flags: np.ndarray, reach: int) -> DataFrame:
-    """(passage, doc_id, start, words, seeds): stretches of documents around seeds, ``reach`` words to both sides."""
-    packed = np.packbits(flags)
+def passages(docs: DataFrame, marks: np.ndarray, widths: list[int]) -> DataFrame:
+    """(passage, doc_id, start, words, seeds): stretches of documents around seeds, as far to both sides as the seeds' own items reach.
+
+    ``marks`` holds the reach of each cell, as a power of two; ``widths`` are the seeds' numbers of words.
+    """
+    packed = zstandard.compress(marks.tobytes())
     kind = pa.schema(
         [("passage", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.binary()), ("seeds", pa.list_(pa.int64()))]
     )
 
     def run(batches):
         numbers = row_numbers()
-        wanted = np.unpackbits(packed).astype(bool)
+        known = np.frombuffer(zstandard.decompress(packed), np.uint8)
         for batch in batches:
             out = {name: [] for name in kind.names}
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = plain_words(text.as_py())
                 keys = word_keys(words)
-                found = seed_keys(word_keys(words))
-                hits = np.flatnonzero(wanted[seed_cells(found, 0)])
-                hits = hits[wanted[seed_cells(found[hits], 1)]]
+                places, seeds, marked = [], [], []
+                for width in widths:
+                    found = seed_keys(keys, width)
+                    mark = known[seed_cells(found, 0)]
+                    hits = np.flatnonzero(mark)
+                    hits = hits[known[seed_cells(found[hits], 1)] > 0]
+                    places.append(hits)
+                    seeds.append(found[hits])
+                    marked.append(np.minimum(mark[hits], known[seed_cells(found[hits], 1)]))
+                hits = np.concatenate(places)
                 if not len(hits):
                     continue
-                seeds = found[hits]
-                cuts = np.flatnonzero(np.diff(hits) > reach) + 1
-                for at, own in zip(np.split(hits, cuts), np.split(seeds, cuts)):
-                    a, b = max(0, int(at[0]) - reach), int(at[-1]) + reach + SEED_WORDS
+                order = np.argsort(hits, kind="stable")
+                hits, seeds, reach = hits[order], np.concatenate(seeds)[order], 1 << np.concatenate(marked)[order].astype(np.int64)
+                cuts = np.flatnonzero(np.diff(hits) > np.maximum(reach[1:], reach[:-1])) + 1
+                for at, own, far in zip(np.split(hits, cuts), np.split(seeds, cuts), np.split(reach, cuts)):
+                    a, b = max(0, int((at - far).min())), int((at + far).max()) + SEED_WORDS
                     out["passage"].append(next(numbers))
                     out["doc_id"].append(doc)
                     out["start"].append(a)
@@ -180,6 +201,17 @@ def passages(docs: DataFrame, flags: np.ndarray, reach: int) -> DataFrame:
     return docs.mapInArrow(run, "passage long, doc_id long, start long, words binary, seeds array<long>")
 
 
+def needed(surprise: np.ndarray, threshold: float) -> float:
+    """The share of an item's own score from which an alignment counts.
+
+    ``threshold`` up to ``EXCERPT_WORDS`` words; beyond, as much of its mean words' score as of a whole item of so many words. A
+    short item must be there whole.
+    """
+    if len(surprise) < SHORT_ITEM_WORDS:
+        return 1.0
+    return threshold * min(1.0, EXCERPT_WORDS / len(surprise))
+
+
 def align(item: np.ndarray, surprise: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     """Smith-Waterman: the best local alignment as a share of the item's own score, and where in the passage it lies.
 
@@ -224,22 +256,23 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, score, start, stop) of every document and benchmark item that align at ``threshold`` or more.
 
-    score is 1 for a whole copy; start and stop are word positions of the document, of its best-aligned passage (the first
+    An item of more than ``EXCERPT_WORDS`` words need not be there by half: ``threshold`` of so many of its mean words is enough. An
+    item of fewer than ``SHORT_ITEM_WORDS`` words must be there whole, its words in a row, and chance alone must put it into fewer
+    than ``RARE`` of the documents; one that is commoner proves nothing. score is a share of the item's own score, 1 for a whole copy; start and stop are word positions of the document, of its best-aligned passage (the first
     on ties). Words are compared without case and ASCII punctuation; items with equal words stand under their
-    smallest id. Null and empty texts on either side give no rows, nor do items without an id or
-    of fewer than five words; repeated documents give
-    one row with the best score, rows without an id one for all of them. An empty table on either side gives no rows.
+    smallest id. Null and empty texts on either side give no rows, nor do items without an id; very long texts are read whole and
+    other columns play no part; repeated documents give one row with the best score, rows without an id one for all of them. An empty table on either side gives no rows.
     """
     texts = id_and_text(docs, id_col, text_col)
     items = written(benchmark_items(benchmark, item_col, item_text_col), "items")
-    wanted = _bits(items.select(F.explode("cells").alias("cell")), "cell", WORD_CELLS)
+    wanted = _marks(items.select(F.explode("cells").alias("cell"), F.lit(1).alias("one")), "cell", WORD_CELLS, "one") > 0
     weighted = written(weighted_items(items, written(corpus_counts(texts, wanted), "word-counts")), "weighted-items")
     seeds = written(rare_seeds(weighted), "seeds")
     cells = [F.call_function("shiftrightunsigned", F.col("seed"), F.lit(24 * turn)).bitwiseAND(F.lit(SEED_BITS - 1)) for turn in (0, 1)]
-    flags = _bits(seeds.select(F.explode(F.array(*cells)).alias("cell")), "cell", SEED_BITS)
-    reach = int(weighted.agg(F.max(F.size("surprise"))).first()[0] or 0)
-    found = written(passages(texts, flags, reach), "passages")
-    pairs = found.select("passage", F.explode("seeds").alias("seed")).join(seeds, "seed").select("passage", "item_id").distinct()
+    marks = _marks(seeds.select(F.explode(F.array(*cells)).alias("cell"), "reach"), "cell", SEED_BITS, "reach")
+    widths = sorted(r["width"] for r in seeds.select("width").distinct().collect())  # three rows at most
+    found = written(passages(texts, marks, widths or [SEED_WORDS]), "passages")
+    pairs = found.select("passage", F.explode("seeds").alias("seed")).join(seeds.select("seed", "item_id"), "seed").select("passage", "item_id").distinct()
     both = (
         pairs.join(weighted.select("item_id", F.col("words").alias("item_words"), "surprise"), "item_id")
         .join(found.drop("seeds"), "passage")
@@ -253,10 +286,11 @@ def contaminated(
             for doc, item, start, words, item_words, surprise in zip(*(batch.column(k).to_pylist() for k in range(6))):
                 item_keys, keys, surprise = word_keys(item_words.split()), word_keys(words.split()), np.array(surprise)
                 # No alignment scores more than the words that both sides have.
-                if surprise[np.isin(item_keys, keys)].sum() < threshold * surprise.sum():
+                need = needed(surprise, threshold)
+                if surprise[np.isin(item_keys, keys)].sum() < need * surprise.sum() * (1 - 1e-9):
                     continue
                 score, a, b = align(item_keys, surprise, keys)
-                if score >= threshold:
+                if score >= need - 1e-9:
                     for name, x in zip(kind.names, (doc, item, score, start + a, start + b)):
                         out[name].append(x)
             yield pa.RecordBatch.from_pydict(out, schema=kind)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 
 from claimlens.llm.common import id_and_text
@@ -24,6 +26,8 @@ HIDDEN = 32
 EPOCHS = 40
 CACHE = 1 << 20
 FLUSH = 1 << 20
+#: The sums of tasks are added up in so many parts first.
+FAN = 1024
 #: Words, numbers and runs of signs; case is kept.
 _TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^A-Za-z0-9\x80-\xff\x20\x09-\x0D]+")
 
@@ -52,8 +56,8 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """One row a cell: the sum of the index vectors of all neighbours its words have in ``docs``, at length 1.
 
-    Each task adds up its own documents and gives the sums in blocks of cells, which are added up again by block: what
-    is shuffled is the size of the table once a task, and the driver gets the table.
+    Each task adds up its own documents and gives the sums in blocks of cells, which are added up by block in a tree of two levels:
+    what is shuffled is the size of the table once a task, and the driver gets the table.
     """
 
     def run(batches):
@@ -82,15 +86,21 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
         if held:
             flush()
         table = sums.astype(np.int64).reshape(-1, BLOCK_CELLS * WIDTH)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(table))), pa.array([row.tobytes() for row in table], pa.binary())], names=["block", "sums"]
-        )
+        block, part = pa.array(np.arange(len(table))), pa.array([TaskContext.get().partitionId() % FAN] * len(table))
+        yield pa.RecordBatch.from_arrays([block, part, pa.array([row.tobytes() for row in table], pa.binary())], names=["block", "part", "sums"])
 
-    def added(key, group):
-        total = sum(np.frombuffer(x.as_py(), np.int64) for x in group.column("sums"))
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
-
-    parts = docs.mapInArrow(run, "block long, sums binary").groupBy("block").applyInArrow(added, "block long, sums binary")
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, block, part = 0, None, None
+        for batch in batches:
+            for row in batch.column("sums"):
+                total = total + np.frombuffer(row.as_py(), np.int64)
+            block, part = batch.column("block")[0].as_py(), batch.column("part")[0].as_py()
+        names = ["block", "part", "sums"]
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=names)
+
+    # A tree of sums, row by row: first the tasks of each of FAN parts, then the parts; no group is held whole.
+    kind = "block long, part long, sums binary"
+    parts = docs.mapInArrow(run, kind).groupBy("block", "part").applyInArrow(added, kind).groupBy("block").applyInArrow(added, kind)
     table = np.zeros((CELLS // BLOCK_CELLS, BLOCK_CELLS * WIDTH))
     for row in parts.collect():  # CELLS * WIDTH numbers, whatever the corpus
         table[row["block"]] = np.frombuffer(row["sums"], np.int64)

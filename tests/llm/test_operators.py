@@ -463,6 +463,48 @@ def test_leaks_are_found_and_others_left(spark):
     assert decontaminate.contaminated(documents(spark, []), benchmark).count() == 0
 
 
+def test_excerpts_of_long_items_and_short_items(spark):
+    long_item, mid = words(150, 700), words(40, 701)
+    items = [(1, long_item), (2, mid), (3, "zeta quince marrow ibex"), (4, "kalomi"), (5, "Quixotic!"), (6, "the the"), (7, words(3000, 702))]
+    benchmark = spark.createDataFrame([(k, t, "x") for k, t in items], "item_id long, text string, doc_id string")
+    cut = lambda text, a, b: " ".join(text.split()[a:b])
+    texts = [words(120, 800 + k) + " the the" for k in range(40)] + [words(60, 40) + " kalomi " + words(60, 41)] * 30
+    texts += [words(30, 50) + " " + cut(long_item, 60, 110) + " " + words(30, 51), words(30, 52) + " " + cut(long_item, 60, 75) + " " + words(30, 53)]
+    texts += [words(30, 54) + " " + cut(mid, 5, 18) + " " + words(30, 55), words(9, 56) + " zeta, QUINCE marrow ibex. " + words(9, 57)]
+    texts += ["zeta quince extra marrow ibex", "a quixotic man", words(30, 58) + " " + cut(items[6][1], 1000, 1060) + " " + words(30, 59)]
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(documents(spark, texts), benchmark).collect()}
+    assert set(got) == {(70, 1), (73, 3), (76, 7)}  # one rare word, or two common ones, could stand anywhere
+    assert got[70, 1].start == 30 and got[70, 1].stop in range(80, 84) and 0.3 < got[70, 1].score < 0.4
+    assert (got[73, 3].score, got[73, 3].start, got[73, 3].stop) == (1, 9, 13)
+    assert decontaminate.needed(np.ones(50), 0.5) == 0.5 and decontaminate.needed(np.ones(200), 0.5) == 0.125 and decontaminate.needed(np.ones(4), 0.5) == 1
+
+
+def test_leaks_equal_alignment_of_everything(spark):
+    items = [(k, words(8 + 9 * k, 900 + k)) for k in range(7)]
+    texts = [words(60, 950 + k) for k in range(25)]
+    for k, (_, text) in enumerate(items * 3):
+        ws, draw = text.split(), np.random.default_rng(k)
+        for at in draw.choice(len(ws), len(ws) // (k % 5 + 3), replace=False):
+            ws[at] = "changed"
+        texts.append(words(20, 970 + k) + " " + " ".join(ws[: len(ws) - k % 4]) + " " + words(20, 990 + k))
+    docs = documents(spark, texts)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, benchmark).collect()}
+    counts = Counter(w for t in texts for w in t.split())
+    total = sum(counts.values())
+    want = {}
+    for item, text in items:
+        surprise = np.array([np.log(total / max(1, counts[w])) for w in text.split()])
+        codes = {w: k for k, w in enumerate(sorted(set(counts) | set(text.split())))}
+        of = lambda t: np.array([codes[w] for w in t.split()], np.uint64)
+        for doc, whole in enumerate(texts):
+            score, _, _ = decontaminate.align(of(text), surprise, of(whole))
+            if score >= decontaminate.needed(surprise, 0.5):
+                want[doc, item] = round(score, 6)
+    assert len(want) > 12 and set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 2e-6 for k in want)
+
+
 def brute_align(item, surprise, passage):
     own = surprise.sum()
     cost = decontaminate.PENALTY * own / len(item)

@@ -6,7 +6,7 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import row_numbers, written
@@ -228,6 +228,11 @@ def annotated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     )
 
 
+def count_of(spans: str, kind: int) -> Column:
+    """How many of the spans are of the kind. The test takes one argument: a second one would be given the span's place."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def as_text(spans: str):
     """kind:start:end of each span, joined by commas."""
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -583,6 +583,18 @@ def test_patterns_find_unseen_identifiers(spark):
     assert not [s for k in (13, 14) for s in by_id[k].spans]
 
 
+def test_base_counts_are_by_kind(spark, tmp_path):
+    texts = ["10.0.0.1 10.0.0.2 10.0.0.3 and a.b@c.de", "a@b.c, d@e.f, 1.2.3.4 and +1 (603) 555-8791", "no data", None, "4111 1111 1111 1111"]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in queries.op9_pii(spark, str(tmp_path)).collect()}
+    assert len(rows) == len(texts)
+    for k, text in enumerate(texts):
+        base = brute_base(text or "")
+        assert [rows[k][f"n_{name}"] for name in pii.KINDS] == [sum(kind == at for _, kind, _ in base) for at in range(len(pii.KINDS))]
+        told = ",".join(f"{pii.KINDS[kind]}:{start}:{end}" for start, kind, end in base)
+        assert rows[k].base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+
+
 def test_trusted_patterns_reach_new_instances(spark):
     texts = [f"{words(12, k)} reach me: mail {'u' + str(k) + '@mail.example.com'} now" for k in range(10)]
     texts += [f"{words(12, 60)} reach me: mail jo4711-0815-x now", f"{words(12, 61)} order number 4711-0815-y came"]

@@ -205,28 +205,29 @@ def _line_item(line: Column) -> Column:
     )
 
 
-def _line_documents(spark: SparkSession, sf_dir: str, max_lines: int) -> DataFrame:
-    """(k, part, line_items): the lines of each order, in documents of about ``max_lines`` at most.
+_NUMBERS = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
-    The shuffle carries the four numbers of a line; its texts are written out after it. An order of more lines is dealt
+
+def _grouped(dealt: DataFrame, *keys: str) -> DataFrame:
+    """The lines of each document as an array of their four numbers, in order."""
+    return dealt.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*_NUMBERS))).alias("lines"))
+
+
+def _line_documents(spark: SparkSession, sf_dir: str, max_lines: int) -> tuple[DataFrame, DataFrame]:
+    """(k, lines) of the orders of at most ``max_lines`` lines, and (k, part, lines) of the longer ones, in documents of about
+    ``max_lines`` at most.
+
+    Shuffles carry the four numbers of a line; its texts are written out after them. An order of more lines is dealt
     into parts by what a line says and, among equal lines, by its number, so the parts do not depend on how the table is
     read. The parts of an order are found with one count, aggregated before its shuffle.
     """
-    numbers = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    lines = raw(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), *numbers)
+    lines = raw(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), *_NUMBERS)
     n_parts = F.ceil(F.col("n") / F.lit(max(max_lines // 2, 1))).cast("int").alias("parts")
     long = lines.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_lines).select("k", n_parts)
-    whole = lines.join(long, "k", "left_anti").select("k", F.lit(0).alias("part"), *numbers)
-    equal = lines.join(long, "k").groupBy("k", "parts", *numbers).agg(F.count(F.lit(1)).alias("copies"))
-    each = equal.select("k", "parts", *numbers, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-    part = F.pmod(F.xxhash64(*numbers, "copy"), F.col("parts").cast("long")).cast("int").alias("part")
-
-    def documents(dealt: DataFrame, *keys: str) -> DataFrame:
-        collected = dealt.groupBy(*keys).agg(F.collect_list(F.struct(*numbers)).alias("lines"))
-        at = F.col("part") if "part" in keys else F.lit(0)
-        return collected.select("k", at.alias("part"), F.transform(F.sort_array("lines"), _line_item).alias("line_items"))
-
-    return documents(whole, "k").union(documents(each.select("k", part, *numbers), "k", "part"))
+    equal = lines.join(long, "k").groupBy("k", "parts", *_NUMBERS).agg(F.count(F.lit(1)).alias("copies"))
+    each = equal.select("k", "parts", *_NUMBERS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    part = F.pmod(F.xxhash64(*_NUMBERS, "copy"), F.col("parts").cast("long")).cast("int").alias("part")
+    return _grouped(lines.join(long, "k", "left_anti"), "k"), _grouped(each.select("k", part, *_NUMBERS), "k", "part")
 
 
 def _adjudication() -> Column:
@@ -245,30 +246,31 @@ def _document_json(adjudication: Column) -> Column:
         F.struct(
             F.lit("837").alias("edi_source"),
             F.expr("concat('CH', cast(100 + p % 900 as string))").alias("clearinghouse_id"),
-            F.coalesce("line_items", F.array().cast(f"array<{schemas.LINE_ITEM}>")).alias("line_items"),
+            F.coalesce(F.transform("lines", _line_item), F.array().cast(f"array<{schemas.LINE_ITEM}>")).alias("line_items"),
             adjudication.alias("adjudication"),
         )
     )
 
 
-def claims_with_detail(
+def claims_in_numbers(
     spark: SparkSession, sf_dir: str, folder: str, max_lines: int = schemas.MAX_DOCUMENT_LINES
 ) -> tuple[DataFrame, DataFrame]:
-    """Claims with their JSON detail, and the further documents (claim_id, part, claim_detail) of long claims.
+    """Claims before their texts are written out, and the further documents (claim_id, part, claim_detail) of long claims.
 
-    A claim's adjudication and part 0 of its lines are its ``claim_detail``. The line documents are written below ``folder``
-    once, and both tables are made from what was written.
+    ``told`` makes the claims table of the first. Until then a claim is what it is derived from and the numbers of its lines,
+    which is a small part of its detail, so it is moved and sorted in this form. The documents of long claims are written
+    below ``folder`` once, as both tables need them; all other lines meet their claims in the shuffle that groups them.
     """
+    whole, dealt = _line_documents(spark, sf_dir, max_lines)
     path = f"{folder}/line_documents"
-    _line_documents(spark, sf_dir, max_lines).write.mode("overwrite").parquet(path)
-    documents = spark.read.parquet(path)
+    dealt.write.mode("overwrite").parquet(path)
+    documents = spark.read.schema(dealt.schema).parquet(path)
     base = _amounts(spark, sf_dir)
-    first = documents.where("part = 0").select("k", "line_items")
-    # Documents grow with the claims: they are never worth a broadcast.
-    joined = base.join(_claim_provider(spark, sf_dir), "k", "left").join(first.hint("merge"), "k", "left")
-    claims = joined.selectExpr(
-        *[f"{expr} as {column}" for column, expr in BOOK["claims"][1].items()], "p", "line_items"
-    ).withColumn("claim_detail", _document_json(_adjudication()))
+    first = documents.where("part = 0").select("k", F.col("lines").alias("first_lines"))
+    # Lines grow with the claims: they are never worth a broadcast.
+    joined = base.join(_claim_provider(spark, sf_dir), "k", "left").join(whole.hint("merge"), "k", "left").join(first, "k", "left")
+    ids = [F.expr(BOOK["claims"][1][c]).alias(c) for c in ("claim_id", "member_id")]
+    numbers = joined.select(*base.columns, "sk", F.coalesce("lines", "first_lines").alias("lines"), *ids)
     more = (
         documents.where("part > 0")
         .join(base.select("k", "p"), "k")
@@ -278,7 +280,22 @@ def claims_with_detail(
             _document_json(F.lit(None).cast(schemas.ADJUDICATION)).alias("claim_detail"),
         )
     )
-    return claims.select([f.name for f in schemas.CLAIMS.fields]), more
+    return numbers, more
+
+
+def told(numbers: DataFrame) -> DataFrame:
+    """The claims table, row by row, from what ``claims_in_numbers`` gives. Part 0 of a claim's lines is in its ``claim_detail``."""
+    plain = {c: expr for c, expr in BOOK["claims"][1].items() if c not in ("claim_id", "member_id")}
+    claims = numbers.selectExpr("claim_id", "member_id", *[f"{expr} as {c}" for c, expr in plain.items()], "p", "lines")
+    return claims.withColumn("claim_detail", _document_json(_adjudication())).select([f.name for f in schemas.CLAIMS.fields])
+
+
+def claims_with_detail(
+    spark: SparkSession, sf_dir: str, folder: str, max_lines: int = schemas.MAX_DOCUMENT_LINES
+) -> tuple[DataFrame, DataFrame]:
+    """Claims with their JSON detail, and the further documents of long claims (see ``claims_in_numbers``)."""
+    numbers, more = claims_in_numbers(spark, sf_dir, folder, max_lines)
+    return told(numbers), more
 
 
 # ---- the tables -------------------------------------------------------------------------------

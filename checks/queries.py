@@ -17,7 +17,7 @@ from claimlens.operators import governance, joins, keyed_state, kept_keys, quali
 from claimlens.plans import catalog, metrics, partials
 from claimlens.session import configure, new_dir
 from claimlens.sources.bucketed import read_bucketed, write_bucketed
-from claimlens.sources.tables import Book, count_inventory, find, load, load_with_refusals, stored_book, write, write_keyed
+from claimlens.sources.tables import Book, count_inventory, find, laid_out, load, load_with_refusals, stored_book, write, write_keyed
 from claimlens.streaming import dispositions, transitions
 
 SEARCH_TEXT = "denied medically necessary"
@@ -58,12 +58,12 @@ def _kept(spark, sf_dir, name, make) -> str:
 
 def write_book(spark: SparkSession, sf_dir: str, folder: str, max_lines: int = schemas.MAX_DOCUMENT_LINES) -> None:
     """The whole book as stored tables; claims are laid out by member, and found by claim and provider as well."""
-    claims, more = book.claims_with_detail(spark, sf_dir, folder, max_lines)
+    numbers, more = book.claims_in_numbers(spark, sf_dir, folder, max_lines)
     made = book.derived_book(spark, sf_dir)
     for name in schemas.BOOK_TABLES:
         if name == "claims":
-            layout = {"cluster_by": ["member_id", "claim_id"], "find_by": ["claim_id", "provider_id"]}
-            write(claims, f"{folder}/claims.parquet", skip_empty=False, **layout)
+            claims = book.told(laid_out(numbers, ["member_id", "claim_id"]))
+            write(claims, f"{folder}/claims.parquet", skip_empty=False, find_by=["claim_id", "provider_id"])
         elif name == "claim_documents":
             write(more, f"{folder}/claim_documents.parquet", skip_empty=False)
         else:
@@ -376,7 +376,7 @@ def contains_lines(spark, sf_dir):
 
 def _details(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """The claims with their details parsed into VARIANT columns when they were written."""
-    folder = _kept(spark, sf_dir, "details", lambda folder: variants.write_details(*documents(spark, sf_dir), folder))
+    folder = _kept(spark, sf_dir, "details", lambda folder: variants.write_details(*documents(spark, sf_dir), folder, in_order=True))
     return variants.read_details(spark, folder)
 
 
@@ -736,7 +736,7 @@ def _notes_folder(spark, sf_dir) -> str:
 
     def make(folder):
         told = f"{folder}/told"
-        write(retrieval.with_tokens(_narratives(spark, sf_dir)), told, skip_empty=False)
+        write(retrieval.with_places(retrieval.with_tokens(_narratives(spark, sf_dir))), told, skip_empty=False)
         rows = spark.read.parquet(told)
         weights = retrieval.vector_weights(rows)
         write(spark.createDataFrame([(weights,)], "weights array<double>"), f"{folder}/weights")

@@ -26,6 +26,9 @@ from claimlens.functions.vectors import distances_to
 from claimlens.operators.serving import top_claims
 from claimlens.sources.tables import write
 
+#: Parts that the notes of one word are dealt into; a file holds parts of many words, in order.
+WORD_PARTS = 256
+
 
 def narratives(claims: DataFrame, providers: DataFrame, limit: int | None = 500) -> DataFrame:
     """(claim_id, narrative) of the dearest claims; no limit tells every claim.
@@ -47,12 +50,21 @@ def _words(notes: DataFrame) -> Column:
     return F.col("tokens") if "tokens" in notes.columns else text.tokens(F.col("narrative"))
 
 
+def with_places(notes: DataFrame, dim: int = 64) -> DataFrame:
+    """``notes`` with the places of its words as a stored column, so that weights and vectors do not hash them again."""
+    return notes.withColumn("places", _places(_words(notes), dim).cast("array<int>"))
+
+
+def _placed(notes: DataFrame, dim: int) -> Column:
+    return F.col("places") if "places" in notes.columns else _places(_words(notes), dim)
+
+
 def vector_weights(notes: DataFrame, dim: int = 64) -> list[float]:
     """What ``narrative_vectors`` and ``embed_query`` need: the rarity of each of ``dim`` hashed words over all notes.
 
     One number a place, so it can be kept next to the stored notes and asked again at any time.
     """
-    places = notes.select(F.explode(F.array_distinct(_places(_words(notes), dim))).alias("place"))
+    places = notes.select(F.explode(F.array_distinct(_placed(notes, dim))).alias("place"))
     counts = {r["place"]: r["n"] for r in places.groupBy("place").agg(F.count(F.lit(1)).alias("n")).collect()}  # dim rows
     total = notes.count()
     return [math.log((total + 1) / (counts.get(i, 0) + 1)) for i in range(dim)]
@@ -67,7 +79,7 @@ def narrative_vectors(notes: DataFrame, weights: Sequence[float]) -> DataFrame:
     counted = CountVectorizerModel.from_vocabulary([str(k) for k in range(dim)], inputCol="_places", outputCol="_counts")
     weighed = ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="_counts", outputCol="_weighed")
     scaled = Normalizer(p=2.0, inputCol="_weighed", outputCol="_scaled")
-    places = F.coalesce(_places(_words(notes), dim).cast("array<string>"), F.array().cast("array<string>"))
+    places = F.coalesce(_placed(notes, dim).cast("array<string>"), F.array().cast("array<string>"))
     made = PipelineModel([counted, weighed, scaled]).transform(notes.withColumn("_places", places))
     return made.withColumn("embedding", vector_to_array("_scaled", "float32")).drop("_places", "_counts", "_weighed", "_scaled")
 
@@ -84,7 +96,8 @@ def embed_query(query: str, weights: Sequence[float]) -> list[float]:
 
 def claim_notes(notes: DataFrame, weights: Sequence[float]) -> DataFrame:
     """The search table: claim_id, narrative, embedding and tokens; ``insert_if_absent`` adds later claims to it."""
-    return narrative_vectors(with_tokens(notes), weights).select([f.name for f in schemas.CLAIM_NOTES.fields])
+    told = notes if "tokens" in notes.columns else with_tokens(notes)
+    return narrative_vectors(told, weights).select([f.name for f in schemas.CLAIM_NOTES.fields])
 
 
 def with_tokens(notes: DataFrame, column: str = "narrative") -> DataFrame:
@@ -151,17 +164,41 @@ def keyword_top(notes: DataFrame, query: str, n: int = 30, key: str = "claim_id"
     return _ranked(best, F.desc("score"), key)
 
 
+def counted_words(lists: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, length, term, times) of rows with their words in ``_w``: the words of a row counted where the row is, without a shuffle.
+
+    The words are sorted, so a word's count is the way from its first place to the next word's.
+    """
+    ordered = evaluated_once(lists.select(*keys, F.size("_w").alias("length"), F.sort_array("_w").alias("_s")), "_s")
+    starts = F.array_compact(F.transform("_s", lambda w, i: F.when((i == 0) | (w != F.get("_s", i - 1)), i)))
+    cut = evaluated_once(ordered.withColumn("_at", starts), "_at")
+    one = lambda i, k: F.struct(F.get("_s", i).alias("term"), (F.coalesce(F.get("_at", k + 1), "length") - i).cast("int").alias("times"))
+    return cut.select(*keys, "length", F.explode(F.transform("_at", one)).alias("_c")).select(*keys, "length", "_c.*")
+
+
+def one_a_key(counted: DataFrame, key: str, *parts: str) -> DataFrame:
+    """The counted words, a row a word and key, sorted in parts by word and ``parts``: rows that share a key are added up.
+
+    One shuffle deals, groups and lays out. ``parts`` cut a word of many notes into many files.
+    """
+    dealt = counted.repartition("term", *parts)
+    summed = dealt.groupBy("term", *parts, key).agg(F.sum("times").cast("int").alias("times"), F.first("length").alias("length"))
+    return summed.sortWithinPartitions("term", *parts, key)
+
+
 def write_words(notes: DataFrame, path: str, key: str = "claim_id", column: str = "narrative") -> None:
     """The words of the notes as a table below ``path``: a row a word and note, laid out by word, and the corpus figures.
 
-    A question reads the row groups of its own words only. The key at the end of the order lets a word of many notes go
-    to many files.
+    A question reads the row groups of its own words only. A word's notes are dealt into ``WORD_PARTS`` parts by their key, so
+    a word of many notes goes to many files.
     """
-    words = F.col("tokens") if "tokens" in notes.columns else text.tokens(F.col(column))
-    lists = evaluated_once(notes.select(key, words.alias("_w")), "_w")
-    each = lists.select(key, F.size("_w").alias("length"), F.explode("_w").alias("term"))
-    counted = each.groupBy("term", key).agg(F.count(F.lit(1)).cast("int").alias("times"), F.first("length").alias("length"))
-    write(counted, f"{path}/words", skip_empty=False, cluster_by=["term", key])
+    if "tokens" not in notes.columns:  # split once, and kept for the figures
+        write(notes.select(key, text.tokens(F.col(column)).alias("tokens")), f"{path}/lists", skip_empty=False)
+        notes = notes.sparkSession.read.parquet(f"{path}/lists")
+    lists = notes.select(key, F.col("tokens").alias("_w"))
+    part = F.pmod(F.xxhash64(key), F.lit(WORD_PARTS)).cast("int").alias("_part")
+    counted = one_a_key(counted_words(lists, key).select("*", part), key, "_part").drop("_part")
+    write(counted, f"{path}/words", skip_empty=False)
     figures = lists.agg(F.count(F.lit(1)).alias("docs"), F.avg(F.size("_w")).alias("mean"))
     write(figures, f"{path}/figures", skip_empty=False)
 

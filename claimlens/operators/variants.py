@@ -16,9 +16,12 @@ def with_detail(documents: DataFrame) -> DataFrame:
     return documents.select(*kept, F.try_parse_json("claim_detail").alias("detail"))
 
 
-def write_details(claims: DataFrame, continuation: DataFrame, path: str) -> None:
-    """Claims and their further documents with parsed details below ``path``, claims laid out by member."""
-    write(with_detail(claims), f"{path}/claims", skip_empty=False, cluster_by=["member_id", "claim_id"])
+def write_details(claims: DataFrame, continuation: DataFrame, path: str, in_order: bool = False) -> None:
+    """Claims and their further documents with parsed details below ``path``, claims laid out by member.
+
+    Claims ``in_order`` are read from a table that is laid out by member: they are parsed where they are, without a shuffle.
+    """
+    write(with_detail(claims), f"{path}/claims", skip_empty=False, cluster_by=() if in_order else ["member_id", "claim_id"])
     write(with_detail(continuation), f"{path}/documents", skip_empty=False)
 
 

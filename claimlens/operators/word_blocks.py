@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions import text
 from claimlens.functions.sizing import evaluated_once
-from claimlens.operators.retrieval import _ranked
+from claimlens.operators.retrieval import _ranked, counted_words, one_a_key
 from claimlens.sources.tables import write
 
 #: Rows of a block; a power of two, so that no block crosses a partition's row numbers.
@@ -31,9 +31,9 @@ def write_blocks(notes: DataFrame, path: str, key: str = "claim_id", column: str
     numbered = ordered.withColumn("block", F.floor(F.monotonically_increasing_id() / block_rows))
     write(numbered, f"{path}/lists/batch={batch}", skip_empty=False)  # the numbers last once they are written
     stored = notes.sparkSession.read.schema(numbered.schema).parquet(f"{path}/lists/batch={batch}")
-    each = stored.select(key, "length", "block", F.explode("_w").alias("term"))
-    counted = each.groupBy("term", "block", key).agg(F.count(F.lit(1)).cast("int").alias("times"), F.first("length").alias("length"))
-    write(counted, f"{path}/postings/batch={batch}", skip_empty=False, cluster_by=["term", "block", key])
+    # A block's postings of a word lie together; the blocks deal a word of many notes into many files.
+    counted = one_a_key(counted_words(stored, key, "block"), key, "block")
+    write(counted, f"{path}/postings/batch={batch}", skip_empty=False)
     postings = notes.sparkSession.read.schema(counted.schema).parquet(f"{path}/postings/batch={batch}")
     bounds = postings.groupBy("term", "block").agg(
         F.count(F.lit(1)).alias("n"), F.max("times").alias("most"), F.min("length").alias("shortest"), F.min(key).alias("first_key")

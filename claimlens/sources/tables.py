@@ -62,6 +62,11 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.TABLES[name].fields])
 
 
+def laid_out(df: DataFrame, cluster_by: Sequence[str]) -> DataFrame:
+    """The rows in sorted ranges of the columns. Wide columns that follow from others of a row are better made after this."""
+    return df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+
+
 def write(
     df: DataFrame, path: str, skip_empty: bool = True, cluster_by: Sequence[str] = (), find_by: Sequence[str] = ()
 ) -> bool:
@@ -81,7 +86,7 @@ def write(
     if skip_empty and df.isEmpty():
         return False
     if cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        df = laid_out(df, cluster_by)
     writer = df.write.mode("overwrite")
     if find_by:
         writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")

@@ -9,7 +9,7 @@ from checks.queries import LINE_PATTERN
 from claimlens import schemas
 from claimlens.functions.nested import json_contains, parse_detail, variant_contains
 from claimlens.operators import silver, variants
-from tests.conftest import DETAIL, claim, frame
+from tests.conftest import DETAIL, claim, frame, rows
 
 
 def contains(value, pattern):
@@ -117,3 +117,15 @@ def test_details_parsed_at_load_give_the_parsed_tables(spark, tmp_path):
     assert [r.claim_id for r in lines] == ["C1", "C1", "C5", "C6"]
     assert lines[0].asDict() == silver.claim_lines(claims.where("claim_id = 'C1'"), more.limit(0)).first().asDict()
     assert (lines[3].line, lines[3].cpt, lines[3].charge) == (None, "7", 1.0)
+
+
+def test_details_of_claims_in_order_are_parsed_in_place(spark, tmp_path):
+    claims = frame(spark, "claims", [claim(k, member_id=f"M{k % 7}") for k in range(40)])
+    more = spark.createDataFrame([("C1", 1, DETAIL)], schemas.CLAIM_DOCUMENTS)
+    spark.sparkContext.setJobGroup("details", "details")
+    variants.write_details(claims, more, str(tmp_path), in_order=True)
+    stages = [spark.sparkContext.statusTracker().getJobInfo(j).stageIds for j in spark.sparkContext.statusTracker().getJobIdsForGroup("details")]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and all(len(s) == 1 for s in stages)  # no shuffle
+    got = variants.variant_lines(*variants.read_details(spark, str(tmp_path)))
+    assert rows(got.select("claim_id", "line", "cpt"), "claim_id", "line") == rows(silver.claim_lines(claims, more).select("claim_id", "line", "cpt"), "claim_id", "line")

@@ -241,3 +241,14 @@ def test_kept_tables_follow_the_raw_ones(spark, hot_order):
     before = queries._version(spark, hot_order)
     spark.range(1).selectExpr("id as o_orderkey").write.mode("append").parquet(f"{hot_order}/extra.parquet")
     assert queries._version(spark, hot_order) != before
+
+
+def test_claims_are_laid_out_before_their_texts_are_made(spark, sf_dir):
+    numbers, _ = book.claims_in_numbers(spark, sf_dir, session.new_dir(spark, "book"))
+    made = book.told(tables.laid_out(numbers, ["member_id", "claim_id"]))
+    node = made._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "RepartitionByExpression":
+        node = node.children().apply(0)
+    columns = node.output().mkString(" ")
+    assert "claim_id" in columns and "lines" in columns
+    assert "claim_detail" not in columns and "cpt" not in columns and "denial_reason" not in columns  # no shuffle carries a text

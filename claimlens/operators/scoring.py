@@ -27,6 +27,8 @@ FILL = {
 MAX_CATEGORIES = 10_000
 #: The fit learns from about so many labelled claims at most; all claims are scored, and the AUC is taken on all that are held out.
 MAX_FIT_ROWS = 200_000
+#: The fit's rows lie in so many partitions at most: each of its hundreds of passes sends the driver one result a partition.
+FIT_PARTS = 32
 
 
 def review_features(claims: DataFrame) -> DataFrame:
@@ -130,7 +132,8 @@ def train_review_model(
 ) -> tuple[PipelineModel, float]:
     """Fit on three quarters of the claims, or on about ``max_rows`` of them; returns the model and its ROC AUC on all the rest.
 
-    The bounded rows are kept on the executors while the boosting rounds pass over them. Only the trees and the
+    The bounded rows are kept on the executors while the boosting rounds pass over them, in ``FIT_PARTS`` partitions however many
+    the table is read in. Only the trees and the
     category names come to the driver. Save the model with ``model.write().save(path)``.
     """
     spark = features.sparkSession
@@ -139,7 +142,8 @@ def train_review_model(
     _check_categories(features)
     rows = stratified(features.withColumn("label", F.col("label").cast("double")))
     learned = _at_most(rows.where("not held").drop("held"), max_rows).persist()
-    model = Pipeline(stages=model_stages(rounds, depth, rate, seed)).fit(learned)
+    learned.count()  # the table is read by all its tasks; put together before this, it would be read by few
+    model = Pipeline(stages=model_stages(rounds, depth, rate, seed)).fit(learned.coalesce(FIT_PARTS))
     learned.unpersist()
     judged = model.transform(rows.where("held")).select("label", vector_to_array("probability")[1].alias("manual_review_score"))
     return model, roc_auc(judged).first()["auc"]

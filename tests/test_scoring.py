@@ -98,3 +98,19 @@ def test_fit_rows_are_bounded(spark):
     ids = spark.range(20000).select(F.concat(F.lit("C"), "id").alias("claim_id"))
     assert abs(scoring._at_most(ids, 5000).count() - 5000) < 400
     assert scoring._at_most(ids, 20000).count() == 20000
+
+
+def test_passes_of_the_fit_have_few_tasks(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(scoring, "FIT_PARTS", 2)
+    seen = []
+
+    class Seen(scoring.Pipeline):
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return super().fit(rows)
+
+    monkeypatch.setattr(scoring, "Pipeline", Seen)
+    features = queries.features(spark, sf_dir).repartition(24).persist()
+    model, auc = scoring.train_review_model(features, rounds=4)
+    assert auc > 0.8 and seen == [2]  # not a task a partition of the table in every pass
+    assert scoring.score_claims(model, features).count() == features.count()

@@ -28,6 +28,8 @@ from claimlens.sources.tables import write
 
 #: Parts that the notes of one word are dealt into; a file holds parts of many words, in order.
 WORD_PARTS = 256
+#: The cells of a near index.
+MAX_CELLS = 1024
 
 
 def narratives(claims: DataFrame, providers: DataFrame, limit: int | None = 500) -> DataFrame:
@@ -247,7 +249,8 @@ def near_index(
 ) -> None:
     """Lay the notes out below ``path`` by the cell their vector falls in, with the cells' centers.
 
-    The number of cells follows the number of rows. Centers are fitted on about ``fit_rows`` rows at most (the stated
+    The number of cells follows the number of rows up to ``MAX_CELLS``, so placing a row costs as many comparisons at most and the
+    whole grows with the rows alone; beyond that the cells grow. Centers are fitted on about ``fit_rows`` rows at most (the stated
     bound of a sample); every row is placed. How many cells a question must read is measured, not assumed: for ``asked``
     stored vectors the true ``n`` nearest of all rows are found, and the cells are counted, nearest first, that hold
     the share ``recall`` of them. Rows without a direction are near nothing and are left out.
@@ -256,8 +259,9 @@ def near_index(
     rows = pointed.count()
     if not rows:
         raise ValueError("no vector to index")
-    cells = max(1, min(rows, max(8, -(-rows // rows_per_cell))))
-    sample = pointed if rows <= fit_rows else pointed.sample(fit_rows / rows, seed)
+    cells = max(1, min(rows, MAX_CELLS, max(8, -(-rows // rows_per_cell))))
+    vectors = pointed.select("_v")
+    sample = vectors if rows <= fit_rows else vectors.sample(fit_rows / rows, seed)
     means = KMeans(featuresCol="_v", predictionCol="cell", k=cells, seed=seed, distanceMeasure="cosine")
     model = means.fit(sample.cache())
     sample.unpersist()

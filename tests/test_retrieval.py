@@ -235,3 +235,28 @@ def test_narrative_sentences(spark):
     assert told["C3"].endswith("provider unknown (unspecified). Claim PARTIALLY PAID with adjustment: None.")
     assert told["C4"].startswith("837P Professional claim for unspecified setting") and "PENDING" in told["C4"]
     assert retrieval.narratives(frame(spark, "claims", made), providers, 1).first().claim_id == "C1"
+
+
+def test_cells_stay_few_however_many_rows(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(retrieval, "MAX_CELLS", 6)
+    raw = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = raw.select(F.col("vec_id").cast("string").alias("claim_id"), "embedding")
+    retrieval.near_index(vectors, str(tmp_path), rows_per_cell=10)
+    centers = spark.read.parquet(f"{tmp_path}/centers").collect()
+    assert len(centers) == 6 and sum(c["n"] for c in centers) == vectors.count()
+    query = vectors.orderBy("claim_id").first().embedding
+    exact = {r.claim_id for r in retrieval.vector_top(vectors, query).collect()}
+    assert len(exact & {r.claim_id for r in retrieval.ann_top(spark, str(tmp_path), query).collect()}) >= 27
+
+
+def test_words_are_counted_where_their_note_is(spark, tmp_path):
+    told = [("a", "b a b c a b"), ("a", "b d"), ("e", ""), ("f", None), (None, "x x")]
+    notes = spark.createDataFrame(told, "claim_id string, narrative string")
+    lists = retrieval.with_tokens(notes).select("claim_id", F.col("tokens").alias("_w"))
+    counted = retrieval.counted_words(lists, "claim_id")
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    retrieval.write_words(notes, str(tmp_path))
+    got = sorted(((r.term, r.claim_id or "", r.times) for r in spark.read.parquet(f"{tmp_path}/words").collect()))
+    assert got == [("b", "a", 4), ("c", "a", 1), ("d", "a", 1), ("x", "", 2)]  # rows of one key are added up; "a" is a stop word
+    dealt = retrieval.one_a_key(counted.withColumn("_part", F.pmod(F.xxhash64("claim_id"), F.lit(4))), "claim_id", "_part")
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # one shuffle groups and lays out

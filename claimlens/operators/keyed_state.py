@@ -51,10 +51,13 @@ def _commit(spark: SparkSession, path: str, new: Snapshot) -> None:
 
 
 def _write(rows: DataFrame, path: str, key: str, buckets: int) -> dict[int, str]:
-    """Rows by bucket in a folder of their own; what a failed try leaves there is in no log entry and is never read."""
+    """Rows by bucket in a folder of their own; what a failed try leaves there is in no log entry and is never read.
+
+    Ranges of the key cut through a large bucket, so that no task has to sort a whole one; each file holds one range of keys.
+    """
     folder = f"{path}/data/{uuid.uuid4().hex}"
     placed = rows.withColumn("bucket", bucket_of(key, buckets))
-    placed.repartition("bucket").sortWithinPartitions("bucket", key).write.partitionBy("bucket").parquet(folder)
+    placed.repartitionByRange("bucket", key).sortWithinPartitions("bucket", key).write.partitionBy("bucket").parquet(folder)
     written = rows.sparkSession.read.schema("bucket int").parquet(folder)
     return {r["bucket"]: f"{folder}/bucket={r['bucket']}" for r in written.select("bucket").distinct().collect()}  # a row a bucket
 

@@ -156,3 +156,20 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, tmp_path, monkeypatch):
 
 def told_plain(df):
     return sorted(map(tuple, df.collect()))
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(40_000).select(F.concat(F.lit("C"), "id").alias("claim_id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias("text"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keyed_state.create_state(rows, str(tmp_path / "state"), buckets=1)
+        write_bucketed(rows, str(tmp_path / "bucketed"), "claim_id", 1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    for files in ((tmp_path / "state" / "data").rglob("*.parquet"), (tmp_path / "bucketed").rglob("*.parquet")):
+        spans = sorted(tuple(spark.read.parquet(str(f)).agg(F.min("claim_id"), F.max("claim_id")).first()) for f in files)
+        assert len(spans) == 4 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))  # a range of keys a file
+    assert keyed_state.read_state(spark, str(tmp_path / "state")).count() == 40_000
+    back = read_bucketed(spark, str(tmp_path / "bucketed"), "claim_id", 1)
+    assert back.groupBy("claim_id").count().count() == 40_000

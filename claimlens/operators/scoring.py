@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions.nested import has_cob_text
-from claimlens.session import shared_dir
+from claimlens.session import new_dir, shared_dir
 
 CATEGORIES = ["status", "denial_reason", "claim_type", "pos_desc", "has_cob"]
 # fixed values: what stands for a missing value
@@ -52,7 +52,8 @@ def stratified(rows: DataFrame, share: float = 0.25, label: str = "label", key:
     """``rows`` with the flag ``held``: of each class of ``label`` exactly the share, rounded, of its rows, those of smallest key hash.
 
     The same rows on every run and machine. A histogram of the hashes' leading bits, summed over all rows, tells in which of 65,536
-    ranges the cut of a class falls; only the rows of that range are ranked. There is one cut a class, and classes are few.
+    ranges the cut of a class falls; only the rows of that range are ranked. There is one cut a class, and classes are few: the cuts
+    go to the rows, which are never shuffled by their class.
     """
     hashed = rows.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
     # Signed numbers in their order: the top bits, shifted with their sign.
@@ -63,10 +64,11 @@ def stratified(rows: DataFrame, share: float = 0.25, label: str = "label", key:
     summed = counts.withColumn("upto", F.sum("n").over(upto)).withColumn("wanted", wanted)
     cuts = summed.where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
     cuts = cuts.select("_class", F.col("_range").alias("_cut"), (F.col("wanted") - F.col("upto") + F.col("n")).alias("left"))
+    cuts = F.broadcast(cuts)  # a row a class
     edge = ranged.join(cuts, F.col("_range").eqNullSafe(F.col("_cut")) & ranged["_class"].eqNullSafe(cuts["_class"])).drop(cuts["_class"])
     placed = edge.withColumn("place", F.row_number().over(Window.partitionBy("_class").orderBy("_h", "_key"))).where("place = left")
     last = placed.select(F.col("_class").alias("_of"), F.struct("_h", "_key").alias("_last"))
-    met = hashed.join(last, F.col(label).eqNullSafe(F.col("_of")), "left")
+    met = hashed.join(F.broadcast(last), F.col(label).eqNullSafe(F.col("_of")), "left")
     held = F.coalesce(F.struct(F.col("_h"), F.col(key).alias("_key")) <= F.col("_last"), F.lit(False))
     return met.withColumn("held", held).select(*rows.columns, "held")
 
@@ -74,21 +76,23 @@ def stratified(rows: DataFrame, share: float = 0.25, label: str = "label", key:
 def roc_auc(scored: DataFrame, score: str = "manual_review_score", label: str = "label") -> DataFrame:
     """One row, ``auc``: the chance that a positive row scores above a negative one, ties counted half. Exact, over all rows.
 
-    Rows are counted by score before anything is ordered. What lies below a score is summed in two levels: over 4,096 ranges of
-    scores, and within a range. Null where one of the classes is missing.
+    Rows are read once and counted by score before anything is ordered. What lies below a score is summed in two levels: within
+    each of 4,096 ranges of scores, and over the ranges' own sums. Null where one of the classes is missing.
     """
     positive = F.col(label).cast("double") == 1
     counts = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).cast("double").alias("s")).agg(
         F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
     )
     counts = counts.withColumn("range", F.floor(F.col("s") * 4096))
-    ranges = counts.groupBy("range").agg(F.sum("neg").alias("n"))
-    below = ranges.withColumn("below", F.sum("n").over(Window.orderBy("range")) - F.col("n")).drop("n")
     inside = F.sum("neg").over(Window.partitionBy("range").orderBy("s")) - F.col("neg")
-    met = counts.withColumn("inside", inside).join(below, "range")
-    wins = F.sum(F.col("pos").cast("decimal(19,0)") * (2 * (F.col("below") + F.col("inside")) + F.col("neg")))
+    twice = F.col("pos").cast("decimal(19,0)") * (2 * F.col("inside") + F.col("neg"))
+    ranges = counts.withColumn("inside", inside).groupBy("range").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum(twice).alias("twice")
+    )
+    below = F.sum("neg").over(Window.orderBy("range")) - F.col("neg")  # 4,097 rows at most for scores in [0, 1]
+    wins = F.sum(F.col("twice") + 2 * F.col("pos").cast("decimal(19,0)") * F.col("below"))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return met.agg(F.when(pairs > 0, wins.cast("double") / (2 * pairs)).alias("auc"))
+    return ranges.withColumn("below", below).agg(F.when(pairs > 0, wins.cast("double") / (2 * pairs)).alias("auc"))
 
 
 def _check_categories(features: DataFrame) -> None:
@@ -132,15 +136,16 @@ def train_review_model(
 ) -> tuple[PipelineModel, float]:
     """Fit on three quarters of the claims, or on about ``max_rows`` of them; returns the model and its ROC AUC on all the rest.
 
-    The bounded rows are kept on the executors while the boosting rounds pass over them, in ``FIT_PARTS`` partitions however many
-    the table is read in. Only the trees and the
-    category names come to the driver. Save the model with ``model.write().save(path)``.
+    The split is written once below the shared folder. The bounded rows are kept on the executors while the boosting rounds pass over
+    them, in ``FIT_PARTS`` partitions however many the table is read in. Only the trees and the category names come to the driver. Save the model with ``model.write().save(path)``.
     """
     spark = features.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     _check_categories(features)
-    rows = stratified(features.withColumn("label", F.col("label").cast("double")))
+    split = new_dir(spark, "split")
+    stratified(features.withColumn("label", F.col("label").cast("double"))).write.parquet(split)
+    rows = spark.read.parquet(split)
     learned = _at_most(rows.where("not held").drop("held"), max_rows).persist()
     learned.count()  # the table is read by all its tasks; put together before this, it would be read by few
     model = Pipeline(stages=model_stages(rounds, depth, rate, seed)).fit(learned.coalesce(FIT_PARTS))

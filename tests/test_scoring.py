@@ -114,3 +114,18 @@ def test_passes_of_the_fit_have_few_tasks(spark, sf_dir, monkeypatch):
     model, auc = scoring.train_review_model(features, rounds=4)
     assert auc > 0.8 and seen == [2]  # not a task a partition of the table in every pass
     assert scoring.score_claims(model, features).count() == features.count()
+
+
+def test_classes_are_not_dealt_to_a_task_each(spark):
+    ids = spark.range(2000).select(F.concat(F.lit("C"), "id").alias("claim_id"), (F.col("id") % 2).cast("double").alias("label"))
+    split = scoring.stratified(ids.repartition(6))
+    assert "SortMergeJoin" not in split._jdf.queryExecution().executedPlan().toString()  # the rows stay where they are
+    per_task = split.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_task) == 6 and max(r["count"] for r in per_task) < 700
+
+
+def test_auc_reads_the_scores_once(spark, tmp_path):
+    spark.createDataFrame([(0.2, 0), (0.7, 1), (0.7, 0)], "manual_review_score double, label int").write.parquet(str(tmp_path / "s"))
+    auc = scoring.roc_auc(spark.read.parquet(str(tmp_path / "s")))
+    assert auc._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert auc.first().auc == 0.75

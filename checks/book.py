@@ -206,6 +206,18 @@ def _line_item(line: Column) -> Column:
 
 
 _NUMBERS = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+# what the claims table is derived from in an order
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _short_line(line: Column) -> Column:
+    """A line with what its texts ask of part and supplier: the remainders by all that ``_line_item`` divides them by (8, 7, 4; 3, 4)."""
+    return F.struct(
+        line["l_linenumber"].alias("l_linenumber"),
+        (line["l_partkey"] % 56).cast("tinyint").alias("l_partkey"),
+        (line["l_suppkey"] % 12).cast("tinyint").alias("l_suppkey"),
+        line["l_extendedprice"].alias("l_extendedprice"),
+    )
 
 
 def _grouped(dealt: DataFrame, *keys: str) -> DataFrame:
@@ -213,17 +225,21 @@ def _grouped(dealt: DataFrame, *keys: str) -> DataFrame:
     return dealt.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*_NUMBERS))).alias("lines"))
 
 
-def _line_documents(spark: SparkSession, sf_dir: str, max_lines: int) -> tuple[DataFrame, DataFrame]:
+def _line_documents(spark: SparkSession, sf_dir: str, folder: str, max_lines: int) -> tuple[DataFrame, DataFrame]:
     """(k, lines) of the orders of at most ``max_lines`` lines, and (k, part, lines) of the longer ones, in documents of about
     ``max_lines`` at most.
 
     Shuffles carry the four numbers of a line; its texts are written out after them. An order of more lines is dealt
     into parts by what a line says and, among equal lines, by its number, so the parts do not depend on how the table is
-    read. The parts of an order are found with one count, aggregated before its shuffle.
+    read. The parts of an order are found with one count, aggregated before its shuffle; the long orders, few or none, are written
+    below ``folder``, so that their size is known and all other lines are shuffled once, by the grouping.
     """
     lines = raw(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), *_NUMBERS)
     n_parts = F.ceil(F.col("n") / F.lit(max(max_lines // 2, 1))).cast("int").alias("parts")
     long = lines.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_lines).select("k", n_parts)
+    path = f"{folder}/long_orders"
+    long.write.mode("overwrite").parquet(path)
+    long = spark.read.schema(long.schema).parquet(path)
     equal = lines.join(long, "k").groupBy("k", "parts", *_NUMBERS).agg(F.count(F.lit(1)).alias("copies"))
     each = equal.select("k", "parts", *_NUMBERS, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     part = F.pmod(F.xxhash64(*_NUMBERS, "copy"), F.col("parts").cast("long")).cast("int").alias("part")
@@ -261,19 +277,20 @@ def claims_in_numbers(
     which is a small part of its detail, so it is moved and sorted in this form. The documents of long claims are written
     below ``folder`` once, as both tables need them; all other lines meet their claims in the shuffle that groups them.
     """
-    whole, dealt = _line_documents(spark, sf_dir, max_lines)
+    whole, dealt = _line_documents(spark, sf_dir, folder, max_lines)
     path = f"{folder}/line_documents"
     dealt.write.mode("overwrite").parquet(path)
     documents = spark.read.schema(dealt.schema).parquet(path)
-    base = _amounts(spark, sf_dir)
+    orders = raw(spark, sf_dir, "orders").select(*_ORDER_COLUMNS, F.col("o_orderkey").alias("k"))
     first = documents.where("part = 0").select("k", F.col("lines").alias("first_lines"))
     # Lines grow with the claims: they are never worth a broadcast.
-    joined = base.join(_claim_provider(spark, sf_dir), "k", "left").join(whole.hint("merge"), "k", "left").join(first, "k", "left")
-    ids = [F.expr(BOOK["claims"][1][c]).alias(c) for c in ("claim_id", "member_id")]
-    numbers = joined.select(*base.columns, "sk", F.coalesce("lines", "first_lines").alias("lines"), *ids)
+    joined = orders.join(_claim_provider(spark, sf_dir), "k", "left").join(whole.hint("merge"), "k", "left").join(first, "k", "left")
+    ids = [F.expr(_CLAIM_ID.format("k")).alias("claim_id"), F.expr(_MEMBER_ID.format("o_custkey")).alias("member_id")]
+    lines = F.transform(F.coalesce("lines", "first_lines"), _short_line).alias("lines")
+    numbers = joined.select(*_ORDER_COLUMNS, "sk", lines, *ids)
     more = (
         documents.where("part > 0")
-        .join(base.select("k", "p"), "k")
+        .join(_base(spark, sf_dir).select("k", "p"), "k")
         .select(
             F.expr(_CLAIM_ID.format("k")).alias("claim_id"),
             "part",
@@ -286,7 +303,10 @@ def claims_in_numbers(
 def told(numbers: DataFrame) -> DataFrame:
     """The claims table, row by row, from what ``claims_in_numbers`` gives. Part 0 of a claim's lines is in its ``claim_detail``."""
     plain = {c: expr for c, expr in BOOK["claims"][1].items() if c not in ("claim_id", "member_id")}
-    claims = numbers.selectExpr("claim_id", "member_id", *[f"{expr} as {c}" for c, expr in plain.items()], "p", "lines")
+    kept = ["claim_id", "member_id", "sk", "lines"]
+    base = numbers.selectExpr(*kept, *[f"{expr} as {c}" for c, expr in BOOK["claim_base"][1].items()])
+    amounts = base.selectExpr(*kept, *[f"{expr} as {c}" for c, expr in BOOK["claim_amounts"][1].items()])
+    claims = amounts.selectExpr("claim_id", "member_id", *[f"{expr} as {c}" for c, expr in plain.items()], "p", "lines")
     return claims.withColumn("claim_detail", _document_json(_adjudication())).select([f.name for f in schemas.CLAIMS.fields])
 
 

@@ -755,11 +755,21 @@ def _weights(spark, sf_dir) -> list[float]:
 
 
 def _notes(spark, sf_dir) -> DataFrame:
-    """The claims that have a vector in the given table, with it."""
-    vectors = book.raw(spark, sf_dir, "embeddings").select(
-        F.expr("concat('C', lpad(cast(vec_id as string), 9, '0'))").alias("claim_id"), "embedding"
-    )
-    return _all_notes(spark, sf_dir).drop("embedding").join(vectors, "claim_id")
+    """The claims that have a vector in the given table, with it.
+
+    Notes and vectors meet once. The ids of the vectors are written by themselves, so that Spark knows how short they are and
+    notes without a vector are left out before any text is shuffled.
+    """
+
+    def make(folder):
+        vectors = book.raw(spark, sf_dir, "embeddings").select(
+            F.expr("concat('C', lpad(cast(vec_id as string), 9, '0'))").alias("claim_id"), "embedding"
+        )
+        write(vectors.select("claim_id"), f"{folder}/ids", skip_empty=False)
+        known = _all_notes(spark, sf_dir).drop("embedding").join(spark.read.parquet(f"{folder}/ids"), "claim_id", "left_semi")
+        write(known.join(vectors, "claim_id"), f"{folder}/rows", skip_empty=False)
+
+    return spark.read.parquet(f"{_kept(spark, sf_dir, 'vector_notes', make)}/rows")
 
 
 def _document_words(spark, sf_dir) -> str:

@@ -191,15 +191,19 @@ def one_a_key(counted: DataFrame, key: str, *parts: str) -> DataFrame:
 def write_words(notes: DataFrame, path: str, key: str = "claim_id", column: str = "narrative") -> None:
     """The words of the notes as a table below ``path``: a row a word and note, laid out by word, and the corpus figures.
 
-    A question reads the row groups of its own words only. A word's notes are dealt into ``WORD_PARTS`` parts by their key, so
-    a word of many notes goes to many files.
+    A question reads the pages of its own words only. Where every key has one note, which a count tells, the notes' lists of words are
+    dealt by key and counted after that: a key is moved once, not with each of its words. Where keys repeat, the counted words are
+    moved, and a word's notes are dealt into ``WORD_PARTS`` parts by their key. A word of many notes goes to many files both ways.
     """
     if "tokens" not in notes.columns:  # split once, and kept for the figures
         write(notes.select(key, text.tokens(F.col(column)).alias("tokens")), f"{path}/lists", skip_empty=False)
         notes = notes.sparkSession.read.parquet(f"{path}/lists")
     lists = notes.select(key, F.col("tokens").alias("_w"))
-    part = F.pmod(F.xxhash64(key), F.lit(WORD_PARTS)).cast("int").alias("_part")
-    counted = one_a_key(counted_words(lists, key).select("*", part), key, "_part").drop("_part")
+    if lists.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        counted = counted_words(lists.repartition(key), key).select("term", key, "times", "length").sortWithinPartitions("term", key)
+    else:
+        part = F.pmod(F.xxhash64(key), F.lit(WORD_PARTS)).cast("int").alias("_part")
+        counted = one_a_key(counted_words(lists, key).select("*", part), key, "_part").drop("_part")
     write(counted, f"{path}/words", skip_empty=False)
     figures = lists.agg(F.count(F.lit(1)).alias("docs"), F.avg(F.size("_w")).alias("mean"))
     write(figures, f"{path}/figures", skip_empty=False)

@@ -8,6 +8,7 @@ import pytest
 from conftest import claim, frame, rows
 from pyspark.sql import functions as F
 
+from checks import queries
 from claimlens.functions import text
 from claimlens.functions.vectors import cosine_distance, format_vector, parse_vector
 from claimlens.operators import retrieval, serving
@@ -260,3 +261,25 @@ def test_words_are_counted_where_their_note_is(spark, tmp_path):
     assert got == [("b", "a", 4), ("c", "a", 1), ("d", "a", 1), ("x", "", 2)]  # rows of one key are added up; "a" is a stop word
     dealt = retrieval.one_a_key(counted.withColumn("_part", F.pmod(F.xxhash64("claim_id"), F.lit(4))), "claim_id", "_part")
     assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # one shuffle groups and lays out
+
+
+def test_notes_of_unique_keys_are_moved_once(spark, tmp_path, monkeypatch):
+    told = [("a", "b c b"), ("d", "b e"), ("e", ""), (None, "c")]
+    notes = spark.createDataFrame(told, "claim_id string, narrative string")
+    retrieval.write_words(notes.union(notes.limit(1)), str(tmp_path / "repeated"))  # a key of two notes: its words are added up
+    monkeypatch.setattr(retrieval, "one_a_key", None)
+    retrieval.write_words(notes, str(tmp_path / "unique"))
+    read = lambda name: {(r.term, r.claim_id): (r.times, r.length) for r in spark.read.parquet(str(tmp_path / name / "words")).collect()}
+    assert read("unique") == {("b", "a"): (2, 3), ("c", "a"): (1, 3), ("b", "d"): (1, 2), ("e", "d"): (1, 2), ("c", None): (1, 1)}
+    assert read("repeated") == {**read("unique"), ("b", "a"): (4, 3), ("c", "a"): (2, 3)}
+    kinds = lambda name: spark.read.parquet(str(tmp_path / name / "words")).dtypes
+    assert kinds("unique") == kinds("repeated")
+
+
+def test_notes_and_vectors_meet_once(spark, sf_dir):
+    notes = queries._notes(spark, sf_dir)
+    assert "Join" not in notes._jdf.queryExecution().optimizedPlan().toString()
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").selectExpr("concat('C', lpad(cast(vec_id as string), 9, '0')) as claim_id", "embedding")
+    wanted = queries._all_notes(spark, sf_dir).drop("embedding").join(vectors, "claim_id")
+    assert notes.columns == wanted.columns and notes.count() == wanted.count() > 0
+    assert notes.exceptAll(wanted).isEmpty()

@@ -1,5 +1,8 @@
 """Reading, writing, the derived book, and the splitting of hot groups."""
 
+import os
+
+import pyarrow.parquet as pq
 import pytest
 from conftest import claim, frame, rows
 from pyspark.sql import functions as F
@@ -252,3 +255,26 @@ def test_claims_are_laid_out_before_their_texts_are_made(spark, sf_dir):
     columns = node.output().mkString(" ")
     assert "claim_id" in columns and "lines" in columns
     assert "claim_detail" not in columns and "cpt" not in columns and "denial_reason" not in columns  # no shuffle carries a text
+
+
+def test_claims_are_moved_as_their_orders_and_short_lines(spark, sf_dir):
+    folder = session.new_dir(spark, "book")
+    numbers, _ = book.claims_in_numbers(spark, sf_dir, folder)
+    assert set(numbers.columns) == {*book._ORDER_COLUMNS, "sk", "lines", "claim_id", "member_id"}  # nothing that follows from them
+    line = {f.name: f.dataType.simpleString() for f in numbers.schema["lines"].dataType.elementType}
+    assert line["l_partkey"] == line["l_suppkey"] == "tinyint"
+    assert spark.read.parquet(f"{folder}/long_orders").isEmpty()  # written, so its size is known before the lines are read
+
+
+def test_parts_of_any_sign_give_the_same_line_texts(spark):
+    given = [(1, p, s, 2.5) for p in (0, 1, 55, 56, 57, 123456789012, None) for s in (0, 11, 12, 13, None)]
+    lines = spark.createDataFrame(given, "l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double").select(F.struct("*").alias("line"))
+    both = lines.select(book._line_item(F.col("line")).alias("long"), book._line_item(book._short_line(F.col("line"))).alias("short"))
+    assert both.where("to_json(long) <> to_json(short)").isEmpty() and both.count() == len(given)
+
+
+def test_tables_are_packed_by_zstd(spark, tmp_path):
+    path = tables.table_path(str(tmp_path), "t")
+    tables.write(spark.range(10), path)
+    file = next(p for p in os.listdir(path) if p.endswith(".parquet"))
+    assert pq.ParquetFile(f"{path}/{file}").metadata.row_group(0).column(0).compression == "ZSTD"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions.nested import has_cob_text
@@ -25,10 +27,12 @@ FILL = {
 #: The widest one-hot column. Which of its values stand for a free-text column is settled by refusing it: the contract of
 #: ``CATEGORIES`` is columns of few values, and the indexer keeps every one of them on the driver.
 MAX_CATEGORIES = 10_000
-#: The fit learns from about so many labelled claims at most; all claims are scored, and the AUC is taken on all that are held out.
-MAX_FIT_ROWS = 200_000
-#: The fit's rows lie in so many partitions at most: each of its hundreds of passes sends the driver one result a partition.
+#: The amounts that the trees tell apart, as many as Spark ML's trees do by default.
+AMOUNT_BINS = 32
+#: The fit's cells lie in so many partitions at most: each of its hundreds of passes sends the driver one result a partition.
 FIT_PARTS = 32
+#: Cells that are worth a partition of their own.
+CELLS_PER_PART = 5_000
 
 
 def review_features(claims: DataFrame) -> DataFrame:
@@ -124,20 +128,44 @@ def model_stages(rounds: int, depth: int, rate: float, seed: int) -> list:
 
 
 def _at_most(rows: DataFrame, limit: int, key: str = "claim_id") -> DataFrame:
-    """About ``limit`` of the rows by hash of their id; all of them where there are fewer."""
+    """About ``limit`` of the rows by hash of their id; all of them where there are fewer. The fit does not use it: it learns from all rows."""
     many = rows.count()
     step = 1_000_000
     part = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(step))
     return rows if many <= limit else rows.where(part < int(step * limit / many))
 
 
+def amount_marks(rows: DataFrame, column: str = "amount_scaled", bins: int = AMOUNT_BINS) -> list[float]:
+    """At most ``bins`` values of the column, in order: all of its values if there are no more, else the middles of as many equal shares.
+
+    The shares are told by a sketch that every row goes into, to a thousandth of the rows.
+    """
+    if rows.agg(F.approx_count_distinct(column)).first()[0] <= 2 * bins:
+        values = sorted(r[0] for r in rows.select(column).distinct().collect())
+        if len(values) <= bins:
+            return values
+    return sorted(set(rows.stat.approxQuantile(column, [(k + 0.5) / bins for k in range(bins)], 0.001)))
+
+
+def _marked(column: str, marks: list[float]) -> Column:
+    """The mark next to the value; on the middle between two the lower one, as a tree's threshold sends it to the left."""
+    nearest = F.when(F.lit(False), F.lit(0.0))
+    for low, high in zip(marks, marks[1:]):
+        nearest = nearest.when(F.col(column) <= F.lit((low + high) / 2.0), F.lit(low))
+    return nearest.otherwise(F.lit(marks[-1]))
+
+
 def train_review_model(
-    features: DataFrame, rounds: int = 100, depth: int = 3, rate: float = 0.1, seed: int = 42, max_rows: int = MAX_FIT_ROWS
+    features: DataFrame, rounds: int = 100, depth: int = 3, rate: float = 0.1, seed: int = 42
 ) -> tuple[PipelineModel, float]:
-    """Fit on three quarters of the claims, or on about ``max_rows`` of them; returns the model and its ROC AUC on all the rest.
-
-    The split is written once below the shared folder. The bounded rows are kept on the executors while the boosting rounds pass over
-    them, in ``FIT_PARTS`` partitions however many the table is read in. Only the trees and the category names come to the driver. Save the model with ``model.write().save(path)``.
+    """Fit on three quarters of the claims; returns the model and its ROC AUC on all the rest.
+
+    The split is written once below the shared folder, and every row of the three quarters is learned from: categories and the amount's
+    mean and deviation are taken over all of them, then they are counted by what the trees can tell apart, which is their categories,
+    label, and the nearest of ``amount_marks``. The rounds pass over these counted cells, a weight each. Thresholds lie halfway
+    between two marks, where ``_marked`` parts the rows, so the trees are those of a fit on the rows themselves with these thresholds.
+    There are no more cells than rows, and with few categories they are few however many rows there are. They lie in ``FIT_PARTS``
+    partitions at most. Only the trees, marks and category names come to the driver. Save the model with ``model.write().save(path)``.
     """
     spark = features.sparkSession
     if not spark.sparkContext.getCheckpointDir():
@@ -146,10 +174,25 @@ def train_review_model(
     split = new_dir(spark, "split")
     stratified(features.withColumn("label", F.col("label").cast("double"))).write.parquet(split)
     rows = spark.read.parquet(split)
-    learned = _at_most(rows.where("not held").drop("held"), max_rows).persist()
-    learned.count()  # the table is read by all its tasks; put together before this, it would be read by few
-    model = Pipeline(stages=model_stages(rounds, depth, rate, seed)).fit(learned.coalesce(FIT_PARTS))
-    learned.unpersist()
+    learned = rows.where("not held").drop("held")
+    index, hot, amount, scaled, together, trees = model_stages(rounds, depth, rate, seed)
+    indexed = index.fit(learned)
+    encoded = hot.fit(indexed.transform(learned))
+    standard = scaled.fit(amount.transform(learned))
+    known = standard.transform(amount.transform(learned))
+    known = known.select(*CATEGORIES, "label", vector_to_array("amount_scaled")[0].alias("amount_scaled"))
+    marked = known.withColumn("amount_scaled", _marked("amount_scaled", amount_marks(known)))
+    counted = marked.groupBy(*CATEGORIES, "label", "amount_scaled").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    path = new_dir(spark, "cells")
+    counted.write.parquet(path)
+    cells = spark.read.parquet(path)
+    many = cells.count()
+    # The trees look for thresholds in a sample beyond maxBins * maxBins rows: none is taken with this number of bins.
+    trees.setWeightCol("weight").setMaxBins(max(AMOUNT_BINS, math.isqrt(many) + 1))
+    held = cells.repartition(min(FIT_PARTS, max(2, math.ceil(many / CELLS_PER_PART)))).persist()
+    fitted = Pipeline(stages=[indexed, encoded, together, trees]).fit(held)
+    held.unpersist()
+    model = PipelineModel([indexed, encoded, amount, standard, together, fitted.stages[-1]])
     judged = model.transform(rows.where("held")).select("label", vector_to_array("probability")[1].alias("manual_review_score"))
     return model, roc_auc(judged).first()["auc"]
 

@@ -129,3 +129,48 @@ def test_auc_reads_the_scores_once(spark, tmp_path):
     auc = scoring.roc_auc(spark.read.parquet(str(tmp_path / "s")))
     assert auc._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
     assert auc.first().auc == 0.75
+
+
+def many_claims(spark, n, amount):
+    """Claims without a table behind them; ``amount`` is SQL over ``id``."""
+    return spark.range(0, n, numPartitions=4).selectExpr(
+        "concat('C', id) as claim_id", "array('Paid', 'Denied')[cast(id % 2 as int)] as status", "concat('r', id % 5) as denial_reason",
+        "'837P' as claim_type", "array('Office', 'Home', 'Clinic')[cast(id % 3 as int)] as pos_desc", f"cast({amount} as double) as billed_amount",
+        "'true' as has_cob", "case when hash(id) % 7 = 0 or (id % 2 = 1 and id % 11 < 5) then 1 else 0 end as label",
+    )
+
+
+def test_every_claim_of_a_large_table_is_learned_from(spark):
+    made = many_claims(spark, 800_000, "id % 90001").withColumn("denial_reason", F.expr("case when cast(substr(claim_id, 2) as int) % 2000 = 7 then claim_id else 'none' end"))
+    want = {r.denial_reason for r in scoring.stratified(made).where("not held and denial_reason <> 'none'").collect()}
+    model, _ = scoring.train_review_model(made, rounds=1, depth=1)
+    known = dict(zip(scoring.CATEGORIES, model.stages[0].labelsArray))
+    assert len(want) > 250 and set(known["denial_reason"]) == want | {"none"}
+
+
+def test_fit_on_counted_cells_is_the_fit_on_the_rows(spark, monkeypatch):
+    made = many_claims(spark, 9000, "100 * (id * id % 29)").persist()  # 29 amounts at most: the trees may split between any two
+    weights = []
+
+    class Seen(scoring.Pipeline):
+        def fit(self, rows):
+            weights.append((rows.agg(F.sum("weight")).first()[0], rows.count()))
+            return super().fit(rows)
+
+    plain = scoring.Pipeline(stages=scoring.model_stages(8, 3, 0.1, 42))
+    monkeypatch.setattr(scoring, "Pipeline", Seen)
+    model, _ = scoring.train_review_model(made, rounds=8)
+    learned = scoring.stratified(made.withColumn("label", F.col("label").cast("double"))).where("not held")
+    assert weights[0][0] == learned.count() and weights[0][1] < 3000
+    both = scoring.score_claims(model, made).join(scoring.score_claims(plain.fit(learned), made).toDF("claim_id", "plain"), "claim_id")
+    assert both.where("abs(manual_review_score - plain) > 1e-9").isEmpty() and both.count() == 9000
+
+
+def test_marks_part_the_amounts_where_the_trees_do(spark):
+    values = spark.range(100_000).select((F.col("id") * F.col("id") / 1e6).alias("amount_scaled"))
+    marks = scoring.amount_marks(values)
+    assert len(marks) == scoring.AMOUNT_BINS and marks == sorted(marks)
+    assert all(abs(m - ((k + 0.5) / 32 * 1e5) ** 2 / 1e6) < 200 for k, m in enumerate(marks))
+    cuts = spark.createDataFrame([((a + b) / 2.0, a) for a, b in zip(marks, marks[1:])] + [(1e9, marks[-1]), (-1.0, marks[0])], "amount_scaled double, mark double")
+    assert cuts.where(scoring._marked("amount_scaled", marks) != F.col("mark")).isEmpty()
+    assert scoring.amount_marks(spark.createDataFrame([(3.0,), (1.0,), (3.0,)], "amount_scaled double")) == [1.0, 3.0]

@@ -106,3 +106,36 @@ def test_other_streams_keep_their_state_store(spark, tmp_path):
     stream = dispositions.disposition_stream(spark, str(tmp_path / "in"))
     transitions.keep_transitions(stream, str(tmp_path / "t"), str(tmp_path / "log")).awaitTermination()
     assert spark.conf.get(transitions.PROVIDER) == before != transitions.ROCKS
+
+
+def test_claims_share_rows_of_state(spark, tmp_path):
+    """A state of many claims is handed to the stream in slices, and claims of a slice move each on its own."""
+    folder, path, log = str(tmp_path / "in"), str(tmp_path / "changes"), str(tmp_path / "log")
+    first, later, last = days(5, 200), days(6, 200), days(1, 200)
+    held = {}
+    walk(held, [(n, c, t, k) for n, c, t, k in first if n is not None])
+    land(spark, str(tmp_path / "old"), [event(*e) for e in first if e[0] is not None])
+    state = latest_dispositions(spark.read.parquet(str(tmp_path / "old")))
+    for batch in (later, last):
+        land(spark, folder, [event(*e) for e in batch])
+        moves = transitions.transitions(dispositions.disposition_stream(spark, folder), state, slices=3)
+        before = spark.conf.get(transitions.PROVIDER)
+        spark.conf.set(transitions.PROVIDER, transitions.ROCKS)
+        try:
+            dispositions.keep_table(moves, path, log).awaitTermination()
+        finally:
+            spark.conf.set(transitions.PROVIDER, before)
+        if batch is later:
+            want = walk(held, later)
+            rows_of_state = spark.read.format("statestore").option("path", log).option("stateVarName", "newest").load()
+            assert rows_of_state.count() == 3
+    assert kept(spark, path) == sorted(want + walk(held, last), key=repr)
+
+
+def test_seed_is_a_row_a_slice(spark):
+    rows_ = [(f"c{k}" if k else None, "Paid", None, None if k % 2 else f"e{k}") for k in range(1000)]
+    state = spark.createDataFrame(rows_, "claim_id string, status string, last_disposition_ts timestamp, last_event_id string")
+    seed = transitions._seed(state, (F.pmod(F.xxhash64("claim_id"), F.lit(7))).alias("slice")).collect()
+    assert len(seed) == 7
+    told = [r for s in seed for r in zip(*(s[c] for c in transitions.EVENT_NAMES), strict=True)]
+    assert sorted(told, key=repr) == sorted(rows_, key=repr)

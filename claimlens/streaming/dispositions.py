@@ -62,7 +62,7 @@ def keep_state(stream: DataFrame, path: str, checkpoint: str, every: str | None
 
 
 def keep_keyed_state(stream: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Keep a state in buckets (``keyed_state.create_state``) current: a batch rewrites the buckets of its own claims.
+    """Keep a state in buckets (``keyed_state.create_state``) current: a batch writes the rows of its own claims.
 
     Late, repeated and re-run batches change nothing, as the larger (time, event id) wins whenever it comes.
     """

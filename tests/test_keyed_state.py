@@ -102,6 +102,42 @@ def test_a_failed_change_leaves_the_version_before(spark, state, tmp_path):
         keyed_state._commit(spark, folder, keyed_state.Snapshot(now.version + 1, now.key, now.buckets, now.folders))
 
 
+def test_a_change_writes_its_own_rows_only(spark, state, tmp_path, monkeypatch):
+    """However large a bucket is: the other rows of it are neither written again nor shuffled."""
+    folder = str(tmp_path / "state")
+    keyed_state.create_state(state.repartition(1), folder, buckets=1)
+    two = frame(spark, "disposition_events", [event(500, "C3", "Denied", "2002-01-01T00:00:00"), event(501, "C88", "Denied", "2002-01-01T00:00:00")])
+    before = set(files(folder))
+    keyed_state.change_state(spark, folder, two, serving.upsert_latest)
+    new = spark.read.schema(state.schema).parquet(*(set(files(folder)) - before))
+    assert sorted(r.claim_id for r in new.collect()) == ["C3", "C88"]
+    assert told(keyed_state.read_state(spark, folder)) == told(serving.upsert_latest(state, two))
+    base = keyed_state._read(spark, folder, [keyed_state.snapshot(spark, folder).folders[0][0][0]])
+    monkeypatch.setattr(keyed_state, "_layers", lambda *_: [base])
+    assert "Exchange hashpartitioning" not in plan_of(keyed_state._rows_of(spark, folder, keyed_state.snapshot(spark, folder), [0], two.select("claim_id"), 2))
+
+
+@pytest.mark.parametrize("sent", [1_000_000, 0])
+def test_many_changes_of_a_bucket(spark, state, tmp_path, monkeypatch, sent):
+    """Keys changed again and again, repeated and missing keys in the state, and buckets that are written whole after some changes."""
+    monkeypatch.setattr(keyed_state, "MAX_LAYERS", 2)
+    monkeypatch.setattr(keyed_state, "BROADCAST_KEYS", sent)
+    folder = str(tmp_path / "state")
+    odd = state.unionByName(state.where("claim_id in ('C5', 'C6')")).unionByName(state.limit(1).withColumn("claim_id", F.lit(None).cast("string")))
+    keyed_state.create_state(odd, folder, buckets=2)
+    most, wanted, types = 0, odd, ", ".join(f"{name} {kind}" for name, kind in odd.dtypes)
+    for k in range(3):
+        ids = ["C5", "C6", f"C{10 + k}", f"new{k % 2}"]
+        batch = frame(spark, "disposition_events", [event(600 + k, c, f"S{k}", f"2002-01-{1 + (k * 5) % 7:02d}T00:00:00") for c in ids])
+        keyed_state.change_state(spark, folder, batch, serving.upsert_latest)
+        wanted = spark.createDataFrame(serving.upsert_latest(wanted, batch).collect(), types)
+        assert told(keyed_state.read_state(spark, folder)) == told(wanted)
+        most = max(most, *map(len, keyed_state.snapshot(spark, folder).folders.values()))
+        asked = ["C5", "new0", "C1", "none"]
+        assert told(keyed_state.lookup(spark, folder, asked)) == told(wanted.where(F.col("claim_id").isin(asked)))
+    assert most == 2
+
+
 def test_an_empty_state_can_be_filled(spark, state, tmp_path):
     folder = str(tmp_path / "state")
     keyed_state.create_state(state.limit(0), folder)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
@@ -16,6 +18,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from claimlens import schemas
 from claimlens.functions import text
@@ -28,6 +31,8 @@ from claimlens.sources.tables import write
 
 #: Parts that the notes of one word are dealt into; a file holds parts of many words, in order.
 WORD_PARTS = 256
+#: Words that are counted at once.
+WORDS_AT_ONCE = 500_000
 #: The cells of a near index.
 MAX_CELLS = 1024
 
@@ -166,16 +171,40 @@ def keyword_top(notes: DataFrame, query: str, n: int = 30, key: str = "claim_id"
     return _ranked(best, F.desc("score"), key)
 
 
+def _counted_in_batch(batch: pa.RecordBatch, keys: Sequence[str]) -> pa.RecordBatch:
+    """The words of a batch of rows counted by row, sorted by word and then by the keys, last one first."""
+    lists = batch.column("_w")
+    words, parents = lists.flatten(), pc.list_parent_indices(lists)
+    if words.null_count:
+        words, parents = words.drop_null(), parents.filter(words.is_valid())
+    coded = words.dictionary_encode()
+    by_term = pc.sort_indices(coded.dictionary).to_numpy()
+    by_key = pc.sort_indices(batch, sort_keys=[(k, "ascending") for k in reversed(keys)]).to_numpy()
+    term_place, key_place = np.argsort(by_term), np.argsort(by_key)
+    pairs = term_place[coded.indices.to_numpy()] * batch.num_rows + key_place[parents.to_numpy()]
+    found, times = np.unique(pairs, return_counts=True)
+    rows = pa.array(by_key[found % batch.num_rows])
+    columns = [batch.column(k).take(rows) for k in keys]
+    columns += [pc.list_value_length(lists).cast("int32").take(rows), coded.dictionary.take(pa.array(by_term[found // batch.num_rows])), pa.array(times, pa.int32())]
+    return pa.RecordBatch.from_arrays(columns, [*keys, "length", "term", "times"])
+
+
 def counted_words(lists: DataFrame, *keys: str) -> DataFrame:
     """(*keys, length, term, times) of rows with their words in ``_w``: the words of a row counted where the row is, without a shuffle.
 
-    The words are sorted, so a word's count is the way from its first place to the next word's.
+    Counted by Arrow batch, ``WORDS_AT_ONCE`` words at most. The rows of a batch leave in order of word and keys, so that a sort by these only merges.
     """
-    ordered = evaluated_once(lists.select(*keys, F.size("_w").alias("length"), F.sort_array("_w").alias("_s")), "_s")
-    starts = F.array_compact(F.transform("_s", lambda w, i: F.when((i == 0) | (w != F.get("_s", i - 1)), i)))
-    cut = evaluated_once(ordered.withColumn("_at", starts), "_at")
-    one = lambda i, k: F.struct(F.get("_s", i).alias("term"), (F.coalesce(F.get("_at", k + 1), "length") - i).cast("int").alias("times"))
-    return cut.select(*keys, "length", F.explode(F.transform("_at", one)).alias("_c")).select(*keys, "length", "_c.*")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("_w")), 0).to_numpy(zero_copy_only=False))
+            cuts = [0, *(np.flatnonzero(np.diff(words // WORDS_AT_ONCE)) + 1).tolist(), batch.num_rows]
+            for start, stop in zip(cuts, cuts[1:]):
+                if stop > start:
+                    yield _counted_in_batch(batch.slice(start, stop - start), keys)
+
+    schema = StructType([lists.schema[k] for k in keys]).add("length", IntegerType()).add("term", StringType()).add("times", IntegerType())
+    return lists.select(*keys, "_w").mapInArrow(counted, schema)
 
 
 def one_a_key(counted: DataFrame, key: str, *parts: str) -> DataFrame:
@@ -188,6 +217,10 @@ def one_a_key(counted: DataFrame, key: str, *parts: str) -> DataFrame:
     return summed.sortWithinPartitions("term", *parts, key)
 
 
+def one_note_a_key(notes: DataFrame, key: str) -> bool:
+    return notes.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 def write_words(notes: DataFrame, path: str, key: str = "claim_id", column: str = "narrative") -> None:
     """The words of the notes as a table below ``path``: a row a word and note, laid out by word, and the corpus figures.
 
@@ -199,7 +232,7 @@ def write_words(notes: DataFrame, path: str, key: str = "claim_id", column: str
         write(notes.select(key, text.tokens(F.col(column)).alias("tokens")), f"{path}/lists", skip_empty=False)
         notes = notes.sparkSession.read.parquet(f"{path}/lists")
     lists = notes.select(key, F.col("tokens").alias("_w"))
-    if lists.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+    if one_note_a_key(lists, key):
         counted = counted_words(lists.repartition(key), key).select("term", key, "times", "length").sortWithinPartitions("term", key)
     else:
         part = F.pmod(F.xxhash64(key), F.lit(WORD_PARTS)).cast("int").alias("_part")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions import text
 from claimlens.functions.sizing import evaluated_once
-from claimlens.operators.retrieval import _ranked, counted_words, one_a_key
+from claimlens.operators.retrieval import _ranked, counted_words, one_a_key, one_note_a_key
 from claimlens.sources.tables import write
 
 #: Rows of a block; a power of two, so that no block crosses a partition's row numbers.
@@ -31,8 +31,13 @@ def write_blocks(notes: DataFrame, path: str, key: str = "claim_id", column: str
     numbered = ordered.withColumn("block", F.floor(F.monotonically_increasing_id() / block_rows))
     write(numbered, f"{path}/lists/batch={batch}", skip_empty=False)  # the numbers last once they are written
     stored = notes.sparkSession.read.schema(numbered.schema).parquet(f"{path}/lists/batch={batch}")
-    # A block's postings of a word lie together; the blocks deal a word of many notes into many files.
-    counted = one_a_key(counted_words(stored, key, "block"), key, "block")
+    # A block's postings of a word lie together; the blocks deal a word of many notes into many files. Lists of words are
+    # dealt by block and counted after that, unless rows of other blocks may share their key: then the counted words are dealt.
+    if one_note_a_key(stored, key):
+        lists = stored.select(key, "block", "_w").repartition("block")
+        counted = counted_words(lists, key, "block").select("term", "block", key, "times", "length").sortWithinPartitions("term", "block", key)
+    else:
+        counted = one_a_key(counted_words(stored, key, "block"), key, "block")
     write(counted, f"{path}/postings/batch={batch}", skip_empty=False)
     postings = notes.sparkSession.read.schema(counted.schema).parquet(f"{path}/postings/batch={batch}")
     bounds = postings.groupBy("term", "block").agg(

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """UTC, which the results depend on, and the run-time splitting of skewed join partitions, also
     where it costs a shuffle more: one member, provider or claim may hold a third of the rows. Shuffled partitions are put
@@ -16,7 +19,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ADVISORY)) > 16 << 20:
+        spark.conf.set(ADVISORY, "16m")  # smaller ones stay: skewed partitions are cut to this size
     return spark
 
 

@@ -283,3 +283,22 @@ def test_notes_and_vectors_meet_once(spark, sf_dir):
     wanted = queries._all_notes(spark, sf_dir).drop("embedding").join(vectors, "claim_id")
     assert notes.columns == wanted.columns and notes.count() == wanted.count() > 0
     assert notes.exceptAll(wanted).isEmpty()
+
+
+def test_counted_batches_leave_in_order():
+    import pyarrow as pa
+
+    words = [["b", "a", "b", "ä"], None, [], ["a"], ["b", "b", "b"], ["z", None]]
+    made = pa.RecordBatch.from_pydict({"claim_id": ["k2", "k1", "k0", None, "k1", "k3"], "block": [1, 0, 0, 0, 0, 0], "_w": words})
+    got = [tuple(r.values()) for r in retrieval._counted_in_batch(made, ["claim_id", "block"]).to_pylist()]
+    assert got == [
+        (None, 0, 1, "a", 1), ("k2", 1, 4, "a", 1), ("k1", 0, 3, "b", 3), ("k2", 1, 4, "b", 2), ("k3", 0, 2, "z", 1), ("k2", 1, 4, "ä", 1),
+    ]
+
+
+def test_long_batches_are_counted_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "WORDS_AT_ONCE", 50)
+    lists = spark.range(0, 500, numPartitions=2).selectExpr("id as k", "if(id % 9 = 0, null, transform(sequence(0, id % 40), i -> concat('w', i % 7))) as _w")
+    wanted = lists.selectExpr("k", "size(_w) as length", "explode(_w) as term").groupBy("k", "length", "term").count()
+    got = retrieval.counted_words(lists, "k")
+    assert got.columns == ["k", "length", "term", "times"] and sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))

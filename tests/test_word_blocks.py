@@ -55,3 +55,16 @@ def test_odd_tables(spark, notes, tmp_path):
     assert word_blocks.blocks_top(spark, str(tmp_path / "null"), "w0").count() == 0
     with pytest.raises(ValueError):
         word_blocks.write_blocks(notes, str(tmp_path / "odd"), block_rows=100)
+
+
+def test_lists_of_unique_keys_are_dealt_by_block(spark, notes, tmp_path, monkeypatch):
+    """Counted words are not shuffled where no key repeats; where one does, its rows are added up in the same columns."""
+    some = notes.where("narrative is not null").limit(300).persist()
+    word_blocks.write_blocks(some.union(some.limit(1)), str(tmp_path / "repeated"), block_rows=32)
+    monkeypatch.setattr(word_blocks, "one_a_key", None)
+    word_blocks.write_blocks(some, str(tmp_path / "unique"), block_rows=32)
+    read = lambda name: spark.read.parquet(str(tmp_path / name / "postings"))
+    assert read("unique").dtypes == read("repeated").dtypes
+    counted = lambda name: {(r.term, r.claim_id): r.times for r in read(name).collect()}
+    twice = some.first().claim_id
+    assert counted("repeated") == {k: n * (1 + (k[1] == twice)) for k, n in counted("unique").items()}
